@@ -38,18 +38,24 @@ RAW_TEXT_TAGS = frozenset(["script", "style"])
 SPACED_TAGS = CLOSES_P | frozenset(
     "br tr td th caption thead tbody tfoot dt dd figure figcaption title head body html option "
     "img button label select textarea".split())
+# Elements that can form a text block; a *leaf* block has no block descendant.
+BLOCK_TAGS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd caption figcaption div section article main "
+    "header footer nav aside address form table ul ol dl figure tr body".split())
 # A search for an element to close implicitly never crosses these.
 SCOPE_STOP = frozenset("table td th caption html body button object template".split())
 
 NODE_SCHEMA = (
     "page_id long, pre int, post int, parent int, depth int, ordinal int, tag string, "
-    "attrs map<string,string>, own_text string, text string, start_off int, end_off int")
+    "attrs map<string,string>, own_text string, text string, start_off int, end_off int, "
+    "path array<string>, anc array<int>, leaf_block boolean, block_pre int")
 
 _ARROW_SCHEMA = pa.schema([
     ("page_id", pa.int64()), ("pre", pa.int32()), ("post", pa.int32()), ("parent", pa.int32()),
     ("depth", pa.int32()), ("ordinal", pa.int32()), ("tag", pa.string()),
     ("attrs", pa.map_(pa.string(), pa.string())), ("own_text", pa.string()), ("text", pa.string()),
-    ("start_off", pa.int32()), ("end_off", pa.int32()),
+    ("start_off", pa.int32()), ("end_off", pa.int32()), ("path", pa.list_(pa.string())),
+    ("anc", pa.list_(pa.int32())), ("leaf_block", pa.bool_()), ("block_pre", pa.int32()),
 ])
 
 _WS = re.compile(r"[ \t\n\r\f\v]+")
@@ -61,7 +67,7 @@ def collapse(text: str) -> str:
 
 class _Element:
     __slots__ = ("pre", "parent", "depth", "ordinal", "tag", "attrs", "start", "end", "own", "parts",
-                 "post", "children")
+                 "post", "children", "block_desc")
 
     def __init__(self, pre, parent, depth, ordinal, tag, attrs, start):
         self.pre, self.parent, self.depth, self.ordinal = pre, parent, depth, ordinal
@@ -71,6 +77,7 @@ class _Element:
         self.parts: list[str] = []
         self.post = -1
         self.children = 0
+        self.block_desc = False
 
 
 class _TreeBuilder(HTMLParser):
@@ -102,6 +109,8 @@ class _TreeBuilder(HTMLParser):
         if self.stack:
             parent = self.stack[-1]
             parent.parts.append(" " + text + " " if el.tag in SPACED_TAGS else text)
+            if el.tag in BLOCK_TAGS or el.block_desc:
+                parent.block_desc = True
 
     def _close_nearest(self, tags, stops, at: int) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -194,7 +203,29 @@ def parse_html(html: str | None) -> list[_Element]:
 def _emit(page_ids, htmls):
     cols = {f: [] for f in _ARROW_SCHEMA.names}
     for pid, html in zip(page_ids, htmls):
-        for el in sorted(parse_html(html), key=lambda e: e.pre):
+        els = sorted(parse_html(html), key=lambda e: e.pre)
+        # ancestor paths, nearest block ancestor-or-self, and whether that block is a leaf
+        paths: list[list[str]] = []
+        ancs: list[list[int]] = []
+        near_block: list[int] = []
+        for el in els:
+            if el.parent >= 0:
+                up = els[el.parent]
+                paths.append(paths[el.parent] + [up.tag])
+                ancs.append(ancs[el.parent] + [up.pre])
+                inherited = near_block[el.parent]
+            else:
+                paths.append([])
+                ancs.append([])
+                inherited = -1
+            near_block.append(el.pre if el.tag in BLOCK_TAGS else inherited)
+        for el in els:
+            nb = near_block[el.pre]
+            leaf = el.tag in BLOCK_TAGS and not el.block_desc
+            cols["path"].append(paths[el.pre])
+            cols["anc"].append(ancs[el.pre])
+            cols["leaf_block"].append(leaf)
+            cols["block_pre"].append(nb if nb >= 0 and not els[nb].block_desc else -1)
             cols["page_id"].append(pid)
             cols["pre"].append(el.pre)
             cols["post"].append(el.post)
