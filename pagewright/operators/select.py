@@ -411,7 +411,7 @@ def normalize_selector_type(selector_type: str | None) -> str:
     """EXT2: trimmed and case-folded; unknown values are refused with the valid ones listed."""
     kind = (selector_type if selector_type is not None else "css").strip().lower()
     if kind not in ("css", "xpath"):
-        raise ValueError(f"Invalid selector_type {selector_type!r}. Valid values: css, xpath")
+        raise ValueError(f"Unknown selector_type {selector_type!r}. Use 'css' (default) or 'xpath'.")
     return kind
 
 
