@@ -37,3 +37,39 @@ def seq_bucket(seq: Column | str, width: int = DEFAULT_BUCKET_ROWS, major: Colum
     if major is None:
         return b
     return major.cast("long") * F.lit(1 << 40) + b
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
+                      num_partitions: int | None = None) -> DataFrame:
+    """Exact global ``row_number() OVER (ORDER BY order_cols)`` without a single-partition window.
+
+    Range-partition on the ordering (sampled split points), number rows inside each range
+    partition, and add the row count of all earlier partitions (a table with one row per
+    partition). Ties across a partition boundary cannot occur: equal keys share a range.
+    """
+    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid").orderBy(*order_cols)
+    ranged = ranged.withColumn("_lrn", F.row_number().over(local))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return (ranged.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded
+            .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
+            .drop("_pid", "_lrn", "_off"))
+
+
+def next_in_order(df: DataFrame, key: str, out: str = "next") -> DataFrame:
+    """``lead(key) OVER (ORDER BY key)`` for distinct keys, distributed (see global_row_number)."""
+    ranked = global_row_number(df.select(key).distinct(), [key], out="_r")
+    nxt = ranked.select((F.col("_r") - 1).alias("_r"), F.col(key).alias(out))
+    return ranked.join(nxt, "_r", "left").drop("_r")
+
+
+def top_k(df: DataFrame, order_cols: list, k: int, small_k: int = 10000) -> DataFrame:
+    """First ``k`` rows by ``order_cols``: TakeOrderedAndProject for small k, else exact ranks."""
+    if k <= small_k:
+        return df.orderBy(*order_cols).limit(k)
+    names = [c if isinstance(c, str) else None for c in order_cols]
+    if None in names:
+        raise ValueError("large top_k needs column names as the ordering")
+    return global_row_number(df, names, out="_rk").filter(F.col("_rk") <= k).drop("_rk")
