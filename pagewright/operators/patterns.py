@@ -100,7 +100,8 @@ def pattern_summary(matches: DataFrame, pages: DataFrame, key: str) -> DataFrame
 
 def pattern_column(text: Column, specs: list[tuple[str, str]]) -> Column:
     """Matches as ``array<struct<label,value>>`` for streaming/per-row use."""
-    per = [F.transform(F.regexp_extract_all(text, F.lit(rx), F.lit(0)),
-                       lambda v, lbl=label: F.struct(F.lit(lbl).alias("label"), v.alias("value")))
-           for label, rx in specs]
+    def tagger(label: str):
+        return lambda v: F.struct(F.lit(label).alias("label"), v.alias("value"))
+
+    per = [F.transform(F.regexp_extract_all(text, F.lit(rx), F.lit(0)), tagger(label)) for label, rx in specs]
     return F.flatten(F.array(*per))

@@ -73,3 +73,34 @@ def top_k(df: DataFrame, order_cols: list, k: int, small_k: int = 10000) -> Data
     if None in names:
         raise ValueError("large top_k needs column names as the ordering")
     return global_row_number(df, names, out="_rk").filter(F.col("_rk") <= k).drop("_rk")
+
+
+def bucketed_lag(df: DataFrame, keys: list[str], order_col: str, value_col: str, bucket: Column,
+                 out: str) -> DataFrame:
+    """Exact ``lag(value) OVER (PARTITION BY keys ORDER BY order_col)``, skew-safe.
+
+    Lag is taken inside (key, bucket) pieces; the first row of a piece takes the last value of
+    the previous non-empty piece from a per-piece summary (one row per piece).
+    """
+    d = df.withColumn("_bkt", bucket)
+    w = Window.partitionBy(*keys, "_bkt").orderBy(order_col)
+    d = d.withColumn(out, F.lag(value_col).over(w)).withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
+    last = d.groupBy(*keys, "_bkt").agg(F.max_by(value_col, order_col).alias("_last"))
+    wb = Window.partitionBy(*keys).orderBy("_bkt")
+    last = last.select(*keys, "_bkt", F.lag("_last").over(wb).alias("_prev_last"))
+    d = d.join(last, [*keys, "_bkt"])
+    return d.withColumn(out, F.when(F.col("_first"), F.col("_prev_last")).otherwise(F.col(out))) \
+        .drop("_bkt", "_first", "_prev_last")
+
+
+def bucketed_running_sum(df: DataFrame, keys: list[str], order_col: str, value: Column, bucket: Column,
+                         out: str) -> DataFrame:
+    """Exact running ``sum(value)`` (rows unbounded preceding .. current), skew-safe."""
+    d = df.withColumn("_bkt", bucket).withColumn("_v", value)
+    w = Window.partitionBy(*keys, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn(out, F.sum("_v").over(w))
+    tot = d.groupBy(*keys, "_bkt").agg(F.sum("_v").alias("_t"))
+    wb = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*keys, "_bkt", F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_off"))
+    return d.join(tot, [*keys, "_bkt"]).withColumn(out, F.col(out) + F.col("_off")) \
+        .drop("_bkt", "_v", "_off")

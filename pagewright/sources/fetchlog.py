@@ -30,12 +30,17 @@ def _k():
     return F.get_json_object("props", "$.k").cast("int")
 
 
+def fetch_url():
+    """URL of the fetch attempt an ``events`` row stands for (works on streams too)."""
+    return F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.org/item/"),
+                    _k().cast("string"))
+
+
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     k = _k()
     err = F.col("event_type") == "error"
-    url = F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.org/item/"),
-                   k.cast("string"))
+    url = fetch_url()
     status = (F.when(err, F.when(k % 3 == 1, F.lit(429)).when(k % 3 == 2, F.lit(503)))
               .when((F.col("event_type") == "click") & (F.col("value") >= 100), F.lit(404))
               .otherwise(F.lit(200)))
