@@ -108,6 +108,17 @@ def page_markdown(blocks: DataFrame, out: str = "markdown", only_text: bool = Fa
         F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["md"]), "\n\n").alias(out))
 
 
+def page_markdown_fit_raw(blocks: DataFrame, only_text: bool = False) -> DataFrame:
+    """PRJ2 + PRJ3 in one aggregation: ``raw`` (all blocks) and ``fit`` (kept blocks) per page."""
+    item = F.struct(F.col("pre"), block_markdown(F.col("tag"), F.col("text"), only_text).alias("md"))
+
+    def joined(arr):
+        return F.array_join(F.transform(F.array_sort(arr), lambda x: x["md"]), "\n\n")
+    return blocks.groupBy("page_id").agg(
+        joined(F.collect_list(item)).alias("raw"),
+        joined(F.collect_list(F.when(F.col("kept"), item))).alias("fit"))
+
+
 def fit_or_raw(fit: Column, raw: Column) -> Column:
     """PRJ5: fit if non-empty, else raw, else ''."""
     return F.coalesce(F.when(fit != "", fit), raw, F.lit(""))

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.operators.select import (normalize_selector_type, parse_css, parse_xpath,
+from pagewright.operators.select import (_and, normalize_selector_type, parse_css, parse_xpath,
                                          reroot_field_xpath, select_css, evaluate, subtree)
 
 NO_MATCH_FMT = ("The {kind} selectors in the schema did not match any elements on the page. Verify "
@@ -108,6 +108,45 @@ def _field_matches(nodes: DataFrame, ctx: DataFrame, f: FieldSpec, kind: str) ->
     return m
 
 
+def _single_step(f: FieldSpec, kind: str):
+    """``(axis, predicate, value)`` when a field is one child/descendant step, else None."""
+    if not f.selector or f.type in ("nested", "list", "nested_list"):
+        return None
+    paths, _ = _paths(f.selector, kind)
+    if len(paths) != 1:
+        return None
+    p = paths[0]
+    if p.absolute or len(p.steps) != 1:
+        return None
+    st = p.steps[0]
+    if st.position is not None or st.axis not in ("descendant", "child"):
+        return None
+    return st.axis, _and(st.preds), p.value
+
+
+def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame | None) -> DataFrame:
+    """All single-step fields in one pass: explode each candidate's ancestor ids once, join the
+    records once, and pick every field's first match with one conditional ``min_by`` each."""
+    any_pred = F.lit(False)
+    for _, (_, pred, _) in simple:
+        any_pred = any_pred | pred
+    cand = nodes.filter(any_pred).select("page_id", "pre", "parent", "text", "own_text", "attrs", "start_off",
+                                         "end_off", "tag", "ordinal", F.explode("anc").alias("ctx"))
+    cand = cand.join(records.select("page_id", F.col("pre").alias("ctx")), ["page_id", "ctx"])
+    if html is not None:
+        cand = cand.join(html, "page_id")
+    aggs = []
+    for f, (axis, pred, value) in simple:
+        cond = pred & (F.col("ctx") == F.col("parent")) if axis == "child" else pred
+        if value is not None:
+            v = F.col("attrs")[value[1]] if value[0] == "attr" else F.col("own_text")
+            v = F.trim(v) if f.transform == "strip" else F.lower(v) if f.transform == "lowercase" else v
+        else:
+            v = _value_expr(f, F.col("html") if html is not None else None)
+        aggs.append(F.min_by(F.when(cond, v), F.when(cond & v.isNotNull(), F.col("pre"))).alias(f.name))
+    return cand.groupBy("page_id", "ctx").agg(*aggs).withColumnRenamed("ctx", "pre")
+
+
 def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind: str,
              html: DataFrame | None) -> DataFrame:
     """Adds one column per field to ``records`` (``page_id, pre`` + node columns)."""
@@ -116,7 +155,16 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
                              "end_off", "parent", "ordinal", "anc", "tag")
     if html is not None:
         node_cols = node_cols.join(html, "page_id")
+    simple = [(f, info) for f in fields if (info := _single_step(f, kind)) is not None]
+    if simple:
+        out = out.join(_simple_fields(nodes, records, simple, html), ["page_id", "pre"], "left")
+        for f, _ in simple:
+            if f.default is not None:
+                out = out.withColumn(f.name, F.coalesce(F.col(f.name), F.lit(str(f.default))))
+    done = {f.name for f, _ in simple}
     for f in fields:
+        if f.name in done:
+            continue
         ctx = records.select("page_id", "pre", "parent", "ordinal")
         matches = _field_matches(nodes, ctx, f, kind)
         if f.type in ("nested", "list", "nested_list"):

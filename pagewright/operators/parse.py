@@ -251,6 +251,16 @@ def _parse_batches(batches):
             yield _emit(ids[i:i + step], htmls[i:i + step])
 
 
+def parsed_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
+    """The node table written once to the shared checkpoint folder (parquet) and read back.
+
+    Use when several branches of a plan consume the nodes: the Python parse then runs once,
+    the result survives executor loss, and each branch reads only the columns it needs.
+    """
+    from pagewright.session import materialize
+    return materialize(html_nodes(pages, page_id, html), "nodes")
+
+
 def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Parse ``(page_id, html)`` rows into the node table (schema ``NODE_SCHEMA``).
 

@@ -84,10 +84,12 @@ def parse_sitemaps(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return status, ent
 
 
-def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame) -> DataFrame:
+def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame | None = None,
+                    entries: DataFrame | None = None) -> DataFrame:
     """SRC3/SRC4: ``(root, key array<int>, url)`` for every page URL reachable from each root."""
-    status, entries = parse_sitemaps(docs)
-    entries = cut_lineage(entries)
+    if entries is None:
+        _, entries = parse_sitemaps(docs)
+        entries = cut_lineage(entries)
     level = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("key"))
     seen = level.select("root", F.col("sitemap_url").alias("url"))
     found = []
@@ -127,13 +129,14 @@ def crawl_sitemap(spark: SparkSession, roots: DataFrame, docs: DataFrame, snapsh
     """
     if max_urls < 1:
         raise ValueError("max_urls must be >= 1")
-    ordered = ordered_sitemap_urls(expand_sitemaps(spark, roots, docs))
+    status, entries = parse_sitemaps(docs)
+    status, entries = cut_lineage(status), cut_lineage(entries)
+    ordered = ordered_sitemap_urls(expand_sitemaps(spark, roots, entries=entries))
     counts = ordered.groupBy("root").agg(F.count(F.lit(1)).alias("n_urls"))
     chosen = ordered.filter(F.col("pos") <= max_urls)
     snap = snapshots.groupBy("url").agg(F.max("success").alias("success"))
     results = chosen.join(snap, "url", "left").select(
         "root", "pos", "url", F.coalesce("success", F.lit(False)).alias("success"))
-    status, _ = parse_sitemaps(docs)
     per_root = results.groupBy("root").agg(F.count_if("success").alias("crawled"),
                                            F.count(F.lit(1)).alias("total"))
     s = roots.select("root").join(status.withColumnRenamed("sitemap_url", "root"), "root", "left") \

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import urls as U
 from pagewright.functions.validate import check_choice
 from pagewright.operators.ranking import top_k
-from pagewright.session import cut_lineage
+from pagewright.session import cut_lineage, materialize
 
 SCOPES = ["same-domain", "same-origin", "any"]
 STRATEGIES = ["bfs", "best-first"]
@@ -121,30 +121,42 @@ def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: Dat
     return best.select("url", "b.parent_url", "b.depth", "b.key")
 
 
+def _counts(df: DataFrame) -> tuple[int, int]:
+    """(rows, successes) of a checkpointed level in one small job."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if("success").alias("ok")).first()
+    return int(r["n"]), int(r["ok"])
+
+
 def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: CrawlSpec) -> DataFrame:
     """Result rows ``(url, depth, parent_url, success, score, key)``; at most max_pages rows."""
     spec.validate()
+    # the graph and the fetch outcome per URL are read once per level: compute them once
+    edges = materialize(edges.select("src", "dst", "pos"), "edges")
+    snapshots = materialize(snapshots.groupBy("url").agg(F.max("success").alias("success")), "snapshot_index")
     start = spark.createDataFrame([(spec.start_url,)], "url string").select(
         "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url"),
         F.array().cast("array<int>").alias("key"))
     level = cut_lineage(_fetch(start, snapshots))  # depth 0 bypasses every filter (TRV9)
     levels = [level]
     visited = level.select("url")
-    n_success = level.filter("success").count()
+    n_success = _counts(level)[1]
     if spec.strategy == "bfs":
         for _ in range(spec.max_depth):
             remaining = spec.max_pages - n_success
             if remaining <= 0:
                 break
-            cand = cut_lineage(_expand(level, edges, spec, visited))
-            n_cand = cand.count()
-            if n_cand == 0:
+            # one job per level: expand, filter, dedupe, fetch -> checkpoint; then one count
+            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited), snapshots))
+            n_rows, n_ok = _counts(nxt)
+            if n_rows == 0:
                 break
-            nxt = cand if n_cand <= remaining else top_k(cand, ["key"], remaining)
-            level = cut_lineage(_fetch(nxt, snapshots))
+            if n_rows > remaining:  # frontier cut to the remaining budget, in frontier order
+                nxt = cut_lineage(top_k(nxt, ["key"], remaining))
+                n_rows, n_ok = _counts(nxt)
+            level = nxt
             levels.append(level)
             visited = visited.unionByName(level.select("url"))
-            n_success += level.filter("success").count()
+            n_success += n_ok
         out = levels[0]
         for lv in levels[1:]:
             out = out.unionByName(lv)

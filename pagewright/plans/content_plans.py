@@ -10,8 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagewright.operators.blocks import (bm25, density_prune, fit_or_raw, page_blocks,
-                                         page_markdown)
-from pagewright.operators.parse import html_nodes
+                                         page_markdown, page_markdown_fit_raw)
+from pagewright.operators.parse import html_nodes, parsed_nodes
 from pagewright.operators.project import page_links, page_metadata
 from pagewright.operators.select import select_css, subtree, without_subtree
 from pagewright.plans import sqlparts as S
@@ -110,9 +110,7 @@ FROM pages p LEFT JOIN md ON md.page_id = p.page_id
 def fit_or_raw_q(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     blocks = density_prune(page_blocks(html_nodes(pages)))
-    raw = page_markdown(blocks, "raw")
-    fit = page_markdown(blocks.filter("kept"), "fit")
-    out = pages.select("page_id").join(raw, "page_id", "left").join(fit, "page_id", "left")
+    out = pages.select("page_id").join(page_markdown_fit_raw(blocks), "page_id", "left")
     fit_c = F.coalesce(F.col("fit"), F.lit(""))
     return out.select(
         "page_id",
@@ -177,7 +175,7 @@ nonav_links AS (
 
 def _scoped(spark, sf_dir, mode: str):
     pages = _pages(spark, sf_dir)
-    nodes = html_nodes(pages)
+    nodes = parsed_nodes(pages)
     if mode == "css_selector":
         scoped = subtree(nodes, select_css(nodes, "article"))
         meta_nodes, link_nodes, block_nodes = scoped, scoped, scoped

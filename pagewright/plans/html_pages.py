@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
-from pagewright.operators.parse import html_nodes
+from pagewright.operators.parse import html_nodes, parsed_nodes
 from pagewright.operators.project import page_links, page_metadata
 from pagewright.plans import sqlparts as S
 from pagewright.plans.catalog import register
@@ -18,7 +18,7 @@ def _pages(spark, sf_dir):
 
 def host_summary_df(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    nodes = html_nodes(pages)
+    nodes = parsed_nodes(pages)
     meta = page_metadata(nodes)
     links = page_links(nodes, pages, number=False)
     per_page_links = links.groupBy("page_id").agg(
@@ -66,7 +66,7 @@ FROM pages
 """)
 def page_title_lang(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    nodes = html_nodes(pages)
+    nodes = parsed_nodes(pages)
     lang = (nodes.filter(F.col("tag") == "html").groupBy("page_id")
             .agg(F.min_by(F.col("attrs")["lang"], "pre").alias("lang")))
     meta = page_metadata(nodes)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import safe_filename
-from pagewright.operators.blocks import density_prune, fit_or_raw, page_blocks, page_markdown
+from pagewright.operators.blocks import density_prune, fit_or_raw, page_blocks, page_markdown_fit_raw
 from pagewright.operators.extract import NO_MATCH_FMT
 from pagewright.operators.parse import html_nodes
 from pagewright.operators.results import success_first_rank
@@ -55,11 +55,9 @@ FROM pages p LEFT JOIN md ON md.page_id = p.page_id
 def sink_roundtrip(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     blocks = density_prune(page_blocks(html_nodes(pages)))
-    raw = page_markdown(blocks, "raw")
-    fit = page_markdown(blocks.filter("kept"), "fit")
     res = pages.select("page_id", "url", F.col("html").isNotNull().alias("success"),
                        F.lit(None).cast("string").alias("error_message")) \
-        .join(raw, "page_id", "left").join(fit, "page_id", "left") \
+        .join(page_markdown_fit_raw(blocks), "page_id", "left") \
         .withColumn("content", fit_or_raw(F.coalesce("fit", F.lit("")), F.col("raw"))) \
         .withColumn("rank", F.col("page_id"))
     out_dir = sink_dir(spark)

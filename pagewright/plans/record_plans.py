@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagewright.operators.blocks import density_prune, page_blocks
 from pagewright.operators.extract import extract_records
-from pagewright.operators.parse import html_nodes
+from pagewright.operators.parse import html_nodes, parsed_nodes
 from pagewright.operators.project import page_links, page_metadata
 from pagewright.operators.tables import page_tables
 from pagewright.plans import sqlparts as S
@@ -43,12 +43,12 @@ def _pages(spark, sf_dir):
 
 @register("css_nav_records", NAV_SQL)
 def css_nav_records(spark, sf_dir):
-    return extract_records(html_nodes(_pages(spark, sf_dir)), NAV_CSS, "css")
+    return extract_records(parsed_nodes(_pages(spark, sf_dir)), NAV_CSS, "css")
 
 
 @register("xpath_nav_records", NAV_SQL)
 def xpath_nav_records(spark, sf_dir):
-    return extract_records(html_nodes(_pages(spark, sf_dir)), NAV_XPATH, " XPath ")
+    return extract_records(parsed_nodes(_pages(spark, sf_dir)), NAV_XPATH, " XPath ")
 
 
 FIELD_TYPES = {"name": "article", "baseSelector": "article", "fields": [
@@ -76,7 +76,7 @@ FROM segs
 """)
 def css_field_types(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    rec = extract_records(html_nodes(pages), FIELD_TYPES, "css", pages_html=pages.select("page_id", "html"))
+    rec = extract_records(parsed_nodes(pages), FIELD_TYPES, "css", pages_html=pages.select("page_id", "html"))
     return rec.select("page_id", "item_no", "title", "lead", "missing", "raw_h1", "rx_raw",
                       F.size("paras").cast("long").alias("n_paras"),
                       F.size(F.filter("paras", lambda x: x["bold"].isNotNull())).cast("long").alias("n_bold"))
@@ -102,7 +102,7 @@ FROM part
 """)
 def css_part_records(spark, sf_dir):
     pages = product_pages(spark, sf_dir)
-    nodes = html_nodes(pages)
+    nodes = parsed_nodes(pages)
     rec = extract_records(nodes, PART_SCHEMA, "css")
     meta = page_metadata(nodes)
     return rec.join(meta, "page_id", "left").select(
@@ -123,7 +123,7 @@ FROM customer
 """)
 def html_tables(spark, sf_dir):
     pages = customer_table_pages(spark, sf_dir)
-    t = page_tables(html_nodes(pages))
+    t = page_tables(parsed_nodes(pages))
     rows = t.select("page_id", F.col("table_no").cast("long").alias("table_no"), "caption",
                     F.array_join("headers", "|").alias("headers"), "score",
                     F.posexplode("rows").alias("i", "r"))

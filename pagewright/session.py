@@ -85,3 +85,18 @@ def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used when one expensive intermediate (the parsed node table, a derived graph) feeds several
+    branches of a plan: it is computed once, survives executor loss, and later reads get column
+    pruning and filter pushdown from parquet.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
