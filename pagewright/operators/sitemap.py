@@ -18,6 +18,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from pagewright.functions import urls as U
 from pagewright.functions.text import strip_zero_width
@@ -36,7 +37,7 @@ NO_URLS_FMT = ("No URLs found in sitemap {url}. It may be empty, or in a format
 TRUNCATED_FMT = "Sitemap contained {total} URLs; crawled the first {n} (max_urls limit)."
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _inflate(content: pd.Series) -> pd.Series:
     """Gunzip; bytes that fail to inflate are returned unchanged (the XML parser reports them)."""
     def one(b):

@@ -17,6 +17,7 @@ import gzip
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from pagewright.sources.graph import ranked_pages
 from pagewright.sources.synthetic import esc
@@ -28,7 +29,7 @@ ZW_OPEN = "\u200b"
 ZW_CLOSE = "\ufeff"
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _gzip(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else gzip.compress(t.encode("utf-8"), mtime=0))
 
