@@ -63,3 +63,17 @@ def links_struct(links: DataFrame) -> DataFrame:
 
     return links.groupBy("page_id").agg(
         F.struct(side("internal").alias("internal"), side("external").alias("external")).alias("links"))
+
+
+def drop_tags(nodes: DataFrame, tags: list[str]) -> DataFrame:
+    """PRJ9 ``excluded_tags``: remove every subtree rooted at one of ``tags``."""
+    from pagewright.operators.select import without_subtree
+
+    roots = nodes.filter(F.col("tag").isin(*[t.lower() for t in tags])).select(
+        "page_id", F.lit(-1).alias("ctx"), F.col("pre").alias("m"))
+    return without_subtree(nodes, roots)
+
+
+def internal_only(links: DataFrame) -> DataFrame:
+    """PRJ9 ``exclude_external_links``."""
+    return links.filter(F.col("kind") == "internal")

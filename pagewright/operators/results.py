@@ -22,6 +22,8 @@ ATTEMPTS_FMT = "Attempts: "
 BLOCKED_BY_FMT = "Blocked by: "
 FALLBACK_FMT = "The plain-HTTP fallback was tried and "
 MISSING_SNAPSHOT = "No snapshot for URL"
+STATS_TYPE = ("struct<attempts:int,retries:int,proxies_used:array<struct<proxy:string,status_code:int,"
+              "blocked:boolean,reason:string>>,fallback_fetch_used:boolean,resolved_by:string>")
 
 
 def _strip_ws(c: Column) -> Column:

@@ -217,3 +217,29 @@ FROM pages p LEFT JOIN nonav_md m USING (page_id) LEFT JOIN nonav_links l USING
 """)
 def exclude_nav(spark, sf_dir):
     return _scoped(spark, sf_dir, "excluded_selector")
+
+
+# -- page options (excluded_tags, only_text, exclude_external_links) -------------------------
+
+@register("page_options", f"""
+WITH {BLOCKS_CTE.strip()},
+{S.ANCHORS_CTE.strip()},
+md AS (SELECT page_id, string_agg(text, {NL2} ORDER BY grp, ord) AS md FROM blocks WHERE grp NOT IN (1, 5) GROUP BY 1),
+kept_links AS (
+  SELECT page_id, count(*) AS n FROM (
+    SELECT page_id, unnest(regexp_extract_all(
+      regexp_replace(regexp_replace({S.no_script('html')}, '(?s)<nav[^>]*>.*?</nav>', '', 'g'),
+                     '(?s)<footer[^>]*>.*?</footer>', '', 'g'),
+      '<a\\s[^>]*href="[^"]*[^" ][^"]*"')) FROM pages) GROUP BY 1)
+SELECT p.page_id, m.md AS markdown, CAST(coalesce(l.n, 0) AS BIGINT) AS n_links
+FROM pages p LEFT JOIN md m USING (page_id) LEFT JOIN kept_links l USING (page_id)
+""")
+def page_options(spark, sf_dir):
+    from pagewright.operators.project import drop_tags, internal_only
+    pages = _pages(spark, sf_dir)
+    nodes = drop_tags(parsed_nodes(pages), ["nav", "footer"])
+    md = page_markdown(page_blocks(nodes), "markdown", only_text=True)
+    n_links = internal_only(page_links(nodes, pages, number=False)).groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("n_links"))
+    out = pages.select("page_id").join(md, "page_id", "left").join(n_links, "page_id", "left")
+    return out.select("page_id", "markdown", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -167,3 +167,47 @@ FROM res GROUP BY 1
 """)
 def batch_summary(spark, sf_dir):
     return R.batch_summary(_batch_results(spark, sf_dir), "batch_id")
+
+
+def _single_page_sql() -> str:
+    from pagewright.plans.content_plans import BLOCKS_CTE
+    return f"""
+WITH {REQUESTS_SQL.strip()},
+{BLOCKS_CTE.strip()},
+md AS (
+  SELECT page_id, string_agg(md, chr(10) || chr(10) ORDER BY grp, ord) AS raw,
+         coalesce(string_agg(md, chr(10) || chr(10) ORDER BY grp, ord) FILTER (WHERE kept), '') AS fit
+  FROM blocks_k GROUP BY page_id
+)
+SELECT r.batch_id, r.seq,
+       CASE WHEN r.success THEN coalesce(nullif(md.fit, ''), md.raw, '')
+            ELSE 'Crawl failed' || chr(10) || 'URL: ' || r.url || chr(10) || 'HTTP status: None' || chr(10)
+                 || 'Error: ' || r.error END AS text
+FROM res r LEFT JOIN pages p ON p.url = r.url LEFT JOIN md ON md.page_id = p.page_id
+"""
+
+
+def single_page(spark, sf_dir):
+    """SRC2: per request, the page's markdown (fit, else raw) or the formatted error block.
+
+    Only the requested pages are parsed (semi-join before the Python stage).
+    """
+    from pagewright.operators.blocks import density_prune, fit_or_raw, page_blocks, page_markdown_fit_raw
+    from pagewright.operators.parse import html_nodes
+    from pagewright.sources.tables import table
+
+    req = batch_requests(spark, sf_dir)
+    pages = table(spark, sf_dir, "pages")
+    wanted = pages.join(req.select("url").distinct(), "url", "left_semi")
+    md = page_markdown_fit_raw(density_prune(page_blocks(html_nodes(wanted))))
+    snaps = snapshots(spark, sf_dir).select("page_id", "url", "success", "error_message", "status_code")
+    res = R.fetch_requests(req, snaps).join(md, "page_id", "left")
+    for c, t in (("redirected_url", "string"), ("redirected_status_code", "int"),
+                 ("response_headers", "map<string,string>"), ("crawl_stats", R.STATS_TYPE)):
+        res = res.withColumn(c, F.lit(None).cast(t))
+    content = fit_or_raw(F.coalesce("fit", F.lit("")), F.col("raw"))
+    return res.select("batch_id", "seq", F.when(F.col("success"), content)
+                      .otherwise(R.format_crawl_error(res)).alias("text"))
+
+
+register("single_page", _single_page_sql())(single_page)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pagewright.operators.patterns import BUILTIN_PATTERNS, extract_patterns, resolve_patterns
+from pagewright.operators.patterns import (BUILTIN_PATTERNS, NO_MATCHES_MSG, extract_patterns, pattern_summary,
+                                           resolve_patterns)
 from pagewright.plans.catalog import register
 from pagewright.sources.tables import table
 
@@ -49,3 +50,17 @@ def patterns_custom(spark, sf_dir):
     specs = resolve_patterns(spark, None, CUSTOM)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return extract_patterns(docs, "text", ["doc_id"], specs)
+
+
+@register("pattern_summary", f"""
+WITH m AS ({_oracle("pages", "page_id", "html", [("email", BUILTIN_PATTERNS["email"]), ("url", BUILTIN_PATTERNS["url"])])}),
+c AS (SELECT page_id, count(*) AS n FROM m GROUP BY 1)
+SELECT p.page_id, CAST(coalesce(c.n, 0) AS BIGINT) AS count,
+       CASE WHEN coalesce(c.n, 0) = 0 THEN '{NO_MATCHES_MSG}' END AS error
+FROM pages p LEFT JOIN c USING (page_id)
+""")
+def pattern_summary_q(spark, sf_dir):
+    """EXT8/EXT10: default patterns (email, url) per page; zero matches carry the no-match error."""
+    specs = resolve_patterns(spark, None)
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return pattern_summary(extract_patterns(pages, "html", ["page_id"], specs), pages, "page_id")

@@ -164,3 +164,21 @@ def code_kept(spark, sf_dir):
         F.count_if("kept").cast("long").alias("n_kept"),
         F.count_if(F.col("kept") & (F.col("tag") == "pre")).cast("long").alias("n_code_kept"),
         F.coalesce(F.sum(F.when(F.col("kept"), F.col("n_words"))), F.lit(0)).cast("long").alias("kept_words"))
+
+
+SCOPED = {"name": "bold", "baseSelector": "p", "fields": [{"name": "bold", "selector": "b", "type": "text"}]}
+
+
+@register("scoped_records", f"""
+WITH src AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS art FROM pages),
+segs AS (
+  SELECT page_id, unnest(ps) AS seg, generate_subscripts(ps, 1) AS o
+  FROM (SELECT page_id, list_slice(string_split(art, '<p>'), 2, len(string_split(art, '<p>'))) AS ps FROM src)
+)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY o) AS BIGINT) AS item_no,
+       {S.collapse(S.unescape(S.strip_tags("replace(regexp_extract(seg, '(?s)<b>(.*)$', 1), '<br>', ' ')")))} AS bold
+FROM segs WHERE seg LIKE '%<b>%'
+""")
+def scoped_records(spark, sf_dir):
+    """EXT5: the page is narrowed to ``article`` (always CSS) before the schema runs."""
+    return extract_records(parsed_nodes(_pages(spark, sf_dir)), SCOPED, "css", css_selector="article")
