@@ -100,17 +100,28 @@ def keyword_score(url: Column, keywords: list[str] | None) -> Column:
     return (hits / F.lit(float(len(kws)))).cast("double")
 
 
-def _fetch(level: DataFrame, snapshots: DataFrame) -> DataFrame:
+# A frontier/level whose row count is known to be at most this many rows is broadcast, so the
+# (large) edge and snapshot tables are streamed instead of shuffled; larger levels shuffle.
+BROADCAST_LEVEL_ROWS = 200_000
+
+
+def _bounded(df: DataFrame, n_rows: int | None) -> DataFrame:
+    return F.broadcast(df) if n_rows is not None and n_rows <= BROADCAST_LEVEL_ROWS else df
+
+
+def _fetch(level: DataFrame, snapshots: DataFrame, n_rows: int | None = None) -> DataFrame:
     snap = snapshots.select(F.col("url").alias("_u"), F.col("success").alias("_s"))
-    return level.join(snap, level["url"] == snap["_u"], "left") \
+    lv = _bounded(level, n_rows)
+    return snap.join(lv, lv["url"] == snap["_u"], "right") \
         .withColumn("success", F.coalesce(F.col("_s"), F.lit(False))).drop("_u", "_s")
 
 
-def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: DataFrame) -> DataFrame:
+def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: DataFrame,
+            n_frontier: int | None = None) -> DataFrame:
     """Candidates one hop from the successful frontier, filtered, unvisited, one parent each."""
     src = frontier.filter("success").select(F.col("url").alias("src"), F.col("key").alias("pkey"), "depth")
     e = edges.select("src", "dst", "pos")
-    cand = src.join(e, "src")
+    cand = e.join(_bounded(src, n_frontier), "src")
     is_ext = (F.coalesce(U.registrable_domain(U.host(F.col("dst"))), F.lit("")) !=
               F.coalesce(U.registrable_domain(U.host(F.col("src"))), F.lit(""))).cast("int")
     cand = cand.filter(link_filter(spec, F.col("dst"))).select(
@@ -136,24 +147,24 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
     start = spark.createDataFrame([(spec.start_url,)], "url string").select(
         "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url"),
         F.array().cast("array<int>").alias("key"))
-    level = cut_lineage(_fetch(start, snapshots))  # depth 0 bypasses every filter (TRV9)
+    level = cut_lineage(_fetch(start, snapshots, 1))  # depth 0 bypasses every filter (TRV9)
     levels = [level]
     visited = level.select("url")
-    n_success = _counts(level)[1]
+    n_level, n_success = _counts(level)
     if spec.strategy == "bfs":
         for _ in range(spec.max_depth):
             remaining = spec.max_pages - n_success
             if remaining <= 0:
                 break
             # one job per level: expand, filter, dedupe, fetch -> checkpoint; then one count
-            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited), snapshots))
+            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited, n_level), snapshots))
             n_rows, n_ok = _counts(nxt)
             if n_rows == 0:
                 break
             if n_rows > remaining:  # frontier cut to the remaining budget, in frontier order
                 nxt = cut_lineage(top_k(nxt, ["key"], remaining))
                 n_rows, n_ok = _counts(nxt)
-            level = nxt
+            level, n_level = nxt, n_rows
             levels.append(level)
             visited = visited.unionByName(level.select("url"))
             n_success += n_ok
@@ -165,13 +176,13 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
     # best-first: a scored pool of discovered URLs; each round crawls the best batch
     score = lambda c: keyword_score(c, spec.relevance_keywords)
     crawled = level.withColumn("score", score(F.col("url")))
-    pool = cut_lineage(_expand(level, edges, spec, visited).withColumn("score", score(F.col("url"))))
+    pool = cut_lineage(_expand(level, edges, spec, visited, 1).withColumn("score", score(F.col("url"))))
     results = [crawled]
     n_rows = 1
     while n_rows < spec.max_pages:
         take = min(spec.batch_size, spec.max_pages - n_rows)
         batch = pool.orderBy(F.desc("score"), "depth", "key").limit(take)
-        batch = cut_lineage(_fetch(batch, snapshots))
+        batch = cut_lineage(_fetch(batch, snapshots, take))  # at most batch_size rows
         got = batch.count()
         if got == 0:
             break
@@ -180,7 +191,7 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
         visited = visited.unionByName(batch.select("url"))
         rest = pool.join(batch.select("url"), "url", "left_anti")
         deeper = batch.filter(F.col("depth") < spec.max_depth)
-        new = _expand(deeper, edges, spec, visited.unionByName(rest.select("url")))
+        new = _expand(deeper, edges, spec, visited.unionByName(rest.select("url")), take)
         pool = cut_lineage(rest.unionByName(new.withColumn("score", score(F.col("url")))))
     out = results[0]
     for r in results[1:]:

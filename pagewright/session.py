@@ -68,10 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss) into the shared checkpoint directory."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "level") -> DataFrame:
+    """Cut the lineage of an iterative step: a table written once in the shared checkpoint folder.
+
+    (``Dataset.checkpoint`` on an unpersisted plan computes it twice - once for the eager count
+    and again to write the files - so a parquet write + read is used: one computation, survives
+    executor loss, and later reads prune columns.)
+    """
+    return materialize(df, name)
 
 
 def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:

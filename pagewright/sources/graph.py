@@ -40,5 +40,5 @@ def site_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_page_url(spark: SparkSession, sf_dir: str) -> str:
     """Start URL used by the traversal queries: rank-1 page of the first host by name."""
-    ranked = ranked_pages(spark, sf_dir).filter(F.col("r") == 1)
-    return ranked.orderBy("host").select("url").first()[0]
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", U.host("url").alias("host"))
+    return pages.orderBy("host", "page_id").select("url").first()[0]   # distributed top-1
