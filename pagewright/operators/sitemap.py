@@ -85,6 +85,13 @@ def parse_sitemaps(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return status, ent
 
 
+BROADCAST_LEVEL_ROWS = 200_000
+
+
+def _bounded(df: DataFrame, n_rows: int) -> DataFrame:
+    return F.broadcast(df) if n_rows <= BROADCAST_LEVEL_ROWS else df
+
+
 def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame | None = None,
                     entries: DataFrame | None = None) -> DataFrame:
     """SRC3/SRC4: ``(root, key array<int>, url)`` for every page URL reachable from each root."""
@@ -93,20 +100,27 @@ def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame | Non
         entries = cut_lineage(entries)
     level = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("key"))
     seen = level.select("root", F.col("sitemap_url").alias("url"))
+    # sitemap documents per level are few compared with page entries: with an exact count in
+    # hand, the level (and the seen set) are broadcast under a bound, else shuffled
+    n_level = roots.count()
+    n_seen = n_level
     found = []
     for depth in range(MAX_SITEMAP_DEPTH + 1):
-        ents = level.join(entries, "sitemap_url")
+        ents = entries.join(_bounded(level, n_level), "sitemap_url")
         found.append(ents.filter(~F.col("is_index")).select(
             "root", F.concat("key", F.array(F.col("pos").cast("int"))).alias("key"), "url"))
         if depth >= MAX_SITEMAP_DEPTH:
             break  # an index this deep yields nothing
         kids = ents.filter("is_index").select(
             "root", F.col("url").alias("sitemap_url"), F.concat("key", F.array(F.col("pos").cast("int"))).alias("key"))
-        kids = kids.join(seen.withColumnRenamed("url", "sitemap_url"), ["root", "sitemap_url"], "left_anti")
+        kids = kids.join(_bounded(seen.withColumnRenamed("url", "sitemap_url"), n_seen), ["root", "sitemap_url"],
+                         "left_anti")
         kids = kids.groupBy("root", "sitemap_url").agg(F.min("key").alias("key"))
-        level = cut_lineage(kids)
-        if level.isEmpty():
+        level = cut_lineage(kids, "sitemap_level")
+        n_level = level.count()
+        if n_level == 0:
             break
+        n_seen += n_level
         seen = seen.unionByName(level.select("root", F.col("sitemap_url").alias("url")))
     out = found[0]
     for f in found[1:]:

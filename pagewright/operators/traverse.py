@@ -117,7 +117,7 @@ def _fetch(level: DataFrame, snapshots: DataFrame, n_rows: int | None = None) ->
 
 
 def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: DataFrame,
-            n_frontier: int | None = None) -> DataFrame:
+            n_frontier: int | None = None, n_visited: int | None = None) -> DataFrame:
     """Candidates one hop from the successful frontier, filtered, unvisited, one parent each."""
     src = frontier.filter("success").select(F.col("url").alias("src"), F.col("key").alias("pkey"), "depth")
     e = edges.select("src", "dst", "pos")
@@ -127,7 +127,7 @@ def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: Dat
     cand = cand.filter(link_filter(spec, F.col("dst"))).select(
         F.col("dst").alias("url"), F.col("src").alias("parent_url"), (F.col("depth") + 1).alias("depth"),
         F.concat("pkey", F.array(is_ext, F.col("pos").cast("int"))).alias("key"))
-    cand = cand.join(visited, "url", "left_anti")
+    cand = cand.join(_bounded(visited, n_visited), "url", "left_anti")
     best = cand.groupBy("url").agg(F.min_by(F.struct("parent_url", "depth", "key"), "key").alias("b"))
     return best.select("url", "b.parent_url", "b.depth", "b.key")
 
@@ -151,13 +151,14 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
     levels = [level]
     visited = level.select("url")
     n_level, n_success = _counts(level)
+    n_visited = n_level
     if spec.strategy == "bfs":
         for _ in range(spec.max_depth):
             remaining = spec.max_pages - n_success
             if remaining <= 0:
                 break
             # one job per level: expand, filter, dedupe, fetch -> checkpoint; then one count
-            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited, n_level), snapshots))
+            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited, n_level, n_visited), snapshots))
             n_rows, n_ok = _counts(nxt)
             if n_rows == 0:
                 break
@@ -167,6 +168,7 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
             level, n_level = nxt, n_rows
             levels.append(level)
             visited = visited.unionByName(level.select("url"))
+            n_visited += n_rows
             n_success += n_ok
         out = levels[0]
         for lv in levels[1:]:

@@ -20,8 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Pages are large rows: keep Arrow batches into the parser bounded in bytes, not only rows.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Python stages see large rows (html pages, gzip sitemaps); Spark caps Arrow batches only by
+    # row count, so keep the count low to bound the bytes per batch.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "128",
     # Right-wins map merge for profile overlays (SRC9).
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.python.worker.reuse": "true",
