@@ -124,3 +124,59 @@ def fetch_requests(requests: DataFrame, snapshots: DataFrame) -> DataFrame:
     return out.withColumn("success", F.coalesce(F.col("success"), F.lit(False))) \
         .withColumn("error_message", F.when(F.col("page_id").isNull(), F.lit(MISSING_SNAPSHOT))
                     .otherwise(F.col("error_message")))
+
+
+def page_results(results: DataFrame, nodes: DataFrame | None = None, include_content: bool = True,
+                 include_links: bool = False, include_tables: bool = False) -> DataFrame:
+    """PRJ1, PRJ5, PRJ13, RES1, RES3: the per-page result shape.
+
+    ``results`` holds one fetch outcome per row (``url, success, status_code, error_message``,
+    optional ``page_id, depth, parent_url, markdown`` and diagnostic columns). ``nodes`` is the
+    node table of the fetched pages. Links and tables are built only when requested (their
+    branches are not planned otherwise); NULL means not requested, an empty array means
+    requested and none found; failure rows always carry NULL payloads and no content.
+    """
+    from pagewright.operators.project import links_struct, page_links, page_metadata
+    from pagewright.operators.tables import page_tables
+
+    cols = set(results.columns)
+    out = results
+    for c, t in (("depth", "int"), ("parent_url", "string"), ("markdown", "string"),
+                 ("redirected_url", "string"), ("redirected_status_code", "int"),
+                 ("response_headers", "map<string,string>"), ("crawl_stats", STATS_TYPE)):
+        if c not in cols:
+            out = out.withColumn(c, F.lit(None).cast(t))
+    ok = F.col("success")
+    if nodes is not None:
+        out = out.join(page_metadata(nodes), "page_id", "left")
+    else:
+        out = out.withColumn("title", F.lit(None).cast("string")).withColumn("description", F.lit(None).cast("string"))
+    if include_links:
+        if nodes is None:
+            raise ValueError("include_links needs the node table")
+        pages = results.filter(ok).select("page_id", "url").distinct()   # a page requested twice links once
+        out = out.join(links_struct(page_links(nodes, pages)), "page_id", "left")
+        empty = F.struct(F.array().cast("array<struct<href:string,text:string,title:string>>").alias("internal"),
+                         F.array().cast("array<struct<href:string,text:string,title:string>>").alias("external"))
+        out = out.withColumn("links", F.when(ok, F.coalesce("links", empty)))
+    else:
+        out = out.withColumn("links", F.lit(None).cast(
+            "struct<internal:array<struct<href:string,text:string,title:string>>,"
+            "external:array<struct<href:string,text:string,title:string>>>"))
+    tbl_type = "array<struct<headers:array<string>,rows:array<array<string>>,caption:string>>"
+    if include_tables:
+        if nodes is None:
+            raise ValueError("include_tables needs the node table")
+        item = F.struct("table_no", F.struct("headers", "rows", "caption").alias("t"))
+        t = page_tables(nodes).groupBy("page_id").agg(
+            F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]).alias("tables"))
+        out = out.join(t, "page_id", "left").withColumn(
+            "tables", F.when(ok, F.coalesce("tables", F.array().cast(tbl_type))))
+    else:
+        out = out.withColumn("tables", F.lit(None).cast(tbl_type))
+    markdown = F.when(ok & F.lit(include_content), F.coalesce("markdown", F.lit("")))
+    error = F.when(~ok, failure_text(out))
+    return out.select("url", "success", "status_code", F.when(ok, F.col("title")).alias("title"),
+                      F.when(ok, F.col("description")).alias("description"), markdown.alias("markdown"),
+                      error.alias("error"), "depth", "parent_url", "links", "tables",
+                      *[c for c in ("page_id", "batch_id", "seq", "rank") if c in cols])

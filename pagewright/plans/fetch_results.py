@@ -211,3 +211,56 @@ def single_page(spark, sf_dir):
 
 
 register("single_page", _single_page_sql())(single_page)
+
+
+def _page_results_sql() -> str:
+    from pagewright.plans import sqlparts as S
+    from pagewright.plans.content_plans import BLOCKS_CTE
+    return f"""
+WITH {REQUESTS_SQL.strip()},
+{BLOCKS_CTE.strip()},
+{S.ANCHORS_CTE.strip()},
+md AS (
+  SELECT page_id, string_agg(md, chr(10) || chr(10) ORDER BY grp, ord) AS raw,
+         coalesce(string_agg(md, chr(10) || chr(10) ORDER BY grp, ord) FILTER (WHERE kept), '') AS fit
+  FROM blocks_k GROUP BY page_id
+),
+lk AS (SELECT page_id, count(*) FILTER (WHERE kind = 'internal') AS n_int,
+              count(*) FILTER (WHERE kind = 'external') AS n_ext FROM links_k GROUP BY 1)
+SELECT r.batch_id, CAST(row_number() OVER (PARTITION BY r.batch_id ORDER BY NOT r.success, r.seq) AS BIGINT) AS rank,
+       r.url, r.success, CASE WHEN r.success THEN {S.title('p.html')} END AS title,
+       CAST(length(CASE WHEN r.success THEN coalesce(nullif(md.fit, ''), md.raw, '') END) AS BIGINT) AS markdown_chars,
+       CASE WHEN NOT r.success THEN r.error END AS error,
+       CAST(CASE WHEN r.success THEN coalesce(lk.n_int, 0) END AS BIGINT) AS n_internal,
+       CAST(CASE WHEN r.success THEN coalesce(lk.n_ext, 0) END AS BIGINT) AS n_external,
+       CAST(CASE WHEN r.success THEN 0 END AS BIGINT) AS n_tables
+FROM res r LEFT JOIN pages p ON p.url = r.url LEFT JOIN md ON md.page_id = p.page_id
+     LEFT JOIN lk ON lk.page_id = p.page_id
+"""
+
+
+def page_results_q(spark, sf_dir):
+    """PageResult rows for a batch crawl with links and tables requested (SRC1, PRJ1, PRJ5, PRJ13,
+    RES1, RES3); only the requested pages are parsed."""
+    from pagewright.operators.blocks import density_prune, fit_or_raw, page_blocks, page_markdown_fit_raw
+    from pagewright.operators.parse import parsed_nodes
+    from pagewright.sources.tables import table
+
+    req = batch_requests(spark, sf_dir)
+    pages = table(spark, sf_dir, "pages")
+    wanted = pages.join(req.select("url").distinct(), "url", "left_semi")
+    nodes = parsed_nodes(wanted)
+    md = page_markdown_fit_raw(density_prune(page_blocks(nodes)))
+    snaps = snapshots(spark, sf_dir).select("page_id", "url", "success", "error_message", "status_code")
+    res = R.fetch_requests(req, snaps).join(md, "page_id", "left") \
+        .withColumn("markdown", fit_or_raw(F.coalesce("fit", F.lit("")), F.col("raw")))
+    res = R.success_first_rank(res, "batch_id", "seq")
+    out = R.page_results(res, nodes, include_links=True, include_tables=True)
+    return out.select("batch_id", "rank", "url", "success", "title",
+                      F.length("markdown").cast("long").alias("markdown_chars"), "error",
+                      F.size("links.internal").cast("long").alias("n_internal"),
+                      F.size("links.external").cast("long").alias("n_external"),
+                      F.size("tables").cast("long").alias("n_tables"))
+
+
+register("page_results", _page_results_sql())(page_results_q)
