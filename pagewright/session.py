@@ -105,3 +105,21 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Runtime SQL settings the plans rely on (all modifiable on a live session).
+QUERY_CONF = {
+    "spark.sql.session.timeZone": "UTC",            # event times are stored without a zone
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",      # right-wins profile overlay
+    "spark.sql.execution.arrow.maxRecordsPerBatch": DEFAULT_CONF["spark.sql.execution.arrow.maxRecordsPerBatch"],
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def apply_query_conf(spark: SparkSession) -> None:
+    """Bring a caller's session to the settings the plans assume (idempotent)."""
+    for k, v in QUERY_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)

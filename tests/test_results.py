@@ -91,3 +91,26 @@ def test_fetch_requests_keeps_failures(spark):
     out = R.fetch_requests(req, snaps)
     got = sorted((r.url, r.success, r.error_message) for r in out.collect())
     assert got == [("a", True, None), ("a", True, None), ("b", False, "No snapshot for URL")]
+
+
+def test_page_results_payload_flags(spark):
+    from pagewright.operators.parse import html_nodes
+
+    pages = spark.createDataFrame([(1, "https://x.test/a", "<html><head><title>A</title></head><body>"
+                                    "<a href='/b'>b</a><table><tr><td>1</td></tr></table></body></html>")],
+                                  "page_id long, url string, html string")
+    res = spark.createDataFrame([(1, "https://x.test/a", True, 200, None, "md"),
+                                 (None, "https://x.test/z", False, None, "Connection refused", None)],
+                                "page_id long, url string, success boolean, status_code int, "
+                                "error_message string, markdown string")
+    nodes = html_nodes(pages)
+    on = {r.url: r for r in R.page_results(res, nodes, include_links=True, include_tables=True).collect()}
+    off = {r.url: r for r in R.page_results(res, nodes).collect()}
+    ok, bad = on["https://x.test/a"], on["https://x.test/z"]
+    assert ok.title == "A" and ok.markdown == "md" and len(ok.links.internal) == 1
+    assert ok.tables == []                      # requested, none scored as data
+    assert bad.links is None and bad.tables is None and bad.markdown is None
+    assert bad.error == "Connection refused" and ok.error is None
+    assert off["https://x.test/a"].links is None and off["https://x.test/a"].tables is None
+    no_content = R.page_results(res, nodes, include_content=False).filter("success").first()
+    assert no_content.markdown is None
