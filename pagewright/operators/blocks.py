@@ -78,10 +78,15 @@ def density_score(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("score", F.lit(0.4) * td + F.lit(0.3) * ld + F.lit(0.3) * tw)
 
 
-def density_prune(blocks: DataFrame, min_words: int | None = None, threshold: float = PRUNE_THRESHOLD,
+def density_prune(blocks: DataFrame, min_words: int | Column | None = None, threshold: float = PRUNE_THRESHOLD,
                   preserve: tuple[str, ...] = PRESERVE_TAGS) -> DataFrame:
-    """PRJ3: adds ``score`` and ``kept`` to the blocks."""
-    mw = DEFAULT_MIN_WORDS if min_words is None else min_words
+    """PRJ3: adds ``score`` and ``kept`` to the blocks.
+
+    ``min_words`` may be a column, so a per-request ``word_count_threshold`` (profile overlay)
+    applies row by row.
+    """
+    mw = F.lit(DEFAULT_MIN_WORDS) if min_words is None else (
+        min_words if isinstance(min_words, Column) else F.lit(min_words))
     scored = density_score(blocks)
     preserved = F.col("has_preserved") | F.arrays_overlap(
         F.concat("path", F.array("tag")), F.array(*[F.lit(t) for t in preserve]))
@@ -166,3 +171,19 @@ def bm25(blocks: DataFrame, doc_key: str, block_key: str, text_col: str, query:
     scores = j.groupBy(doc_key, block_key).agg(F.sum(part).alias("score"))
     return scores.filter(F.col("score") >= min_score) \
         .select(doc_key, block_key, F.round("score", 6).alias("score"))
+
+
+def fit_filter(blocks: DataFrame, query: str | None = None, min_words: int | Column | None = None,
+               min_score: float = BM25_MIN_SCORE) -> DataFrame:
+    """PRJ3/PRJ4: the content filter behind fit markdown; adds ``kept``.
+
+    A non-empty ``query`` replaces density pruning entirely: BM25 over the blocks of each page
+    (documents = the page's blocks), keep ``score >= min_score``; the pruning threshold and
+    word minimum are then unused. Otherwise density pruning with ``min_words``.
+    """
+    if query is None or not query.strip():
+        return density_prune(blocks, min_words)
+    scores = bm25(blocks.select("page_id", "pre", "text"), "page_id", "pre", "text", query, min_score)
+    hit = scores.select("page_id", "pre", F.lit(True).alias("_hit"))
+    return blocks.join(hit, ["page_id", "pre"], "left") \
+        .withColumn("kept", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")

@@ -243,3 +243,82 @@ def page_options(spark, sf_dir):
         F.count(F.lit(1)).alias("n_links"))
     out = pages.select("page_id").join(md, "page_id", "left").join(n_links, "page_id", "left")
     return out.select("page_id", "markdown", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+# -- content filter choice: query -> BM25 (PRJ4); profile word threshold -> pruning (SRC9) ----
+
+FIT_QUERY = "the and ing"
+
+
+@register("query_fit_markdown", f"""
+WITH {BLOCKS_CTE.strip()},
+tok AS (SELECT page_id, grp, ord, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '') AS toks
+        FROM blocks),
+lens AS (SELECT page_id, grp, ord, len(toks) AS dl FROM tok),
+stats AS (SELECT page_id, count(*) AS n_blocks, avg(dl) AS avgdl FROM lens GROUP BY 1),
+hits AS (SELECT page_id, grp, ord, unnest(toks) AS term FROM tok),
+tf AS (SELECT page_id, grp, ord, term, count(*) AS tf FROM hits WHERE term IN ('the', 'and', 'ing') GROUP BY 1, 2, 3, 4),
+dfs AS (SELECT page_id, term, count(*) AS df FROM tf GROUP BY 1, 2),
+sc AS (
+  SELECT tf.page_id, tf.grp, tf.ord,
+         sum(ln(1 + (s.n_blocks - d.df + 0.5) / (d.df + 0.5)) * tf.tf * 2.5
+             / (tf.tf + 1.5 * (0.25 + 0.75 * l.dl / s.avgdl))) AS score
+  FROM tf JOIN dfs d USING (page_id, term) JOIN lens l USING (page_id, grp, ord) JOIN stats s USING (page_id)
+  GROUP BY 1, 2, 3
+),
+k AS (SELECT b.*, coalesce(sc.score >= 1.0, false) AS kept FROM blocks b LEFT JOIN sc USING (page_id, grp, ord)),
+md AS (
+  SELECT page_id, string_agg(md, {NL2} ORDER BY grp, ord) AS raw,
+         coalesce(string_agg(md, {NL2} ORDER BY grp, ord) FILTER (WHERE kept), '') AS fit
+  FROM k GROUP BY page_id
+)
+SELECT p.page_id,
+       CASE WHEN coalesce(md.fit, '') <> '' THEN 'fit' WHEN md.raw IS NOT NULL THEN 'raw' ELSE 'empty' END AS source,
+       coalesce(nullif(md.fit, ''), md.raw, '') AS content
+FROM pages p LEFT JOIN md ON md.page_id = p.page_id
+""")
+def query_fit_markdown(spark, sf_dir):
+    """PRJ4: with a query, BM25 over each page's blocks replaces density pruning."""
+    from pagewright.operators.blocks import fit_filter
+    pages = _pages(spark, sf_dir)
+    blocks = fit_filter(page_blocks(parsed_nodes(pages)), query=FIT_QUERY)
+    out = pages.select("page_id").join(page_markdown_fit_raw(blocks), "page_id", "left")
+    fit_c = F.coalesce(F.col("fit"), F.lit(""))
+    return out.select(
+        "page_id",
+        F.when(fit_c != "", "fit").when(F.col("raw").isNotNull(), "raw").otherwise("empty").alias("source"),
+        fit_or_raw(fit_c, F.col("raw")).alias("content"))
+
+
+@register("profile_fit", f"""
+WITH {BLOCKS_CTE.strip()},
+req AS (
+  SELECT page_id, CASE regexp_extract(url, '^[a-z]+://[^/]*/([a-z][a-z])/', 1)
+                    WHEN 'en' THEN 'default' WHEN 'fr' THEN 'fast' WHEN 'de' THEN 'js_heavy'
+                    WHEN 'es' THEN 'stealth' END AS profile
+  FROM pages
+),
+w AS (SELECT page_id, profile, CASE WHEN profile = 'fast' THEN 5 ELSE 10 END AS wct FROM req)
+SELECT w.page_id, w.profile, CAST(w.wct AS BIGINT) AS word_count_threshold,
+       CAST(count(b.page_id) FILTER (WHERE b.score >= 0.48 AND b.n_words >= w.wct) AS BIGINT) AS n_kept,
+       CAST(coalesce(sum(b.n_words) FILTER (WHERE b.score >= 0.48 AND b.n_words >= w.wct), 0) AS BIGINT) AS kept_words
+FROM w LEFT JOIN blocks b ON b.page_id = w.page_id
+GROUP BY 1, 2, 3
+""")
+def profile_fit(spark, sf_dir):
+    """SRC9 -> PRJ3: each request's merged profile routes word_count_threshold into pruning."""
+    from pagewright.operators.config import overlay, profiles_table
+    pages = _pages(spark, sf_dir)
+    lang = F.regexp_extract("url", r"^[a-z]+://[^/]*/([a-z][a-z])/", 1)
+    profile = (F.when(lang == "en", "default").when(lang == "fr", "fast").when(lang == "de", "js_heavy")
+               .when(lang == "es", "stealth"))
+    req = pages.select("page_id", profile.alias("profile"),
+                       F.lit(None).cast("map<string,string>").alias("overrides"))
+    req = overlay(req, profiles_table(spark)).select("page_id", "profile", "word_count_threshold")
+    blocks = page_blocks(html_nodes(pages)).join(req.select("page_id", "word_count_threshold"), "page_id")
+    kept = density_prune(blocks, F.col("word_count_threshold")).filter("kept")
+    agg = kept.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_kept"), F.sum("n_words").alias("kept_words"))
+    return req.join(agg, "page_id", "left").select(
+        "page_id", "profile", F.col("word_count_threshold").cast("long").alias("word_count_threshold"),
+        F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept"),
+        F.coalesce("kept_words", F.lit(0)).cast("long").alias("kept_words"))
