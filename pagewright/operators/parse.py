@@ -42,6 +42,11 @@ SPACED_TAGS = CLOSES_P | frozenset(
 BLOCK_TAGS = frozenset(
     "p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd caption figcaption div section article main "
     "header footer nav aside address form table ul ol dl figure tr body".split())
+# Structural containers: with container_text=False their full text (the concatenation of
+# everything below them) is not materialised when they hold block-level descendants.
+STRUCTURAL_TAGS = frozenset(
+    "html head body main article section div nav header footer aside form table thead tbody tfoot tr "
+    "ul ol dl figure".split())
 # A search for an element to close implicitly never crosses these.
 SCOPE_STOP = frozenset("table td th caption html body button object template".split())
 
@@ -200,7 +205,7 @@ def parse_html(html: str | None) -> list[_Element]:
     return builder.finish()
 
 
-def _emit(page_ids, htmls):
+def _emit(page_ids, htmls, container_text: bool = True):
     cols = {f: [] for f in _ARROW_SCHEMA.names}
     for pid, html in zip(page_ids, htmls):
         els = sorted(parse_html(html), key=lambda e: e.pre)
@@ -235,33 +240,42 @@ def _emit(page_ids, htmls):
             cols["tag"].append(el.tag)
             cols["attrs"].append(list(el.attrs.items()))
             cols["own_text"].append(collapse("".join(el.own)))
-            cols["text"].append(collapse("".join(el.parts)))
+            if container_text or not (el.block_desc and el.tag in STRUCTURAL_TAGS):
+                cols["text"].append(collapse("".join(el.parts)))
+            else:
+                cols["text"].append(None)
             cols["start_off"].append(el.start)
             cols["end_off"].append(el.end)
     return pa.RecordBatch.from_pydict(cols, schema=_ARROW_SCHEMA)
 
 
-def _parse_batches(batches):
+def _parse_batches(batches, container_text: bool = True):
     for batch in batches:
         ids = batch.column("page_id").to_pylist()
         htmls = batch.column("html").to_pylist()
         # Bound output batch size: a few pages at a time.
         step = 64
         for i in range(0, len(ids), step):
-            yield _emit(ids[i:i + step], htmls[i:i + step])
+            yield _emit(ids[i:i + step], htmls[i:i + step], container_text)
+
+
+def _parse_batches_lean(batches):
+    return _parse_batches(batches, container_text=False)
 
 
-def parsed_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
+def parsed_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html",
+                 container_text: bool = True) -> DataFrame:
     """The node table written once to the shared checkpoint folder (parquet) and read back.
 
     Use when several branches of a plan consume the nodes: the Python parse then runs once,
     the result survives executor loss, and each branch reads only the columns it needs.
     """
     from pagewright.session import materialize
-    return materialize(html_nodes(pages, page_id, html), "nodes")
+    return materialize(html_nodes(pages, page_id, html, container_text), "nodes")
 
 
-def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
+def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html",
+               container_text: bool = True) -> DataFrame:
     """Parse ``(page_id, html)`` rows into the node table (schema ``NODE_SCHEMA``).
 
     Only the two needed columns cross into Python; filter pages *before* calling this, since
@@ -269,4 +283,6 @@ def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html") -
     """
     src = pages.select(pages[page_id].cast("long").alias("page_id"), pages[html].alias("html"))
     src = ensure_parallelism(src, "page_id")
-    return src.mapInArrow(_parse_batches, NODE_SCHEMA)
+    # container_text=False keeps the node table linear in the html size on deeply nested pages
+    # (a container's text repeats everything below it); use it when no step reads container text.
+    return src.mapInArrow(_parse_batches if container_text else _parse_batches_lean, NODE_SCHEMA)

@@ -70,7 +70,7 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY ord) AS BI
 FROM blocks WHERE tag = 'p'
 """)
 def body_paragraphs(spark, sf_dir):
-    blocks = page_blocks(html_nodes(_pages(spark, sf_dir))).filter(F.col("tag") == "p")
+    blocks = page_blocks(html_nodes(_pages(spark, sf_dir), container_text=False)).filter(F.col("tag") == "p")
     w = Window.partitionBy("page_id").orderBy("pre")
     return blocks.select("page_id", F.row_number().over(w).cast("long").alias("block_no"), "text",
                          F.col("n_words").cast("long").alias("n_words"),
@@ -86,7 +86,7 @@ SELECT page_id, CAST(count(*) AS BIGINT) AS n_blocks, CAST(count(*) FILTER (WHER
 FROM blocks_k GROUP BY page_id
 """)
 def pruned_blocks(spark, sf_dir):
-    b = density_prune(page_blocks(html_nodes(_pages(spark, sf_dir))))
+    b = density_prune(page_blocks(html_nodes(_pages(spark, sf_dir), container_text=False)))
     return b.groupBy("page_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_blocks"),
         F.count_if("kept").cast("long").alias("n_kept"),
@@ -109,7 +109,7 @@ FROM pages p LEFT JOIN md ON md.page_id = p.page_id
 """)
 def fit_or_raw_q(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    blocks = density_prune(page_blocks(html_nodes(pages)))
+    blocks = density_prune(page_blocks(html_nodes(pages, container_text=False)))
     out = pages.select("page_id").join(page_markdown_fit_raw(blocks), "page_id", "left")
     fit_c = F.coalesce(F.col("fit"), F.lit(""))
     return out.select(
@@ -175,7 +175,7 @@ nonav_links AS (
 
 def _scoped(spark, sf_dir, mode: str):
     pages = _pages(spark, sf_dir)
-    nodes = parsed_nodes(pages)
+    nodes = parsed_nodes(pages, container_text=False)
     if mode == "css_selector":
         scoped = subtree(nodes, select_css(nodes, "article"))
         meta_nodes, link_nodes, block_nodes = scoped, scoped, scoped
@@ -237,7 +237,7 @@ FROM pages p LEFT JOIN md m USING (page_id) LEFT JOIN kept_links l USING (page_i
 def page_options(spark, sf_dir):
     from pagewright.operators.project import drop_tags, internal_only
     pages = _pages(spark, sf_dir)
-    nodes = drop_tags(parsed_nodes(pages), ["nav", "footer"])
+    nodes = drop_tags(parsed_nodes(pages, container_text=False), ["nav", "footer"])
     md = page_markdown(page_blocks(nodes), "markdown", only_text=True)
     n_links = internal_only(page_links(nodes, pages, number=False)).groupBy("page_id").agg(
         F.count(F.lit(1)).alias("n_links"))
@@ -281,7 +281,7 @@ def query_fit_markdown(spark, sf_dir):
     """PRJ4: with a query, BM25 over each page's blocks replaces density pruning."""
     from pagewright.operators.blocks import fit_filter
     pages = _pages(spark, sf_dir)
-    blocks = fit_filter(page_blocks(parsed_nodes(pages)), query=FIT_QUERY)
+    blocks = fit_filter(page_blocks(parsed_nodes(pages, container_text=False)), query=FIT_QUERY)
     out = pages.select("page_id").join(page_markdown_fit_raw(blocks), "page_id", "left")
     fit_c = F.coalesce(F.col("fit"), F.lit(""))
     return out.select(
@@ -315,7 +315,7 @@ def profile_fit(spark, sf_dir):
     req = pages.select("page_id", profile.alias("profile"),
                        F.lit(None).cast("map<string,string>").alias("overrides"))
     req = overlay(req, profiles_table(spark)).select("page_id", "profile", "word_count_threshold")
-    blocks = page_blocks(html_nodes(pages)).join(req.select("page_id", "word_count_threshold"), "page_id")
+    blocks = page_blocks(html_nodes(pages, container_text=False)).join(req.select("page_id", "word_count_threshold"), "page_id")
     kept = density_prune(blocks, F.col("word_count_threshold")).filter("kept")
     agg = kept.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_kept"), F.sum("n_words").alias("kept_words"))
     return req.join(agg, "page_id", "left").select(

@@ -199,7 +199,7 @@ def single_page(spark, sf_dir):
     req = batch_requests(spark, sf_dir)
     pages = table(spark, sf_dir, "pages")
     wanted = pages.join(req.select("url").distinct(), "url", "left_semi")
-    md = page_markdown_fit_raw(density_prune(page_blocks(html_nodes(wanted))))
+    md = page_markdown_fit_raw(density_prune(page_blocks(html_nodes(wanted, container_text=False))))
     snaps = snapshots(spark, sf_dir).select("page_id", "url", "success", "error_message", "status_code")
     res = R.fetch_requests(req, snaps).join(md, "page_id", "left")
     for c, t in (("redirected_url", "string"), ("redirected_status_code", "int"),
@@ -249,7 +249,7 @@ def page_results_q(spark, sf_dir):
     req = batch_requests(spark, sf_dir)
     pages = table(spark, sf_dir, "pages")
     wanted = pages.join(req.select("url").distinct(), "url", "left_semi")
-    nodes = parsed_nodes(wanted)
+    nodes = parsed_nodes(wanted, container_text=False)
     md = page_markdown_fit_raw(density_prune(page_blocks(nodes)))
     snaps = snapshots(spark, sf_dir).select("page_id", "url", "success", "error_message", "status_code")
     res = R.fetch_requests(req, snaps).join(md, "page_id", "left") \

@@ -18,7 +18,7 @@ def _pages(spark, sf_dir):
 
 def host_summary_df(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    nodes = parsed_nodes(pages)
+    nodes = parsed_nodes(pages, container_text=False)
     meta = page_metadata(nodes)
     links = page_links(nodes, pages, number=False)
     per_page_links = links.groupBy("page_id").agg(
@@ -66,7 +66,7 @@ FROM pages
 """)
 def page_title_lang(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    nodes = parsed_nodes(pages)
+    nodes = parsed_nodes(pages, container_text=False)
     lang = (nodes.filter(F.col("tag") == "html").groupBy("page_id")
             .agg(F.min_by(F.col("attrs")["lang"], "pre").alias("lang")))
     meta = page_metadata(nodes)
@@ -83,7 +83,7 @@ SELECT page_id, CAST(pos AS BIGINT) AS pos, kind, href, abs_url, text, title FRO
 """)
 def page_links_resolved(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    links = page_links(html_nodes(pages), pages)
+    links = page_links(html_nodes(pages, container_text=False), pages)
     return links.select("page_id", F.col("pos").cast("long").alias("pos"), "kind", "href", "abs_url",
                         "text", "title")
 
@@ -97,7 +97,7 @@ FROM links_k GROUP BY 1, 2
 """)
 def link_kind_counts(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    links = page_links(html_nodes(pages), pages, number=False)
+    links = page_links(html_nodes(pages, container_text=False), pages, number=False)
     return (links.withColumn("host", U.host("url")).groupBy("host", "kind")
             .agg(F.count("*").cast("long").alias("n_links"),
                  F.countDistinct("page_id").cast("long").alias("n_pages"),
@@ -116,5 +116,5 @@ WITH t AS (
 SELECT lower(tag) AS tag, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY 1
 """)
 def tag_histogram(spark, sf_dir):
-    nodes = html_nodes(_pages(spark, sf_dir))
+    nodes = html_nodes(_pages(spark, sf_dir), container_text=False)
     return nodes.groupBy("tag").agg(F.count("*").cast("long").alias("n"))

@@ -54,7 +54,7 @@ FROM pages p LEFT JOIN md ON md.page_id = p.page_id
 """)
 def sink_roundtrip(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    blocks = density_prune(page_blocks(html_nodes(pages)))
+    blocks = density_prune(page_blocks(html_nodes(pages, container_text=False)))
     res = pages.select("page_id", "url", F.col("html").isNotNull().alias("success"),
                        F.lit(None).cast("string").alias("error_message")) \
         .join(page_markdown_fit_raw(blocks), "page_id", "left") \

@@ -123,7 +123,7 @@ FROM customer
 """)
 def html_tables(spark, sf_dir):
     pages = customer_table_pages(spark, sf_dir)
-    t = page_tables(parsed_nodes(pages))
+    t = page_tables(parsed_nodes(pages, container_text=False))
     rows = t.select("page_id", F.col("table_no").cast("long").alias("table_no"), "caption",
                     F.array_join("headers", "|").alias("headers"), "score",
                     F.posexplode("rows").alias("i", "r"))
@@ -146,7 +146,7 @@ SELECT k AS page_id, CAST(pos AS BIGINT) AS pos, kind, href, abs_url, text, CAST
 """)
 def link_split_synthetic(spark, sf_dir):
     pages = supplier_link_pages(spark, sf_dir)
-    links = page_links(html_nodes(pages), pages)
+    links = page_links(html_nodes(pages, container_text=False), pages)
     return links.select("page_id", F.col("pos").cast("long").alias("pos"), "kind", "href", "abs_url", "text",
                         "title")
 
@@ -158,7 +158,7 @@ SELECT p_partkey // 10 AS page_id, CAST(3 * count(*) AS BIGINT) AS n_blocks, CAS
 FROM part GROUP BY 1
 """)
 def code_kept(spark, sf_dir):
-    b = density_prune(page_blocks(html_nodes(code_pages(spark, sf_dir))))
+    b = density_prune(page_blocks(html_nodes(code_pages(spark, sf_dir), container_text=False)))
     return b.groupBy("page_id").agg(
         F.count(F.lit(1)).cast("long").alias("n_blocks"),
         F.count_if("kept").cast("long").alias("n_kept"),

@@ -51,21 +51,19 @@ def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batc
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    schema = None
     try:
         return spark.read.parquet(out)
     except Exception:  # no rows were ever written: empty result with the stream's schema
-        schema = stream.schema
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], stream.schema)
 
 
 def page_results_stream(pages_stream: DataFrame) -> DataFrame:
     """STR1: per arriving page, title and link count - the batch operators on each micro-batch."""
-    from pagewright.operators.parse import html_nodes
+    from pagewright.operators.parse import parsed_nodes
     from pagewright.operators.project import page_links, page_metadata
 
     def per_batch(df: DataFrame, batch_id: int) -> DataFrame:
-        nodes = html_nodes(df)
+        nodes = parsed_nodes(df, container_text=False)   # parsed once per micro-batch, read twice
         meta = page_metadata(nodes)
         links = page_links(nodes, df, number=False).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"))
         return df.select("page_id").join(meta, "page_id", "left").join(links, "page_id", "left") \
