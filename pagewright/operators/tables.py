@@ -41,40 +41,48 @@ def table_cells(nodes: DataFrame) -> DataFrame:
 
 
 def page_tables(nodes: DataFrame, min_score: int = DEFAULT_MIN_SCORE) -> DataFrame:
-    """Scored tables with headers/rows/caption; only tables with score >= min_score."""
+    """Scored tables with headers/rows/caption; only tables with score >= min_score.
+
+    Three aggregations in all: cells -> rows keyed by (table, tr); rows -> tables; captions and
+    nested tables together keyed by their nearest table. Row and cell order come from ``pre``
+    inside ordered ``collect_list``s, so no window is needed.
+    """
     tables = nodes.filter(F.col("tag") == "table").select(
         "page_id", F.col("pre").alias("table_pre"),
-        (F.lower(F.col("attrs")["role"]) == "presentation").alias("presentation"))
-    nested = nodes.filter(F.col("tag") == "table").select(
-        "page_id", _nearest("table").alias("table_pre")).filter(F.col("table_pre").isNotNull()) \
-        .distinct().withColumn("has_nested", F.lit(True))
-    captions = nodes.filter(F.col("tag") == "caption").select(
-        "page_id", _nearest("table").alias("table_pre"), F.col("text").alias("caption"), "pre") \
-        .groupBy("page_id", "table_pre").agg(F.min_by("caption", "pre").alias("caption"))
-    cells = table_cells(nodes)
-    hdr_rows = cells.groupBy("page_id", "table_pre", "row_no").agg(
-        F.bool_and("is_header").alias("all_header"), F.count(F.lit(1)).alias("width"),
-        F.transform(F.array_sort(F.collect_list(F.struct("col_no", "value"))), lambda x: x["value"]).alias("vals"))
-    stats = hdr_rows.groupBy("page_id", "table_pre").agg(
-        F.max(F.col("all_header").cast("int")).alias("any_header_row"),
-        F.min_by("vals", F.when(F.col("all_header"), F.col("row_no"))).alias("headers"),
-        F.transform(F.array_sort(F.collect_list(F.when(~F.col("all_header"), F.struct("row_no", "vals")))),
+        F.coalesce(F.lower(F.col("attrs")["role"]) == "presentation", F.lit(False)).alias("presentation"))
+    inner = nodes.filter(F.col("tag").isin("table", "caption")).select(
+        "page_id", "pre", "tag", "text", _nearest("table").alias("table_pre")).filter(F.col("table_pre").isNotNull())
+    is_cap = F.col("tag") == "caption"
+    meta = inner.groupBy("page_id", "table_pre").agg(
+        F.max(F.col("tag") == "table").alias("has_nested"),
+        F.min_by(F.when(is_cap, F.col("text")), F.when(is_cap, F.col("pre"))).alias("caption"))
+    cells = nodes.filter(F.col("tag").isin("td", "th")).select(
+        "page_id", "pre", F.coalesce(F.col("text"), F.lit("")).alias("value"),
+        ((F.col("tag") == "th") | F.array_contains(F.col("path"), "thead")).alias("is_header"),
+        _nearest("table").alias("table_pre"), _nearest("tr").alias("tr_pre")) \
+        .filter(F.col("table_pre").isNotNull() & F.col("tr_pre").isNotNull())
+    rows = cells.groupBy("page_id", "table_pre", "tr_pre").agg(
+        F.bool_and("is_header").alias("all_header"), F.max("is_header").alias("any_header"),
+        F.count(F.lit(1)).alias("width"),
+        F.transform(F.array_sort(F.collect_list(F.struct("pre", "value"))), lambda x: x["value"]).alias("vals"))
+    stats = rows.groupBy("page_id", "table_pre").agg(
+        F.max("any_header").alias("any_th"),
+        F.min_by("vals", F.when(F.col("all_header"), F.col("tr_pre"))).alias("headers"),
+        F.transform(F.array_sort(F.collect_list(F.when(~F.col("all_header"), F.struct("tr_pre", "vals")))),
                     lambda x: x["vals"]).alias("rows"),
         F.count_if(~F.col("all_header")).alias("n_rows"),
         F.max("width").alias("n_cols"),
         (F.min("width") == F.max("width")).alias("equal_widths"))
-    any_th = cells.groupBy("page_id", "table_pre").agg(F.max(F.col("is_header").cast("int")).alias("any_th"))
-    t = tables.join(stats, ["page_id", "table_pre"], "left").join(any_th, ["page_id", "table_pre"], "left") \
-        .join(captions, ["page_id", "table_pre"], "left").join(nested, ["page_id", "table_pre"], "left")
-    score = (F.when(F.coalesce(F.col("any_th"), F.lit(0)) == 1, 2).otherwise(0)
+    t = tables.join(stats, ["page_id", "table_pre"], "left").join(meta, ["page_id", "table_pre"], "left")
+    score = (F.when(F.coalesce(F.col("any_th"), F.lit(False)), 2).otherwise(0)
              + F.when(F.col("caption").isNotNull() & (F.col("caption") != ""), 1).otherwise(0)
              + F.when(F.coalesce(F.col("equal_widths"), F.lit(False)), 1).otherwise(0)
              + F.when(F.coalesce(F.col("n_rows"), F.lit(0)) >= 2, 1).otherwise(0)
              + F.when(F.coalesce(F.col("n_cols"), F.lit(0)) >= 2, 1).otherwise(0)
              - F.when(F.coalesce(F.col("has_nested"), F.lit(False)), 3).otherwise(0)
-             - F.when(F.coalesce(F.col("presentation"), F.lit(False)), 2).otherwise(0))
+             - F.when(F.col("presentation"), 2).otherwise(0))
     out = t.withColumn("score", score).filter(F.col("score") >= min_score)
-    w = Window.partitionBy("page_id").orderBy("table_pre")
+    w = Window.partitionBy("page_id").orderBy("table_pre")   # tables of one page
     out = out.withColumn("table_no", F.row_number().over(w))
     return out.select(
         "page_id", "table_no", "table_pre",
