@@ -213,8 +213,11 @@ def extract_records(nodes: DataFrame, schema: dict, selector_type: str = "css",
         nodes = subtree(nodes, select_css(nodes, css_selector))
     base_paths = parse_css(schema["baseSelector"]) if kind == "css" else parse_xpath(schema["baseSelector"])
     base = evaluate(nodes, base_paths, css=(kind == "css"))
-    records = base.select("page_id", F.col("m").alias("pre")).distinct() \
-        .join(nodes.select("page_id", "pre", "parent", "ordinal"), ["page_id", "pre"])
+    # the evaluation carries parent/ordinal of each match; a single path yields no duplicates
+    records = base.select("page_id", F.col("m").alias("pre"), F.col("m_parent").alias("parent"),
+                          F.col("m_ordinal").alias("ordinal"))
+    if len(base_paths) > 1:
+        records = records.distinct()
     html = None
     if _needs_html(fields):
         if pages_html is None:

@@ -388,7 +388,7 @@ def evaluate(nodes: DataFrame, paths: list[Path], context: DataFrame | None = No
         del from_root
         for st in steps:
             cur = _apply_step(base_nodes, cur, st)
-        res = cur.select("page_id", "ctx", "m")
+        res = cur.select("page_id", "ctx", "m", "m_parent", "m_ordinal")
         out = res if out is None else out.unionByName(res)
     return out.distinct() if len(paths) > 1 else out
 
