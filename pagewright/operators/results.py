@@ -116,10 +116,13 @@ def fetch_requests(requests: DataFrame, snapshots: DataFrame) -> DataFrame:
     """SRC1: every request yields one row; a URL without a snapshot is a failure row.
 
     Duplicate snapshot URLs would multiply requests, so snapshots are reduced to one row per
-    URL first (the latest ``page_id`` wins).
+    URL first (the latest ``page_id`` wins) - after a semi-join to the requested URLs, so only
+    requested snapshots are shuffled (a small request set is broadcast by AQE).
     """
-    snap = snapshots.groupBy("url").agg(F.max_by(F.struct(*[c for c in snapshots.columns if c != "url"]),
-                                                 "page_id").alias("s")).select("url", "s.*")
+    wanted = requests.select("url").distinct()
+    snap = snapshots.join(wanted, "url", "left_semi")
+    snap = snap.groupBy("url").agg(F.max_by(F.struct(*[c for c in snapshots.columns if c != "url"]),
+                                            "page_id").alias("s")).select("url", "s.*")
     out = requests.join(snap, "url", "left")
     return out.withColumn("success", F.coalesce(F.col("success"), F.lit(False))) \
         .withColumn("error_message", F.when(F.col("page_id").isNull(), F.lit(MISSING_SNAPSHOT))

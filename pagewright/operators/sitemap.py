@@ -149,7 +149,8 @@ def crawl_sitemap(spark: SparkSession, roots: DataFrame, docs: DataFrame, snapsh
     ordered = ordered_sitemap_urls(expand_sitemaps(spark, roots, entries=entries))
     counts = ordered.groupBy("root").agg(F.count(F.lit(1)).alias("n_urls"))
     chosen = ordered.filter(F.col("pos") <= max_urls)
-    snap = snapshots.groupBy("url").agg(F.max("success").alias("success"))
+    snap = snapshots.join(chosen.select("url").distinct(), "url", "left_semi") \
+        .groupBy("url").agg(F.max("success").alias("success"))
     results = chosen.join(snap, "url", "left").select(
         "root", "pos", "url", F.coalesce("success", F.lit(False)).alias("success"))
     per_root = results.groupBy("root").agg(F.count_if("success").alias("crawled"),
