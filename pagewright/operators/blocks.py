@@ -183,7 +183,44 @@ def fit_filter(blocks: DataFrame, query: str | None = None, min_words: int | Col
     """
     if query is None or not query.strip():
         return density_prune(blocks, min_words)
-    scores = bm25(blocks.select("page_id", "pre", "text"), "page_id", "pre", "text", query, min_score)
-    hit = scores.select("page_id", "pre", F.lit(True).alias("_hit"))
+    # one group per page (bounded by page size), then BM25 inside the row
+    per_page = blocks.groupBy("page_id").agg(
+        F.collect_list(F.struct(F.col("pre").alias("no"), F.col("text").alias("text"))).alias("_blocks"))
+    scores = bm25_within(per_page, "page_id", "_blocks", query, min_score)
+    hit = scores.select("page_id", F.col("no").alias("pre"), F.lit(True).alias("_hit"))
     return blocks.join(hit, ["page_id", "pre"], "left") \
         .withColumn("kept", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
+
+
+def bm25_within(df: DataFrame, key: str, blocks_col: str, query: str, min_score: float = BM25_MIN_SCORE,
+                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """BM25 where one row holds a whole document: ``blocks_col`` is ``array<struct<no, text>>``.
+
+    Everything (token arrays, document frequencies, mean block length, scores) is computed with
+    higher-order functions inside the row - no shuffle. The query terms are fixed at plan time,
+    so their loop is unrolled. Returns ``(key, no, score)`` for blocks with score >= min_score.
+    """
+    terms = query_terms(query)
+    if not terms:
+        raise ValueError("query must contain at least one letter or digit")
+    toks = F.transform(F.col(blocks_col), lambda x: F.struct(x["no"].alias("no"), tokens(x["text"]).alias("t")))
+    d = df.select(key, toks.alias("_b"))
+    n = F.size("_b").cast("double")
+    avgdl = F.aggregate(F.col("_b"), F.lit(0.0), lambda acc, x: acc + F.size(x["t"])) / n
+    d = d.withColumn("_n", n).withColumn("_avgdl", avgdl)
+    for j, term in enumerate(terms):
+        df_j = F.size(F.filter("_b", lambda x: F.array_contains(x["t"], term))).cast("double")
+        d = d.withColumn(f"_idf{j}", F.log(F.lit(1.0) + (F.col("_n") - df_j + F.lit(0.5)) / (df_j + F.lit(0.5))))
+
+    def score(x):
+        dl = F.size(x["t"]).cast("double")
+        norm_len = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.col("_avgdl"))
+        total = F.lit(0.0)
+        for j, term in enumerate(terms):
+            tf = F.size(F.filter(x["t"], lambda t: t == term)).cast("double")
+            total = total + F.col(f"_idf{j}") * tf * F.lit(k1 + 1.0) / (tf + norm_len)
+        return F.struct(x["no"].alias("no"), total.alias("score"))
+
+    scored = d.select(key, F.explode(F.transform("_b", score)).alias("s"))
+    return scored.filter(F.col("s.score") >= min_score) \
+        .select(key, F.col("s.no").alias("no"), F.round("s.score", 6).alias("score"))

@@ -148,11 +148,13 @@ WITH {_doc_lines_sql().strip()}
 SELECT doc_id, line_no, round(score, 6) AS score FROM sc WHERE score >= 1.0
 """)
 def bm25_blocks(spark, sf_dir):
+    from pagewright.operators.blocks import bm25_within
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")) \
-        .select("doc_id", (F.col("i") + 1).cast("long").alias("line_no"), "line") \
-        .filter(F.trim("line") != "")
-    return bm25(lines, "doc_id", "line_no", "line", BM25_QUERY)
+    # a document is one row: its non-blank lines become blocks inside the row (no shuffle)
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda line, i: F.struct(
+        (i + 1).cast("long").alias("no"), line.alias("text"))), lambda x: F.trim(x["text"]) != "")
+    out = bm25_within(docs.select("doc_id", lines.alias("blocks")), "doc_id", "blocks", BM25_QUERY)
+    return out.select("doc_id", F.col("no").alias("line_no"), "score")
 
 
 # -- scoping (css_selector vs target_elements vs excluded_selector) ------------------------
