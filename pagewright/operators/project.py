@@ -77,3 +77,33 @@ def drop_tags(nodes: DataFrame, tags: list[str]) -> DataFrame:
 def internal_only(links: DataFrame) -> DataFrame:
     """PRJ9 ``exclude_external_links``."""
     return links.filter(F.col("kind") == "internal")
+
+
+def page_summary(nodes: DataFrame, pages: DataFrame) -> DataFrame:
+    """PRJ1 + PRJ10 counts in one pass: ``(page_id, title, description, n_links, n_internal,
+    n_external)`` from a single filtered scan of the node table, one join to the page URLs and
+    one per-page aggregation (same rules as ``page_metadata`` and ``page_links``)."""
+    rows = nodes.filter(F.col("tag").isin("title", "meta", "a")).select(
+        "page_id", "pre", "tag", "text", F.col("attrs")["href"].alias("href"),
+        F.lower(F.col("attrs")["name"]).alias("meta_name"), F.col("attrs")["content"].alias("meta_content"))
+    rows = rows.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
+    is_link = (F.col("tag") == "a") & F.col("href").isNotNull() & (F.trim("href") != "")
+    abs_url = U.resolve_url("page_url", "href")
+    link_dom = U.registrable_domain(U.host(abs_url))
+    internal = is_link & link_dom.isNotNull() & (link_dom == U.registrable_domain(U.host("page_url")))
+    is_title = F.col("tag") == "title"
+    is_desc = (F.col("tag") == "meta") & (F.col("meta_name") == "description")
+    # per-row work in one projection (whole-stage codegen), the aggregate sees plain columns
+    rows = rows.select("page_id", "pre", is_link.alias("is_link"), internal.alias("internal"),
+                       F.when(is_title, F.col("text")).alias("title_text"),
+                       F.when(is_title, F.col("pre")).alias("title_pre"),
+                       F.when(is_desc, F.col("meta_content")).alias("desc_text"),
+                       F.when(is_desc, F.col("pre")).alias("desc_pre"))
+    agg = rows.groupBy("page_id").agg(
+        F.min_by("title_text", "title_pre").alias("title"),
+        F.min_by("desc_text", "desc_pre").alias("description"),
+        F.count_if("is_link").alias("n_links"),
+        F.count_if("internal").alias("n_internal"),
+        F.count_if(F.col("is_link") & ~F.col("internal")).alias("n_external"))
+    return agg.select("page_id", T.clean_str("title").alias("title"), T.clean_str("description").alias("description"),
+                      "n_links", "n_internal", "n_external")

@@ -17,17 +17,10 @@ def _pages(spark, sf_dir):
 
 
 def host_summary_df(spark, sf_dir):
+    from pagewright.operators.project import page_summary
     pages = _pages(spark, sf_dir)
-    nodes = parsed_nodes(pages, container_text=False)
-    meta = page_metadata(nodes)
-    links = page_links(nodes, pages, number=False)
-    per_page_links = links.groupBy("page_id").agg(
-        F.count("*").alias("n_links"),
-        F.count_if(F.col("kind") == "internal").alias("n_internal"),
-        F.count_if(F.col("kind") == "external").alias("n_external"))
-    per_page = (pages.select("page_id", U.host("url").alias("host"))
-                .join(meta, "page_id", "left")
-                .join(per_page_links, "page_id", "left"))
+    summary = page_summary(html_nodes(pages, container_text=False), pages)
+    per_page = pages.select("page_id", U.host("url").alias("host")).join(summary, "page_id", "left")
     return per_page.groupBy("host").agg(
         F.count("*").cast("long").alias("n_pages"),
         F.coalesce(F.sum("n_links"), F.lit(0)).cast("long").alias("n_links"),
