@@ -70,3 +70,8 @@ def test_node_table_on_pages(spark):
                                        F.count_if(F.col("tag") == "title").alias("titles"))
     assert per.filter((F.col("roots") != 1) | (F.col("titles") != 1)).count() == 0
     assert per.count() == pages.count()
+
+
+def test_legacy_entities_without_semicolon_decode_like_html5():
+    els = parse_html("<h1>Tom &amp Jerry &copy 2024 &amp;amp;</h1>")
+    assert _text(_by_tag(els, "h1")[0]) == "Tom & Jerry © 2024 &amp;"
