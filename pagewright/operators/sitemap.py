@@ -57,7 +57,7 @@ def maybe_gunzip(docs: DataFrame, col: str = "content") -> DataFrame:
     return docs.filter(~is_gz).unionByName(gz)
 
 
-def parse_sitemaps(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_sitemaps(docs: DataFrame, materialize_parsed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Returns ``(status, entries)``.
 
     status:  ``(sitemap_url, status, fetch_error)`` with status ok | fetch_error | not_xml
@@ -67,6 +67,8 @@ def parse_sitemaps(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = F.decode(F.col("content"), "UTF-8")
     x = d.select("sitemap_url", "final_url", "fetch_error",
                  F.from_xml(text, XML_SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
+    if materialize_parsed:  # status and entries both read it: inflate and parse once
+        x = cut_lineage(x, "sitemap_parsed")
     status = x.select(
         "sitemap_url",
         F.when(F.col("fetch_error").isNotNull(), "fetch_error")
@@ -144,8 +146,7 @@ def crawl_sitemap(spark: SparkSession, roots: DataFrame, docs: DataFrame, snapsh
     """
     if max_urls < 1:
         raise ValueError("max_urls must be >= 1")
-    status, entries = parse_sitemaps(docs)
-    status, entries = cut_lineage(status), cut_lineage(entries)
+    status, entries = parse_sitemaps(docs, materialize_parsed=True)
     ordered = ordered_sitemap_urls(expand_sitemaps(spark, roots, entries=entries))
     counts = ordered.groupBy("root").agg(F.count(F.lit(1)).alias("n_urls"))
     chosen = ordered.filter(F.col("pos") <= max_urls)
