@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pagewright.operators.blocks import (bm25, density_prune, fit_or_raw, page_blocks,
+from pagewright.operators.blocks import (density_prune, fit_or_raw, page_blocks,
                                          page_markdown, page_markdown_fit_raw)
 from pagewright.operators.parse import html_nodes, parsed_nodes
 from pagewright.operators.project import page_links, page_metadata

@@ -1,6 +1,5 @@
 """Links (PRJ10, PRJ11) and tables (PRJ12) from html fixtures (FIXTURES F2, F3)."""
 
-from pyspark.sql import functions as F
 
 from pagewright.operators.parse import html_nodes
 from pagewright.operators.project import links_struct, page_links, page_metadata

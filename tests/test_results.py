@@ -1,6 +1,5 @@
 """Result shaping (RES1-RES10) on the fixture shapes of FIXTURES F1/F4."""
 
-from pyspark.sql import functions as F
 
 from pagewright.operators import results as R
 

@@ -1,7 +1,6 @@
 """URL functions (SC1, SC2, TRV5, TRV6)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
 
