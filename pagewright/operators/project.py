@@ -15,16 +15,19 @@ from pagewright.functions import urls as U
 
 
 def page_metadata(nodes: DataFrame) -> DataFrame:
-    """PRJ1: title (first ``title`` element) and meta description, NULL when absent."""
-    title = (nodes.filter(F.col("tag") == "title")
-             .groupBy("page_id")
-             .agg(F.min_by("text", "pre").alias("title")))
-    desc = (nodes.filter((F.col("tag") == "meta")
-                         & (F.lower(F.col("attrs")["name"]) == "description"))
-            .groupBy("page_id")
-            .agg(F.min_by(F.col("attrs")["content"], "pre").alias("description")))
-    return title.join(desc, "page_id", "full_outer").select(
-        "page_id", T.clean_str("title").alias("title"), T.clean_str("description").alias("description"))
+    """PRJ1: title (first ``title`` element) and meta description, NULL when absent.
+
+    One filtered scan and one per-page aggregation (conditional ``min_by`` on document order).
+    """
+    is_title = F.col("tag") == "title"
+    is_desc = (F.col("tag") == "meta") & (F.lower(F.col("attrs")["name"]) == "description")
+    rows = nodes.filter(is_title | is_desc).select(
+        "page_id",
+        F.when(is_title, F.col("text")).alias("title_text"), F.when(is_title, F.col("pre")).alias("title_pre"),
+        F.when(is_desc, F.col("attrs")["content"]).alias("desc_text"), F.when(is_desc, F.col("pre")).alias("desc_pre"))
+    agg = rows.groupBy("page_id").agg(F.min_by("title_text", "title_pre").alias("title"),
+                                      F.min_by("desc_text", "desc_pre").alias("description"))
+    return agg.select("page_id", T.clean_str("title").alias("title"), T.clean_str("description").alias("description"))
 
 
 def page_links(nodes: DataFrame, pages: DataFrame, number: bool = True) -> DataFrame:
