@@ -32,9 +32,12 @@ DEFAULT_CONF = {
 def get_spark(master: str | None = None, app: str = "pagewright", shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults; cluster settings already present win."""
+    from pyspark import SparkConf
+
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
+    # a master given by the launcher (spark-submit sets spark.master) wins; else run locally
+    if master or not SparkConf().contains("spark.master"):
         builder = builder.master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
