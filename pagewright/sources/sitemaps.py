@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from pagewright.functions import urls as U
 from pagewright.sources.graph import ranked_pages
 from pagewright.sources.synthetic import esc
 from pagewright.sources.tables import table
@@ -79,7 +80,7 @@ def sitemap_docs(spark: SparkSession, sf_dir: str, chunk: int = 1000) -> DataFra
 
 
 def sitemap_roots(spark: SparkSession, sf_dir: str, with_errors: bool = False) -> DataFrame:
-    hosts = ranked_pages(spark, sf_dir).filter(F.col("r") == 1).select("host")
+    hosts = table(spark, sf_dir, "pages").select(U.host("url").alias("host")).distinct()
     names = ["/sitemap_index.xml"] + (["/broken.xml", "/missing.xml", "/empty.xml"] if with_errors else [])
     roots = None
     for n in names:
