@@ -35,3 +35,11 @@ def test_global_rank_and_next(spark):
     assert got == list(range(1, 501))
     hosts = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "host string")
     assert {r.host: r.next for r in next_in_order(hosts, "host").collect()} == {"a": "b", "b": "c", "c": None}
+
+
+def test_top_k_large_path_equals_small_path(spark):
+    from pagewright.operators.ranking import top_k
+    df = spark.range(2000).select(((F.col("id") * 7919) % 2000).alias("x"), F.col("id"))
+    small = [r.x for r in top_k(df, ["x"], 150).collect()]
+    large = [r.x for r in top_k(df, ["x"], 150, small_k=10).collect()]   # forces the ranked path
+    assert sorted(small) == sorted(large) == list(range(150))
