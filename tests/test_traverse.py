@@ -105,3 +105,49 @@ def test_best_first_prefers_relevant_pages(spark):
     sc = spark.createDataFrame([("https://x/Docs/API",)], "u string").select(
         keyword_score(__import__("pyspark.sql.functions", fromlist=["col"]).col("u"), ["docs", "api", "zzz"])).first()[0]
     assert abs(sc - 2 / 3) < 1e-9
+
+
+def _regdom(url):
+    host = url.split("://", 1)[1].split("/", 1)[0].split(":")[0].lower()
+    return ".".join(host.split(".")[-2:])
+
+
+def _brute_best_first(keywords, max_pages, max_depth, batch):
+    kws = sorted({k.lower() for k in keywords})
+
+    def score(u):
+        return sum(k in u.lower() for k in kws) / len(kws)
+
+    def expand(rows, blocked):
+        best = {}
+        for url, depth, key in rows:
+            if url not in PAGES:          # failed fetch: no links followed
+                continue
+            for s, d, pos in EDGES:
+                if s == url and d not in blocked:
+                    k = key + (int(_regdom(d) != _regdom(s)), pos)
+                    if d not in best or k < best[d][1]:
+                        best[d] = (depth + 1, k)
+        return {d: (dep, k, score(d)) for d, (dep, k) in best.items()}
+
+    crawled = {S: 0}
+    pool = expand([(S, 0, ())], {S})
+    while len(crawled) < max_pages and pool:
+        take = min(batch, max_pages - len(crawled))
+        chosen = sorted(pool.items(), key=lambda kv: (-kv[1][2], kv[1][0], kv[1][1]))[:take]
+        for url, (dep, _, _) in chosen:
+            crawled[url] = dep
+        rest = {u: v for u, v in pool.items() if u not in crawled}
+        deeper = [(u, dep, k) for u, (dep, k, _) in chosen if dep < max_depth]
+        new = expand(deeper, set(crawled) | set(rest))
+        pool = {**rest, **new}
+    return crawled
+
+
+@pytest.mark.parametrize("keywords,max_pages,max_depth,batch", [
+    (["docs", "x"], 6, 10, 2), (["api", "unrelated"], 8, 10, 3), (["docs"], 9, 2, 1)])
+def test_best_first_equals_brute_force(spark, keywords, max_pages, max_depth, batch):
+    got = _run(spark, max_depth=max_depth, max_pages=max_pages, strategy="best-first",
+               relevance_keywords=keywords, scope="any", batch_size=batch)
+    want = _brute_best_first(keywords, max_pages, max_depth, batch)
+    assert {u: r.depth for u, r in got.items()} == want
