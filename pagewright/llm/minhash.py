@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     least = rows.groupBy("key").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("other")).where("u <> other").select("key", "u")
     stars = materialize(rows.join(least, "key").where("doc_id <> u").select("key", "u", F.col("doc_id").alias("v")).distinct(), "stars")
     candidates = materialize(likely(stars.select("u", "v").distinct(), reps, percent).distinct(), "candidates")
-    involved = stars.select(F.col("u").alias("doc_id")).union(stars.select(F.col("v").alias("doc_id"))).distinct()
+    involved = stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     texts = materialize(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"), "texts")
     links = materialize(confirm(candidates, texts, percent), "links")
     comp = materialize(connected_components(links), "components")
@@ -186,10 +186,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     open_keys = component(component(stars, "u", "cu"), "v", "cv").where("cu <> cv").select("key").distinct()
     rest = stars.join(open_keys, "key", "left_semi")
-    rest = rest.select("key", F.col("v").alias("doc_id")).union(rest.select("key", F.col("u").alias("doc_id"))).distinct()
-    members = component(rest, "doc_id", "component").join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
-    more = materialize(across(members, percent).join(candidates, ["u", "v"], "left_anti"), "pairs")
-    if not more.isEmpty():
+    rest = materialize(rest.select("key", F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "open")
+    if not rest.isEmpty():
+        members = component(rest, "doc_id", "component").join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
+        more = materialize(across(members, percent).join(candidates, ["u", "v"], "left_anti"), "pairs")
         links = links.union(materialize(confirm(more, texts, percent), "links"))
         comp = materialize(connected_components(links), "components")
     return _labelled(sigs, reps, comp)
