@@ -36,9 +36,9 @@ from pagewright.session import materialize
 SHINGLE = 5
 HASHES, BANDS = 128, 32
 PERCENT = 75
-#: matching 8-bit minima that a pair must show: 6.5 standard deviations below the mean at 0.75
-MIN_AGREE = 64
-BLOCK_ROWS = 256
+#: matching 8-bit minima that a pair must show: 4.9 standard deviations below the mean at 0.75
+MIN_AGREE = 72
+BLOCK_ROWS = 512
 
 _U = np.uint64
 _rng = np.random.RandomState(20240607)
@@ -97,6 +97,12 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sig binary")
 
 
+def _similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` of their union."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``(u, v)`` whose full shingle sets are similar enough."""
     a = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
@@ -108,9 +114,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataF
             y, yo = sort_unique(*shingles(hash_words(t.column("text_v"), NON_SPACE), SHINGLE))
             keep = np.zeros(t.num_rows, dtype=bool)
             for i in range(t.num_rows):
-                p, q = x[xo[i]:xo[i + 1]], y[yo[i]:yo[i + 1]]
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep[i] = both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
+                keep[i] = _similar(x[xo[i]:xo[i + 1]], y[yo[i]:yo[i + 1]], percent)
             t = t.select(["u", "v"]).filter(pa.array(keep))
             yield from t.combine_chunks().to_batches()
 
@@ -140,26 +144,37 @@ def likely(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def across(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of different components within a bucket, compared block by block.
+    """Links ``(u, v)`` between different components of a bucket, found block by block.
 
-    ``members``: ``key, doc_id, component, n_shingles, sig``. A bucket of n members is cut into
-    g = ceil(n / BLOCK_ROWS) blocks; each task compares two blocks by signature, in memory.
+    ``members``: ``key, doc_id, component, n_shingles, sig, text``. A bucket of n members is cut
+    into ceil(n / BLOCK_ROWS) blocks; a task holds two of them, compares signatures, confirms on
+    the full sets, and passes over pairs that its own links have joined already. Only links leave
+    the task, so at most one per member.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("g"))
     m = members.join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("g")).cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    m = m.select("key", F.least("i", "o").alias("x"), F.greatest("i", "o").alias("y"), "doc_id", "component", "n_shingles", "sig")
+    m = m.select("key", F.least("i", "o").alias("x"), F.greatest("i", "o").alias("y"), "i",
+                 "doc_id", "component", "n_shingles", "sig", "text")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, comp, n = (pdf[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        ids, n, block = (pdf[c].to_numpy() for c in ("doc_id", "n_shingles", "i"))
+        label = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1]
+        one_block = pdf["x"].iat[0] == pdf["y"].iat[0]
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), HASHES)
-        us, vs = [], []
+        sets, off = sort_unique(*shingles(hash_words(pa.array(pdf["text"], pa.string()), NON_SPACE), SHINGLE))
+        links = []
         for k in range(len(pdf) - 1):
-            rest = np.flatnonzero((comp[k + 1:] != comp[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= percent * np.maximum(n[k + 1:], n[k]))) + k + 1
-            rest = rest[_agree(sig[rest], sig[k]) >= MIN_AGREE]
-            us.append(np.minimum(ids[rest], ids[k]))
-            vs.append(np.maximum(ids[rest], ids[k]))
-        return pd.DataFrame({"u": np.concatenate([np.zeros(0, np.int64), *us]), "v": np.concatenate([np.zeros(0, np.int64), *vs])})
+            fit = (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= percent * np.maximum(n[k + 1:], n[k]))
+            if not one_block:
+                fit &= block[k + 1:] != block[k]
+            rest = np.flatnonzero(fit) + k + 1
+            same = _agree(sig[rest], sig[k])
+            for j in rest[np.argsort(-same, kind="stable")][:int((same >= MIN_AGREE).sum())].tolist():
+                if label[j] != label[k] and _similar(sets[off[k]:off[k + 1]], sets[off[j]:off[j + 1]], percent):
+                    links.append((min(ids[k], ids[j]), max(ids[k], ids[j])))
+                    label[label == label[j]] = label[k]
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 
     return m.groupBy("key", "x", "y").applyInPandas(compare, "u long, v long").distinct()
 
@@ -188,9 +203,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = stars.join(open_keys, "key", "left_semi")
     rest = materialize(rest.select("key", F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "open")
     if not rest.isEmpty():
-        members = component(rest, "doc_id", "component").join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
-        more = materialize(across(members, percent).join(candidates, ["u", "v"], "left_anti"), "pairs")
-        links = links.union(materialize(confirm(more, texts, percent), "links"))
+        members = (component(rest, "doc_id", "component").join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
+                   .join(texts, "doc_id"))
+        links = links.union(materialize(across(members, percent), "links"))
         comp = materialize(connected_components(links), "components")
     return _labelled(sigs, reps, comp)
 
