@@ -14,11 +14,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.linededup import dedup_lines
+    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.packing import pack
     return pack(read(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.licenses import scan
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.decontam import report
     return report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -32,6 +42,19 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS7 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
+    "op3_line_dedup": """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+win AS (SELECT doc_id, s, array_to_string(l[s:s + 2], chr(10)) AS k
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS s FROM d WHERE len(l) >= 3)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 3)) AS i FROM later),
+line AS (SELECT doc_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM d),
+kept AS (SELECT line.doc_id, string_agg(x, chr(10) ORDER BY line.i) AS t FROM line
+  LEFT JOIN gone ON gone.doc_id = line.doc_id AND gone.i = line.i WHERE gone.i IS NULL GROUP BY line.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN text IS NOT NULL THEN coalesce(t, '') END AS text,
+  CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n.n, 0) AS BIGINT) AS n_deleted
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op7_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS7}, []) AS w FROM documents),
 b AS (SELECT item_id, {_WORDS7} AS w FROM benchmark WHERE text IS NOT NULL),
