@@ -14,11 +14,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.toxicity import scored, trained
+    docs = read(spark, sf_dir, "documents")
+    return scored(docs, trained(docs, read(spark, sf_dir, "labels")))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.linededup import dedup_lines
     return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.languageid import predicted, trained
+    docs = read(spark, sf_dir, "documents")
+    return predicted(docs, trained(docs))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.packing import pack
     return pack(read(spark, sf_dir, "documents"))
@@ -39,6 +51,16 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.vectors import near_vectors
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.suffixes import repeats
+    return repeats(read(spark, sf_dir, "documents"))
+
+
 _WORDS7 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
