@@ -20,6 +20,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, trained(docs, read(spark, sf_dir, "labels")))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.suffixtree import scored
+    return scored(read(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.linededup import dedup_lines
     return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
