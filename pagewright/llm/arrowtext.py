@@ -74,9 +74,7 @@ class Words:
 
     hashes: np.ndarray
     offsets: np.ndarray
-    starts: np.ndarray | None = None
-    ends: np.ndarray | None = None
-    byte_offsets: np.ndarray | None = None
+    heads: np.ndarray | None = None  # the first four bytes of each word, as a number
 
 
 def _cuts(word: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
@@ -101,13 +99,21 @@ def _cuts(word: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def hash_words(col, word_class: np.ndarray = NON_SPACE, spans: bool = False) -> Words:
-    """Hash every word of an Arrow string column (``spans``: byte positions of the words too)."""
+def _heads(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(starts), U64)
+    for j in range(4):
+        at = starts + j
+        inside = at < ends
+        out |= np.where(inside, _LOWER[raw[np.where(inside, at, 0)]], 0).astype(U64) << U64(8 * j)
+    return out
+
+
+def hash_words(col, word_class: np.ndarray = NON_SPACE, heads: bool = False) -> Words:
+    """Hash every word of an Arrow string column (``heads``: the words' first bytes too)."""
     raw, off = text_buffers(col)
     n = len(raw)
     if not n:
-        e = np.zeros(0, np.int64)
-        return Words(np.zeros(0, U64), np.zeros(len(off), np.int64), e, e, off)
+        return Words(np.zeros(0, U64), np.zeros(len(off), np.int64), np.zeros(0, U64))
     word = word_class[_LOWER[raw]]
     first = np.zeros(n + 1, dtype=bool)
     first[off] = True
@@ -135,11 +141,10 @@ def hash_words(col, word_class: np.ndarray = NON_SPACE, spans: bool = False) ->
         ss.append(s + a)
         es.append(e + (a + 1))
     if not hs:
-        e = np.zeros(0, np.int64)
-        return Words(np.zeros(0, U64), np.zeros(len(off), np.int64), e, e, off)
+        return Words(np.zeros(0, U64), np.zeros(len(off), np.int64), np.zeros(0, U64))
     starts = np.concatenate(ss)
-    return Words(np.concatenate(hs), np.searchsorted(starts, off).astype(np.int64), starts if spans else None,
-                 np.concatenate(es) if spans else None, off)
+    return Words(np.concatenate(hs), np.searchsorted(starts, off).astype(np.int64),
+                 _heads(raw, starts, np.concatenate(es)) if heads else None)
 
 
 def ngrams(h: np.ndarray, k: int) -> np.ndarray:

@@ -1,7 +1,8 @@
 """Toxicity: a convolutional text classifier trained in numpy (dealt operator 1).
 
-Words are hashed (64 bits); words of the training sample have an embedding, all others share a zero
-one. Filters of widths 1, 2 and 3 slide over the whole text, each filter keeps its maximum, and a
+Words are hashed (64 bits), and so are their first four bytes; a word's embedding is the sum of the
+two, where the training sample knows them, and zero otherwise. Filters of widths 1, 2 and 3 slide
+over the whole text, each filter keeps its maximum, and a
 logistic layer weighs the maxima. Training is plain numpy (Adam; the gradient of a maximum reaches
 its window only). The score is calibrated *by language*: a word-count model, fitted on the same
 sample, tells the language from the text, and each language's logits are shifted and scaled so that
@@ -42,24 +43,27 @@ def held_out(doc_id: str = "doc_id", mod: int = 3) -> Column:
 @dataclass
 class Model:
     vocabulary: np.ndarray          # sorted word hashes; word i has row i + 1, unknown words row 0
-    tables: list[list[np.ndarray]]  # per width and place in it: (vocabulary + 1, FILTERS) responses
+    heads: np.ndarray               # sorted word beginnings; their rows follow those of the words
+    tables: list[list[np.ndarray]]  # per width and place in it: (rows, FILTERS) responses
     bias: list[np.ndarray]
     weight: np.ndarray
     offset: float
-    languages: np.ndarray           # (vocabulary + 1, languages) log odds
+    languages: np.ndarray           # (rows, languages) log odds
     prior: np.ndarray
     shift: np.ndarray               # per language: logit at the threshold
     scale: np.ndarray
     constant: float | None = None
 
     def rows(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Embedding rows of all texts, two empty places behind each, and the texts' offsets."""
+        """Embedding rows ``(2, places)`` of all texts, two empty places behind each, and offsets."""
         n = np.diff(words.offsets)
         off = words.offsets + 2 * np.arange(len(words.offsets))
-        out = np.zeros(off[-1], np.int64)
-        if len(self.vocabulary) and len(words.hashes):
-            at = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)
-            out[np.arange(len(words.hashes)) + 2 * np.repeat(np.arange(len(n)), n)] = np.where(self.vocabulary[at] == words.hashes, at + 1, 0)
+        out = np.zeros((2, off[-1]), np.int64)
+        places = np.arange(len(words.hashes)) + 2 * np.repeat(np.arange(len(n)), n)
+        for k, (known, keys, first) in enumerate(((self.vocabulary, words.hashes, 1), (self.heads, words.heads, len(self.vocabulary) + 1))):
+            if len(known) and len(keys):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                out[k, places] = np.where(known[at] == keys, at + first, 0)
         return out, off
 
     def logits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -68,15 +72,17 @@ class Model:
         n = len(off) - 1
         pooled = []
         for tables, bias in zip(self.tables, self.bias, strict=True):
-            r = tables[0][rows]
+            r = tables[0][rows[0]] + tables[0][rows[1]]
             for j, t in enumerate(tables[1:], 1):
-                r[:len(r) - j] += t[rows[j:]]
+                for kind in rows:
+                    r[:len(r) - j] += t[kind[j:]]
             ends = np.stack([off[:-1], np.maximum(off[1:] - 2, off[:-1] + 1)], 1).ravel()
             pooled.append(np.maximum.reduceat(r, ends, axis=0)[::2] + bias)
         h = np.maximum(np.concatenate(pooled, 1), 0)
         lang = np.zeros((n, len(self.prior)), np.float32)
         for k in range(len(self.prior)):
-            lang[:, k] = np.add.reduceat(self.languages[:, k][rows], off[:-1]) + self.prior[k]
+            column = self.languages[:, k]
+            lang[:, k] = np.add.reduceat(column[rows[0]] + column[rows[1]], off[:-1]) + self.prior[k]
         return h @ self.weight + self.offset, lang.argmax(1)
 
     def score(self, words: Words) -> np.ndarray:
@@ -89,9 +95,16 @@ class Model:
 
 
 def _select(words: Words, which: np.ndarray) -> Words:
-    parts = [words.hashes[words.offsets[i]:words.offsets[i + 1]] for i in which]
-    off = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-    return Words(np.concatenate([np.zeros(0, np.uint64), *parts]), off)
+    off = np.concatenate([[0], np.cumsum(np.diff(words.offsets)[which])]).astype(np.int64)
+    at = np.concatenate([np.zeros(0, np.int64), *(np.arange(words.offsets[i], words.offsets[i + 1]) for i in which)])
+    return Words(words.hashes[at], off, words.heads[at])
+
+
+def _common(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Sorted keys that two documents or more hold."""
+    pairs = np.unique(np.stack([keys, doc.astype(np.uint64)], 1), axis=0)
+    found, seen = np.unique(pairs[:, 0], return_counts=True)
+    return found[seen > 1]
 
 
 def fit(texts: list[str], toxic: list[int], langs: list[str | None], seed: int = 11) -> Model:
@@ -100,20 +113,18 @@ def fit(texts: list[str], toxic: list[int], langs: list[str | None], seed: int =
     y = np.array(toxic, dtype=np.float32)
     none = np.zeros(0)
     if not len(y) or y.min() == y.max():
-        return Model(np.zeros(0, np.uint64), [], [], none, 0.0, none, none, none, none, float(y.mean()) if len(y) else 0.0)
-    words = hash_words(pa.array(texts, pa.string()), ALNUM)
+        return Model(none, none, [], [], none, 0.0, none, none, none, none, float(y.mean()) if len(y) else 0.0)
+    words = hash_words(pa.array(texts, pa.string()), ALNUM, heads=True)
     doc = np.repeat(np.arange(len(y)), np.diff(words.offsets))
-    pairs = np.unique(np.stack([words.hashes, doc.astype(np.uint64)], 1), axis=0)
-    vocabulary, seen = np.unique(pairs[:, 0], return_counts=True)
-    vocabulary = vocabulary[seen > 1]
     names = sorted({x for x in langs if x is not None}) or ["und"]
     code = np.array([names.index(x) if x is not None else -1 for x in langs])
-    model = Model(vocabulary, [], [], none, 0.0, none, none, none, none)
+    model = Model(_common(words.hashes, doc), _common(words.heads, doc), [], [], none, 0.0, none, none, none, none)
     rows, off = model.rows(words)
-    counts = np.full((len(vocabulary) + 1, len(names)), 0.5)
+    size = len(model.vocabulary) + len(model.heads) + 1
+    counts = np.full((size, len(names)), 0.5)
     for k in range(len(names)):
         mine = np.repeat(code == k, np.diff(off))
-        counts[:, k] += np.bincount(rows[mine], minlength=len(counts))
+        counts[:, k] += np.bincount(rows[:, mine].ravel(), minlength=size)
     counts[0] = 1.0
     model.languages = np.log(counts / counts.sum(0)).astype(np.float32)
     model.languages -= model.languages.mean(1, keepdims=True)
@@ -122,7 +133,7 @@ def fit(texts: list[str], toxic: list[int], langs: list[str | None], seed: int =
 
     order = rng.permutation(len(y))
     held, train = order[:len(y) // 5], order[len(y) // 5:]
-    params = {"E": rng.randn(len(vocabulary) + 1, DIM).astype(np.float32) * 0.1}
+    params = {"E": rng.randn(size, DIM).astype(np.float32) * 0.1}
     params["E"][0] = 0
     for w in WIDTHS:
         params[f"W{w}"] = rng.randn(w, DIM, FILTERS).astype(np.float32) * np.float32(0.3 / np.sqrt(w))
@@ -155,14 +166,14 @@ def fit(texts: list[str], toxic: list[int], langs: list[str | None], seed: int =
 def _gradients(params, rows, off, batch, y, weight):
     pooled, places = np.empty((len(batch), FILTERS * len(WIDTHS)), np.float32), []
     for i, d in enumerate(batch):
-        ids = rows[off[d]:off[d + 1]]
-        x = params["E"][ids]
-        n = max(1, len(ids) - 2)
+        ids = rows[:, off[d]:off[d + 1]]
+        x = params["E"][ids[0]] + params["E"][ids[1]]
+        n = max(1, ids.shape[1] - 2)
         for q, w in enumerate(WIDTHS):
             r = sum(x[j:j + n] @ params[f"W{w}"][j] for j in range(w)) + params[f"b{w}"]
             best = r.argmax(0)
             pooled[i, q * FILTERS:(q + 1) * FILTERS] = r[best, np.arange(FILTERS)]
-            places.append(ids[best[:, None] + np.arange(w)])
+            places.append(ids[:, best[:, None] + np.arange(w)])
     h = np.maximum(pooled, 0)
     p = 1 / (1 + np.exp(-np.clip(h @ params["v"] + params["c"][0], -30, 30)))
     err = (p - y[batch]) * weight[batch] / len(batch)
@@ -171,14 +182,16 @@ def _gradients(params, rows, off, batch, y, weight):
     rows_, deltas = [], []
     for q, w in enumerate(WIDTHS):
         g = back[:, q * FILTERS:(q + 1) * FILTERS]
-        ids = np.stack(places[q::len(WIDTHS)])  # (batch, FILTERS, w)
+        ids = np.stack(places[q::len(WIDTHS)])  # (batch, 2, FILTERS, w)
         grads[f"b{w}"] = g.sum(0)
         gw = np.empty_like(params[f"W{w}"])
         for j in range(w):
-            x = params["E"][ids[:, :, j]]
+            x = params["E"][ids[:, 0, :, j]] + params["E"][ids[:, 1, :, j]]
             gw[j] = np.einsum("bfd,bf->df", x, g)
-            rows_.append(ids[:, :, j].ravel())
-            deltas.append((g[:, :, None] * params[f"W{w}"][j].T[None]).reshape(-1, DIM))
+            delta = (g[:, :, None] * params[f"W{w}"][j].T[None]).reshape(-1, DIM)
+            for kind in range(2):
+                rows_.append(ids[:, kind, :, j].ravel())
+                deltas.append(delta)
         grads[f"W{w}"] = gw
     touched, inverse = np.unique(np.concatenate(rows_), return_inverse=True)
     ge = np.zeros((len(touched), DIM), np.float32)
@@ -233,7 +246,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in regrouped(batches, 2 << 20):
-            s = shared.value.score(hash_words(t.column("text"), ALNUM))
+            s = shared.value.score(hash_words(t.column("text"), ALNUM, heads=True))
             yield pa.RecordBatch.from_arrays([t.column("doc_id").combine_chunks(), pa.array(s.astype(np.float64))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double").select(
@@ -246,7 +259,7 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in regrouped(batches, 2 << 20):
-            s = shared.value.score(hash_words(t.column("text"), ALNUM))
+            s = shared.value.score(hash_words(t.column("text"), ALNUM, heads=True))
             yield from t.filter(pa.array(s < CUT)).combine_chunks().to_batches()
 
     return docs.mapInArrow(run, docs.schema)
