@@ -13,9 +13,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(x) -> Column:
+    """The text without white space of any kind at its edges."""
+    return F.regexp_replace(_col(x), r"(?U)^\s+|\s+$", "")
+
+
 def clean_str(x) -> Column:
-    """SC4: trimmed string, NULL when NULL or blank."""
-    t = F.trim(_col(x))
+    """SC4: stripped string, NULL when NULL or blank."""
+    t = strip(x)
     return F.when(t == "", F.lit(None)).otherwise(t)
 
 
@@ -52,8 +57,3 @@ def safe_filename(url) -> Column:
     digest = F.substring(F.sha2(u, 256), 1, 8)
     return F.concat(stem, F.lit("_"), digest, F.lit(".md"))
 
-
-def word_count(x) -> Column:
-    """Number of whitespace-separated words (0 for NULL/blank)."""
-    t = F.trim(_col(x))
-    return F.when(t.isNull() | (t == ""), F.lit(0)).otherwise(F.size(F.split(t, r"\s+")))

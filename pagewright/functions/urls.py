@@ -43,12 +43,6 @@ def host(url) -> Column:
     return F.when(h == "", F.lit(None)).otherwise(h)
 
 
-def port(url) -> Column:
-    """Explicit port as string, NULL when absent."""
-    p = F.regexp_extract(netloc(url), r":([0-9]+)$", 1)
-    return F.when(p == "", F.lit(None)).otherwise(p)
-
-
 def registrable_domain(host_col) -> Column:
     """Last two labels, or three when the last two form a known multi-label suffix."""
     h = _col(host_col)
@@ -57,7 +51,8 @@ def registrable_domain(host_col) -> Column:
     suffixes = F.array(*[F.lit(s) for s in MULTI_LABEL_SUFFIXES])
     out = F.when(F.array_contains(suffixes, two) & (three != ""), three) \
         .when(two != "", two).otherwise(h)
-    return F.when(h.isNull(), F.lit(None)).otherwise(out)
+    address = h.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") | h.startswith("[")  # compared whole
+    return F.when(h.isNull(), F.lit(None)).when(address, h).otherwise(out)
 
 
 def _remove_dot_segments(path: Column) -> Column:

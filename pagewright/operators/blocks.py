@@ -206,7 +206,8 @@ def bm25_within(df: DataFrame, key: str, blocks_col: str, query: str, min_score:
     toks = F.transform(F.col(blocks_col), lambda x: F.struct(x["no"].alias("no"), tokens(x["text"]).alias("t")))
     d = df.select(key, toks.alias("_b"))
     n = F.size("_b").cast("double")
-    avgdl = F.aggregate(F.col("_b"), F.lit(0.0), lambda acc, x: acc + F.size(x["t"])) / n
+    # a text without blocks or words has no mean length: its blocks score 0
+    avgdl = F.try_divide(F.aggregate(F.col("_b"), F.lit(0.0), lambda acc, x: acc + F.size(x["t"])), n)
     d = d.withColumn("_n", n).withColumn("_avgdl", avgdl)
     for j, term in enumerate(terms):
         df_j = F.size(F.filter("_b", lambda x: F.array_contains(x["t"], term))).cast("double")
@@ -214,7 +215,7 @@ def bm25_within(df: DataFrame, key: str, blocks_col: str, query: str, min_score:
 
     def score(x):
         dl = F.size(x["t"]).cast("double")
-        norm_len = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.col("_avgdl"))
+        norm_len = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.coalesce(F.try_divide(dl, F.col("_avgdl")), F.lit(0.0)))
         total = F.lit(0.0)
         for j, term in enumerate(terms):
             tf = F.size(F.filter(x["t"], lambda t: t == term)).cast("double")

@@ -42,20 +42,11 @@ DEFAULT_WORD_COUNT_THRESHOLD = "10"
 CACHE_MODES = ("enabled", "bypass", "disabled", "read_only", "write_only")
 DEFAULT_CACHE_MODE = "bypass"
 
-BROADCAST_MAX_ROWS = 10_000
-
-
 def profiles_table(spark: SparkSession, profiles: dict[str, dict[str, str]] | None = None) -> DataFrame:
     rows = [(k, v) for k, v in (profiles or BUILTIN_PROFILES).items()]
     return spark.createDataFrame(rows, "name string, settings map<string,string>")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count; larger inputs take a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def check_profile(name: str | None, names: list[str]) -> None:
     """The tools refuse unknown profile names (2.11)."""
     if name is not None and name not in names:
@@ -65,14 +56,15 @@ def check_profile(name: str | None, names: list[str]) -> None:
 def overlay(requests: DataFrame, profiles: DataFrame, profile_col: str = "profile",
             overrides_col: str = "overrides") -> DataFrame:
     """SRC9 + SRC10: adds ``settings`` (applied, right wins), ``ignored_keys``,
-    ``word_count_threshold``, ``query`` and ``verbose``.
+    ``word_count_threshold``, ``query`` and ``verbose``. A threshold that is no integer is ignored
+    (the default holds) and listed among the ignored keys.
 
     A request whose profile is not in the table gets default-only settings (builder fallback).
     """
     spark = requests.sparkSession
     if spark.conf.get("spark.sql.mapKeyDedupPolicy") != "LAST_WIN":
         spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    p = broadcast_if_small(profiles)
+    p = profiles
     # the default layer is one configuration row: attach it as a literal map
     row = profiles.filter(F.col("name") == "default").select("settings").first()
     default_map = dict(row[0]) if row and row[0] else {}
@@ -86,13 +78,16 @@ def overlay(requests: DataFrame, profiles: DataFrame, profile_col: str = "profil
     valid = F.array(*[F.lit(k) for k in VALID_RUN_KEYS + FILTER_KEYS])
     r = r.withColumn("_merged", merged)
     applied = F.map_filter("_merged", lambda k, v: F.array_contains(valid, k))
-    ignored = F.array_sort(F.array_except(F.map_keys("_merged"), valid))
+    ignored = F.array_except(F.map_keys("_merged"), valid)
+    given = F.element_at(applied, F.lit("word_count_threshold"))
+    threshold = given.try_cast("int")
+    bad = F.when(given.isNotNull() & threshold.isNull(), F.array(F.lit("word_count_threshold"))).otherwise(F.array().cast("array<string>"))
+    ignored = F.array_sort(F.concat(ignored, bad))
     run = F.map_filter(applied, lambda k, v: ~k.isin(*FILTER_KEYS, "verbose"))
     return (r.withColumn("settings", F.map_concat(run, F.create_map(F.lit("verbose"), F.lit("false"))))
             .withColumn("ignored_keys", ignored)
             .withColumn("word_count_threshold",
-                        F.coalesce(F.element_at(applied, F.lit("word_count_threshold")),
-                                   F.lit(DEFAULT_WORD_COUNT_THRESHOLD)).cast("int"))
+                        F.coalesce(threshold, F.lit(int(DEFAULT_WORD_COUNT_THRESHOLD))))
             .withColumn("query", F.element_at(applied, F.lit("query")))
             .drop("_named", "_merged"))
 

@@ -25,7 +25,6 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pagewright.session import ensure_parallelism
 
 # Element classes used by the tag-soup rules.
 VOID_TAGS = frozenset(
@@ -186,6 +185,11 @@ class _TreeBuilder(HTMLParser):
         top.own.append(data)
         top.parts.append(data)
 
+    def parse_marked_section(self, i, report=1):
+        """``<![...``: html has no marked sections, so it is a bogus comment up to the next ``>``."""
+        end = self.rawdata.find(">", i + 3)
+        return -1 if end < 0 else end + 1
+
     def finish(self) -> list[_Element]:
         self.close()
         while self.stack:
@@ -198,10 +202,7 @@ def parse_html(html: str | None) -> list[_Element]:
     if not html:
         return []
     builder = _TreeBuilder(html)
-    try:
-        builder.feed(html)
-    except Exception:  # tokenizer gave up mid-document: keep what was built so far
-        pass
+    builder.feed(html)
     return builder.finish()
 
 
@@ -282,7 +283,6 @@ def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html",
     nothing is pushed through ``mapInArrow``.
     """
     src = pages.select(pages[page_id].cast("long").alias("page_id"), pages[html].alias("html"))
-    src = ensure_parallelism(src, "page_id")
     # container_text=False keeps the node table linear in the html size on deeply nested pages
     # (a container's text repeats everything below it); use it when no step reads container text.
     return src.mapInArrow(_parse_batches if container_text else _parse_batches_lean, NODE_SCHEMA)

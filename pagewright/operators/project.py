@@ -40,7 +40,7 @@ def page_links(nodes: DataFrame, pages: DataFrame, number: bool = True) -> DataF
     a = (nodes.filter((F.col("tag") == "a"))
          .select("page_id", "pre", F.col("attrs")["href"].alias("href"),
                  T.clean_str("text").alias("text"), T.clean_str(F.col("attrs")["title"]).alias("title"))
-         .filter(F.col("href").isNotNull() & (F.trim("href") != "")))
+         .filter(F.col("href").isNotNull() & (T.strip("href") != "")))
     base = pages.select("page_id", F.col("url").alias("page_url"))
     out = a.join(base, "page_id")
     out = out.withColumn("abs_url", U.resolve_url("page_url", "href"))
@@ -90,7 +90,7 @@ def page_summary(nodes: DataFrame, pages: DataFrame) -> DataFrame:
         "page_id", "pre", "tag", "text", F.col("attrs")["href"].alias("href"),
         F.lower(F.col("attrs")["name"]).alias("meta_name"), F.col("attrs")["content"].alias("meta_content"))
     rows = rows.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
-    is_link = (F.col("tag") == "a") & F.col("href").isNotNull() & (F.trim("href") != "")
+    is_link = (F.col("tag") == "a") & F.col("href").isNotNull() & (T.strip("href") != "")
     abs_url = U.resolve_url("page_url", "href")
     link_dom = U.registrable_domain(U.host(abs_url))
     internal = is_link & link_dom.isNotNull() & (link_dom == U.registrable_domain(U.host("page_url")))

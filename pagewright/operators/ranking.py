@@ -13,13 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.session import cut_lineage
+
 DEFAULT_BUCKET_ROWS = 1 << 16
 
 
 def bucketed_row_number(df: DataFrame, partition_cols: list[str], order_cols: list[Column | str],
                         bucket: Column, out: str = "rn") -> DataFrame:
     """Exact row numbers; ``bucket`` must be non-decreasing along ``order_cols``."""
-    d = df.withColumn("_bkt", bucket)
+    d = cut_lineage(df.withColumn("_bkt", bucket), "ranked")  # read by both branches below
     counts = d.groupBy(*partition_cols, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*partition_cols).orderBy("_bkt")
     offsets = counts.select(*partition_cols, "_bkt", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
@@ -34,9 +36,7 @@ def seq_bucket(seq: Column | str, width: int = DEFAULT_BUCKET_ROWS, major: Colum
     """Bucket for an integer sequence key, optionally behind a small major key (0/1 flag)."""
     s = F.col(seq) if isinstance(seq, str) else seq
     b = F.floor(s / F.lit(width)).cast("long")
-    if major is None:
-        return b
-    return major.cast("long") * F.lit(1 << 40) + b
+    return b if major is None else F.struct(major.cast("int").alias("major"), b.alias("block"))
 
 
 def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
@@ -48,7 +48,8 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
     partition). Ties across a partition boundary cannot occur: equal keys share a range.
     """
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    # written once: the split points are sampled, so a second evaluation could cut elsewhere
+    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()), "ranged")
     local = Window.partitionBy("_pid").orderBy(*order_cols)
     ranged = ranged.withColumn("_lrn", F.row_number().over(local))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -65,14 +66,9 @@ def next_in_order(df: DataFrame, key: str, out: str = "next") -> DataFrame:
     return ranked.join(nxt, "_r", "left").drop("_r")
 
 
-def top_k(df: DataFrame, order_cols: list, k: int, small_k: int = 10000) -> DataFrame:
-    """First ``k`` rows by ``order_cols``: TakeOrderedAndProject for small k, else exact ranks."""
-    if k <= small_k:
-        return df.orderBy(*order_cols).limit(k)
-    names = [c if isinstance(c, str) else None for c in order_cols]
-    if None in names:
-        raise ValueError("large top_k needs column names as the ordering")
-    return global_row_number(df, names, out="_rk").filter(F.col("_rk") <= k).drop("_rk")
+def top_k(df: DataFrame, order_cols: list[str], k: int) -> DataFrame:
+    """First ``k`` rows by the named columns, from exact distributed ranks (any k)."""
+    return global_row_number(df, order_cols, out="_rk").filter(F.col("_rk") <= k).drop("_rk")
 
 
 def bucketed_lag(df: DataFrame, keys: list[str], order_col: str, value_col: str, bucket: Column,
@@ -82,7 +78,7 @@ def bucketed_lag(df: DataFrame, keys: list[str], order_col: str, value_col: str,
     Lag is taken inside (key, bucket) pieces; the first row of a piece takes the last value of
     the previous non-empty piece from a per-piece summary (one row per piece).
     """
-    d = df.withColumn("_bkt", bucket)
+    d = cut_lineage(df.withColumn("_bkt", bucket), "lagged")
     w = Window.partitionBy(*keys, "_bkt").orderBy(order_col)
     d = d.withColumn(out, F.lag(value_col).over(w)).withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
     last = d.groupBy(*keys, "_bkt").agg(F.max_by(value_col, order_col).alias("_last"))
@@ -96,7 +92,7 @@ def bucketed_lag(df: DataFrame, keys: list[str], order_col: str, value_col: str,
 def bucketed_running_sum(df: DataFrame, keys: list[str], order_col: str, value: Column, bucket: Column,
                          out: str) -> DataFrame:
     """Exact running ``sum(value)`` (rows unbounded preceding .. current), skew-safe."""
-    d = df.withColumn("_bkt", bucket).withColumn("_v", value)
+    d = cut_lineage(df.withColumn("_bkt", bucket).withColumn("_v", value), "running")
     w = Window.partitionBy(*keys, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn(out, F.sum("_v").over(w))
     tot = d.groupBy(*keys, "_bkt").agg(F.sum("_v").alias("_t"))

@@ -8,6 +8,7 @@ crawl: the results come back with content inline and an explanatory note (SNK4).
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,7 @@ from pyspark.sql import functions as F
 from pagewright.functions.text import safe_filename
 from pagewright.session import ensure_checkpoint_dir
 
-WRITE_FAILED_FMT = ("Could not write to output_dir {dir!r} ({err}). The crawl itself succeeded, so the page "
-                    "content is returned inline below instead of being written to disk.")
+WRITE_FAILED_FMT = "Writing to {dir!r} failed: {err}. The pages were fetched; their content stays in the result rows."
 
 
 def with_file_names(results: DataFrame, url_col: str = "url") -> DataFrame:
@@ -48,10 +48,22 @@ def sink_dir(spark: SparkSession, name: str | None = None) -> str:
 
 
 def write_pages(results: DataFrame, output_dir: str, content_col: str = "content",
-                fmt: str = "parquet") -> None:
-    """SNK1 + SNK5: successful pages as ``(file, url, content)``; same names are overwritten."""
-    pages = with_file_names(results).filter(F.col("success")).select("file", "url", content_col)
-    pages.write.mode("overwrite").format(fmt).save(f"{output_dir}/pages")
+                fmt: str = "parquet", order_col: str = "rank") -> None:
+    """SNK1 + SNK5: successful pages as ``(file, url, content)``, added to the folder.
+
+    Every crawl adds a part of its own; of equal names the last one (by ``order_col`` within a
+    crawl, by time between crawls) is what ``read_pages`` shows. Other files stay.
+    """
+    named = with_file_names(results).filter(F.col("success"))
+    last = F.max_by(F.struct("url", F.col(content_col).alias("content")), F.col(order_col) if order_col in results.columns else F.lit(0))
+    pages = named.groupBy("file").agg(last.alias("p")).select("file", "p.url", F.col("p.content").alias(content_col))
+    pages.write.mode("overwrite").format(fmt).save(f"{output_dir}/pages/crawl={time.time_ns()}")
+
+
+def read_pages(spark: SparkSession, output_dir: str, content_col: str = "content", fmt: str = "parquet") -> DataFrame:
+    """``(file, url, content)`` of a folder: the latest crawl's version of each file name."""
+    parts = spark.read.format(fmt).load(f"{output_dir}/pages")
+    return parts.groupBy("file").agg(F.max_by(F.struct("url", content_col), F.col("crawl").cast("long")).alias("p")).select("file", "p.*")
 
 
 def write_manifest(results: DataFrame, output_dir: str, order_col: str = "rank") -> None:
@@ -66,11 +78,11 @@ def persist(results: DataFrame, output_dir: str, note: str | None = None,
     (SNK4) the results keep their content inline and the note gains the failure detail.
     """
     try:
-        write_pages(results, output_dir, content_col)
+        write_pages(results, output_dir, content_col, order_col=order_col)
         write_manifest(results, output_dir, order_col)
     except Exception as exc:  # any write failure: keep the crawl, explain
-        err = str(exc).strip().splitlines()[0] if str(exc).strip() else type(exc).__name__
-        detail = WRITE_FAILED_FMT.format(dir=output_dir, err=err[:200])
+        err = str(exc).strip() or type(exc).__name__
+        detail = WRITE_FAILED_FMT.format(dir=output_dir, err=err)
         return results, (f"{note} {detail}" if note else detail)
     out = with_file_names(results).withColumn(content_col, F.lit(None).cast("string"))
     return out, note

@@ -57,6 +57,20 @@ def maybe_gunzip(docs: DataFrame, col: str = "content") -> DataFrame:
     return docs.filter(~is_gz).unionByName(gz)
 
 
+def xml_text(content: str):
+    """Text of an XML document given as bytes: UTF-8 (with or without a mark) or declared Latin-1.
+
+    Bytes that are neither become a text that no XML parser accepts, so the document is reported
+    as ``not_xml`` and its siblings go on.
+    """
+    raw = F.col(content)
+    head = F.lower(F.decode(F.substring(raw, 1, 200), "ISO-8859-1"))
+    latin = head.rlike("""^[^>]*encoding=["'](iso-8859-1|latin-1|latin1|us-ascii)["']""")
+    utf8 = F.regexp_replace(F.try_validate_utf8(raw.cast("string")), "^\ufeff", "")
+    text = F.when(latin, F.decode(raw, "ISO-8859-1")).otherwise(utf8)
+    return F.when(raw.isNotNull(), F.coalesce(text, F.lit("<")))
+
+
 def parse_sitemaps(docs: DataFrame, materialize_parsed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Returns ``(status, entries)``.
 
@@ -64,9 +78,8 @@ def parse_sitemaps(docs: DataFrame, materialize_parsed: bool = False) -> tuple[D
     entries: ``(sitemap_url, is_index, pos, url)`` - cleaned, resolved, document order.
     """
     d = maybe_gunzip(docs.select("sitemap_url", "final_url", "content", "fetch_error"))
-    text = F.decode(F.col("content"), "UTF-8")
     x = d.select("sitemap_url", "final_url", "fetch_error",
-                 F.from_xml(text, XML_SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
+                 F.from_xml(xml_text("content"), XML_SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
     if materialize_parsed:  # status and entries both read it: inflate and parse once
         x = cut_lineage(x, "sitemap_parsed")
     status = x.select(
@@ -87,13 +100,6 @@ def parse_sitemaps(docs: DataFrame, materialize_parsed: bool = False) -> tuple[D
     return status, ent
 
 
-BROADCAST_LEVEL_ROWS = 200_000
-
-
-def _bounded(df: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(df) if n_rows <= BROADCAST_LEVEL_ROWS else df
-
-
 def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame | None = None,
                     entries: DataFrame | None = None) -> DataFrame:
     """SRC3/SRC4: ``(root, key array<int>, url)`` for every page URL reachable from each root."""
@@ -102,27 +108,20 @@ def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame | Non
         entries = cut_lineage(entries)
     level = roots.select("root", F.col("root").alias("sitemap_url"), F.array().cast("array<int>").alias("key"))
     seen = level.select("root", F.col("sitemap_url").alias("url"))
-    # sitemap documents per level are few compared with page entries: with an exact count in
-    # hand, the level (and the seen set) are broadcast under a bound, else shuffled
-    n_level = roots.count()
-    n_seen = n_level
     found = []
     for depth in range(MAX_SITEMAP_DEPTH + 1):
-        ents = entries.join(_bounded(level, n_level), "sitemap_url")
+        ents = entries.join(level, "sitemap_url")
         found.append(ents.filter(~F.col("is_index")).select(
             "root", F.concat("key", F.array(F.col("pos").cast("int"))).alias("key"), "url"))
         if depth >= MAX_SITEMAP_DEPTH:
             break  # an index this deep yields nothing
         kids = ents.filter("is_index").select(
             "root", F.col("url").alias("sitemap_url"), F.concat("key", F.array(F.col("pos").cast("int"))).alias("key"))
-        kids = kids.join(_bounded(seen.withColumnRenamed("url", "sitemap_url"), n_seen), ["root", "sitemap_url"],
-                         "left_anti")
+        kids = kids.join(seen.withColumnRenamed("url", "sitemap_url"), ["root", "sitemap_url"], "left_anti")
         kids = kids.groupBy("root", "sitemap_url").agg(F.min("key").alias("key"))
         level = cut_lineage(kids, "sitemap_level")
-        n_level = level.count()
-        if n_level == 0:
+        if level.isEmpty():
             break
-        n_seen += n_level
         seen = seen.unionByName(level.select("root", F.col("sitemap_url").alias("url")))
     out = found[0]
     for f in found[1:]:

@@ -35,7 +35,7 @@ START_NOTE_FMT = ("allowed_domains does not cover the start URL's own host, so l
 class CrawlSpec:
     start_url: str
     max_depth: int = 3
-    max_pages: int = 100
+    max_pages: int | None = 100  # None: no page budget
     scope: str = "same-domain"
     strategy: str = "bfs"
     relevance_keywords: list[str] | None = None
@@ -48,7 +48,7 @@ class CrawlSpec:
     def validate(self) -> None:
         check_choice("scope", self.scope, SCOPES)          # exact match, not normalised
         check_choice("strategy", self.strategy, STRATEGIES)
-        if self.max_pages < 1 or self.max_depth < 0:
+        if (self.max_pages is not None and self.max_pages < 1) or self.max_depth < 0:
             raise ValueError("max_pages must be >= 1 and max_depth >= 0")
 
 
@@ -100,34 +100,23 @@ def keyword_score(url: Column, keywords: list[str] | None) -> Column:
     return (hits / F.lit(float(len(kws)))).cast("double")
 
 
-# A frontier/level whose row count is known to be at most this many rows is broadcast, so the
-# (large) edge and snapshot tables are streamed instead of shuffled; larger levels shuffle.
-BROADCAST_LEVEL_ROWS = 200_000
-
-
-def _bounded(df: DataFrame, n_rows: int | None) -> DataFrame:
-    return F.broadcast(df) if n_rows is not None and n_rows <= BROADCAST_LEVEL_ROWS else df
-
-
-def _fetch(level: DataFrame, snapshots: DataFrame, n_rows: int | None = None) -> DataFrame:
+def _fetch(level: DataFrame, snapshots: DataFrame) -> DataFrame:
     snap = snapshots.select(F.col("url").alias("_u"), F.col("success").alias("_s"))
-    lv = _bounded(level, n_rows)
-    return snap.join(lv, lv["url"] == snap["_u"], "right") \
+    return snap.join(level, level["url"] == snap["_u"], "right") \
         .withColumn("success", F.coalesce(F.col("_s"), F.lit(False))).drop("_u", "_s")
 
 
-def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: DataFrame,
-            n_frontier: int | None = None, n_visited: int | None = None) -> DataFrame:
+def _expand(frontier: DataFrame, edges: DataFrame, spec: CrawlSpec, visited: DataFrame) -> DataFrame:
     """Candidates one hop from the successful frontier, filtered, unvisited, one parent each."""
     src = frontier.filter("success").select(F.col("url").alias("src"), F.col("key").alias("pkey"), "depth")
     e = edges.select("src", "dst", "pos")
-    cand = e.join(_bounded(src, n_frontier), "src")
+    cand = e.join(src, "src")
     is_ext = (F.coalesce(U.registrable_domain(U.host(F.col("dst"))), F.lit("")) !=
               F.coalesce(U.registrable_domain(U.host(F.col("src"))), F.lit(""))).cast("int")
     cand = cand.filter(link_filter(spec, F.col("dst"))).select(
         F.col("dst").alias("url"), F.col("src").alias("parent_url"), (F.col("depth") + 1).alias("depth"),
         F.concat("pkey", F.array(is_ext, F.col("pos").cast("int"))).alias("key"))
-    cand = cand.join(_bounded(visited, n_visited), "url", "left_anti")
+    cand = cand.join(visited, "url", "left_anti")
     best = cand.groupBy("url").agg(F.min_by(F.struct("parent_url", "depth", "key"), "key").alias("b"))
     return best.select("url", "b.parent_url", "b.depth", "b.key")
 
@@ -139,7 +128,7 @@ def _counts(df: DataFrame) -> tuple[int, int]:
 
 
 def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: CrawlSpec) -> DataFrame:
-    """Result rows ``(url, depth, parent_url, success, score, key)``; at most max_pages rows."""
+    """Result rows ``(url, depth, parent_url, success, score, key)``; at most max_pages rows, if given."""
     spec.validate()
     # the graph and the fetch outcome per URL are read once per level: compute them once
     edges = materialize(edges.select("src", "dst", "pos"), "edges")
@@ -147,44 +136,42 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
     start = spark.createDataFrame([(spec.start_url,)], "url string").select(
         "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url"),
         F.array().cast("array<int>").alias("key"))
-    level = cut_lineage(_fetch(start, snapshots, 1))  # depth 0 bypasses every filter (TRV9)
+    level = cut_lineage(_fetch(start, snapshots))  # depth 0 bypasses every filter (TRV9)
     levels = [level]
     visited = level.select("url")
-    n_level, n_success = _counts(level)
-    n_visited = n_level
+    _, n_success = _counts(level)
     if spec.strategy == "bfs":
         for _ in range(spec.max_depth):
-            remaining = spec.max_pages - n_success
-            if remaining <= 0:
+            remaining = None if spec.max_pages is None else spec.max_pages - n_success
+            if remaining is not None and remaining <= 0:
                 break
             # one job per level: expand, filter, dedupe, fetch -> checkpoint; then one count
-            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited, n_level, n_visited), snapshots))
+            nxt = cut_lineage(_fetch(_expand(level, edges, spec, visited), snapshots))
             n_rows, n_ok = _counts(nxt)
             if n_rows == 0:
                 break
-            if n_rows > remaining:  # frontier cut to the remaining budget, in frontier order
+            if remaining is not None and n_rows > remaining:  # frontier cut to the remaining budget, in frontier order
                 nxt = cut_lineage(top_k(nxt, ["key"], remaining))
                 n_rows, n_ok = _counts(nxt)
-            level, n_level = nxt, n_rows
+            level = nxt
             levels.append(level)
             visited = visited.unionByName(level.select("url"))
-            n_visited += n_rows
             n_success += n_ok
         out = levels[0]
         for lv in levels[1:]:
             out = out.unionByName(lv)
         out = out.withColumn("score", F.lit(None).cast("double"))
-        return top_k(out, ["depth", "key"], spec.max_pages)
+        return out if spec.max_pages is None else top_k(out, ["depth", "key"], spec.max_pages)
     # best-first: a scored pool of discovered URLs; each round crawls the best batch
     score = lambda c: keyword_score(c, spec.relevance_keywords)
     crawled = level.withColumn("score", score(F.col("url")))
-    pool = cut_lineage(_expand(level, edges, spec, visited, 1).withColumn("score", score(F.col("url"))))
+    pool = cut_lineage(_expand(level, edges, spec, visited).withColumn("score", score(F.col("url"))))
     results = [crawled]
     n_rows = 1
-    while n_rows < spec.max_pages:
-        take = min(spec.batch_size, spec.max_pages - n_rows)
+    while spec.max_pages is None or n_rows < spec.max_pages:
+        take = spec.batch_size if spec.max_pages is None else min(spec.batch_size, spec.max_pages - n_rows)
         batch = pool.orderBy(F.desc("score"), "depth", "key").limit(take)
-        batch = cut_lineage(_fetch(batch, snapshots, take))  # at most batch_size rows
+        batch = cut_lineage(_fetch(batch, snapshots))  # at most batch_size rows
         got = batch.count()
         if got == 0:
             break
@@ -193,7 +180,7 @@ def crawl(spark: SparkSession, edges: DataFrame, snapshots: DataFrame, spec: Cra
         visited = visited.unionByName(batch.select("url"))
         rest = pool.join(batch.select("url"), "url", "left_anti")
         deeper = batch.filter(F.col("depth") < spec.max_depth)
-        new = _expand(deeper, edges, spec, visited.unionByName(rest.select("url")), take)
+        new = _expand(deeper, edges, spec, visited.unionByName(rest.select("url")))
         pool = cut_lineage(rest.unionByName(new.withColumn("score", score(F.col("url")))))
     out = results[0]
     for r in results[1:]:

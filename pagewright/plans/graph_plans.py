@@ -16,7 +16,6 @@ from pagewright.sources.graph import first_page_url, site_graph
 from pagewright.sources.tables import snapshots
 
 MAX_DEPTH = 6
-UNBOUNDED_PAGES = 1_000_000
 
 
 def _graph_sql(filter_sql: str = "TRUE") -> str:
@@ -63,7 +62,7 @@ def _out(res):
 SELECT url, CAST(depth AS BIGINT) AS depth, parent_url FROM walk
 """)
 def bfs_levels(spark, sf_dir):
-    res, _ = _run(spark, sf_dir, max_pages=UNBOUNDED_PAGES, scope="any")
+    res, _ = _run(spark, sf_dir, max_pages=None, scope="any")
     return _out(res)
 
 
@@ -79,7 +78,7 @@ def bfs_budget(spark, sf_dir):
 SELECT CAST(depth AS BIGINT) AS depth, CAST(count(*) AS BIGINT) AS pages FROM walk GROUP BY 1
 """)
 def crawl_depth_summary(spark, sf_dir):
-    res, _ = _run(spark, sf_dir, max_pages=UNBOUNDED_PAGES, scope="any")
+    res, _ = _run(spark, sf_dir, max_pages=None, scope="any")
     return depth_summary(res).select(F.col("depth").cast("long").alias("depth"), "pages")
 
 
@@ -90,7 +89,7 @@ START_DOM = f"(SELECT {S.regdom(S.host('url'))} FROM start)"
 SELECT url, CAST(depth AS BIGINT) AS depth, parent_url FROM walk
 """)
 def scope_filters(spark, sf_dir):
-    res, _ = _run(spark, sf_dir, max_pages=UNBOUNDED_PAGES, scope="same-domain")
+    res, _ = _run(spark, sf_dir, max_pages=None, scope="same-domain")
     return _out(res)
 
 
@@ -117,7 +116,7 @@ FROM walk
 """)
 def domain_filters(spark, sf_dir):
     from pagewright.operators.traverse import start_note
-    res, spec = _run(spark, sf_dir, max_pages=UNBOUNDED_PAGES, allowed_domains=ALLOWED, blocked_domains=BLOCKED)
+    res, spec = _run(spark, sf_dir, max_pages=None, allowed_domains=ALLOWED, blocked_domains=BLOCKED)
     note = start_note(spark, spec)
     return _out(res).withColumn("note", F.lit(note).cast("string"))
 
@@ -126,7 +125,7 @@ def domain_filters(spark, sf_dir):
 SELECT url, CAST(depth AS BIGINT) AS depth, parent_url FROM walk
 """)
 def glob_filters(spark, sf_dir):
-    res, _ = _run(spark, sf_dir, max_pages=UNBOUNDED_PAGES, scope="any", include_pattern="*/en/*",
+    res, _ = _run(spark, sf_dir, max_pages=None, scope="any", include_pattern="*/en/*",
                   exclude_pattern="*page=2*")
     return _out(res)
 

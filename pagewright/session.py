@@ -40,7 +40,9 @@ def get_spark(master: str | None = None, app: str = "pagewright", shuffle_partit
     if master or not SparkConf().contains("spark.master"):
         builder = builder.master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    local = (master or SparkConf().get("spark.master", "local")).startswith("local")
+    if shuffle_partitions or local:  # on a cluster the launcher's setting holds
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
     conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
@@ -82,19 +84,6 @@ def cut_lineage(df: DataFrame, name: str = "level") -> DataFrame:
     return materialize(df, name)
 
 
-def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-distribute a scan that came back in too few splits (tiny test files).
-
-    At cluster scale the scan already has thousands of splits and this is a no-op, so the
-    (expensive) html shuffle only happens when the input is small.
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

@@ -8,22 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import urls
-from pagewright.session import ensure_parallelism
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
 
-# Text-heavy tables: per-row work is expensive, so a scan that yields too few splits (one small
-# file, one row group) is spread over the cores. A no-op at cluster scale.
+# Text-heavy tables: per-row work is expensive, so a table of a few MB (one row group, one split)
+# is spread over the cores. Decided on the plan's file sizes; larger tables have splits enough.
+SPREAD_BELOW_BYTES = 64 << 20
 _SPREAD = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; column pruning and filters push into the parquet scan."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if name in _SPREAD:
-        df = ensure_parallelism(df, _SPREAD[name])
+    if name in _SPREAD and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SPREAD_BELOW_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism, _SPREAD[name])
     return df
 
 

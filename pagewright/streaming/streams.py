@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +36,22 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     return df
 
 
-def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batch=None) -> DataFrame:
-    """Run a streaming query to completion (availableNow) and read its sink back as a batch table."""
+def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batch=None,
+                location: str | None = None) -> DataFrame:
+    """Run a streaming query to completion (availableNow) and read its sink back as a batch table.
+
+    ``location`` is the query's own folder (output and checkpoint): a restarted query that names it
+    again resumes where it stopped, and a replayed batch overwrites its first attempt. Without it
+    the query starts afresh.
+    """
     spark = stream.sparkSession
-    base = sink_dir(spark, f"stream-{name}-{os.urandom(6).hex()}")
+    base = location or sink_dir(spark, f"stream-{name}-{os.urandom(6).hex()}")
     out = f"{base}/out"
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint") \
         .trigger(availableNow=True)
     if foreach_batch is not None:
         def fb(df, batch_id):
-            foreach_batch(df, batch_id).write.mode("append").parquet(out)
+            foreach_batch(df, batch_id).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
         q = w.foreachBatch(fb).start()
     else:
         q = w.format("parquet").option("path", out).start()
@@ -52,9 +59,12 @@ def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batc
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     try:
-        return spark.read.parquet(out)
-    except Exception:  # no rows were ever written: empty result with the stream's schema
-        return spark.createDataFrame([], stream.schema)
+        found = spark.read.parquet(out)
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], stream.schema)  # no batch ever ran
+    return found.drop("part") if foreach_batch is not None else found
 
 
 def page_results_stream(pages_stream: DataFrame) -> DataFrame:
@@ -79,8 +89,9 @@ def heartbeat(events: DataFrame) -> DataFrame:
     return run_to_sink(agg, "heartbeat")
 
 
-def dedup_urls(fetches: DataFrame, delay: str = "31 days") -> DataFrame:
-    """STR3: each URL at most once (state bounded by the watermark delay)."""
+def dedup_urls(fetches: DataFrame, delay: str) -> DataFrame:
+    """STR3: each URL at most once within ``delay``: how late a repeat may come, and how long a URL
+    is held in state. A URL seen again after that counts as new."""
     d = fetches.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["url"])
     return run_to_sink(d.select("url", "ts"), "dedup")
 

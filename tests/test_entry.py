@@ -1,5 +1,7 @@
 """Driver contract: entry() runs, every oracle has a query, column names agree on sf0.001."""
 
+import re
+
 import duckdb
 
 import __spark_entry__ as E
@@ -16,7 +18,8 @@ def test_entry_smoke(spark):
 def test_registry_consistent():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs) and len(qs) >= 55
-    assert set(qs) - set(sqls) == {"best_first"}
+    corpus = {n for n in qs if n == "pipeline" or re.match(r"op\d+_", n)}  # tested in tests/llm
+    assert set(qs) - set(sqls) - corpus == {"best_first"}
 
 
 def test_oracles_run_and_columns_match(spark):

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import safe_filename
-from pagewright.operators.sinks import manifest, persist, sink_dir, with_file_names
+from pagewright.operators.sinks import manifest, persist, read_pages, sink_dir, with_file_names
 
 
 def _names(spark, urls):
@@ -52,7 +52,7 @@ def test_persist_overwrites_and_returns_file(spark):
     for _ in range(2):
         out, note = persist(res, out_dir)
         assert note is None
-    back = spark.read.parquet(f"{out_dir}/pages").collect()
+    back = read_pages(spark, out_dir).collect()
     assert [(r.url, r.content) for r in back] == [("https://e.com/a", "A")]
     assert out.filter("success").first().content is None and out.filter("success").first().file
 
@@ -63,5 +63,5 @@ def test_unwritable_dir_keeps_content_and_note(spark):
     with open(blocker, "w") as f:
         f.write("x")
     out, note = persist(res, f"file:{blocker}/sub", note="earlier note")
-    assert note.startswith("earlier note Could not write to output_dir")
+    assert note.startswith("earlier note Writing to")
     assert out.first().content == "A"

@@ -23,7 +23,7 @@ def test_stream_sessions_equal_closed_batch_sessions(spark):
 
 def test_stream_dedup_and_patterns(spark):
     ev = ST.stream_table(spark, SF, "events")
-    urls = ST.dedup_urls(ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), "ts"))
+    urls = ST.dedup_urls(ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), "ts"), delay="31 days")
     assert urls.count() == table(spark, SF, "events").select("user_id").distinct().count()
     specs = resolve_patterns(spark, ["email", "number"])
     streamed = ST.stream_patterns(ST.stream_table(spark, SF, "documents"), specs)
