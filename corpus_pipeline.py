@@ -6,6 +6,8 @@ and rereads as the next stage's ``docs``; all but the last return the columns of
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,27 +16,41 @@ from pagewright.llm.queries import read
 from pagewright.session import apply_query_conf, materialize
 
 
+def _configured(stage):
+    """Every stage brings the session to the settings the operators assume (small Arrow batches)."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_query_conf(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+@_configured
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     return toxicity.clean(docs, toxicity.trained(docs, read(spark, sf_dir, "labels")))
 
 
+@_configured
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later runs of repeated lines are deleted; a document with no line left goes."""
     out = linededup.clean(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@_configured
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the least doc_id) of each group of near duplicates stays."""
     return minhash.one_of_each(docs)
 
 
+@_configured
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
+@_configured
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all pieces in sequences of at most 2048 tokens."""
     return packing.pack(docs)
@@ -53,7 +69,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_query_conf(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

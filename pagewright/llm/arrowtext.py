@@ -212,15 +212,17 @@ def segment_sum(v: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def regrouped(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.Table]:
-    """Join small Arrow batches into tables of about ``size`` bytes (one batch at least)."""
+    """Arrow tables of about ``size`` bytes: small batches joined, large ones cut (by rows)."""
     held, total = [], 0
     for b in batches:
-        if b.num_rows:
-            held.append(b)
-            total += b.nbytes
-        if total >= size:
-            yield pa.Table.from_batches(held)
-            held, total = [], 0
+        step = max(1, b.num_rows * size // max(b.nbytes, 1))
+        for a in range(0, b.num_rows, step):
+            part = b.slice(a, step)
+            held.append(part)
+            total += part.nbytes
+            if total >= size:
+                yield pa.Table.from_batches(held)
+                held, total = [], 0
     if held:
         yield pa.Table.from_batches(held)
 

@@ -61,7 +61,7 @@ def sequences(col) -> tuple[np.ndarray, np.ndarray]:
 def contexts(tokens: np.ndarray, off: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per length k: hash of the k tokens before each place, and whether the text has so many."""
     at = np.arange(len(tokens)) - np.repeat(off[:-1], np.diff(off))
-    out, h, power = [], np.zeros(len(tokens), _U), _U(1)
+    out, h, power = [], np.zeros(len(tokens), _U), np.ones(1, _U)
     for k in range(1, depth + 1):
         h = h.copy()
         h[k:] += tokens[:len(tokens) - k] * power
