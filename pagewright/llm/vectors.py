@@ -23,11 +23,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm.arrowtext import regrouped
 from pagewright.llm.components import connected_components
 from pagewright.session import materialize
 
@@ -117,20 +117,17 @@ def hashed(classes: DataFrame) -> DataFrame:
     return out
 
 
-def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
+def _compare(t: int, bucket: int, one_block: bool, ids, copies, block, own, v, c) -> list[tuple]:
     """Links inside one pair of blocks of a bucket: counts per vector and a spanning forest."""
-    t = int(pdf["t"].iat[0])
-    ids, copies, block, own = (pdf[c].to_numpy() for c in ("vec_id", "copies", "block", "own"))
-    v = np.array(pdf["v"].tolist())
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    c = np.array(pdf["codes"].tolist()).reshape(len(pdf), TABLES, 1 + PROBES)
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
     link = v @ v.T >= THRESHOLD
     link &= own[:, None] | own[None, :]
-    if pdf["x"].iat[0] != pdf["y"].iat[0]:
+    if not one_block:
         link &= block[:, None] != block[None, :]
     a, b = np.nonzero(np.triu(link, 1))
+    if not len(a):
+        return []
     first = np.ones(len(a), dtype=bool)  # no earlier meeting place of the two
-    bucket = int(pdf["bucket"].iat[0])
     for u in range(t + 1):
         for p in range(1 + PROBES):
             for left, right in ((a, b), (b, a)):
@@ -148,8 +145,43 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
         if label[i] != label[j]:
             label[label == label[j]] = label[i]
             out.append((int(ids[i]), 0, int(ids[j])))
-    frame = pd.DataFrame(out, columns=["vec_id", "n", "other"])
-    return frame.astype({"vec_id": "int64", "n": "int64", "other": "Int64"})
+    return out
+
+
+GROUP = ("label", "dim", "t", "bucket", "x", "y")
+
+
+def compared(members: DataFrame) -> DataFrame:
+    """``vec_id, n, other`` of all block pairs: rows sorted by group, many groups to a batch."""
+    def groups(t: pa.Table) -> tuple[pa.RecordBatch, int]:
+        """The links of all groups but the last, and where the last begins."""
+        key = np.stack([t.column(k).to_numpy().astype(np.int64) for k in GROUP], 1)
+        cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        ids, copies, block, own = (t.column(k).to_numpy() for k in ("vec_id", "copies", "block", "own"))
+        out = []
+        for a, b in zip(np.concatenate([[0], cut]).tolist(), cut.tolist(), strict=False):
+            if b - a > 1:
+                v = t.column("v").slice(a, b - a).combine_chunks().flatten().to_numpy().reshape(b - a, -1)
+                c = t.column("codes").slice(a, b - a).combine_chunks().flatten().to_numpy().reshape(b - a, TABLES, 1 + PROBES)
+                at = slice(a, b)
+                out += _compare(int(key[a, 2]), int(key[a, 3]), bool(key[a, 4] == key[a, 5]), ids[at], copies[at], block[at], own[at], v, c)
+        cols = [pa.array([o[i] for o in out], pa.int64()) for i in range(3)]
+        return pa.RecordBatch.from_arrays(cols, names=["vec_id", "n", "other"]), int(cut[-1]) if len(cut) else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for t in regrouped(batches):
+            t = pa.concat_tables([held, t]) if held is not None else t
+            t = t.combine_chunks()
+            links, last = groups(t)
+            yield links
+            held = t.slice(last)
+        if held is not None:
+            end = held.slice(0, 1).set_column(held.column_names.index("label"), "label", pa.array([-(1 << 31)], held.schema.field("label").type))
+            yield groups(pa.concat_tables([held, end]).combine_chunks())[0]
+
+    ordered = members.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return ordered.mapInArrow(run, "vec_id long, n long, other long")
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -173,7 +205,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     m = m.select(*key, F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block",
                  (F.col("probe") == 0).alias("own"), "vec_id", "copies", "v", "codes")
-    found = materialize(m.groupBy(*key, "x", "y").applyInPandas(_compare, "vec_id long, n long, other long"), "found")
+    found = materialize(compared(m), "found")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     comp = materialize(connected_components(found.where("other IS NOT NULL").select(F.col("vec_id").alias("u"), F.col("other").alias("v"))), "components")
     named = (classes.select("label", "h", "h2", "copies", "vec_id").join(counts, "vec_id", "left")
