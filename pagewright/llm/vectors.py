@@ -1,21 +1,26 @@
 """Embedding near-duplicates by cross-polytope hashing (dealt operator 9).
 
 A vector is turned by three rounds of random signs and a fast Walsh-Hadamard transform; its hash is
-the axis of largest absolute value, with its sign. ``PARTS`` independent turns form the code of one
-table, ``TABLES`` tables are kept. *Multiprobe*: besides its own bucket a vector visits those whose
-code swaps the closest runner-up axes in. Candidates that meet in a bucket are verified by their
-cosine in double precision.
+the axis of largest absolute value, with its sign. ``TABLES`` tables are kept, each of two turns: the
+first names the *cell* a vector is sent to, the second its bucket inside the cell. *Multiprobe*:
+besides its own bucket a vector visits those of its runner-up axes, ``VISITS`` in all; since they lie
+in the same cell, a probe costs no copy of the vector in the shuffle. Candidates that meet in a
+bucket are verified by their cosine in double precision.
 
-Vectors equal in label and components are one class (pre-aggregated); classes are hashed, copies
-are counted by their class's multiplicity. A bucket is cut into blocks of bounded size and a task
-compares two blocks by a matrix product. A pair that meets in several buckets counts in the first
-one only (found from the two codes), so tasks return one count per vector and links of a spanning
-forest, not the pairs.
+Vectors equal in label and components are one class; only its least vec_id is hashed, copies count
+by the class's multiplicity. The classes of two and more are found from narrow rows of hashes and
+broadcast up to ``BROADCAST_CLASSES`` rows (a shuffle join beyond), so vectors need no shuffle for it. A cell of more than ``CELL_ROWS`` rows is dealt by bucket,
+and a bucket of more is cut into blocks whose pairs are compared by a task each (the same candidates,
+so the layout changes no result). A pair that meets in several buckets counts in the first one only
+(found from the two codes), so tasks return one count per vector and edges of the components, not
+the pairs.
 
 Defined cases: NULL labels, NULL or zero vectors, NULL, NaN or infinite components link with nothing
 (n_links 0, own component); vectors of different lengths are compared only with their equals;
-repeated rows of a vec_id count as vectors of their own; a NULL vec_id has component NULL and
-stays; empty tables give empty results; other columns are ignored.
+repeated rows of a vec_id count as vectors of
+their own (with other components they share their links); a NULL vec_id has component NULL and
+stays; empty tables give empty results; other columns are ignored. Vectors have up to 16,384
+components (axes are kept in 16 bits).
 """
 
 from __future__ import annotations
@@ -32,8 +37,9 @@ from pagewright.llm.components import connected_components
 from pagewright.session import materialize
 
 THRESHOLD = 0.93
-TABLES, PARTS, PROBES = 8, 2, 4
-BLOCK_ROWS = 512
+TABLES, VISITS = 4, 4
+CELL_ROWS, TILE = 65_536, 2_048
+BROADCAST_CLASSES = 500_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -54,38 +60,15 @@ def turned(x: np.ndarray, turn: int) -> np.ndarray:
 
 
 def codes(x: np.ndarray) -> np.ndarray:
-    """``(rows, TABLES, 1 + PROBES)`` bucket codes: the own one first, then the probes, nearest first."""
+    """``(rows, TABLES, 1 + VISITS)`` axes: the cell of each table, then the buckets visited inside it, nearest first."""
     dim = 1 << max(1, int(x.shape[1] - 1).bit_length())
     x = np.pad(x, ((0, 0), (0, dim - x.shape[1])))
-    out = np.empty((len(x), TABLES, 1 + PROBES), np.int64)
-    rows = np.arange(len(x))
+    out = np.full((len(x), TABLES, 1 + VISITS), -1, np.int16)
     for t in range(TABLES):
-        axes, loss = [], []
-        for p in range(PARTS):
-            y = turned(x, t * PARTS + p)
-            top = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :1 + PROBES]
-            size = np.take_along_axis(np.abs(y), top, 1)
-            axes.append(top * 2 + (np.take_along_axis(y, top, 1) < 0))
-            loss.append((size[:, :1] - size) ** 2)
-        steps, cost = [], []
-        for p in range(PARTS):  # one part moves to a runner-up
-            for r in range(1, 1 + PROBES):
-                steps.append(tuple(r if q == p else 0 for q in range(PARTS)))
-                cost.append(loss[p][:, r])
-        steps.append((1,) * PARTS)  # both move to the second
-        cost.append(sum(x_[:, 1] for x_ in loss))
-        best = np.argsort(np.stack(cost, 1), axis=1, kind="stable")[:, :PROBES]
-        table = np.array(steps)
-
-        def code(choice, axes=axes):
-            c = np.zeros(len(x), np.int64)
-            for p in range(PARTS):
-                c = c * (2 * dim) + axes[p][rows, choice[:, p]]
-            return c
-
-        out[:, t, 0] = code(np.zeros((len(x), PARTS), int))
-        for k in range(PROBES):
-            out[:, t, 1 + k] = code(table[best[:, k]])
+        for part, n in ((0, 1), (1, VISITS)):
+            y = turned(x, 2 * t + part)
+            top = np.argsort(-np.abs(y), axis=1, kind="stable")[:, :n]
+            out[:, t, part:part + top.shape[1]] = top * 2 + (np.take_along_axis(y, top, 1) < 0)
     return out
 
 
@@ -95,124 +78,183 @@ def _usable(v: str):
     return F.col(v).isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
+def _vectors(column, dtype) -> np.ndarray:
+    """Vectors of one length, kept as bytes, as rows of doubles."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), dtype=dtype).reshape(len(rows), -1).astype(np.float64)
+
+
 def hashed(classes: DataFrame) -> DataFrame:
-    """One row per class, table and visited bucket; every row carries the vector and all codes."""
+    """One row per class: the vector as bytes of its own precision, and its axes in all tables."""
+    dtype = np.float32 if classes.schema["v"].dataType.elementType.typeName() == "float" else np.float64
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            v = np.array(b.column("v").to_pylist(), dtype=np.float64)
-            c = codes(v / np.linalg.norm(v, axis=1, keepdims=True)).reshape(len(v), -1)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("label"), b.column("dim"), b.column("copies"), b.column("v"),
-                                              pa.array(list(c), pa.list_(pa.int64()))],
-                                             names=["vec_id", "label", "dim", "copies", "v", "codes"])
-
-    parts = []
-    for (dim,) in classes.select("dim").distinct().collect():  # vector lengths: a handful
-        one = classes.where(F.col("dim") == dim)
-        parts.append(one.mapInArrow(run, "vec_id long, label int, dim int, copies long, v array<double>, codes array<long>"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            dims = b.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = b.filter(pa.array(dims == dim))
+                v = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(part.num_rows, dim)
+                x = v.astype(np.float64)
+                c = codes(x / np.linalg.norm(x, axis=1, keepdims=True)).reshape(len(v), -1)
+                axes = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1) * c.shape[1], pa.int32()), pa.array(c.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("label"), part.column("dim"), part.column("copies"),
+                                                  pa.array([r.tobytes() for r in v], pa.binary()), axes],
+                                                 names=["vec_id", "label", "dim", "copies", "v", "codes"])
+
+    return classes.mapInArrow(run, "vec_id long, label int, dim int, copies long, v binary, codes array<short>")
+
+
+def _stars(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple]:
+    """``(vec_id, 0, vec_id)`` edges that join what the links of a tile join, by breadth-first search."""
+    out = []
+    todo = link.any(1)
+    for seed in np.flatnonzero(todo).tolist():
+        if not todo[seed]:
+            continue
+        rows, cols = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        new = np.array([seed])
+        while len(new):
+            rows[new] = True
+            reached = link[new].any(0) & ~cols
+            cols |= reached
+            new = np.flatnonzero(link[:, reached].any(1) & ~rows)
+        todo &= ~rows
+        members = np.unique(np.concatenate([left[rows], right[cols]]))
+        out += [(int(members[0]), 0, int(m)) for m in members[1:]]
     return out
 
 
-def _compare(t: int, bucket: int, one_block: bool, ids, copies, block, own, v, c) -> list[tuple]:
-    """Links inside one pair of blocks of a bucket: counts per vector and a spanning forest."""
-    v = v / np.linalg.norm(v, axis=1, keepdims=True)
-    link = v @ v.T >= THRESHOLD
-    link &= own[:, None] | own[None, :]
-    if not one_block:
-        link &= block[:, None] != block[None, :]
-    a, b = np.nonzero(np.triu(link, 1))
-    if not len(a):
-        return []
-    first = np.ones(len(a), dtype=bool)  # no earlier meeting place of the two
+def _first(c: np.ndarray, a: np.ndarray, b: np.ndarray, t: int, sub: int) -> np.ndarray:
+    """Which of the pairs ``a, b`` meet in no earlier table, nor in a smaller bucket of table ``t``."""
+    first = np.ones(len(a), dtype=bool)
     for u in range(t + 1):
-        for p in range(1 + PROBES):
-            for left, right in ((a, b), (b, a)):
-                meets = c[left, u, p] == c[right, u, 0]
-                if u == t:
-                    meets &= c[left, u, p] < bucket
-                first &= ~meets
-    a, b = a[first], b[first]
+        same = c[a, u, 0] == c[b, u, 0]
+        for i in range(1, 1 + VISITS):
+            x = c[a, u, i]
+            for j in range(1, 1 + VISITS):
+                meets = same & (x == c[b, u, j]) & (x >= 0)
+                first &= ~(meets & (x < sub) if u == t else meets)
+    return first
+
+
+def _compare(t: int, sub: int, one_block: bool, ids, copies, block, v, c) -> list[tuple]:
+    """Links inside one bucket, tile by tile: counts per vector and edges of the components."""
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
     total = np.zeros(len(ids), np.int64)
-    np.add.at(total, a, copies[b])
-    np.add.at(total, b, copies[a])
-    label = np.arange(len(ids))
-    out = [(int(ids[i]), int(n), None) for i, n in enumerate(total) if n]
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        if label[i] != label[j]:
-            label[label == label[j]] = label[i]
-            out.append((int(ids[i]), 0, int(ids[j])))
-    return out
+    out = []
+    for i in range(0, len(ids), TILE):
+        for j in range(i, len(ids), TILE):
+            link = v[i:i + TILE] @ v[j:j + TILE].T >= THRESHOLD
+            if not one_block:
+                link &= block[i:i + TILE, None] != block[None, j:j + TILE]
+            if i == j:
+                link = np.triu(link, 1)
+            a, b = np.nonzero(link)
+            if not len(a):
+                continue
+            out += _stars(link, ids[i:i + TILE], ids[j:j + TILE])
+            keep = _first(c, a + i, b + j, t, sub)
+            a, b = a[keep] + i, b[keep] + j
+            total += np.bincount(a, weights=copies[b], minlength=len(ids)).astype(np.int64)
+            total += np.bincount(b, weights=copies[a], minlength=len(ids)).astype(np.int64)
+    return out + [(int(ids[i]), int(total[i]), None) for i in np.flatnonzero(total).tolist()]
 
 
-GROUP = ("label", "dim", "t", "bucket", "x", "y")
+GROUP = ("label", "dim", "t", "cell", "sub", "x", "y")
 
 
-def compared(members: DataFrame) -> DataFrame:
-    """``vec_id, n, other`` of all block pairs: rows sorted by group, many groups to a batch."""
-    def groups(t: pa.Table) -> tuple[pa.RecordBatch, int]:
-        """The links of all groups but the last, and where the last begins."""
-        key = np.stack([t.column(k).to_numpy().astype(np.int64) for k in GROUP], 1)
-        cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-        ids, copies, block, own = (t.column(k).to_numpy() for k in ("vec_id", "copies", "block", "own"))
+def compared(members: DataFrame, dtype) -> DataFrame:
+    """``vec_id, n, other`` of all cells and block pairs: rows sorted by group, many groups to a batch."""
+    def links(g: pa.Table, t: int, sub: int, one_block: bool) -> list[tuple]:
+        ids, copies, block = (g.column(k).to_numpy() for k in ("vec_id", "copies", "block"))
+        v = _vectors(g.column("v"), dtype)
+        c = g.column("codes").combine_chunks().flatten().to_numpy().reshape(len(ids), TABLES, 1 + VISITS)
+        if sub >= 0:
+            return _compare(t, sub, one_block, ids, copies, block, v, c)
         out = []
-        for a, b in zip(np.concatenate([[0], cut]).tolist(), cut.tolist(), strict=False):
-            if b - a > 1:
-                v = t.column("v").slice(a, b - a).combine_chunks().flatten().to_numpy().reshape(b - a, -1)
-                c = t.column("codes").slice(a, b - a).combine_chunks().flatten().to_numpy().reshape(b - a, TABLES, 1 + PROBES)
-                at = slice(a, b)
-                out += _compare(int(key[a, 2]), int(key[a, 3]), bool(key[a, 4] == key[a, 5]), ids[at], copies[at], block[at], own[at], v, c)
-        cols = [pa.array([o[i] for o in out], pa.int64()) for i in range(3)]
-        return pa.RecordBatch.from_arrays(cols, names=["vec_id", "n", "other"]), int(cut[-1]) if len(cut) else 0
+        visits = c[:, t, 1:]
+        row = np.repeat(np.arange(len(ids)), VISITS)
+        order = np.argsort(visits.ravel(), kind="stable")
+        bucket, starts = np.unique(visits.ravel()[order], return_index=True)
+        for s, a, b in zip(bucket.tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
+            if s >= 0 and b - a > 1:
+                at = row[order[a:b]]
+                out += _compare(t, s, True, ids[at], copies[at], block[at], v[at], c[at])
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.Table] = []  # rows of the group that is still open
+        open_key = None
+
+        def closed() -> pa.RecordBatch:
+            out = []
+            if sum(h.num_rows for h in held) > 1:
+                _, _, t, _, sub, x, y = open_key
+                out = links(pa.concat_tables(held), t, sub, x == y)
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], names=["vec_id", "n", "other"])
+
         for t in regrouped(batches):
-            t = pa.concat_tables([held, t]) if held is not None else t
-            t = t.combine_chunks()
-            links, last = groups(t)
-            yield links
-            held = t.slice(last)
-        if held is not None:
-            end = held.slice(0, 1).set_column(held.column_names.index("label"), "label", pa.array([-(1 << 31)], held.schema.field("label").type))
-            yield groups(pa.concat_tables([held, end]).combine_chunks())[0]
+            key = np.stack([t.column(k).to_numpy().astype(np.int64) for k in GROUP], 1)
+            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if b > a:
+                    mine = tuple(key[a].tolist())
+                    if mine != open_key and held:
+                        yield closed()
+                        held.clear()
+                    open_key = mine
+                    held.append(t.slice(a, b - a))
+        if held:
+            yield closed()
 
     ordered = members.repartition(*GROUP).sortWithinPartitions(*GROUP)
     return ordered.mapInArrow(run, "vec_id long, n long, other long")
 
 
+def laid_out(rows: DataFrame) -> DataFrame:
+    """The members of every cell; cells above ``CELL_ROWS`` are dealt by bucket, then cut into blocks."""
+    width = 1 + VISITS
+    cell = ["label", "dim", "t", "cell"]
+    rows = rows.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))))
+    rows = rows.withColumn("cell", F.element_at("codes", F.col("t") * width + 1).cast("int")).withColumn("visits", F.slice("codes", F.col("t") * width + 2, VISITS).cast("array<int>"))
+    sizes = rows.select(*cell, F.posexplode("visits").alias("k", "sub"))
+    sizes = sizes.groupBy(*cell, "sub").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("k") == 0).cast("long")).alias("own"))
+    cut = F.map_from_entries(F.collect_list(F.struct("sub", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("g"))))
+    sizes = sizes.groupBy(*cell).agg(F.sum("own").alias("rows"), cut.alias("cuts")).where("rows > 1")
+    sizes = sizes.withColumn("cuts", F.when(F.col("rows") > CELL_ROWS, F.col("cuts")))  # at most 2 * dim entries
+    piece = F.when(F.col("cuts").isNull(), F.array(F.struct(F.lit(-1).alias("sub"), F.lit(1).alias("g")))).otherwise(
+        F.transform(F.filter("visits", lambda s: s >= 0), lambda s: F.struct(s.alias("sub"), F.col("cuts")[s].alias("g"))))
+    m = rows.join(sizes, cell).withColumn("piece", F.explode(piece)).select("*", "piece.sub", "piece.g")
+    m = m.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("g")).cast("int"))
+    m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    return m.select(*cell, "sub", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block", "vec_id", "copies", "v", "codes")
+
+
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row (``vec_id, embedding, label``)."""
-    d = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    kind = vectors.schema["embedding"].dataType
+    v = F.col("embedding") if kind.simpleString() == "array<float>" else F.col("embedding").cast("array<double>")
+    d = vectors.select("vec_id", F.col("label").cast("int").alias("label"), v.alias("v"))
     d = d.withColumn("usable", F.col("label").isNotNull() & F.coalesce(_usable("v"), F.lit(False)) & F.col("vec_id").isNotNull())
-    d = d.withColumn("label", F.col("label").cast("int"))
     d = d.withColumn("h", F.when(F.col("usable"), F.xxhash64("v"))).withColumn("h2", F.when(F.col("usable"), F.hash("v")))
-    classes = d.where("usable").groupBy("label", "h", "h2").agg(F.min(F.struct("vec_id", "v")).alias("m"), F.count(F.lit(1)).alias("copies"))
-    classes = materialize(classes.select("label", "h", "h2", "copies", "m.vec_id", "m.v", F.size("m.v").alias("dim")), "classes")
-    if classes.isEmpty():
-        return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    rows = hashed(classes.select("vec_id", "label", "dim", "copies", "v"))
-    table = F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1)))
-    rows = rows.withColumn("t", table).withColumn("mine", F.slice("codes", F.col("t") * (1 + PROBES) + 1, 1 + PROBES))
-    rows = rows.select("*", F.posexplode("mine").alias("probe", "bucket")).drop("mine")
-    key = ["label", "dim", "t", "bucket"]
-    sizes = (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max(F.col("probe") == 0).alias("home")).where("home AND n > 1")
-             .select(*key, F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("g")))
-    m = rows.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("g")).cast("int"))
-    m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    m = m.select(*key, F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block",
-                 (F.col("probe") == 0).alias("own"), "vec_id", "copies", "v", "codes")
-    found = materialize(compared(m), "found")
+    key = ["label", "h", "h2"]
+    seen = d.where("usable").groupBy(*key, "vec_id").agg(F.count(F.lit(1)).alias("n"))
+    multi = seen.groupBy(*key).agg(F.min(F.struct("vec_id", "n")).alias("m"), F.sum("n").alias("copies")).where("copies > 1")
+    multi = materialize(multi.select(*key, F.col("m.vec_id").alias("rep"), (F.col("m.n") > 1).alias("again"), "copies"), "copies")
+    if multi.count() <= BROADCAST_CLASSES:  # 40 bytes a class
+        multi = F.broadcast(multi)
+    d = d.join(multi, key, "left")
+    rep = d.where("usable AND (rep IS NULL OR rep = vec_id)").withColumn("copies", F.coalesce("copies", F.lit(1)).cast("long"))
+    again = rep.where("again").groupBy(*key).agg(F.min("vec_id").alias("vec_id"), F.min("v").alias("v"), F.min("copies").alias("copies"))
+    cols = ["vec_id", "label", F.size("v").alias("dim"), "copies", "v"]
+    rows = hashed(rep.where("again IS NULL OR NOT again").select(*cols).unionAll(again.select(*cols)))
+    dtype = np.float32 if kind.simpleString() == "array<float>" else np.float64
+    found = materialize(compared(laid_out(rows), dtype), "found")
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     comp = materialize(connected_components(found.where("other IS NOT NULL").select(F.col("vec_id").alias("u"), F.col("other").alias("v"))), "components")
-    named = (classes.select("label", "h", "h2", "copies", "vec_id").join(counts, "vec_id", "left")
-             .join(comp.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-             .select("label", "h", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("links"),
-                     F.coalesce("component", "vec_id").alias("c")))
-    out = d.select("vec_id", "label", "h", "h2").join(named, ["label", "h", "h2"], "left")
+    named = comp.join(counts, comp["node"] == counts["vec_id"], "left").select(F.col("node").alias("at"), F.col("component").alias("c"), "n")
+    out = d.select("vec_id", "rep", "copies", F.when(F.col("usable"), F.coalesce("rep", "vec_id")).alias("at")).join(named, "at", "left")
+    out = out.select("vec_id", F.coalesce("c", "at").alias("c"), (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("n", F.lit(0))).alias("links"))
     comp_id = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), comp_id.alias("component_id"),
                       F.coalesce(F.col("vec_id") == comp_id, F.lit(True)).alias("kept"))

@@ -249,6 +249,31 @@ def test_vectors(spark):
     assert all(got[n + k].n_links == 0 and got[n + k].kept for k in range(5))
 
 
+def test_vector_layouts_and_copies(spark, monkeypatch):
+    rng = np.random.RandomState(8)
+    a = rng.randn(300, 64)
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    o = rng.randn(300, 64)
+    o -= (o * a).sum(1, keepdims=True) * a
+    b = 0.94 * a + np.sqrt(1 - 0.94**2) * o / np.linalg.norm(o, axis=1, keepdims=True)  # pairs just above the threshold
+    crowd = a[0] + rng.randn(60, 64) * 0.01
+    v = np.concatenate([a, b, crowd, a[1:2].repeat(20, 0)]).astype(np.float32)
+    rows = [(i, x.tolist(), 7) for i, x in enumerate(v)] + [(len(v), v[2].tolist(), 7)] * 2 + [(2, v[2].tolist(), 7)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    whole = sorted(map(tuple, vectors.near_vectors(frame).collect()))
+    monkeypatch.setattr(vectors, "CELL_ROWS", 8)  # cells dealt by bucket and cut into blocks
+    monkeypatch.setattr(vectors, "BROADCAST_CLASSES", 0)
+    assert sorted(map(tuple, vectors.near_vectors(frame).collect())) == whole
+    x = np.array([r[1] for r in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = x @ x.T >= 0.93
+    np.fill_diagonal(link, False)
+    assert sum(r[1] for r in whole) >= 0.9 * link.sum()
+    got = {r[0]: r for r in whole}
+    assert sum(got[i][1] > 0 for i in range(300)) >= 0.9 * 300
+    assert got[len(v)][1] >= 3 and got[len(v)][2] == 2 and not got[len(v)][3]
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
