@@ -9,7 +9,8 @@ bucket are verified by their cosine in double precision.
 
 Vectors equal in label and components are one class; only its least vec_id is hashed, copies count
 by the class's multiplicity. The classes of two and more are found from narrow rows of hashes and
-broadcast up to ``BROADCAST_CLASSES`` rows (a shuffle join beyond), so vectors need no shuffle for it. A cell of more than ``CELL_ROWS`` rows is dealt by bucket,
+broadcast up to ``BROADCAST_CLASSES`` rows (a shuffle join beyond), so vectors need no shuffle for
+it; likewise the table of cells. A cell of more than ``CELL_ROWS`` rows is dealt by bucket,
 and a bucket of more is cut into blocks whose pairs are compared by a task each (the same candidates,
 so the layout changes no result). A pair that meets in several buckets counts in the first one only
 (found from the two codes), so tasks return one count per vector and edges of the components, not
@@ -221,7 +222,9 @@ def laid_out(rows: DataFrame) -> DataFrame:
     sizes = sizes.groupBy(*cell, "sub").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("k") == 0).cast("long")).alias("own"))
     cut = F.map_from_entries(F.collect_list(F.struct("sub", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("g"))))
     sizes = sizes.groupBy(*cell).agg(F.sum("own").alias("rows"), cut.alias("cuts")).where("rows > 1")
-    sizes = sizes.withColumn("cuts", F.when(F.col("rows") > CELL_ROWS, F.col("cuts")))  # at most 2 * dim entries
+    sizes = materialize(sizes.withColumn("cuts", F.when(F.col("rows") > CELL_ROWS, F.col("cuts"))), "cells")
+    if sizes.count() <= BROADCAST_CLASSES:  # 40 bytes a cell; only large cells have cuts, of at most 2 * dim entries
+        sizes = F.broadcast(sizes)
     piece = F.when(F.col("cuts").isNull(), F.array(F.struct(F.lit(-1).alias("sub"), F.lit(1).alias("g")))).otherwise(
         F.transform(F.filter("visits", lambda s: s >= 0), lambda s: F.struct(s.alias("sub"), F.col("cuts")[s].alias("g"))))
     m = rows.join(sizes, cell).withColumn("piece", F.explode(piece)).select("*", "piece.sub", "piece.g")
