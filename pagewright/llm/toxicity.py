@@ -232,7 +232,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> l
     for label, n in total.items():  # two classes
         wanted = wanted | ((F.col("toxic") == label) & (draw < int(min(1.0, rows / n) * 1_000_000)))
     return (docs.select("doc_id", "text", "lang").where(F.length("text") <= SAMPLE_CHARS)
-            .join(lab.where(wanted), "doc_id").select("text", "toxic", "lang").collect())
+            .join(F.broadcast(lab.where(wanted)), "doc_id").select("text", "toxic", "lang").collect())  # about ``rows`` ids a class
 
 
 def trained(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
