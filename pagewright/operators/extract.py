@@ -19,11 +19,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.functions.text import strip
 from pagewright.operators.select import (_and, normalize_selector_type, parse_css, parse_xpath,
                                          reroot_field_xpath, select_css, evaluate, subtree)
 
-NO_MATCH_FMT = ("The {kind} selectors in the schema did not match any elements on the page. Verify "
-                "that baseSelector and the field selectors are correct for this page's HTML structure.")
+NO_MATCH_FMT = "No record was extracted: the schema's {kind} selectors (baseSelector, fields) select nothing in this html."
 
 
 @dataclass
@@ -58,14 +58,17 @@ def _paths(selector: str, kind: str):
     return parse_xpath(reroot_field_xpath(selector)), False
 
 
-def _value_expr(f: FieldSpec, html_col: Column | None) -> Column:
-    text = F.col("text")
-    outer = (F.substring(html_col, F.col("start_off") + 1, F.col("end_off") - F.col("start_off"))
-             if html_col is not None else F.lit(None).cast("string"))
+def _value_expr(f: FieldSpec, html_col: Column | None, value: tuple[str, str] | None = None) -> Column:
+    """The field's value on a matched element; ``value`` is the XPath's own ``@attr`` or ``text()``."""
+    text, outer = F.col("text"), F.lit(None).cast("string")
+    if value is not None:
+        text = outer = F.col("attrs")[value[1]] if value[0] == "attr" else F.col("own_text")
+    elif html_col is not None:
+        outer = F.substring(html_col, F.col("start_off") + 1, F.col("end_off") - F.col("start_off"))
     t = f.type
     if t == "text":
         v = text
-    elif t == "attribute":
+    elif t == "attribute" and value is None:
         v = F.col("attrs")[f.attribute] if f.attribute else F.lit(None).cast("string")
     elif t == "html":
         v = outer
@@ -78,7 +81,7 @@ def _value_expr(f: FieldSpec, html_col: Column | None) -> Column:
     else:  # unknown type: raw html, as upstream does
         v = outer
     if f.transform == "strip":
-        v = F.trim(v)
+        v = strip(v)
     elif f.transform == "lowercase":
         v = F.lower(v)
     elif f.transform == "uppercase":
@@ -96,16 +99,12 @@ def _needs_html(fields: list[FieldSpec]) -> bool:
     return False
 
 
-def _field_matches(nodes: DataFrame, ctx: DataFrame, f: FieldSpec, kind: str) -> DataFrame:
-    """``(page_id, ctx, m)`` matches of one field relative to its record elements."""
+def _field_matches(nodes: DataFrame, ctx: DataFrame, f: FieldSpec, kind: str) -> tuple[DataFrame, tuple | None]:
+    """``(page_id, ctx, m)`` matches of one field relative to its record elements, and its value step."""
     if not f.selector:
-        return ctx.select("page_id", F.col("pre").alias("ctx"), F.col("pre").alias("m"))
+        return ctx.select("page_id", F.col("pre").alias("ctx"), F.col("pre").alias("m")), None
     paths, css = _paths(f.selector, kind)
-    m = evaluate(nodes, paths, context=ctx, css=css)
-    value = paths[0].value if len(paths) == 1 else None
-    if value is not None:
-        return m.withColumn("_value_kind", F.lit(value[0])).withColumn("_value_arg", F.lit(value[1]))
-    return m
+    return evaluate(nodes, paths, context=ctx, css=css), paths[0].value if len(paths) == 1 else None
 
 
 def _single_step(f: FieldSpec, kind: str):
@@ -119,7 +118,7 @@ def _single_step(f: FieldSpec, kind: str):
     if p.absolute or len(p.steps) != 1:
         return None
     st = p.steps[0]
-    if st.position is not None or st.axis not in ("descendant", "child"):
+    if st.position is not None or st.last_child or st.axis not in ("descendant", "child"):
         return None
     return st.axis, _and(st.preds), p.value
 
@@ -138,11 +137,7 @@ def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame
     aggs = []
     for f, (axis, pred, value) in simple:
         cond = pred & (F.col("ctx") == F.col("parent")) if axis == "child" else pred
-        if value is not None:
-            v = F.col("attrs")[value[1]] if value[0] == "attr" else F.col("own_text")
-            v = F.trim(v) if f.transform == "strip" else F.lower(v) if f.transform == "lowercase" else v
-        else:
-            v = _value_expr(f, F.col("html") if html is not None else None)
+        v = _value_expr(f, F.col("html") if html is not None else None, value)
         aggs.append(F.min_by(F.when(cond, v), F.when(cond & v.isNotNull(), F.col("pre"))).alias(f.name))
     return cand.groupBy("page_id", "ctx").agg(*aggs).withColumnRenamed("ctx", "pre")
 
@@ -166,7 +161,7 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
         if f.name in done:
             continue
         ctx = records.select("page_id", "pre", "parent", "ordinal")
-        matches = _field_matches(nodes, ctx, f, kind)
+        matches, value = _field_matches(nodes, ctx, f, kind)
         if f.type in ("nested", "list", "nested_list"):
             sub_ctx = matches.select("page_id", "ctx", F.col("m").alias("pre")).join(
                 nodes.select("page_id", "pre", "parent", "ordinal"), ["page_id", "pre"])
@@ -181,15 +176,7 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
                     F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"]).alias(f.name))
         else:
             vals = matches.join(node_cols, ["page_id", "m"])
-            if "_value_kind" in matches.columns:
-                v = F.when(F.col("_value_kind") == "attr", F.col("attrs")[F.col("_value_arg")]) \
-                    .otherwise(F.col("own_text"))
-                if f.transform == "strip":
-                    v = F.trim(v)
-                elif f.transform == "lowercase":
-                    v = F.lower(v)
-            else:
-                v = _value_expr(f, F.col("html") if html is not None else None)
+            v = _value_expr(f, F.col("html") if html is not None else None, value)
             vals = vals.select("page_id", "ctx", "m", v.alias("v")).filter(F.col("v").isNotNull())
             agg = vals.groupBy("page_id", "ctx").agg(F.min_by("v", "m").alias(f.name))
         out = out.join(agg.withColumnRenamed("ctx", "pre"), ["page_id", "pre"], "left")

@@ -15,13 +15,17 @@ Every intermediate is ``(page_id, ctx, m)``: ``ctx`` is the element the evaluati
 from (a record's base element, or -1 for document-level selection) and ``m`` the current match.
 
 Supported CSS: type, ``*``, ``#id``, ``.class``, ``[a]``, ``[a=v]``, ``[a~=v]``, ``[a^=v]``,
-``[a$=v]``, ``[a*=v]``, ``[a|=v]``, ``:first-child``, ``:nth-child(n)``, combinators
-descendant / ``>`` / ``+`` / ``~`` and ``,``. Supported XPath: ``/``, ``//``, ``.``, ``..``,
+``[a$=v]``, ``[a*=v]``, ``[a|=v]``, ``:first-child``, ``:last-child``, ``:nth-child(n)``,
+``:not(...)`` of compounds without combinators, combinators descendant / ``>`` / ``+`` / ``~``
+and ``,``. Supported XPath: ``/``, ``//``, ``.``, ``..``,
 axes child, descendant, descendant-or-self, self, parent, following-sibling, preceding-sibling,
 node tests name / ``*``, predicates ``[@a]``, ``[@a='v']``, ``[contains(@a,'v')]``,
 ``[starts-with(@a,'v')]``, ``[text()='v']``, ``[contains(text(),'v')]``, ``[contains(.,'v')]``,
-``[n]`` and ``and``; a trailing ``/@attr`` or ``/text()`` selects a value. Anything else is
-refused with a ValueError naming the unsupported part.
+``[n]``, ``not(...)``, ``and`` and ``or``; a trailing ``/@attr`` or ``/text()`` selects a value. Anything else is
+refused with a ValueError naming the unsupported part. Quoted literals may hold any character.
+
+Narrowing to (or dropping) subtrees takes one row per page with the array of matched roots, joined
+on ``page_id``: no node is copied per ancestor.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ class Step:
     axis: str                      # child | descendant | descendant-or-self | self | parent | following-sibling | preceding-sibling | adjacent
     preds: list[Column] = field(default_factory=list)
     position: int | None = None    # XPath [n] among the step's matches per context
+    last_child: bool = False       # CSS :last-child
 
 
 @dataclass
@@ -84,6 +89,17 @@ def _and(preds: list[Column]) -> Column:
     return out
 
 
+def _or(preds: list[Column]) -> Column:
+    out = F.lit(False)
+    for p in preds:
+        out = out | F.coalesce(p, F.lit(False))
+    return out
+
+
+def _not(pred: Column) -> Column:
+    return ~F.coalesce(pred, F.lit(False))
+
+
 # ---------------------------------------------------------------------------------------------
 # CSS front end
 
@@ -94,7 +110,7 @@ _CSS_TOKEN = re.compile(
     | \#(?P<id>[-\w]+)
     | \.(?P<cls>[-\w]+)
     | \[\s*(?P<an>[-\w:]+)\s*(?:(?P<op>[~^$*|]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<bare>[^\]\s]+))\s*)?\]
-    | :(?P<pseudo>[-\w]+)(?:\(\s*(?P<parg>[^)]*)\s*\))?
+    | :(?P<pseudo>[-\w]+)(?:\((?P<parg>(?:[^()]|\([^()]*\))*)\))?
     )""", re.X)
 
 
@@ -108,8 +124,15 @@ def parse_css(selector: str) -> list[Path]:
 
 
 def _split_top(s: str, sep: str) -> list[str]:
-    out, depth, quote, cur = [], 0, None, []
-    for ch in s:
+    """Cut at the regular expression ``sep`` where it stands outside quotes and brackets."""
+    cut, out, depth, quote, start, i = re.compile(sep), [], 0, None, 0, 0
+    while i < len(s):
+        ch = s[i]
+        m = cut.match(s, i) if not quote and depth == 0 else None
+        if m:
+            out.append(s[start:i])
+            i = start = m.end()
+            continue
         if quote:
             quote = None if ch == quote else quote
         elif ch in "'\"":
@@ -118,18 +141,14 @@ def _split_top(s: str, sep: str) -> list[str]:
             depth += 1
         elif ch in "])":
             depth -= 1
-        elif ch == sep and depth == 0:
-            out.append("".join(cur))
-            cur = []
-            continue
-        cur.append(ch)
-    out.append("".join(cur))
+        i += 1
+    out.append(s[start:])
     return out
 
 
 def _parse_css_alt(alt: str) -> Path:
     steps: list[Step] = []
-    pos, axis, preds, pending_ws = 0, "descendant", [], False
+    pos, axis, preds, last, pending_ws = 0, "descendant", [], False, False
     while pos < len(alt):
         if alt[pos].isspace():
             pending_ws = True
@@ -140,15 +159,15 @@ def _parse_css_alt(alt: str) -> Path:
             raise ValueError(f"unsupported CSS selector syntax at {alt[pos:]!r}")
         if m.group("comb"):
             if preds:
-                steps.append(Step(axis, preds))
-                preds = []
+                steps.append(Step(axis, preds, last_child=last))
+                preds, last = [], False
             axis = {">": "child", "+": "adjacent", "~": "following-sibling"}[m.group("comb")]
             pending_ws = False
             pos = m.end()
             continue
         if pending_ws and preds:
-            steps.append(Step(axis, preds))
-            preds, axis = [], "descendant"
+            steps.append(Step(axis, preds, last_child=last))
+            preds, axis, last = [], "descendant", False
         pending_ws = False
         if m.group("tag"):
             if m.group("tag") != "*":
@@ -168,38 +187,71 @@ def _parse_css_alt(alt: str) -> Path:
                 preds.append(F.col("ordinal") == 1)
             elif name == "nth-child" and arg and arg.strip().isdigit():
                 preds.append(F.col("ordinal") == int(arg))
+            elif name == "last-child":
+                preds.append(F.lit(True))
+                last = True
+            elif name == "not" and arg and arg.strip():
+                preds.append(_not(_or([_compound(a.strip()) for a in _split_top(arg, ",")])))
             else:
                 raise ValueError(f"unsupported CSS pseudo-class :{name}")
         pos = m.end()
     if not preds:
         raise ValueError(f"CSS selector ends with a combinator: {alt!r}")
-    steps.append(Step(axis, preds))
+    steps.append(Step(axis, preds, last_child=last))
     return Path(steps)
 
 
+def _compound(selector: str) -> Column:
+    """Predicate of one compound selector (the argument of ``:not``)."""
+    steps = _parse_css_alt(selector).steps
+    if len(steps) > 1 or steps[0].last_child or steps[0].axis != "descendant":
+        raise ValueError(f"unsupported CSS selector in :not({selector})")
+    return _and(steps[0].preds)
+
+
 # ---------------------------------------------------------------------------------------------
 # XPath front end
 
 _XP_AXES = {"child", "descendant", "descendant-or-self", "self", "parent", "following-sibling",
             "preceding-sibling"}
 _XP_STEP = re.compile(r"^(?:(?P<axis>[a-z-]+)::)?(?P<test>\*|[a-zA-Z_][\w.-]*|\.\.|\.|@[\w:-]+|text\(\)|node\(\))"
-                      r"(?P<preds>(?:\[[^\]]*\])*)$")
+                      r"\s*(?P<preds>\[.*\])?$", re.S)
 _LIT = r"(?:'([^']*)'|\"([^\"]*)\")"
 
 
+def _brackets(s: str) -> list[str]:
+    """Bodies of the bracket groups ``[..][..]``, which may hold quoted brackets."""
+    out, depth, quote, start = [], 0, None, 0
+    for i, ch in enumerate(s):
+        if quote:
+            quote = None if ch == quote else quote
+        elif ch in "'\"":
+            quote = ch
+        elif ch == "[":
+            depth += 1
+            start = i + 1 if depth == 1 else start
+        elif ch == "]":
+            depth -= 1
+            if depth == 0:
+                out.append(s[start:i])
+        elif depth == 0 and not ch.isspace():
+            raise ValueError(f"unsupported XPath predicates {s!r}")
+    return out
+
+
 def _xp_pred(body: str) -> tuple[Column | None, int | None]:
     body = body.strip()
     if body.isdigit():
         return None, int(body)
-    parts = re.split(r"\s+and\s+", body)
-    if len(parts) > 1:
-        cols = []
-        for p in parts:
-            c, n = _xp_pred(p)
-            if n is not None:
-                raise ValueError("positional predicate inside 'and' is unsupported")
-            cols.append(c)
-        return _and(cols), None
+    for word, combine in (("or", _or), ("and", _and)):  # 'and' binds tighter
+        parts = _split_top(body, rf"\s+{word}\s+")
+        if len(parts) > 1:
+            return combine([_xp_test(p, word) for p in parts]), None
+    if body.startswith("(") and _closes_at_end(body, 0):
+        return _xp_pred(body[1:-1])
+    m = re.match(r"not\s*\(", body)
+    if m and _closes_at_end(body, m.end() - 1):
+        return _not(_xp_test(body[m.end():-1], "not()")), None
     m = re.fullmatch(r"@([\w:-]+)", body)
     if m:
         return _attr_pred(m.group(1), None, None), None
@@ -220,67 +272,73 @@ def _xp_pred(body: str) -> tuple[Column | None, int | None]:
     raise ValueError(f"unsupported XPath predicate [{body}]")
 
 
+def _xp_test(body: str, inside: str) -> Column:
+    test, position = _xp_pred(body)
+    if position is not None:
+        raise ValueError(f"unsupported XPath positional predicate inside '{inside}'")
+    return test
+
+
+def _closes_at_end(s: str, at: int) -> bool:
+    """Whether the parenthesis that opens at ``at`` closes at the end of ``s``."""
+    depth, quote = 0, None
+    for i in range(at, len(s)):
+        ch = s[i]
+        if quote:
+            quote = None if ch == quote else quote
+        elif ch in "'\"":
+            quote = ch
+        else:
+            depth += (ch == "(") - (ch == ")")
+            if depth == 0:
+                return i == len(s) - 1
+    return False
+
+
 def parse_xpath(expr: str) -> list[Path]:
     if not expr or not expr.strip():
         raise ValueError("empty XPath expression")
-    return [_parse_xpath_alt(a.strip()) for a in _split_top(expr, "|")]
+    return [_parse_xpath_alt(a.strip()) for a in _split_top(expr, r"\|")]
 
 
 def _parse_xpath_alt(expr: str) -> Path:
     absolute = expr.startswith("/")
-    s = expr
-    if s.startswith("./"):
-        s = s[1:]
-    raw = re.split(r"(//|/)", s)
     steps: list[Step] = []
     value = None
-    sep = None if not absolute else None
-    tokens = [t for t in raw if t != ""]
-    i = 0
+    # the separators stay in the list: '' between two slashes marks the descendant axis
+    parts = _split_top(expr[1:] if expr.startswith("./") else expr, "/")
     axis_hint = "child"
-    first = True
-    while i < len(tokens):
-        t = tokens[i]
-        if t in ("/", "//"):
-            axis_hint = "descendant" if t == "//" else "child"
-            i += 1
+    for i, part in enumerate(parts):
+        part = part.strip()
+        if part == "":
+            axis_hint = "descendant" if i else "child"
             continue
-        m = _XP_STEP.match(t)
+        m = _XP_STEP.match(part)
         if not m:
-            raise ValueError(f"unsupported XPath step {t!r}")
+            raise ValueError(f"unsupported XPath step {part!r}")
         test, axis = m.group("test"), m.group("axis")
         if test.startswith("@") or test == "text()":
-            if i != len(tokens) - 1:
+            if i != len(parts) - 1:
                 raise ValueError("attribute/text() step must be last")
             value = ("attr", test[1:].lower()) if test.startswith("@") else ("text", "")
-            i += 1
             continue
-        if test == ".":
-            st = Step("self")
-        elif test == "..":
-            st = Step("parent")
+        if test in (".", ".."):
+            step = Step("self" if test == "." else "parent")
         else:
             if axis and axis not in _XP_AXES:
                 raise ValueError(f"unsupported XPath axis {axis}::")
-            ax = axis or axis_hint
-            if first and not absolute and axis is None and sep is None:
-                ax = "child" if axis_hint == "child" else "descendant"
-            st = Step(ax)
+            step = Step(axis or axis_hint)
             if test not in ("*", "node()"):
-                st.preds.append(F.col("tag") == test.lower())
-        for body in re.findall(r"\[([^\]]*)\]", m.group("preds") or ""):
-            c, n = _xp_pred(body)
-            if n is not None:
-                st.position = n
+                step.preds.append(F.col("tag") == test.lower())
+        for body in _brackets(m.group("preds") or ""):
+            pred, position = _xp_pred(body)
+            if position is not None:
+                step.position = position
             else:
-                st.preds.append(c)
-        steps.append(st)
+                step.preds.append(pred)
+        steps.append(step)
         axis_hint = "child"
-        first = False
-        i += 1
-    if not steps:
-        steps = [Step("self")]
-    return Path(steps, absolute=absolute, value=value)
+    return Path(steps or [Step("self")], absolute=absolute, value=value)
 
 
 def reroot_field_xpath(expr: str) -> str:
@@ -295,12 +353,15 @@ def reroot_field_xpath(expr: str) -> str:
 _CTX_COLS = ["page_id", "ctx", "m", "m_parent", "m_ordinal"]
 
 
-def _matches(nodes: DataFrame, preds: list[Column]) -> DataFrame:
-    return nodes.filter(_and(preds)) if preds else nodes
+def _matches(nodes: DataFrame, step: Step) -> DataFrame:
+    if step.last_child:
+        siblings = Window.partitionBy("page_id", "parent")
+        nodes = nodes.withColumn("_last", F.max("ordinal").over(siblings)).filter("ordinal = _last").drop("_last")
+    return nodes.filter(_and(step.preds)) if step.preds else nodes
 
 
 def _apply_step(nodes: DataFrame, cur: DataFrame, step: Step) -> DataFrame:
-    cand = _matches(nodes, step.preds)
+    cand = _matches(nodes, step)
     c = cur.select("page_id", "ctx", "m", "m_parent", "m_ordinal")
     if step.axis == "self":
         out = c.join(cand.select("page_id", F.col("pre").alias("m")), ["page_id", "m"])
@@ -351,15 +412,10 @@ def _start(nodes: DataFrame, context: DataFrame | None, path: Path) -> DataFrame
         return context.select("page_id", F.col("pre").alias("ctx"), F.col("pre").alias("m"),
                               F.col("parent").alias("m_parent"), F.col("ordinal").alias("m_ordinal"))
     # virtual document node: every top-level element has parent -1
-    pages = nodes.select("page_id").distinct() if context is None else context.select("page_id").distinct()
-    ctx = F.lit(-1) if context is None else None
-    start = pages.select("page_id", F.lit(-1).alias("ctx"), F.lit(-1).alias("m"),
-                         F.lit(-2).alias("m_parent"), F.lit(0).alias("m_ordinal"))
+    document = (F.lit(-1).alias("m"), F.lit(-2).alias("m_parent"), F.lit(0).alias("m_ordinal"))
     if context is not None:  # absolute path inside a record: still attribute to every context
-        start = context.select("page_id", F.col("pre").alias("ctx"), F.lit(-1).alias("m"),
-                               F.lit(-2).alias("m_parent"), F.lit(0).alias("m_ordinal"))
-    del ctx
-    return start
+        return context.select("page_id", F.col("pre").alias("ctx"), *document)
+    return nodes.select("page_id").distinct().select("page_id", F.lit(-1).alias("ctx"), *document)
 
 
 def _virtual_root_nodes(nodes: DataFrame) -> DataFrame:
@@ -374,18 +430,16 @@ def evaluate(nodes: DataFrame, paths: list[Path], context: DataFrame | None = No
     out = None
     for path in paths:
         steps = list(path.steps)
-        from_root = context is None or path.absolute
         if css and context is None:
-            steps[0] = Step("descendant", steps[0].preds, steps[0].position)
+            steps[0] = Step("descendant", steps[0].preds, steps[0].position, steps[0].last_child)
         if context is None and steps[0].axis == "descendant" and steps[0].position is None:
             # descendants of the document root = every matching element: a plain filter
-            first = _matches(nodes, steps[0].preds)
+            first = _matches(nodes, steps[0])
             cur = first.select("page_id", F.lit(-1).alias("ctx"), F.col("pre").alias("m"),
                                F.col("parent").alias("m_parent"), F.col("ordinal").alias("m_ordinal"))
             steps = steps[1:]
         else:
             cur = _start(base_nodes, context, path)
-        del from_root
         for st in steps:
             cur = _apply_step(base_nodes, cur, st)
         res = cur.select("page_id", "ctx", "m", "m_parent", "m_ordinal")
@@ -411,20 +465,23 @@ def normalize_selector_type(selector_type: str | None) -> str:
     """EXT2: trimmed and case-folded; unknown values are refused with the valid ones listed."""
     kind = (selector_type if selector_type is not None else "css").strip().lower()
     if kind not in ("css", "xpath"):
-        raise ValueError(f"Unknown selector_type {selector_type!r}. Use 'css' (default) or 'xpath'.")
+        raise ValueError(f"selector_type {selector_type!r} is not recognised. Valid values: css, xpath")
     return kind
 
 
+def _inside(nodes: DataFrame, matches: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """Nodes of the pages with their matched roots in one array, and the test 'in a root's subtree'."""
+    roots = matches.groupBy("page_id").agg(F.collect_set("m").alias("_roots"))
+    return nodes.join(roots, "page_id", how), F.arrays_overlap(F.concat("anc", F.array("pre")), "_roots")
+
+
 def subtree(nodes: DataFrame, matches: DataFrame) -> DataFrame:
-    """Nodes that are a match or a descendant of one (equi-join on the ancestor array)."""
-    roots = matches.select("page_id", F.col("m").alias("r")).distinct()
-    cand = nodes.select("*", F.explode(F.concat("anc", F.array("pre"))).alias("r"))
-    return cand.join(roots, ["page_id", "r"]).drop("r").dropDuplicates(["page_id", "pre"])
+    """Nodes that are a match or a descendant of one."""
+    joined, inside = _inside(nodes, matches, "inner")
+    return joined.filter(inside).drop("_roots")
 
 
 def without_subtree(nodes: DataFrame, matches: DataFrame) -> DataFrame:
-    """PRJ8: nodes outside every matched subtree (anti-join on the ancestor array)."""
-    roots = matches.select("page_id", F.col("m").alias("r")).distinct()
-    cand = nodes.select("page_id", "pre", F.explode(F.concat("anc", F.array("pre"))).alias("r"))
-    hit = cand.join(roots, ["page_id", "r"]).select("page_id", "pre").distinct()
-    return nodes.join(hit, ["page_id", "pre"], "left_anti")
+    """PRJ8: nodes outside every matched subtree."""
+    joined, inside = _inside(nodes, matches, "left")
+    return joined.filter(_not(inside)).drop("_roots")

@@ -28,13 +28,11 @@ from pagewright.session import cut_lineage
 MAX_SITEMAP_DEPTH = 5
 XML_SCHEMA = "url array<struct<loc:string>>, sitemap array<struct<loc:string>>, _corrupt_record string"
 
-# Error and note texts of the sitemap crawl.
-FETCH_ERROR_FMT = "Could not fetch the sitemap at {url}: {err}"
-NOT_XML_FMT = ("{url} was fetched but is not valid sitemap XML (malformed XML). If this is an HTML page, "
-               "look for the real sitemap in robots.txt or try /sitemap.xml on the same host.")
-NO_URLS_FMT = ("No URLs found in sitemap {url}. It may be empty, or in a format this server does not "
-               "parse. Sitemap indexes and .xml.gz are supported; an HTML page is not a sitemap.")
-TRUNCATED_FMT = "Sitemap contained {total} URLs; crawled the first {n} (max_urls limit)."
+# error and note texts of the sitemap crawl (format strings)
+FETCH_ERROR_FMT = "sitemap %s has no readable snapshot: %s"
+NOT_XML_FMT = "snapshot of %s does not parse as sitemap XML"
+NO_URLS_FMT = "sitemap %s lists no page"
+TRUNCATED_FMT = "%d pages are listed; max_urls keeps the first %d"
 
 
 @F.pandas_udf(BinaryType())
@@ -159,15 +157,10 @@ def crawl_sitemap(spark: SparkSession, roots: DataFrame, docs: DataFrame, snapsh
         .join(counts, "root", "left").join(per_root, "root", "left")
     root = F.col("root")
     error = (F.when(F.col("status").isNull() | (F.col("status") == "fetch_error"),
-                    F.concat(F.lit("Could not fetch the sitemap at "), root, F.lit(": "),
-                             F.coalesce(F.col("fetch_error"), F.lit("no document"))))
-             .when(F.col("status") == "not_xml",
-                   F.concat(root, F.lit(NOT_XML_FMT.split("{url}", 1)[1])))
-             .when(F.coalesce(F.col("n_urls"), F.lit(0)) == 0,
-                   F.concat(F.lit("No URLs found in sitemap "), root, F.lit(NO_URLS_FMT.split("{url}", 1)[1]))))
-    note = F.when(F.col("n_urls") > max_urls,
-                  F.concat(F.lit("Sitemap contained "), F.col("n_urls").cast("string"),
-                           F.lit(f" URLs; crawled the first {max_urls} (max_urls limit).")))
+                    F.format_string(FETCH_ERROR_FMT, root, F.coalesce(F.col("fetch_error"), F.lit("no document"))))
+             .when(F.col("status") == "not_xml", F.format_string(NOT_XML_FMT, root))
+             .when(F.coalesce(F.col("n_urls"), F.lit(0)) == 0, F.format_string(NO_URLS_FMT, root)))
+    note = F.when(F.col("n_urls") > max_urls, F.format_string(TRUNCATED_FMT, F.col("n_urls"), F.lit(max_urls)))
     summary = s.select("root", F.coalesce("crawled", F.lit(0)).cast("long").alias("crawled"),
                        F.coalesce("total", F.lit(0)).cast("long").alias("total"),
                        error.alias("error"), F.when(error.isNull(), note).alias("note"))

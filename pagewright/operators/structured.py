@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_TOKENS = 2048
-GENERIC_PROVIDER_ERROR = "the provider reported an error"
-MALFORMED_FMT = "Extraction returned malformed JSON: not a valid JSON document"
-NOT_LIST_FMT = "Extraction returned {}, expected a list of records."
-EMPTY_STRUCTURED = "The model returned an empty result ('[]' or '{}')."
+GENERIC_PROVIDER_ERROR = "a block is flagged as an error without a message"
+MALFORMED_FMT = "The payload cannot be parsed as JSON"
+NOT_RECORDS_FMT = "The payload is JSON of type {}, not a record or an array of records"
 
 _BLOCKS = "array<struct<error:boolean,content:string>>"
 
@@ -48,12 +47,10 @@ def empty_structured(payload) -> Column:
     return (t == "") | t.isin("[]", "{}")
 
 
-def _py_type(schema: Column) -> Column:
-    """Python type name of a parsed JSON value (for the 'expected a list' message)."""
-    return (F.when(schema.startswith("OBJECT"), "dict").when(schema.startswith("ARRAY"), "list")
-            .when(schema == "STRING", "str").when(schema == "BOOLEAN", "bool")
-            .when(schema.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
-            .when(schema == "VOID", "NoneType").otherwise("float"))
+def _json_type(schema: Column) -> Column:
+    """JSON type of a parsed scalar."""
+    return (F.when(schema == "STRING", "string").when(schema == "BOOLEAN", "boolean")
+            .when(schema == "VOID", "null").otherwise("number"))
 
 
 def normalize_payload(df: DataFrame, payload_col: str, no_match_error: str, count_before_filter: bool = True
@@ -75,8 +72,7 @@ def normalize_payload(df: DataFrame, payload_col: str, no_match_error: str, coun
     empty = p.isNull() | (p == "") | (p == "[]")
     error = (F.when(empty, F.lit(no_match_error))
              .when(v.isNull(), F.lit(MALFORMED_FMT))
-             .when(~(is_arr | is_obj), F.concat(F.lit("Extraction returned "), _py_type(sch),
-                                                F.lit(", expected a list of records."))))
+             .when(~(is_arr | is_obj), F.format_string(NOT_RECORDS_FMT.format("%s"), _json_type(sch))))
     count = F.when(error.isNotNull(), F.lit(0)).otherwise(F.size(raw_items if count_before_filter else objs))
     return df.withColumn("items", F.when(error.isNull(), objs)) \
         .withColumn("count", count.cast("long")).withColumn("error", error)

@@ -48,19 +48,17 @@ WITH {RANKED_SQL.strip()},
 hosts AS (SELECT host, count(*) AS n FROM rk GROUP BY host)
 SELECT 'https://' || host || '/sitemap_index.xml' AS root, CAST(least(n, {MAX_URLS}) AS BIGINT) AS crawled,
        CAST(least(n, {MAX_URLS}) AS BIGINT) AS total, CAST(NULL AS VARCHAR) AS error,
-       CASE WHEN n > {MAX_URLS} THEN 'Sitemap contained ' || n || ' URLs; crawled the first {MAX_URLS} (max_urls limit).' END AS note
+       CASE WHEN n > {MAX_URLS} THEN n || ' pages are listed; max_urls keeps the first {MAX_URLS}' END AS note
 FROM hosts
 UNION ALL
 SELECT 'https://' || host || '/broken.xml', 0, 0,
-       'https://' || host || '/broken.xml was fetched but is not valid sitemap XML (malformed XML). If this is an HTML '
-       || 'page, look for the real sitemap in robots.txt or try /sitemap.xml on the same host.', NULL FROM hosts
+       'snapshot of https://' || host || '/broken.xml does not parse as sitemap XML', NULL FROM hosts
 UNION ALL
 SELECT 'https://' || host || '/missing.xml', 0, 0,
-       'Could not fetch the sitemap at https://' || host || '/missing.xml: HTTP 404 Not Found', NULL FROM hosts
+       'sitemap https://' || host || '/missing.xml has no readable snapshot: HTTP 404 Not Found', NULL FROM hosts
 UNION ALL
 SELECT 'https://' || host || '/empty.xml', 0, 0,
-       'No URLs found in sitemap https://' || host || '/empty.xml. It may be empty, or in a format this server does '
-       || 'not parse. Sitemap indexes and .xml.gz are supported; an HTML page is not a sitemap.', NULL FROM hosts
+       'sitemap https://' || host || '/empty.xml lists no page', NULL FROM hosts
 """)
 def sitemap_errors(spark, sf_dir):
     _, summary = crawl_sitemap(spark, sitemap_roots(spark, sf_dir, with_errors=True), sitemap_docs(spark, sf_dir),

@@ -108,9 +108,8 @@ _DOMAIN_SQL = (f"(({_dk('URL')} = 'example.org' OR ends_with({_dk('URL')}, '.exa
 @register("domain_filters", _graph_sql(_DOMAIN_SQL) + f"""
 SELECT url, CAST(depth AS BIGINT) AS depth, parent_url,
        CASE WHEN (SELECT {_DOMAIN_SQL.replace('URL', 'url')} FROM start) THEN NULL
-            ELSE 'allowed_domains does not cover the start URL''s own host, so links from '
-                 || (SELECT url FROM start) || ' back into that site were not followed. Only the listed '
-                 || 'domains were crawled. Add the start URL''s host to allowed_domains to crawl the starting site as well.'
+            ELSE (SELECT url FROM start)
+                 || ' is outside allowed_domains: it was read as the start, its own site''s other pages were left out.'
        END AS note
 FROM walk
 """)

@@ -10,8 +10,9 @@ from pagewright.operators.extract import NO_MATCH_FMT
 from pagewright.operators.parse import html_nodes
 from pagewright.operators.results import success_first_rank
 from pagewright.operators.sinks import manifest, persist, read_pages, sink_dir, with_file_names
-from pagewright.operators.structured import (MALFORMED_FMT, chunk_text, conversation_calls, empty_structured,
-                                             extraction_error, normalize_payload, token_usage)
+from pagewright.operators.structured import (GENERIC_PROVIDER_ERROR, MALFORMED_FMT, NOT_RECORDS_FMT, chunk_text,
+                                             conversation_calls, empty_structured, extraction_error,
+                                             normalize_payload, token_usage)
 from pagewright.plans.catalog import register
 from pagewright.session import materialize
 from pagewright.plans.content_plans import BLOCKS_CTE
@@ -76,15 +77,16 @@ PAYLOAD_SQL = """
 p AS (
   SELECT doc_id,
     CASE doc_id % 6
-      WHEN 0 THEN '[{"title":"d' || doc_id || '","quality":' || quality || '},{"title":"t","toxic":' || toxic || '}]'
-      WHEN 1 THEN '{"title":"solo' || doc_id || '"}'
+      WHEN 0 THEN '[{"doc":' || doc_id || ',"grade":' || quality || '},{"flag":' || toxic || ',"doc":null}]'
+      WHEN 1 THEN '{"doc":' || doc_id || ',"grade":{"of":5,"is":' || quality || '}}'
       WHEN 2 THEN '[]'
-      WHEN 3 THEN '{not json'
-      WHEN 4 THEN '"just a string"'
-      ELSE '[{"a":' || doc_id || '},2,"x"]' END AS payload,
-    CASE WHEN toxic = 1 THEN '[{"index":0,"error":true,"tags":["error"],"content":" NotFoundError: model d' || doc_id || ' "}]'
-         WHEN quality = 0 THEN '[{"error":false,"content":"fine"}]'
-         ELSE '[{"title":"error in title","tags":["error"]}]' END AS llm
+      WHEN 3 THEN '[{"doc":' || doc_id || ','
+      WHEN 4 THEN CASE doc_id % 5 WHEN 0 THEN doc_id || '.5' WHEN 2 THEN 'true' ELSE '"row ' || doc_id || '"' END
+      ELSE '[null,{"doc":' || doc_id || '},[7],"row"]' END AS payload,
+    CASE WHEN toxic = 1 THEN '[{"part":1,"error":true,"content":" quota used up at row ' || doc_id || ' "},{"error":true}]'
+         WHEN quality = 0 THEN '[{"error":false,"content":"12 rows read"}]'
+         WHEN quality = 1 THEN '{"error":true,"content":"  "}'
+         ELSE '[{"error":' || quality || ',"content":"a grade, no flag"}]' END AS llm
   FROM labels
 )"""
 
@@ -93,16 +95,20 @@ def _payloads(spark, sf_dir):
     lab = table(spark, sf_dir, "labels")
     d = F.col("doc_id").cast("string")
     kind = F.col("doc_id") % 6
-    payload = (F.when(kind == 0, F.concat(F.lit('[{"title":"d'), d, F.lit('","quality":'), F.col("quality").cast("string"),
-                                          F.lit('},{"title":"t","toxic":'), F.col("toxic").cast("string"), F.lit("}]")))
-               .when(kind == 1, F.concat(F.lit('{"title":"solo'), d, F.lit('"}')))
-               .when(kind == 2, F.lit("[]")).when(kind == 3, F.lit("{not json"))
-               .when(kind == 4, F.lit('"just a string"'))
-               .otherwise(F.concat(F.lit('[{"a":'), d, F.lit('},2,"x"]'))))
-    llm = (F.when(F.col("toxic") == 1, F.concat(F.lit('[{"index":0,"error":true,"tags":["error"],"content":" NotFoundError: model d'),
-                                                d, F.lit(' "}]')))
-           .when(F.col("quality") == 0, F.lit('[{"error":false,"content":"fine"}]'))
-           .otherwise(F.lit('[{"title":"error in title","tags":["error"]}]')))
+    grade, flag = F.col("quality").cast("string"), F.col("toxic").cast("string")
+    scalar = (F.when(F.col("doc_id") % 5 == 0, F.concat(d, F.lit(".5"))).when(F.col("doc_id") % 5 == 2, F.lit("true"))
+              .otherwise(F.concat(F.lit('"row '), d, F.lit('"'))))
+    payload = (F.when(kind == 0, F.concat(F.lit('[{"doc":'), d, F.lit(',"grade":'), grade, F.lit('},{"flag":'), flag,
+                                          F.lit(',"doc":null}]')))
+               .when(kind == 1, F.concat(F.lit('{"doc":'), d, F.lit(',"grade":{"of":5,"is":'), grade, F.lit("}}")))
+               .when(kind == 2, F.lit("[]")).when(kind == 3, F.concat(F.lit('[{"doc":'), d, F.lit(",")))
+               .when(kind == 4, scalar)
+               .otherwise(F.concat(F.lit('[null,{"doc":'), d, F.lit('},[7],"row"]'))))
+    llm = (F.when(F.col("toxic") == 1, F.concat(F.lit('[{"part":1,"error":true,"content":" quota used up at row '), d,
+                                                F.lit(' "},{"error":true}]')))
+           .when(F.col("quality") == 0, F.lit('[{"error":false,"content":"12 rows read"}]'))
+           .when(F.col("quality") == 1, F.lit('{"error":true,"content":"  "}'))
+           .otherwise(F.concat(F.lit('[{"error":'), grade, F.lit(',"content":"a grade, no flag"}]'))))
     return lab.select("doc_id", payload.alias("payload"), llm.alias("llm"))
 
 
@@ -130,14 +136,12 @@ SELECT doc_id,
                  WHEN t = 'OBJECT' THEN 1 END AS BIGINT) AS n_items,
        CASE WHEN payload = '[]' THEN '{_NO_MATCH_CSS}'
             WHEN NOT ok THEN '{MALFORMED_FMT}'
-            WHEN t NOT IN ('ARRAY', 'OBJECT') THEN 'Extraction returned '
-                 || CASE t WHEN 'VARCHAR' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' WHEN 'BIGINT' THEN 'int'
-                           WHEN 'UBIGINT' THEN 'int' WHEN 'NULL' THEN 'NoneType' ELSE 'float' END
-                 || ', expected a list of records.' END AS error,
+            WHEN t NOT IN ('ARRAY', 'OBJECT') THEN replace('{NOT_RECORDS_FMT.format("?")}', '?',
+                 CASE t WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END) END AS error,
        CASE WHEN len(flagged) = 0 THEN NULL
             ELSE coalesce(nullif(array_to_string(list_filter(list_transform(flagged,
                    lambda b: regexp_replace(coalesce(json_extract_string(b, '$.content'), ''), '^\\s+|\\s+$', '', 'g')),
-                   lambda m: m <> ''), ' | '), ''), 'the provider reported an error') END AS llm_error,
+                   lambda m: m <> ''), ' | '), ''), '{GENERIC_PROVIDER_ERROR}') END AS llm_error,
        trim(payload) IN ('[]', '{{}}', '') AS empty_structured
 FROM k
 """)

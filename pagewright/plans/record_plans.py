@@ -112,6 +112,44 @@ def css_part_records(spark, sf_dir):
         F.col("title").alias("page_title"), "description")
 
 
+SIZE_XPATH = {"name": "sizes",
+              "baseSelector": "//li[starts-with(text(),'size ') and not(contains(.,'/')) or @data-note='a/b and c']",
+              "fields": [
+                  {"name": "partkey", "selector": "../..//a/@href", "type": "regex", "pattern": "/part/([0-9]+)"},
+                  {"name": "kind", "selector": "./preceding-sibling::li/text()", "type": "text", "transform": "uppercase"},
+                  {"name": "size", "selector": ".", "type": "regex", "pattern": "([0-9]+)$"},
+                  {"name": "brand", "selector": "../preceding-sibling::a[contains(@href,'/part/') or @rel='next']/@title",
+                   "type": "text", "transform": "lowercase"}]}
+
+
+@register("xpath_axis_records", """
+SELECT p_partkey // 10 AS page_id,
+       CAST(row_number() OVER (PARTITION BY p_partkey // 10 ORDER BY p_partkey) AS BIGINT) AS item_no,
+       CAST(p_partkey AS VARCHAR) AS partkey, upper(p_type) AS kind, CAST(p_size AS VARCHAR) AS size,
+       lower(p_brand) AS brand
+FROM part
+""")
+def xpath_axis_records(spark, sf_dir):
+    """Parent, preceding-sibling and text predicates, ``or``/``not``, values through type and transform."""
+    return extract_records(parsed_nodes(product_pages(spark, sf_dir)), SIZE_XPATH, "xpath")
+
+
+LATER_CSS = {"name": "later", "baseSelector": "div.card:not(:first-child)", "fields": [
+    {"name": "name", "selector": "h2:not(.price, [hidden])", "type": "text"},
+    {"name": "size", "selector": "li:last-child", "type": "text"}]}
+
+
+@register("css_pseudo_records", """
+SELECT page_id, CAST(rn - 1 AS BIGINT) AS item_no, name, size
+FROM (SELECT p_partkey // 10 AS page_id, p_name AS name, 'size ' || p_size AS size,
+             row_number() OVER (PARTITION BY p_partkey // 10 ORDER BY p_partkey) AS rn FROM part)
+WHERE rn > 1
+""")
+def css_pseudo_records(spark, sf_dir):
+    """``:not()`` of one and of several compounds, ``:last-child``."""
+    return extract_records(parsed_nodes(product_pages(spark, sf_dir)), LATER_CSS, "css")
+
+
 @register("html_tables", """
 SELECT c_custkey // 50 AS page_id, CAST(1 AS BIGINT) AS table_no,
        CAST(row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_custkey) AS BIGINT) AS row_no,

@@ -3,7 +3,7 @@
 import pytest
 
 from pagewright.operators.parse import html_nodes
-from pagewright.operators.select import select_css, select_xpath
+from pagewright.operators.select import select_css, select_xpath, subtree, without_subtree
 
 HTML = """<html><body>
 <div id="main" class="wrap big"><h2>T</h2><p class="a">p1</p><p class="b x">p2</p><span>s</span><p>p3</p></div>
@@ -37,6 +37,11 @@ def _texts(nodes, matches):
     ("[data-k*=lph]", ["one"]),
     ("[lang|=en]", ["three"]),
     ("div[class~=big] > span", ["s"]),
+    ("li:last-child", ["three"]),
+    ("div#main > p:last-child", ["p3"]),
+    ("p:not(.a)", ["deep", "p2", "p3"]),
+    ("div#main > p:not(.a, :nth-child(3))", ["p3"]),
+    ("li:not([lang]):not(:first-child)", ["two"]),
 ])
 def test_css(nodes, sel, want):
     assert _texts(nodes, select_css(nodes, sel)) == want
@@ -50,6 +55,13 @@ def test_css(nodes, sel, want):
     ("//p[@class='a']/following-sibling::p", ["p2", "p3"]),
     ("//section//p/..", ["deep"]),
     ("//div[@id='main']/p[starts-with(@class,'b')]", ["p2"]),
+    ("//li[text()='one' or @lang='en-US']", ["one", "three"]),
+    ("//li[@lang and text()='one' or text()='two']", ["two"]),
+    ("//li[@lang and (text()='one' or text()='three')]", ["three"]),
+    ("//li[not(@lang) and not(contains(., 'w'))]", ["one"]),
+    ("//li[@data-k='a/b or c' or @data-k='beta']", ["two"]),
+    ("//p[@class='a'] | //span[contains(., 's')]", ["p1", "s"]),
+    ("//li[@data-k][2]", ["two"]),
 ])
 def test_xpath(nodes, expr, want):
     assert _texts(nodes, select_xpath(nodes, expr)) == want
@@ -58,5 +70,18 @@ def test_xpath(nodes, expr, want):
 def test_unsupported_syntax_refused(nodes):
     with pytest.raises(ValueError, match="unsupported CSS pseudo-class :hover"):
         select_css(nodes, "a:hover")
-    with pytest.raises(ValueError, match="unsupported XPath"):
-        select_xpath(nodes, "//a[last()]")
+    with pytest.raises(ValueError, match="unsupported CSS selector in :not"):
+        select_css(nodes, "p:not(div p)")
+    for expr in ("//a[last()]", "//a[1 or @b]", "//a[@b]c", "//a[not(2)]"):
+        with pytest.raises(ValueError, match="unsupported XPath"):
+            select_xpath(nodes, expr)
+
+
+def test_subtrees(spark, nodes):
+    inside = subtree(nodes, select_css(nodes, "section, ul, section div"))
+    assert sorted(r.tag for r in inside.collect()) == ["div", "li", "li", "li", "p", "section", "ul"]
+    rest = without_subtree(nodes, select_css(nodes, "section, ul, section div"))
+    assert inside.count() + rest.count() == nodes.count()
+    assert inside.columns == rest.columns == nodes.columns
+    none = select_css(nodes, "table")
+    assert subtree(nodes, none).count() == 0 and without_subtree(nodes, none).count() == nodes.count()

@@ -72,9 +72,8 @@ def test_crawl_sitemap_errors_and_truncation(spark):
     res, summary = crawl_sitemap(spark, roots, _docs(spark, docs), snaps, max_urls=5)
     s = {r.root: r for r in summary.collect()}
     assert (s["https://s.test/ok.xml"].crawled, s["https://s.test/ok.xml"].total) == (1, 5)
-    assert s["https://s.test/ok.xml"].note == "Sitemap contained 7 URLs; crawled the first 5 (max_urls limit)."
-    assert "not valid sitemap XML" in s["https://s.test/html.xml"].error
-    assert "robots.txt" in s["https://s.test/html.xml"].error and "Could not fetch" not in s["https://s.test/html.xml"].error
-    assert s["https://s.test/empty.xml"].error.startswith("No URLs found in sitemap")
-    assert s["https://s.test/down.xml"].error == "Could not fetch the sitemap at https://s.test/down.xml: Connection refused"
+    assert s["https://s.test/ok.xml"].note == "7 pages are listed; max_urls keeps the first 5"
+    assert s["https://s.test/html.xml"].error == "snapshot of https://s.test/html.xml does not parse as sitemap XML"
+    assert s["https://s.test/empty.xml"].error == "sitemap https://s.test/empty.xml lists no page"
+    assert s["https://s.test/down.xml"].error == "sitemap https://s.test/down.xml has no readable snapshot: Connection refused"
     assert res.count() == 5
