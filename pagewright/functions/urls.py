@@ -120,10 +120,15 @@ def glob_match(url, pattern: str) -> Column:
 
 
 def domain_matches(host_col, domains: list[str]) -> Column:
-    """``host = d`` or ``host`` ends with ``.d`` for some d (case-insensitive)."""
-    h = F.lower(_col(host_col))
-    conds = [(h == d.lower()) | h.endswith("." + d.lower()) for d in domains]
-    out = F.lit(False)
-    for c in conds:
-        out = out | c
-    return F.coalesce(out, F.lit(False))
+    """``host = d`` or ``host`` ends with ``.d`` for some d (case-insensitive).
+
+    The host's own dotted endings are looked up in the list, so the expression stays flat however
+    long the list is.
+    """
+    if not domains:
+        return F.lit(False)
+    labels = F.split(F.lower(_col(host_col)), r"\.", -1)
+    endings = F.transform(F.sequence(F.lit(1), F.size(labels)),
+                          lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    listed = F.array(*[F.lit(d.lower()) for d in sorted(set(domains))])
+    return F.coalesce(F.arrays_overlap(endings, listed), F.lit(False))

@@ -485,3 +485,30 @@ def without_subtree(nodes: DataFrame, matches: DataFrame) -> DataFrame:
     """PRJ8: nodes outside every matched subtree."""
     joined, inside = _inside(nodes, matches, "left")
     return joined.filter(_not(inside)).drop("_roots")
+
+
+def request_nodes(nodes: DataFrame, requests: DataFrame, selectors: list[str]) -> DataFrame:
+    """PRJ6/PRJ8 per request: the nodes that each request's own settings leave, keyed by request.
+
+    ``requests``: ``request_id, page_id, css_selector, excluded_selector`` (NULL: no narrowing).
+    ``selectors`` names the CSS selectors in use; each is compiled once, and the requests find their
+    matches by a join on page and selector. ``css_selector`` without a match leaves no node,
+    ``excluded_selector`` without a match drops none. The result has the columns of ``nodes`` with
+    ``page_id`` replaced by the request, so every per-page operator runs on it as it is.
+    """
+    roots = None
+    for selector in sorted(set(selectors)):
+        found = select_css(nodes, selector).groupBy("page_id").agg(F.collect_set("m").alias("roots"))
+        found = found.withColumn("selector", F.lit(selector))
+        roots = found if roots is None else roots.unionByName(found)
+    asked = requests.select("request_id", "page_id", "css_selector", "excluded_selector")
+    for setting, out in (("css_selector", "_kept"), ("excluded_selector", "_gone")):
+        if roots is None:
+            asked = asked.withColumn(out, F.lit(None).cast("array<int>"))
+        else:
+            mine = roots.select("page_id", F.col("selector").alias(setting), F.col("roots").alias(out))
+            asked = asked.join(mine, ["page_id", setting], "left")
+    line = F.concat("anc", F.array("pre"))
+    kept = F.col("css_selector").isNull() | F.coalesce(F.arrays_overlap(line, "_kept"), F.lit(False))
+    seen = nodes.join(asked, "page_id").filter(kept & _not(F.arrays_overlap(line, "_gone")))
+    return seen.select(*[F.col("request_id").alias(c) if c == "page_id" else c for c in nodes.columns])

@@ -94,8 +94,8 @@ def keyword_score(url: Column, keywords: list[str] | None) -> Column:
     kws = sorted({k.lower() for k in (keywords or []) if k})
     if not kws:
         return F.lit(0.0)
-    hits = sum(F.when(F.lower(url).contains(k), 1).otherwise(0) for k in kws)
-    return (hits / F.lit(float(len(kws)))).cast("double")
+    hits = F.size(F.filter(F.array(*[F.lit(k) for k in kws]), lambda k: F.lower(url).contains(k)))
+    return F.coalesce(hits / F.lit(float(len(kws))), F.lit(0.0)).cast("double")
 
 
 def _fetch(level: DataFrame, snapshots: DataFrame) -> DataFrame:

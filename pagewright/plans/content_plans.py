@@ -13,7 +13,7 @@ from pagewright.operators.blocks import (density_prune, fit_or_raw, page_blocks,
                                          page_markdown, page_markdown_fit_raw)
 from pagewright.operators.parse import html_nodes, parsed_nodes
 from pagewright.operators.project import page_links, page_metadata
-from pagewright.operators.select import select_css, subtree, without_subtree
+from pagewright.operators.select import request_nodes, select_css, subtree, without_subtree
 from pagewright.plans import sqlparts as S
 from pagewright.plans.catalog import register
 from pagewright.sources.tables import table
@@ -221,6 +221,28 @@ def exclude_nav(spark, sf_dir):
     return _scoped(spark, sf_dir, "excluded_selector")
 
 
+@register("request_scopes", f"""
+WITH {BLOCKS_CTE.strip()},
+r AS (SELECT page_id, k, (page_id + k) % 4 AS setting FROM pages, (SELECT unnest([0, 1]) AS k)),
+md AS (
+  SELECT r.page_id, k, string_agg(md, {NL2} ORDER BY grp, ord) AS markdown FROM r JOIN blocks b ON b.page_id = r.page_id
+  WHERE setting = 0 OR setting = 1 AND grp IN (3, 4) OR setting = 2 AND grp <> 1 OR setting = 3 AND grp NOT IN (1, 5)
+  GROUP BY 1, 2)
+SELECT 2 * r.page_id + k AS request_id, page_id, markdown FROM r LEFT JOIN md USING (page_id, k)
+""")
+def request_scopes(spark, sf_dir):
+    """Requests with different selectors, answered in one plan (two requests a page, four settings)."""
+    pages = _pages(spark, sf_dir)
+    setting = (F.col("page_id") + F.col("k")) % 4
+    requests = pages.select("page_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("k")).select(
+        (F.col("page_id") * 2 + F.col("k")).alias("request_id"), "page_id",
+        F.when(setting == 1, "article").alias("css_selector"),
+        F.when(setting == 2, "nav").when(setting == 3, "nav, footer").alias("excluded_selector"))
+    nodes = request_nodes(parsed_nodes(pages, container_text=False), requests, ["article", "nav", "nav, footer"])
+    md = page_markdown(page_blocks(nodes), "markdown").withColumnRenamed("page_id", "request_id")
+    return requests.join(md, "request_id", "left").select("request_id", "page_id", "markdown")
+
+
 # -- page options (excluded_tags, only_text, exclude_external_links) -------------------------
 
 @register("page_options", f"""

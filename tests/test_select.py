@@ -3,7 +3,7 @@
 import pytest
 
 from pagewright.operators.parse import html_nodes
-from pagewright.operators.select import select_css, select_xpath, subtree, without_subtree
+from pagewright.operators.select import request_nodes, select_css, select_xpath, subtree, without_subtree
 
 HTML = """<html><body>
 <div id="main" class="wrap big"><h2>T</h2><p class="a">p1</p><p class="b x">p2</p><span>s</span><p>p3</p></div>
@@ -85,3 +85,16 @@ def test_subtrees(spark, nodes):
     assert inside.columns == rest.columns == nodes.columns
     none = select_css(nodes, "table")
     assert subtree(nodes, none).count() == 0 and without_subtree(nodes, none).count() == nodes.count()
+
+
+def test_request_nodes(spark, nodes):
+    rows = [(10, 1, None, None), (11, 1, "ul", None), (12, 1, None, "ul, section"), (13, 1, "div#main", "p"),
+            (14, 1, "table", None), (15, 1, None, "table"), (16, 9, None, None)]
+    asked = spark.createDataFrame(rows, "request_id long, page_id long, css_selector string, excluded_selector string")
+    got = request_nodes(nodes, asked, ["ul", "ul, section", "div#main", "p", "table"]).collect()
+    tags = {k: sorted(r.tag for r in got if r.page_id == k) for k in range(10, 17)}
+    everything = sorted(r.tag for r in nodes.collect())
+    assert tags[10] == tags[15] == everything and tags[14] == tags[16] == []
+    assert tags[11] == ["li", "li", "li", "ul"] and tags[13] == ["div", "h2", "span"]
+    assert len(tags[12]) == len(everything) - 4 - 3
+    assert request_nodes(nodes, asked, []).where("page_id = 10").count() == len(everything)

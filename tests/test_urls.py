@@ -45,3 +45,10 @@ def test_glob_and_domain_match(spark):
     assert [(r.p, r.f, r.d) for r in got] == [(True, False, True), (False, True, True)]
     port = spark.createDataFrame([("example.com:8080",)], "h string")
     assert port.select(U.domain_matches("h", ["example.com"])).first()[0] is False
+
+
+def test_long_domain_lists(spark):
+    hosts = [("a.site7.test",), ("site7.test",), ("xsite7.test",), ("SITE1999.test",), ("test",), (None,), ("",)]
+    domains = [f"Site{i}.test" for i in range(2000)]
+    got = spark.createDataFrame(hosts, "h string").select(U.domain_matches("h", domains).alias("d")).collect()
+    assert [r.d for r in got] == [True, True, False, True, False, False, False]
