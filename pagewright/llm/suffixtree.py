@@ -3,20 +3,20 @@
 Tokens are the non-space runs of a text (ASCII lower-cased) and one end. The tree's states are
 contexts of 0 to ``DEPTH`` preceding tokens:
 
-* *candidates* of length k are contexts whose relative frequency is at least ``P_MIN`` (so at most
-  ``1 / P_MIN`` per length, whatever the corpus); counted over all training documents;
+* *candidates* are contexts that some next symbol follows ``MIN_COUNT`` times or more, over all
+  training documents and whatever the size of the corpus (below that, smoothing leaves nothing);
 * *divergence test*: a candidate is retained if its next-symbol distribution differs from that of
-  its suffix: ``2 n KL`` beyond ``df + Z sqrt(2 df)``, and KL at least ``MIN_KL``. For the test,
-  symbols that are no candidates themselves count as one, a lower bound of the full divergence;
+  its suffix: ``2 n KL`` beyond ``df + Z sqrt(2 df)``, and KL at least ``MIN_KL``;
 * *smoothing*: a state's distribution is its discounted counts, and the mass that is left goes to
   the distribution of its longest retained suffix, down to the unigram distribution of the contract
   (which is the root): ``P(x|s) = max(n(s,x) - D, 0) / n(s) + rest(s) P(x|suffix(s))``; it sums to 1;
 * *scoring*: each token is predicted by the longest retained suffix of what precedes it.
 
-The unigram counts cover the whole vocabulary and grow with the corpus, so they are never
-broadcast: documents are dealt into chunks of about ``CHUNK_BYTES`` of text, a chunk asks for its
-distinct tokens, the counts are joined to these requests by token and brought back per chunk.
-The retained states are broadcast; their size is bounded by ``P_MIN`` and ``P_ENTRY``.
+Unigram counts, states and entries grow with the corpus, so they stay Spark tables and are never
+collected or broadcast. A run of 1 to ``DEPTH + 1`` tokens is named by one hash (``(context, next)``
+is the run that is the longer context at the next place). Documents are dealt into chunks of about
+``CHUNK_BYTES`` of text, a chunk asks for its distinct runs, the tables are joined to these requests
+by hash, and what they hold is brought back per chunk.
 
 Defined cases: NULL texts are empty (the end is their one token); a NULL doc_id is not held out;
 repeated rows count as often as they occur; without training rows N = V = 0 and scores are 0;
@@ -33,18 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.arrowtext import NON_SPACE, hash_words, mix, regrouped, signed
+from pagewright.llm.arrowtext import NON_SPACE, hash_words, regrouped, signed
 from pagewright.llm.toxicity import held_out
 from pagewright.session import materialize
 
 DEPTH = 3
-P_MIN, P_ENTRY = 1e-5, 2e-6
+MIN_COUNT = 2
 Z, MIN_KL, DISCOUNT = 6.0, 0.02, 0.5
 CHUNK_BYTES = 12_000_000
 
 _U = np.uint64
 _Q = _U(0x9FB21C651E98DF25)
-START, END, OTHER = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344), _U(0)
+START, END = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
 
 
 def sequences(col) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +71,8 @@ def contexts(tokens: np.ndarray, off: np.ndarray, depth: int) -> list[tuple[np.n
 
 
 def _entry(context: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(context * _U(0xD6E8FEB86659FD93) + token)
+    """Hash of the run ``context, token``: what ``contexts`` gives for it at the next place."""
+    return context * _Q + token
 
 
 def _lookup(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,25 +93,22 @@ def count_tokens(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def count_next(train: DataFrame, candidates, symbols, k: int) -> DataFrame:
-    """``context, parent, next, n`` for the candidate contexts of length k (broadcast sorted arrays)."""
+def count_next(train: DataFrame, k: int) -> DataFrame:
+    """``run, context, below, n`` of all runs of k + 1 tokens; ``below``: the run without its first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in regrouped(batches, 8 << 20):
             tokens, off = sequences(t.column("text"))
             ctx = contexts(tokens, off, k)
             h, ok = ctx[-1]
             here = np.flatnonzero(ok)
-            here = here[_lookup(candidates.value, h[here])[1]]
-            nxt = tokens[here]
-            nxt = np.where(_lookup(symbols.value, nxt)[1], nxt, OTHER)
             own = h[here]
-            up = ctx[-2][0][here] if k > 1 else np.zeros(len(here), _U)
-            _, first, n = np.unique(_entry(own, nxt), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(own[first])), pa.array(signed(up[first])), pa.array(signed(nxt[first])), pa.array(n)],
-                                             names=["context", "parent", "next", "n"])
+            up = _entry(ctx[-2][0][here], tokens[here]) if k > 1 else tokens[here]
+            runs, first, n = np.unique(_entry(own, tokens[here]), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(runs)), pa.array(signed(own[first])), pa.array(signed(up[first])), pa.array(n)],
+                                             names=["run", "context", "below", "n"])
 
-    rows = train.select("text").mapInArrow(run, "context long, parent long, next long, n long")
-    return rows.groupBy("context", "parent", "next").agg(F.sum("n").alias("n"))
+    rows = train.select("text").mapInArrow(run, "run long, context long, below long, n long")
+    return rows.groupBy("run", "context", "below").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -147,43 +145,29 @@ def _unsigned(rows, name: str) -> np.ndarray:
     return np.array([r[name] for r in rows], dtype=np.int64).view(_U)
 
 
-def grow(train: DataFrame, unigrams: DataFrame, depth: int = DEPTH) -> Tree:
-    """Count, test and smooth the contexts, length by length."""
-    spark = train.sparkSession
-    total, kinds = unigrams.agg(F.sum("c"), F.count(F.lit(1))).first()
-    tree = Tree(total or 0, kinds or 0, [])
-    if not total:
-        return tree
-    least = max(2.0, P_MIN * total)
-    frequent = unigrams.where(F.col("c") >= least).collect()  # at most 1 / P_MIN
-    symbols = spark.sparkContext.broadcast(np.sort(_unsigned(frequent, "token")))
-    tokens = symbols.value[symbols.value != END]
-    candidates = np.sort(np.append(tokens, START))
-    known = sum(r["c"] for r in frequent)
-    above = unigrams.where(F.col("c") >= least).select(F.lit(0).cast("long").alias("parent"), F.col("token").alias("next"), (F.col("c") / total).alias("q"))
-    other = spark.range(1).select(F.lit(0).cast("long").alias("parent"), F.lit(int(OTHER)).cast("long").alias("next"),
-                                  F.lit(max(total - known, 1) / total).alias("q"))
-    above = above.unionByName(other)
+def grow(train: DataFrame, unigrams: DataFrame, total: int, depth: int = DEPTH) -> DataFrame:
+    """``key, value, rest``: counts of the tokens, shares of the entries, mass left of the states."""
+    none = F.lit(None).cast("double")
+    model = unigrams.select(F.col("token").alias("key"), F.col("c").cast("double").alias("value"), none.alias("rest"))
+    above = unigrams.select(F.col("token").alias("below"), (F.col("c") / max(total, 1)).alias("q"))
     for k in range(1, depth + 1):
-        if not len(candidates):
-            break
-        level = materialize(count_next(train, spark.sparkContext.broadcast(candidates), symbols, k), f"level{k}")
-        sums = level.groupBy("context").agg(F.sum("n").alias("total"))
-        d = level.join(sums, "context")
-        tested = d.join(above, ["parent", "next"]).groupBy("context").agg(
+        level = materialize(count_next(train, k), f"level{k}")
+        sums = level.groupBy("context").agg(F.sum("n").alias("total"), F.max("n").alias("most")).where(F.col("most") >= MIN_COUNT).drop("most")
+        # the suffix of a candidate is a candidate, so what ``above`` leaves out is not asked for
+        d = materialize(level.join(sums, "context"), f"candidates{k}")
+        tested = d.join(above, "below").groupBy("context").agg(
             F.first("total").alias("total"), F.count(F.lit(1)).alias("kinds"),
             F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).alias("nkl"))
         df = F.greatest(F.col("kinds") - 1, F.lit(1))
-        kept = tested.where((2 * F.col("nkl") >= df + Z * F.sqrt(2 * df)) & (F.col("nkl") >= MIN_KL * F.col("total"))).select("context", "total")
-        kept = materialize(kept, "states")
-        states = kept.collect()  # at most 1 / P_MIN
-        entries = level.where((F.col("next") != int(OTHER)) & (F.col("n") >= max(2.0, P_ENTRY * total))) \
-            .join(kept.select("context"), "context", "left_semi").select("context", "next", "n").collect()  # at most 1 / P_ENTRY
-        tree.levels.append(_level(states, entries))
-        longer = level.where((F.col("n") >= least) & ~F.col("next").isin(int(OTHER), int(END.astype(np.int64)))).select("context", "next").collect()
-        candidates = np.unique(_unsigned(longer, "context") * _Q + _unsigned(longer, "next"))  # at most 1 / P_MIN
-        above = d.select(F.col("context").alias("parent"), "next", (F.col("n") / F.col("total")).alias("q"))
-    return tree
+        kept = tested.where((2 * F.col("nkl") >= df + Z * F.sqrt(2 * df)) & (F.col("nkl") >= MIN_KL * F.col("total"))).select("context")
+        share = (F.col("n") - DISCOUNT) / F.col("total")
+        entries = materialize(d.where(F.col("n") >= MIN_COUNT).join(kept, "context", "left_semi")
+                              .select("run", "context", share.alias("share")), f"entries{k}")
+        states = entries.groupBy("context").agg((1 - F.sum("share")).alias("rest"))
+        model = model.unionByName(entries.select(F.col("run").alias("key"), F.col("share").alias("value"), none.alias("rest"))) \
+            .unionByName(states.select(F.col("context").alias("key"), none.alias("value"), "rest"))
+        above = d.select(F.col("run").alias("below"), (F.col("n") / F.col("total")).alias("q"))
+    return model.groupBy("key").agg(F.max("value").alias("value"), F.max("rest").alias("rest"))
 
 
 def _level(states, entries) -> Level:
@@ -201,28 +185,36 @@ def _level(states, entries) -> Level:
 
 def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
-    spark = docs.sparkSession
     train = docs.where(~held_out(mod=5))
     unigrams = materialize(count_tokens(train), "unigrams")
-    tree = grow(train, unigrams, depth)
-    shared = spark.sparkContext.broadcast(tree)
+    total, kinds = (x or 0 for x in unigrams.agg(F.sum("c"), F.count(F.lit(1))).first())
+    model = grow(train, unigrams, total, depth)
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     chunks = size // CHUNK_BYTES + 1
     d = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
 
     def ask(t: pa.Table) -> pa.Table:
-        tok = np.unique(hash_words(t.column("text"), NON_SPACE).hashes)
-        tok = np.append(tok, END)
-        return pa.table({"chunk": pa.array(np.full(len(tok), t.column("chunk")[0].as_py(), np.int32)), "token": pa.array(signed(tok))})
-
-    asked = d.groupBy("chunk").applyInArrow(ask, "chunk int, token long")
-    told = asked.join(unigrams, "token").select("chunk", "token", "c")
-
-    def score(t: pa.Table, counts: pa.Table) -> pa.Table:
-        model = shared.value
-        keys = counts.column("token").to_numpy().view(_U)
-        order = np.argsort(keys)
-        keys, c = keys[order], counts.column("c").to_numpy()[order]
+        tokens, off = sequences(t.column("text"))
+        runs = [np.unique(tokens)]
+        runs += [np.unique(_entry(h[ok], tokens[ok])) for h, ok in contexts(tokens, off, depth)]
+        key = np.concatenate(runs)
+        return pa.table({"chunk": pa.array(np.full(len(key), t.column("chunk")[0].as_py(), np.int32)), "key": pa.array(signed(key))})
+
+    asked = d.groupBy("chunk").applyInArrow(ask, "chunk int, key long")
+    told = asked.join(model, "key").select("chunk", "key", "value", "rest")
+
+    def score(t: pa.Table, parts: pa.Table) -> pa.Table:
+        key, value, rest = parts.column("key").to_numpy().view(_U), parts.column("value"), parts.column("rest")
+        order = np.argsort(key)  # unsigned
+
+        def column(c: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+            x = c.to_numpy()[order]
+            there = ~np.isnan(x)
+            return key[order][there], x[there]
+
+        (keys, c), (states, rest) = column(value), column(rest)
+        # hashes of runs of different length differ, so one table serves every length
+        model = Tree(total, kinds, [Level(states, rest, keys, c)] * depth)
         out = {"doc_id": [], "n_tokens": [], "n_known": [], "base_score": [], "score": []}
         step = max(1, t.num_rows * (2 << 20) // max(t.nbytes, 1))
         for a in range(0, t.num_rows, step):
@@ -247,4 +239,4 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     got = d.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return got.select("doc_id", held_out(mod=5).alias("held_out"), "n_tokens", "n_known",
-                      F.lit(tree.total).cast("long").alias("train_tokens"), "base_score", "score")
+                      F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -203,6 +203,59 @@ def test_suffix_tree_distribution_sums_to_one():
     assert abs(p.sum() - 1) < 1e-12 and abs(total - 1) < 1e-12
 
 
+def test_suffix_tree_learns_a_repeated_passage_whatever_the_size(spark):
+    rng = np.random.RandomState(3)
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    noise = [" ".join(f"n{x}" for x in rng.randint(0, 5000, 20_000)) for _ in range(75)]
+    passage = " ".join(f"rare{k}" for k in range(30))
+    train, test = [i for i in range(1000, 1040) if not held(i)][:6], next(i for i in range(1000, 1040) if held(i))
+    rows = [*enumerate(noise), *((i, passage) for i in [*train, test])]
+    got = {r.doc_id: r for r in suffixtree.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    r = got[test]
+    assert r.held_out and r.n_known == r.n_tokens == 31 and r.train_tokens > 1_100_000
+    # six times in the corpus: each of its words but the first follows from the one before, and so does the end
+    assert r.base_score < 31 * -5 and r.score > 31 * -0.2 - 7
+
+
+def test_suffix_tree_equals_brute_force(spark, texts):
+    import math
+    from collections import Counter, defaultdict
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[0])]
+    rows += [(1000 + i, " ".join(["p q r s t q r u"] * i)) for i in range(10)]  # what follows "q r" hangs on the word before
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seqs = [["^", *WORD.findall((t or "").translate(LOW)), "$"] for _, t in rows]
+    uni, nxt = Counter(), defaultdict(Counter)
+    for (i, _), x in zip(rows, seqs, strict=True):
+        if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
+            uni.update(x[1:])
+            for k in (1, 2, 3):
+                for j in range(k, len(x)):
+                    nxt[tuple(x[j - k:j])][x[j]] += 1
+    n, v = sum(uni.values()), len(uni)
+    nxt[()] = uni
+    size = {c: sum(m.values()) for c, m in nxt.items()}
+    kept = set()
+    for c, m in nxt.items():
+        if c and max(m.values()) >= 2:
+            nkl = sum(y * math.log(y / size[c] / (nxt[c[1:]][w] / size[c[1:]])) for w, y in m.items())
+            df = max(len(m) - 1, 1)
+            if 2 * nkl >= df + suffixtree.Z * math.sqrt(2 * df) and nkl >= suffixtree.MIN_KL * size[c]:
+                kept.add(c)
+
+    def p(c, w):
+        if not c:
+            return (uni[w] + 0.5) / (n + 0.5 * (v + 1))
+        if c not in kept:
+            return p(c[1:], w)
+        share = {x: (y - 0.5) / size[c] for x, y in nxt[c].items() if y >= 2}
+        return share.get(w, 0.0) + (1 - sum(share.values())) * p(c[1:], w)
+
+    assert {len(c) for c in kept} == {1, 2, 3}
+    want = {i: sum(math.log10(p(tuple(x[max(0, j - 3):j]), x[j])) for j in range(1, len(x))) for (i, _), x in zip(rows, seqs, strict=True)}
+    for r in suffixtree.scored(docs).collect():
+        assert abs(r.score - want[r.doc_id]) < 1e-6 * max(1, abs(want[r.doc_id]))
+
+
 def test_toxicity_and_language(spark):
     rnd = random.Random(2)
     syll = {"aa": ["the", "of", "ing", "th", "er"], "bb": ["que", "os", "ci", "ado", "el"]}
