@@ -12,7 +12,8 @@ each word stands. Over the corpus:
 
 Every occurrence of a key phrase holds its rare token, so no place is lost.
 
-Only template words ever leave the scan, and only of documents with an anchor; the postings are a
+Only template words ever leave the scan: each document's distinct ones for the document frequencies,
+and those of documents with an anchor with their places; the postings are a
 constant-size table. Votes are grouped per document and start, never per template over documents.
 
 Defined cases: NULL text is empty (0 words); empty tables give empty results; overlapping or
@@ -73,7 +74,10 @@ def template_table(spark: SparkSession) -> DataFrame:
 
 
 def word_hits(docs: DataFrame) -> DataFrame:
-    """One row per document: ``row_id, doc_id, n_words, hits array<struct<place, word>>`` of template words."""
+    """Per document: ``row_id, doc_id, n_words, known, hits array<struct<place, word>>``.
+
+    ``known`` are the distinct template words of any document; ``hits`` are those of documents with an anchor.
+    """
     vocabulary = sorted({w for t in _templates() for w in t[3]})
     anchors = sorted({max(t[3], key=len) for t in _templates()})
     low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
@@ -83,6 +87,7 @@ def word_hits(docs: DataFrame) -> DataFrame:
     inside = F.transform("w", lambda x, i: F.when(x.isin(vocabulary), F.struct(i.alias("place"), x.alias("word"))))
     none = F.array().cast("array<struct<place:int,word:string>>")
     return d.select(F.expr("uuid()").alias("row_id"), "doc_id", F.size("w").cast("long").alias("n_words"),
+                    F.array_intersect("w", F.array(*map(F.lit, vocabulary))).alias("known"),
                     F.when(F.col("wanted"), F.filter(inside, lambda x: x.isNotNull())).otherwise(none).alias("hits"))
 
 
@@ -92,7 +97,7 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = materialize(word_hits(docs), "hits")
     n_docs = rows.count()
     hits = rows.where(F.size("hits") > 0).select("row_id", F.explode("hits").alias("h")).select("row_id", "h.place", "h.word")
-    seen = hits.select("row_id", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    seen = rows.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     # every broadcast below is bounded by the templates: at most one row per template word
     post = postings(spark).join(seen, "word").withColumn("idf", F.log((n_docs + 1) / (F.col("df") + 1)) + 1)
     post = materialize(post.withColumnRenamed("place", "at"), "postings")

@@ -177,6 +177,17 @@ def test_licenses(docs, texts):
     assert got[5].n_words == 0 and got[11].n_words == len(ALNUM.findall(texts[11])) and got[11].n_base == 0
 
 
+def test_license_weights_count_every_document(spark):
+    import math
+    # "under the" is common in documents without any license word
+    rows = [(1, "code under the mit license")] + [(i, "under the sun of the day") for i in range(2, 200)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    idf = lambda df: math.log((len(rows) + 1) / (df + 1)) + 1
+    met = 2 * idf(199) + 2 * idf(1)
+    assert met / (met + idf(0)) < licenses.MIN_SHARE  # "released" is missing
+    assert (got[1].labels, got[1].base_labels, got[1].score) == ("mit", "mit", 1.0)
+
+
 def test_suffix_tree(docs, texts):
     import math
     from collections import Counter
