@@ -76,19 +76,20 @@ def template_table(spark: SparkSession) -> DataFrame:
 def word_hits(docs: DataFrame) -> DataFrame:
     """Per document: ``row_id, doc_id, n_words, known, hits array<struct<place, word>>``.
 
-    ``known`` are the distinct template words of any document; ``hits`` are those of documents with an anchor.
+    ``known`` are the distinct template words of any document; ``hits`` are those of documents with an
+    anchor: the longest word of some mandatory key phrase, so a document without one has no candidate.
     """
     vocabulary = sorted({w for t in _templates() for w in t[3]})
-    anchors = sorted({max(t[3], key=len) for t in _templates()})
+    anchors = sorted({max(words[at:at + k], key=len) for _, _, _, words, at, k in _templates()})
     low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
     # splitting leaves an empty entry before a leading and behind a trailing separator
     words = F.filter(F.split("low", SEPARATOR), lambda x: x != "")
-    d = docs.select("doc_id", low.alias("low")).select("doc_id", F.col("low").rlike("|".join(anchors)).alias("wanted"), words.alias("w"))
+    d = docs.select("doc_id", low.alias("low")).select("doc_id", words.alias("w"))
+    d = d.withColumn("known", F.array_intersect("w", F.array(*map(F.lit, vocabulary))))
     inside = F.transform("w", lambda x, i: F.when(x.isin(vocabulary), F.struct(i.alias("place"), x.alias("word"))))
     none = F.array().cast("array<struct<place:int,word:string>>")
     return d.select(F.expr("uuid()").alias("row_id"), "doc_id", F.size("w").cast("long").alias("n_words"),
-                    F.array_intersect("w", F.array(*map(F.lit, vocabulary))).alias("known"),
-                    F.when(F.col("wanted"), F.filter(inside, lambda x: x.isNotNull())).otherwise(none).alias("hits"))
+                    "known", F.when(F.arrays_overlap("known", F.array(*map(F.lit, anchors))), F.filter(inside, lambda x: x.isNotNull())).otherwise(none).alias("hits"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -188,6 +188,19 @@ def test_license_weights_count_every_document(spark):
     assert (got[1].labels, got[1].base_labels, got[1].score) == ("mit", "mit", 1.0)
 
 
+def test_license_filter_keeps_what_holds_a_key_phrase(spark):
+    common = "distribution permission and use in with or without modification are permitted is to any person obtaining a copy of this"
+    rows = [(1, "Distribution and use in source and binary forms with or without modification are permitted"),
+            (2, "Permit is hereby granted free of charge to any person obtaining a copy of this software"),
+            (3, "Redistribution and use of binary goods")]
+    rows += [(i, common) for i in range(4, 60)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.labels for i, r in got.items() if r.labels} == {1: "bsd-grant", 2: "mit-grant"}
+    anchored = {r.doc_id for r in licenses.word_hits(spark.createDataFrame(
+        [(t[0], " ".join(t[3][t[4]:t[4] + t[5]])) for t in licenses._templates()], "doc_id long, text string")).collect() if r.hits}
+    assert anchored == {t[0] for t in licenses._templates()}
+
+
 def test_suffix_tree(docs, texts):
     import math
     from collections import Counter
