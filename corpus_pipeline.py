@@ -33,8 +33,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_configured
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later runs of repeated lines are deleted; a document with no line left goes."""
-    out = linededup.clean(docs)
+    """Later runs of three lines, or of fewer with 50 words, are deleted; a document with no line left goes."""
+    out = linededup.clean(docs, words=linededup.LONG_WORDS)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -89,6 +89,33 @@ def test_line_dedup(docs, texts):
     assert linededup.clean(docs).columns == docs.columns
 
 
+def test_pipeline_deletes_long_passages_on_few_lines(spark):
+    import corpus_pipeline
+    line = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    long, a, b, short = line("w", 55), line("a", 30), line("b", 25), line("s", 10)
+    texts = [f"{long}\nfoo", f"bar\n{long}\nbaz", long, f"{a}\n{b}", f"x\n{a}\n{b}\ny", f"{a}\nz\n{b}", short, f"{short}\n{line('t', 12)}",
+             f"{long}\nfoo\nbar", f"1\n2\n3\n{short}", f"0\n1\n2\n3\n{long}\n{short}", "", None, f"{long} ", f"{a}\n{b}"]
+    first, want = set(), {}
+    for i, t in enumerate(texts):
+        lines = t.split("\n") if t is not None else []
+        gone = set()
+        for m in (1, 2, 3):
+            for s in range(len(lines) - m + 1):
+                w = tuple(lines[s:s + m])
+                if m == 3 or sum(len(x.split()) for x in w) >= 50:
+                    if w in first:
+                        gone.update(range(s, s + m))
+                    first.add(w)
+        if not lines or len(gone) < len(lines):
+            want[i] = None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    assert want[1] == "bar\nbaz" and want[4] == "x\ny" and not {2, 14} & set(want) and want[10] == f"0\n{short}"
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_repeated_lines(spark, docs.repartition(3), "")
+    assert got.columns == docs.columns and {r.doc_id: r.text for r in got.collect()} == want
+    # the query keeps to its SQL
+    assert {r.doc_id: r.n_deleted for r in linededup.dedup_lines(docs).collect() if r.n_deleted} == {10: 3}
+
+
 def test_suffixes(docs, texts):
     first, want = {}, {}
     for i, t in enumerate(texts):
