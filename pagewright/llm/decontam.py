@@ -8,9 +8,10 @@ pattern holds that block nearer to its end; a jump of 0 leads to the bucket of p
 
 All positions that are due in a batch of documents are advanced together (numpy): a cursor per
 stretch of text, each jumping by its own shifts. Shorter items are searched per length with the
-same routine. Benchmark items are taken in blocks of ``block_items`` rows; each block's tables are
-broadcast (bounded by that parameter and by ``block_words``) and searched in all documents, so the
-benchmark may be of any size.
+same routine. Benchmark items are taken in blocks of ``block_items`` rows, one after the other: a
+block's tables are built, broadcast (bounded by that parameter and by ``ITEM_WORDS``), searched in
+all documents and released when its hits are written to the shared folder. The hits of all blocks
+are merged by row, so the benchmark may be of any size.
 
 Defined cases: NULL texts have no words; items without words are skipped; repeated items each
 count; a document word inside any occurrence counts once; empty tables give no hits; other columns
@@ -37,6 +38,8 @@ TABLE_BITS = 18
 #: items to a broadcast block; an item longer than ITEM_WORDS words is cut into overlapping parts
 BLOCK_ITEMS = 20_000
 ITEM_WORDS = 2_000
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class WuManber:
@@ -109,9 +112,7 @@ def windows_of(items: list[tuple[int, str]], window: int = WINDOW) -> list[WuMan
 
 def item_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's rows in blocks of bounded size, long items cut with overlap."""
-    words = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    parts = F.regexp_extract_all(low, F.lit(words), F.lit(0))
+    parts = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(WORDS), F.lit(0))
     step = ITEM_WORDS - WINDOW + 1
     rows = (benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", parts.alias("w")).where(F.size("w") > 0)
             .select("item_id", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - WINDOW, F.lit(0)), F.lit(step))).alias("at"))
@@ -125,21 +126,29 @@ def item_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterato
             yield got
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_k`` and ``_k2``: equal for rows of equal doc_id and text only."""
+    return docs.withColumn("_k", F.xxhash64("doc_id", "text")).withColumn("_k2", F.hash("doc_id", "text"))
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Per document: ``doc_id, n_words, hits array<int>`` (hit word positions) and ``items``."""
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(windows_of(b, window)) for b in item_blocks(benchmark, block_items)]
-    schema = "doc_id long, n_words long, n_hit long, items array<long>, spans array<long>"
+    """``_k, _k2, items, hits`` (hit word positions) of the rows of ``keyed(docs)`` with a hit.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in regrouped(batches):
-            w = hash_words(t.column("text"), ALNUM)
-            begin, end = w.offsets[:-1], w.offsets[1:]
-            n = len(begin)
-            delta = np.zeros(len(w.hashes) + 1, np.int32)
-            items: dict[int, set[int]] = {}
-            for block in blocks:
-                for table in block.value:
+    One search per item block, its hits written before the next block is built; hits are merged by row.
+    """
+    spark = docs.sparkSession
+    schema = "_k long, _k2 int, items array<long>, spans array<struct<a:long,b:long>>"
+    hits = spark.createDataFrame([], schema)
+    for block in item_blocks(benchmark, block_items):
+        shared = spark.sparkContext.broadcast(windows_of(block, window))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for t in regrouped(batches):
+                w = hash_words(t.column("text"), ALNUM)
+                begin, end = w.offsets[:-1], w.offsets[1:]
+                delta = np.zeros(len(w.hashes) + 1, np.int32)
+                items: dict[int, set[int]] = {}
+                for table in shared.value:
                     at, pat = table.search(w.hashes, begin, end)
                     if not len(at):
                         continue
@@ -148,50 +157,51 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
                     doc = np.searchsorted(begin, at, side="right") - 1
                     for d, p in set(zip(doc.tolist(), pat.tolist(), strict=True)):
                         items.setdefault(d, set()).update(table.owners[p].tolist())
-            hit = np.cumsum(delta[:-1]) > 0
-            sums = np.concatenate([[0], np.cumsum(hit)])
-            n_hit = sums[end] - sums[begin]
-            spans: list[list[int]] = [[] for _ in range(n)]
-            for d in np.flatnonzero(n_hit):  # [start, stop) word ranges, flattened
-                x = np.diff(np.concatenate([[0], hit[begin[d]:end[d]].astype(np.int8), [0]]))
-                spans[d] = np.stack([np.flatnonzero(x == 1), np.flatnonzero(x == -1)], 1).ravel().tolist()
-            yield pa.RecordBatch.from_arrays([
-                t.column("doc_id").combine_chunks(), pa.array(end - begin), pa.array(n_hit.astype(np.int64)),
-                pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.int64())),
-                pa.array(spans, pa.list_(pa.int64()))], names=["doc_id", "n_words", "n_hit", "items", "spans"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+                hit = np.cumsum(delta[:-1]) > 0
+                rows = sorted(items)
+                spans = []
+                for d in rows:  # [a, b) word ranges
+                    x = np.diff(np.concatenate([[0], hit[begin[d]:end[d]].astype(np.int8), [0]]))
+                    spans.append([{"a": i, "b": j} for i, j in zip(np.flatnonzero(x == 1).tolist(), np.flatnonzero(x == -1).tolist(), strict=True)])
+                keys = t.select(["_k", "_k2"]).take(pa.array(rows, pa.int64())).combine_chunks()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys.column("_k").to_pylist(), pa.int64()), pa.array(keys.column("_k2").to_pylist(), pa.int32()),
+                    pa.array([sorted(items[d]) for d in rows], pa.list_(pa.int64())),
+                    pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))], names=["_k", "_k2", "items", "spans"])
+
+        found = keyed(docs.select("doc_id", "text")).select("_k", "_k2", "text").mapInArrow(run, schema)
+        hits = hits.unionByName(materialize(found, "block-hits"))
+        shared.destroy()
+    places = F.flatten(F.transform("spans", lambda x: F.sequence(x["a"], x["b"] - 1)))
+    return hits.groupBy("_k", "_k2").agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+                                         F.array_distinct(F.flatten(F.collect_set(places))).alias("hits"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` per document."""
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return find_hits(docs, benchmark, window, block_items).select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    hits = find_hits(docs, benchmark, window, block_items).select(
+        "_k", "_k2", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("sha"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in regrouped(batches):
+            n = np.diff(hash_words(t.column("text"), ALNUM).offsets)
+            yield from t.drop_columns("text").append_column("n_words", pa.array(n, pa.int64())).combine_chunks().to_batches()
+
+    rows = keyed(docs.select("doc_id", "text")).select("doc_id", "_k", "_k2", "text").mapInArrow(count, "doc_id long, _k long, _k2 int, n_words long")
+    return rows.join(hits, ["_k", "_k2"], "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("sha", F.lit(empty_digest())).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 
 def empty_digest() -> str:
     return hashlib.sha256(b"").hexdigest()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """The documents without any occurrence of a benchmark window, all columns kept.
 
     Rows are kept or dropped by their own text, so repeated and NULL ids stay right.
     """
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(windows_of(b, window)) for b in item_blocks(benchmark)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in regrouped(batches):
-            w = hash_words(t.column("text"), ALNUM)
-            begin, end = w.offsets[:-1], w.offsets[1:]
-            bad = np.zeros(len(begin), dtype=bool)
-            for block in blocks:
-                for table in block.value:
-                    at, _ = table.search(w.hashes, begin, end)
-                    bad[np.searchsorted(begin, at, side="right") - 1] = True
-            yield from t.filter(pa.array(~bad)).combine_chunks().to_batches()
-
-    return docs.mapInArrow(run, docs.schema)
+    hits = find_hits(docs, benchmark, window, block_items).select("_k", "_k2")
+    return keyed(docs).join(hits, ["_k", "_k2"], "left_anti").select(*docs.columns)

@@ -151,6 +151,32 @@ def test_decontamination(spark, docs, texts):
     assert decontam.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_decontamination_holds_one_item_block_at_a_time(spark, docs, texts, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.core.broadcast import Broadcast
+    live, most = set(), []
+    make, destroy = SparkContext.broadcast, Broadcast.destroy
+
+    def broadcast(self, value):
+        b = make(self, value)
+        live.add(id(b))
+        most.append(len(live))
+        return b
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (live.discard(id(self)), destroy(self, *a))[1])
+    w = ALNUM.findall(texts[4].translate(LOW))
+    items = [(i, " ".join(w[5 * i:5 * i + 14])) for i in range(8)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, decontam.report(docs, bench).collect()))
+    kept = sorted(map(str, decontam.clean(docs, bench).collect()))
+    assert len(kept) < docs.count()
+    most.clear()
+    assert sorted(map(str, decontam.report(docs, bench, block_items=2).collect())) == whole
+    assert sorted(map(str, decontam.clean(docs, bench, block_items=2).collect())) == kept
+    assert len(most) > 4 and max(most) == 1
+
+
 def test_packing(docs, texts):
     import public_tokenizers as P
     from tokenizers import Tokenizer
