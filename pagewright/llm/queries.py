@@ -66,6 +66,35 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.secretscan import report
+    return report(read(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    """Matches and the gaps between them give the positions; one branch per rule."""
+    from pagewright.llm.secretscan import BASE, RULES
+    branches = []
+    for k, r in enumerate(RULES):
+        p = r.pattern.replace("'", "''")
+        branches.append(
+            f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, m[i] AS x, regexp_extract(m[i], '{p}', {r.group}) AS g, "
+            "list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS s "
+            f"FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, "
+            f"string_split_regex(t, '{p}') AS g FROM d)) WHERE length(regexp_extract(m[i], '{p}', {r.group})) >= {r.least}")
+    names = ", ".join(f"'{r.kind}'" for r in BASE)
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in BASE)
+    spelt = "kind || ':' || s || ':' || (s + length(x))"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hit AS (SELECT doc_id, k, kind, x, CAST(s AS BIGINT) AS s FROM ({" UNION ALL ".join(branches)})),
+per AS (SELECT doc_id, {counts}, string_agg({spelt}, ',' ORDER BY s, k) FILTER (WHERE kind IN ({names})) AS base,
+  string_agg({spelt}, ',' ORDER BY s, k) AS spans FROM hit GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)"""
+
+
 _WORDS7 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
@@ -104,4 +133,4 @@ def queries() -> dict[str, Plan]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | {"op11_secret_scan": _secrets_sql()}
