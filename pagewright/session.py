@@ -84,18 +84,19 @@ def cut_lineage(df: DataFrame, name: str = "level") -> DataFrame:
     return materialize(df, name)
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used when one expensive intermediate (the parsed node table, a derived graph) feeds several
     branches of a plan: it is computed once, survives executor loss, and later reads get column
-    pruning and filter pushdown from parquet.
+    pruning and filter pushdown from parquet. ``compression`` names another parquet codec than
+    the session's.
     """
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
 
 
