@@ -71,6 +71,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read(spark, sf_dir, "documents"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.crosstoken import aligned_counts
+    return aligned_counts(read(spark, sf_dir, "documents"))
+
+
 def _secrets_sql() -> str:
     """Matches and the gaps between them give the positions; one branch per rule."""
     from pagewright.llm.secretscan import BASE, RULES
