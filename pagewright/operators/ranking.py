@@ -1,43 +1,16 @@
-"""Skew-safe exact ranking.
+"""Exact global ranks without a single-partition window.
 
-``row_number() OVER (PARTITION BY p ORDER BY o)`` sorts a whole partition in one task, so one
-hot key (a batch or host holding a third of all rows) becomes one giant task. The helper below
-computes the same numbers in two levels: a coarse *bucket* that is monotone in the ordering
-splits each key into bounded pieces; bucket sizes are counted with a map-side-combined
-aggregate, turned into offsets with a window over the (small) count table, and added to a
-row_number computed inside each (key, bucket) piece.
+Ranks per key are prefix scans (``prefix``); the ranks here are over a whole table: range partitions
+on the order, numbered locally, offset by the sizes of the earlier partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.session import cut_lineage
 
-DEFAULT_BUCKET_ROWS = 1 << 16
-
-
-def bucketed_row_number(df: DataFrame, partition_cols: list[str], order_cols: list[Column | str],
-                        bucket: Column, out: str = "rn") -> DataFrame:
-    """Exact row numbers; ``bucket`` must be non-decreasing along ``order_cols``."""
-    d = cut_lineage(df.withColumn("_bkt", bucket), "ranked")  # read by both branches below
-    counts = d.groupBy(*partition_cols, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*partition_cols).orderBy("_bkt")
-    offsets = counts.select(*partition_cols, "_bkt", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
-    local = Window.partitionBy(*partition_cols, "_bkt").orderBy(*order_cols)
-    d = d.withColumn("_lrn", F.row_number().over(local))
-    return (d.join(offsets, [*partition_cols, "_bkt"])
-            .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
-            .drop("_bkt", "_off", "_lrn"))
-
-
-def seq_bucket(seq: Column | str, width: int = DEFAULT_BUCKET_ROWS, major: Column | None = None) -> Column:
-    """Bucket for an integer sequence key, optionally behind a small major key (0/1 flag)."""
-    s = F.col(seq) if isinstance(seq, str) else seq
-    b = F.floor(s / F.lit(width)).cast("long")
-    return b if major is None else F.struct(major.cast("int").alias("major"), b.alias("block"))
-
 
 def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
@@ -69,34 +42,3 @@ def next_in_order(df: DataFrame, key: str, out: str = "next") -> DataFrame:
 def top_k(df: DataFrame, order_cols: list[str], k: int) -> DataFrame:
     """First ``k`` rows by the named columns, from exact distributed ranks (any k)."""
     return global_row_number(df, order_cols, out="_rk").filter(F.col("_rk") <= k).drop("_rk")
-
-
-def bucketed_lag(df: DataFrame, keys: list[str], order_col: str, value_col: str, bucket: Column,
-                 out: str) -> DataFrame:
-    """Exact ``lag(value) OVER (PARTITION BY keys ORDER BY order_col)``, skew-safe.
-
-    Lag is taken inside (key, bucket) pieces; the first row of a piece takes the last value of
-    the previous non-empty piece from a per-piece summary (one row per piece).
-    """
-    d = cut_lineage(df.withColumn("_bkt", bucket), "lagged")
-    w = Window.partitionBy(*keys, "_bkt").orderBy(order_col)
-    d = d.withColumn(out, F.lag(value_col).over(w)).withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-    last = d.groupBy(*keys, "_bkt").agg(F.max_by(value_col, order_col).alias("_last"))
-    wb = Window.partitionBy(*keys).orderBy("_bkt")
-    last = last.select(*keys, "_bkt", F.lag("_last").over(wb).alias("_prev_last"))
-    d = d.join(last, [*keys, "_bkt"])
-    return d.withColumn(out, F.when(F.col("_first"), F.col("_prev_last")).otherwise(F.col(out))) \
-        .drop("_bkt", "_first", "_prev_last")
-
-
-def bucketed_running_sum(df: DataFrame, keys: list[str], order_col: str, value: Column, bucket: Column,
-                         out: str) -> DataFrame:
-    """Exact running ``sum(value)`` (rows unbounded preceding .. current), skew-safe."""
-    d = cut_lineage(df.withColumn("_bkt", bucket).withColumn("_v", value), "running")
-    w = Window.partitionBy(*keys, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn(out, F.sum("_v").over(w))
-    tot = d.groupBy(*keys, "_bkt").agg(F.sum("_v").alias("_t"))
-    wb = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*keys, "_bkt", F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_off"))
-    return d.join(tot, [*keys, "_bkt"]).withColumn(out, F.col(out) + F.col("_off")) \
-        .drop("_bkt", "_v", "_off")

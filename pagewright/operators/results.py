@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import one_line
-from pagewright.operators.ranking import bucketed_row_number, seq_bucket
+from pagewright.operators import prefix
 
 # Message formats of the diagnostics.
 REDIRECT_FMT = "Redirected to: "
@@ -101,8 +101,7 @@ def format_crawl_error(df: DataFrame) -> Column:
 def success_first_rank(df: DataFrame, batch_col: str, seq_col: str, out: str = "rank") -> DataFrame:
     """RES1: stable success-first position within each batch (skew-safe, exact)."""
     failed = (~F.col("success")).cast("int")
-    return bucketed_row_number(df, [batch_col], [failed, F.col(seq_col)],
-                               seq_bucket(seq_col, major=failed), out=out)
+    return prefix.row_number(df, [batch_col], [failed, seq_col], out=out)
 
 
 def batch_summary(df: DataFrame, batch_col: str) -> DataFrame:

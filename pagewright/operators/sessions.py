@@ -1,8 +1,9 @@
 """Pacing, progress and sessions (WIN1-WIN6) as batch window operators.
 
-Every per-key sequence computation (row numbers, lags, running sums) goes through the
-skew-safe helpers in ``ranking``: a key holding a large share of all rows is cut into bounded
-time/sequence buckets and stitched back with small per-bucket summaries.
+Every per-key sequence computation (row numbers, lags, running counts) is a distributed prefix scan
+(``prefix``): a key holding a large share of all rows is cut along its own order into pieces of
+about equal size and stitched with one summary per piece. The inputs are read several times
+(counts, a sample, the rows); write an expensive one as a table first.
 """
 
 from __future__ import annotations
@@ -11,22 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
-from pagewright.operators.ranking import (bucketed_lag, bucketed_row_number, bucketed_running_sum,
-                                          seq_bucket)
+from pagewright.operators import prefix
 
 SESSION_TTL_SECONDS = 1800
 IDLE_GAP_SECONDS = 1800
-HOUR_US = 3_600_000_000
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def time_bucket(ts: str, width_us: int = HOUR_US) -> Column:
-    return F.floor(_micros(ts) / F.lit(width_us)).cast("long")
-
-
 def fetch_plan(pages: DataFrame, max_concurrent: int = 10, delay_s: float = 0.0, key: str = "host") -> DataFrame:
     """WIN1: per host, requests in page order get a lane and an earliest start offset.
 
@@ -35,33 +30,22 @@ def fetch_plan(pages: DataFrame, max_concurrent: int = 10, delay_s: float = 0.0,
     if max_concurrent < 1:
         raise ValueError("max_concurrent must be >= 1")
     d = pages.withColumn(key, U.host("url")) if key == "host" and key not in pages.columns else pages
-    d = bucketed_row_number(d, [key], ["page_id"], seq_bucket("page_id"), out="rn")
+    d = prefix.row_number(d, [key], ["page_id"], out="rn", written=False)
     return d.withColumn("lane", ((F.col("rn") - 1) % max_concurrent).cast("int")) \
         .withColumn("start_s", (F.floor((F.col("rn") - 1) / max_concurrent) * F.lit(float(delay_s))).cast("double"))
 
 
 def progress(events: DataFrame, batch_col: str, ts_col: str, seq_col: str, total: bool = True) -> DataFrame:
     """WIN2: after each completed item, ``done`` (strictly increasing) and ``total`` per batch."""
-    order = F.struct(_micros(ts_col).alias("t"), F.col(seq_col).alias("s"))
-    d = events.withColumn("_ord", order)
-    d = bucketed_running_sum(d, [batch_col], "_ord", F.lit(1), time_bucket(ts_col), out="done")
-    if total:
-        tot = events.groupBy(batch_col).agg(F.count(F.lit(1)).alias("total"))
-        d = d.join(tot, batch_col)
-    else:
-        d = d.withColumn("total", F.lit(None).cast("long"))
-    return d.drop("_ord")
+    d = prefix.running_count(events, [batch_col], [_micros(ts_col), seq_col], total="total" if total else None, written=False)
+    return d if total else d.withColumn("total", F.lit(None).cast("long"))
 
 
 def sessionize(events: DataFrame, key: str, ts_col: str, seq_col: str, gap_s: int = IDLE_GAP_SECONDS
                ) -> DataFrame:
     """WIN4: a gap of ``gap_s`` or more starts a new session; adds ``session_no`` (1-based)."""
-    order = F.struct(_micros(ts_col).alias("t"), F.col(seq_col).alias("s"))
-    d = events.withColumn("_ord", order).withColumn("_t", _micros(ts_col))
-    d = bucketed_lag(d, [key], "_ord", "_t", time_bucket(ts_col), out="_prev_t")
-    starts = (F.col("_prev_t").isNull() | (F.col("_t") - F.col("_prev_t") >= F.lit(gap_s * 1_000_000))).cast("long")
-    d = bucketed_running_sum(d, [key], "_ord", starts, time_bucket(ts_col), out="session_no")
-    return d.drop("_ord", "_t", "_prev_t")
+    d = events.withColumn("_t", _micros(ts_col))
+    return prefix.sessions(d, [key], ["_t", seq_col], "_t", gap_s * 1_000_000, written=False).drop("_t")
 
 
 def session_summary(sessionized: DataFrame, key: str, ts_col: str, gap_s: int = IDLE_GAP_SECONDS) -> DataFrame:
@@ -93,9 +77,8 @@ def session_ledger(actions: DataFrame, key: str = "session_id", ts_col: str = "t
     destroy -> gone), so a skew-safe lag replaces a sequential state machine. A create while
     alive is refused as a duplicate; a destroy while gone reports not-found.
     """
-    order = F.struct(_micros(ts_col).alias("t"), F.col(seq_col).alias("s"))
-    d = actions.withColumn("_ord", order)
-    d = bucketed_lag(d, [key], "_ord", action_col, time_bucket(ts_col), out="_prev")
+    d = actions.withColumn("_ord_", F.struct(_micros(ts_col).alias("t"), F.col(seq_col).alias("s")))
+    d = prefix.lag(d, [key], ["_ord_"], action_col, out="_prev", written=False)
     alive_before = F.col("_prev").isNotNull() & (F.col("_prev") != "destroy")
     a = F.col(action_col)
     d = d.withColumn("dup", (a == "create") & alive_before).withColumn("not_found", (a == "destroy") & ~alive_before)
@@ -104,4 +87,4 @@ def session_ledger(actions: DataFrame, key: str = "session_id", ts_col: str = "t
         F.count_if("dup").cast("long").alias("refused_duplicates"),
         F.count_if((a == "destroy") & ~F.col("not_found")).cast("long").alias("destroyed"),
         F.count_if("not_found").cast("long").alias("not_found"),
-        (F.max_by(a, "_ord") != "destroy").alias("alive"))
+        (F.max_by(a, "_ord_") != "destroy").alias("alive"))

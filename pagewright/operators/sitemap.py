@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType
 
 from pagewright.functions import urls as U
 from pagewright.functions.text import strip_zero_width
-from pagewright.operators.ranking import bucketed_row_number
+from pagewright.operators import prefix
 from pagewright.session import cut_lineage
 
 MAX_SITEMAP_DEPTH = 5
@@ -129,8 +129,7 @@ def expand_sitemaps(spark: SparkSession, roots: DataFrame, docs: DataFrame | Non
 
 def ordered_sitemap_urls(expanded: DataFrame) -> DataFrame:
     """``(root, pos, url)`` with pos = 1-based document order (skew-safe ranking per root)."""
-    bucket = F.element_at(F.col("key"), 1).cast("long")
-    return bucketed_row_number(expanded, ["root"], ["key"], bucket, out="pos").select("root", "pos", "url")
+    return prefix.row_number(expanded, ["root"], ["key"], out="pos").select("root", "pos", "url")
 
 
 def crawl_sitemap(spark: SparkSession, roots: DataFrame, docs: DataFrame, snapshots: DataFrame,

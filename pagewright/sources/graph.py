@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
-from pagewright.operators.ranking import bucketed_row_number, next_in_order, seq_bucket
+from pagewright.operators.prefix import row_number
+from pagewright.operators.ranking import next_in_order
 from pagewright.sources.tables import table
 
 
 def ranked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", U.host("url").alias("host"))
-    return bucketed_row_number(pages, ["host"], ["page_id"], seq_bucket("page_id"), out="r")
+    return row_number(pages, ["host"], ["page_id"], out="r", written=False)
 
 
 def site_graph(spark: SparkSession, sf_dir: str) -> DataFrame:

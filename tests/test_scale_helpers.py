@@ -3,8 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pagewright.operators.ranking import (bucketed_lag, bucketed_row_number, bucketed_running_sum,
-                                          global_row_number, next_in_order, seq_bucket)
+from pagewright.operators import prefix
+from pagewright.operators.ranking import global_row_number, next_in_order
 
 
 def _skewed(spark, n=3000):
@@ -13,18 +13,18 @@ def _skewed(spark, n=3000):
                                  ((F.col("id") * 7919) % 101).alias("v"))
 
 
-def test_bucketed_row_number(spark):
+def test_row_number(spark):
     df = _skewed(spark)
-    a = bucketed_row_number(df, ["k"], ["seq"], seq_bucket("seq", 50), out="rn")
+    a = prefix.row_number(df, ["k"], ["seq"], out="rn")
     b = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("seq")))
     assert sorted(a.select("seq", "rn").collect()) == sorted(b.select("seq", "rn").collect())
 
 
-def test_bucketed_lag_and_running_sum(spark):
+def test_lag_and_running_sum(spark):
     df = _skewed(spark)
     w = Window.partitionBy("k").orderBy("seq")
-    a = bucketed_lag(df, ["k"], "seq", "v", seq_bucket("seq", 40), out="lag")
-    a = bucketed_running_sum(a, ["k"], "seq", F.col("v"), seq_bucket("seq", 40), out="rs")
+    a = prefix.lag(df, ["k"], ["seq"], "v", out="lag")
+    a = prefix.running_sum(a, ["k"], ["seq"], "v", out="rs")
     b = df.withColumn("lag", F.lag("v").over(w)).withColumn("rs", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(a.select("seq", "lag", "rs").collect()) == sorted(b.select("seq", "lag", "rs").collect())
 
@@ -49,7 +49,7 @@ def test_rank_with_hashed_and_negative_ids(spark):
     from pyspark.sql import functions as F
     rows = [("a", 1 << 60, True), ("a", -(1 << 62), False), ("a", 5, False), ("a", -7, True), ("b", (1 << 62) + 3, True)]
     df = spark.createDataFrame(rows, "k string, seq long, ok boolean").withColumn("bad", (~F.col("ok")).cast("int"))
-    got = bucketed_row_number(df, ["k"], ["bad", "seq"], seq_bucket("seq", major=F.col("bad")), out="rn")
+    got = prefix.row_number(df, ["k"], ["bad", "seq"], out="rn")
     want = {}
     for k in "ab":
         for n, r in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: (not r[2], r[1])), 1):
@@ -62,5 +62,5 @@ def test_rank_of_a_sparse_hot_key(spark):
     rnd = random.Random(3)
     ids = list({rnd.randrange(-(1 << 62), 1 << 62) for _ in range(500)})
     df = spark.createDataFrame([("hot", i) for i in ids], "k string, seq long")
-    got = {r.seq: r.rn for r in bucketed_row_number(df, ["k"], ["seq"], seq_bucket("seq"), out="rn").collect()}
+    got = {r.seq: r.rn for r in prefix.row_number(df, ["k"], ["seq"], out="rn").collect()}
     assert got == {v: n for n, v in enumerate(sorted(ids), 1)}
