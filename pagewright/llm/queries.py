@@ -71,6 +71,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.merkle import manifest
+    return manifest(read(spark, sf_dir, "documents"))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.crosstoken import aligned_counts
     return aligned_counts(read(spark, sf_dir, "documents"))
@@ -102,6 +107,13 @@ FROM d LEFT JOIN per USING (doc_id)"""
 
 _WORDS7 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text: a byte is added, then eight shifts (-1) follow, over one list."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: list_prepend(CAST(ascii(c) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1])))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) "
+            "ELSE xor(c >> 1, 3988292384 * (c & 1)) END))")
+
+
 SQL: dict[str, str] = {
     "op3_line_dedup": """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
@@ -116,6 +128,33 @@ n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN text IS NOT NULL THEN coalesce(t, '') END AS text,
   CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n.n, 0) AS BIGINT) AS n_deleted
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    # levels from the leaves up, then each row's own fold along its path; `t` 0: source trees, 1: their roots
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE part AS (SELECT *, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut FROM documents),
+row_ AS (SELECT doc_id, coalesce('=' || source, '') AS src, a.h || coalesce(strlen(text) || ':' || text, '-') AS whole, a.h || coalesce(strlen(cut) || ':' || cut, '-') AS bare
+  FROM part, LATERAL (SELECT coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS h) a),
+leaf AS (SELECT doc_id, src, sha256(whole) AS leaf, sha256(bare) AS bare, count(*) OVER (PARTITION BY src) AS n,
+  row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, sha256(whole)) - 1 AS pos FROM row_),
+low(src, k, idx, h, n) AS (SELECT src, 0, pos, leaf, n FROM leaf UNION ALL
+  SELECT src, k + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM low WHERE n > 1 GROUP BY src, k, idx // 3, n),
+sub AS (SELECT src, h, row_number() OVER (ORDER BY src) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high(k, idx, h, n) AS (SELECT 0, pos, h, n FROM sub UNION ALL
+  SELECT k + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM high WHERE n > 1 GROUP BY k, idx // 3, n),
+lv AS (SELECT src, 0 AS t, k, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM low WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT '', 1, k, idx // 3, list(h ORDER BY idx) FROM high WHERE n > 1 GROUP BY ALL),
+top AS (SELECT src, 0 AS t, max(k) AS ks FROM low GROUP BY src UNION ALL SELECT '', 1, max(k) FROM high),
+step AS (SELECT leaf.doc_id, leaf.src, leaf.pos AS leaf_pos, lv.t * 1000 + lv.k AS o, lv.hs,
+    CAST((floor(s.pos / power(3, lv.k))) % 3 AS BIGINT) AS own
+  FROM leaf JOIN sub ON sub.src = leaf.src, LATERAL (SELECT 0 AS t, leaf.src AS src, leaf.pos AS pos UNION ALL SELECT 1, '', sub.pos) s
+  JOIN lv ON lv.t = s.t AND lv.src = s.src AND lv.run = floor(s.pos / power(3, lv.k + 1))),
+path AS (SELECT src, leaf_pos, list({{'l': array_to_string(list_slice(hs, 1, own), ''), 'r': array_to_string(list_slice(hs, own + 2, 3), '')}} ORDER BY o) AS p FROM step GROUP BY src, leaf_pos),
+walk(src, pos, i, h, p) AS (SELECT leaf.src, leaf.pos, 0, leaf.bare, coalesce(p, []) FROM leaf LEFT JOIN path ON path.src = leaf.src AND path.leaf_pos = leaf.pos UNION ALL
+  SELECT src, pos, i + 1, sha256(p[i + 1].l || h || p[i + 1].r), p FROM walk WHERE i < len(p)),
+root AS (SELECT h FROM high WHERE n = 1)
+SELECT leaf.doc_id, leaf.leaf, sub.h AS subroot, root.h AS root, sha256(coalesce(list_reduce(list_prepend('', list_transform(w.p, lambda x: x.l || x.r)), lambda x, y: x || y), '')) AS proof_sha256,
+  w.h AS folded_root, w.h = root.h AS verified
+FROM leaf JOIN sub ON sub.src = leaf.src JOIN walk w ON w.src = leaf.src AND w.pos = leaf.pos AND w.i = len(w.p), root""",
     "op7_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS7}, []) AS w FROM documents),
 b AS (SELECT item_id, {_WORDS7} AS w FROM benchmark WHERE text IS NOT NULL),
