@@ -29,6 +29,7 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -103,64 +104,68 @@ class Vocabularies:
 
 
 class Encoder:
-    """Ids of texts by both tokenizers, as bytes of unsigned 16-bit numbers; parts are memoised."""
+    """Ids of texts by both tokenizers, as bytes of unsigned numbers; parts of texts are memoised."""
 
     def __init__(self, vocabularies: Vocabularies):
         self.v = vocabularies
-        self.memo: dict[str, tuple[bytes, bytes, bool]] = {}
         self.width = "<u2" if max(len(self.v.a_bytes), len(self.v.b_bytes)) <= 1 << 16 else "<u4"
-        self.a_len = self.v.lengths()[0]
+        self.a_len, self.b_len = self.v.lengths()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.a_memo: dict[str, bytes] = {}
+        self.b_memo: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # memoised parts whose token bytes differ from space and part
 
     def _agrees(self, a_ids, b_ids, text: str) -> bool:
         want = b" " + text.encode()
         return b"".join([self.v.a_bytes[i] for i in a_ids]) == want and b"".join([self.v.b_bytes[i] for i in b_ids]) == want
 
-    def _a_ids(self, parts: list[str]) -> list[list[int]]:
-        """A's ids of each part behind a space; parts without outer white space are encoded in rows."""
-        rows, alone = [], []
-        for k, p in enumerate(parts):
-            (alone if p[:1].isspace() or p[-1:].isspace() or not self.v.cuts else rows).append(k)
-        out: list[list[int]] = [[]] * len(parts)
-        groups = [rows[i:i + JOINED] for i in range(0, len(rows), JOINED)]
-        encoded = self.v.a.encode_batch([" " + " ".join([parts[k] for k in g]) for g in groups], add_special_tokens=False)
-        for g, e in zip(groups, encoded, strict=True):
-            ids = e.ids
-            ends = np.cumsum(self.a_len[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(parts[k].encode()) + 1 for k in g])) + 1
-            at = 0
-            for k, z in zip(g, cuts.tolist(), strict=True):
-                out[k] = ids[at:z]
-                at = z
-        for k, e in zip(alone, self.v.a.encode_batch([" " + parts[k] for k in alone], add_special_tokens=False), strict=True):
-            out[k] = e.ids
-        return out
-
-    def _learn(self, parts: list[str], into: dict) -> None:
-        packed = lambda ids: np.array(ids, self.width).tobytes()
-        for p, a, b in zip(parts, self._a_ids(parts), self.v.b.encode(parts, num_threads=1), strict=True):
-            into[p] = (packed(a), packed(b), self._agrees(a, b, p))
+    def _learn(self, parts: list[str]) -> None:
+        """Memoise the ids of parts; those without outer white space go to A in rows of many."""
+        rows = [p for p in parts if self.v.cuts and not (p[:1].isspace() or p[-1:].isspace())]
+        alone = list(set(parts).difference(rows))
+        parts = rows + alone
+        told = [" " + " ".join(rows[i:i + JOINED]) for i in range(0, len(rows), JOINED)] + [" " + p for p in alone]
+        spelt = [b" " + p.encode() for p in parts]
+        ends = np.cumsum([len(x) for x in spelt])
+        a_ids = list(itertools.chain.from_iterable([e.ids for e in self.v.a.encode_batch(told, add_special_tokens=False)]))
+        b_lists = self.v.b.encode(parts, num_threads=1)
+        b_ids = list(itertools.chain.from_iterable(b_lists))
+        a, b = np.array(a_ids, self.width), np.array(b_ids, self.width)
+        a_end = np.cumsum(self.a_len[a])
+        a_cut = np.searchsorted(a_end, ends) + 1
+        b_cut = np.cumsum([len(x) for x in b_lists])
+        if b"".join([self.v.a_bytes[i] for i in a_ids]) != b"".join(spelt) or not np.array_equal(a_end[a_cut - 1], ends):
+            raise ValueError("the first tokenizer does not keep bytes, or joins characters across a space")
+        # equal bytes in all and equal ends of every part: every part agrees
+        if b"".join([self.v.b_bytes[i] for i in b_ids]) != b"".join(spelt) or not np.array_equal(
+                np.concatenate([[0], np.cumsum(self.b_len[b])])[b_cut], ends):
+            self.odd.update(p for p, x, ids in zip(parts, spelt, b_lists, strict=True) if b"".join([self.v.b_bytes[i] for i in ids]) != x)
+        size = int(self.width[-1])
+        for memo, ids, cut in ((self.a_memo, a, a_cut), (self.b_memo, b, b_cut)):
+            raw, cut = ids.tobytes(), (cut * size).tolist()
+            memo.update(zip(parts, [raw[x:y] for x, y in zip([0, *cut[:-1]], cut, strict=True)], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         split = _PART.split if self.v.cuts else lambda t: [t]
         cut = [split(t) if t else [] for t in texts]
-        if len(self.memo) > MEMO_PARTS:
-            self.memo = {}
-        known, now = self.memo, {}
-        unseen = {p for parts in cut for p in parts if p not in known}
-        short = [p for p in unseen if len(p) <= MEMO_BYTES]
-        for i in range(0, len(short), 1 << 14):
-            self._learn(short[i:i + (1 << 14)], known)
-        for p in unseen:
-            if len(p) > MEMO_BYTES:
-                self._learn([p], now)
+        if len(self.a_memo) > MEMO_PARTS:
+            self._forget()
+        unseen = list(set().union(*cut).difference(self.a_memo))
+        for i in range(0, len(unseen), 1 << 14):
+            self._learn(unseen[i:i + (1 << 14)])
         out = []
         for text, parts in zip(texts, cut, strict=True):
-            found = [known[p] if p in known else now[p] for p in parts]
-            a, b = b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-            if found and not all([x[2] for x in found]) and not self._agrees(
+            a, b = b"".join(map(self.a_memo.__getitem__, parts)), b"".join(map(self.b_memo.__getitem__, parts))
+            if self.odd and not self.odd.isdisjoint(parts) and not self._agrees(
                     np.frombuffer(a, self.width), np.frombuffer(b, self.width), text):
                 a = b = b""
             out.append((a, b))
+        for p in unseen:  # very long parts are not kept
+            if len(p) > MEMO_BYTES:
+                del self.a_memo[p], self.b_memo[p]
+                self.odd.discard(p)
         return out
 
 
@@ -341,8 +346,8 @@ def looked_up(ids: DataFrame, table, lens, width: str) -> DataFrame:
 
 def _group_line(al: Aligned, a_texts, b_texts) -> list[str]:
     """All ids of a block as text, group by group, A's before B's, each with its separator."""
-    a_group = np.searchsorted(al.a_last, np.arange(len(al.a)))
-    b_group = np.searchsorted(al.b_last, np.arange(len(al.b)))
+    group = lambda last, n: np.cumsum(np.bincount(last + 1, minlength=n + 1)[:n])
+    a_group, b_group = group(al.a_last, len(al.a)), group(al.b_last, len(al.b))
     line = np.empty(len(al.a) + len(al.b), dtype=object)
     # before a token: the tokens of its own kind, and the other kind's up to the group's start or end
     b_before = np.concatenate([[0], al.b_last + 1])
