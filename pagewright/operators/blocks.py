@@ -22,6 +22,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.operators import structure
+
 # Tag weights of the pruning score.
 TAG_WEIGHTS = {
     "article": 1.0, "main": 1.0, "p": 1.0, "h1": 1.0, "h2": 1.0, "h3": 1.0, "h4": 1.0, "h5": 1.0,
@@ -42,44 +44,46 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
 def page_blocks(nodes: DataFrame, preserve: tuple[str, ...] = PRESERVE_TAGS) -> DataFrame:
-    """``(page_id, pre, tag, text, path, n_words, text_len, html_len, link_text_len, has_preserved)``.
+    """``(page_id, pre, tag, text, html_len, link_text_len, has_preserved, zero_weight, weighted, in_preserved, text_len, n_words)``.
 
-    ``pre`` is the document-order key of the block.
+    ``pre`` is the document-order key of the block. ``zero_weight`` and ``in_preserved``: the block is
+    or is inside such an element; ``weighted``: the closest tag with a weight, the block's own first.
     """
-    inside = nodes.filter(F.col("block_pre") >= 0)
-    is_block = F.col("pre") == F.col("block_pre")
-    agg = inside.groupBy("page_id", "block_pre").agg(
-        F.max_by(F.struct("tag", "text", "path", (F.col("end_off") - F.col("start_off")).alias("html_len")),
+    tag, is_block = F.col("tag"), F.col("pre") == F.col("block_pre")
+    rows = nodes.select("page_id", "pre", structure.last().alias("last"), "tag", "block_pre",
+                        F.when(is_block, F.col("text")).alias("text"), F.length("text").alias("text_len"),
+                        (F.col("end_off") - F.col("start_off")).alias("html_len"))
+    # of a block, its own row, its links and its preserved elements matter
+    needed = (F.col("block_pre") >= 0) & (is_block | tag.isin("a", *preserve))
+    found = structure.enclosing(rows, needed, or_self=True, inside={
+        "zero_weight": tag.isin(*ZERO_WEIGHT_TAGS), "in_preserved": tag.isin(*preserve)}, nearest={
+        "weighted": (tag.isin(*TAG_WEIGHTS), tag)})
+    out = found.groupBy("page_id", "block_pre").agg(
+        F.max_by(F.struct("tag", "text", "html_len", "zero_weight", "weighted", "in_preserved"),
                  F.when(is_block, F.lit(1)).otherwise(F.lit(0))).alias("b"),
-        F.coalesce(F.sum(F.when((F.col("tag") == "a") & ~is_block, F.length("text"))), F.lit(0))
-        .alias("link_text_len"),
-        F.max(F.col("tag").isin(*preserve)).alias("has_preserved"))
-    out = agg.select(
-        "page_id", F.col("block_pre").alias("pre"), "b.tag", "b.text", "b.path", "b.html_len",
-        "link_text_len", "has_preserved")
+        F.coalesce(F.sum(F.when((tag == "a") & ~is_block, F.col("text_len"))), F.lit(0)).alias("link_text_len"),
+        F.max(tag.isin(*preserve)).alias("has_preserved"))
+    out = out.select("page_id", F.col("block_pre").alias("pre"), "b.tag", "b.text", "b.html_len", "link_text_len",
+                     "has_preserved", "b.zero_weight", "b.weighted", "b.in_preserved")
     out = out.filter(F.col("text").isNotNull() & (F.col("text") != ""))
     return out.withColumn("text_len", F.length("text")) \
         .withColumn("n_words", F.size(F.split("text", " ")))
 
 
-def tag_weight(tag: Column, path: Column) -> Column:
-    chain = F.concat(path, F.array(tag))
-    zero = F.arrays_overlap(chain, F.array(*[F.lit(t) for t in ZERO_WEIGHT_TAGS]))
+def tag_weight(zero: Column, closest: Column) -> Column:
     weights = F.create_map(*[x for k, v in TAG_WEIGHTS.items() for x in (F.lit(k), F.lit(v))])
-    weighted = F.filter(F.reverse(chain), lambda t: F.map_contains_key(weights, t))
-    closest = F.try_element_at(weighted, F.lit(1))
     return F.when(zero, F.lit(0.0)).otherwise(F.coalesce(F.try_element_at(weights, closest), F.lit(DEFAULT_WEIGHT)))
 
 
 def density_score(blocks: DataFrame) -> DataFrame:
     td = F.col("text_len") / F.greatest(F.col("html_len"), F.lit(1))
     ld = F.lit(1.0) - F.col("link_text_len") / F.greatest(F.col("text_len"), F.lit(1))
-    tw = tag_weight(F.col("tag"), F.col("path"))
+    tw = tag_weight(F.col("zero_weight"), F.col("weighted"))
     return blocks.withColumn("score", F.lit(0.4) * td + F.lit(0.3) * ld + F.lit(0.3) * tw)
 
 
-def density_prune(blocks: DataFrame, min_words: int | Column | None = None, threshold: float = PRUNE_THRESHOLD,
-                  preserve: tuple[str, ...] = PRESERVE_TAGS) -> DataFrame:
+def density_prune(blocks: DataFrame, min_words: int | Column | None = None,
+                  threshold: float = PRUNE_THRESHOLD) -> DataFrame:
     """PRJ3: adds ``score`` and ``kept`` to the blocks.
 
     ``min_words`` may be a column, so a per-request ``word_count_threshold`` (profile overlay)
@@ -88,9 +92,7 @@ def density_prune(blocks: DataFrame, min_words: int | Column | None = None, thre
     mw = F.lit(DEFAULT_MIN_WORDS) if min_words is None else (
         min_words if isinstance(min_words, Column) else F.lit(min_words))
     scored = density_score(blocks)
-    preserved = F.col("has_preserved") | F.arrays_overlap(
-        F.concat("path", F.array("tag")), F.array(*[F.lit(t) for t in preserve]))
-    kept = preserved | ((F.col("score") >= threshold) & (F.col("n_words") >= mw))
+    kept = F.col("has_preserved") | F.col("in_preserved") | ((F.col("score") >= threshold) & (F.col("n_words") >= mw))
     return scored.withColumn("kept", kept)
 
 

@@ -5,7 +5,7 @@ over the node table: base matches are the records; each field is a relative sele
 first match per record (document order, ``min_by`` on ``pre``) gives the value. ``nested`` /
 ``list`` / ``nested_list`` fields recurse with the field matches as the new record context and
 are aggregated bottom-up into struct / array<struct> values. All joins key on
-``(page_id, record)``.
+``(page_id, record)``; fields of one step share a single structural join (``structure.pairs``).
 
 Field types: text, attribute, html, regex (``pattern``, ``group`` default 1), list, nested,
 nested_list; an unknown type or a regex without a pattern yields the element's raw html.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pagewright.functions.text import strip
 from pagewright.operators.select import (_and, normalize_selector_type, parse_css, parse_xpath,
                                          reroot_field_xpath, select_css, evaluate, subtree)
+from pagewright.operators.structure import pairs
 
 NO_MATCH_FMT = "No record was extracted: the schema's {kind} selectors (baseSelector, fields) select nothing in this html."
 
@@ -100,17 +101,20 @@ def _needs_html(fields: list[FieldSpec]) -> bool:
 
 
 def _field_matches(nodes: DataFrame, ctx: DataFrame, f: FieldSpec, kind: str) -> tuple[DataFrame, tuple | None]:
-    """``(page_id, ctx, m)`` matches of one field relative to its record elements, and its value step."""
+    """Matches of one field relative to its record elements, and its value step."""
     if not f.selector:
-        return ctx.select("page_id", F.col("pre").alias("ctx"), F.col("pre").alias("m")), None
+        return ctx.select("page_id", F.col("pre").alias("ctx"), F.col("pre").alias("m"), F.col("parent").alias("m_parent"),
+                          F.col("ordinal").alias("m_ordinal"), F.col("last").alias("m_last")), None
     paths, css = _paths(f.selector, kind)
     return evaluate(nodes, paths, context=ctx, css=css), paths[0].value if len(paths) == 1 else None
 
 
 def _single_step(f: FieldSpec, kind: str):
-    """``(axis, predicate, value)`` when a field is one child/descendant step, else None."""
-    if not f.selector or f.type in ("nested", "list", "nested_list"):
+    """``(axis, predicate, value)`` when a field is the record itself or one child/descendant step, else None."""
+    if f.type in ("nested", "list", "nested_list"):
         return None
+    if not f.selector:
+        return "self", F.lit(True), None
     paths, _ = _paths(f.selector, kind)
     if len(paths) != 1:
         return None
@@ -118,25 +122,32 @@ def _single_step(f: FieldSpec, kind: str):
     if p.absolute or len(p.steps) != 1:
         return None
     st = p.steps[0]
-    if st.position is not None or st.last_child or st.axis not in ("descendant", "child"):
+    if st.position is not None or st.siblings or st.counts or st.axis not in ("self", "descendant", "child"):
         return None
     return st.axis, _and(st.preds), p.value
 
 
+_PAYLOAD = ["page_id", "pre", "parent", "tag", "ordinal", "text", "own_text", "attrs", "start_off", "end_off"]
+
+
 def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame | None) -> DataFrame:
-    """All single-step fields in one pass: explode each candidate's ancestor ids once, join the
-    records once, and pick every field's first match with one conditional ``min_by`` each."""
-    any_pred = F.lit(False)
-    for _, (_, pred, _) in simple:
-        any_pred = any_pred | pred
-    cand = nodes.filter(any_pred).select("page_id", "pre", "parent", "text", "own_text", "attrs", "start_off",
-                                         "end_off", "tag", "ordinal", F.explode("anc").alias("ctx"))
-    cand = cand.join(records.select("page_id", F.col("pre").alias("ctx")), ["page_id", "ctx"])
+    """All single-step fields in one pass over the nodes: one structural join of the records with the
+    nodes that any field asks for, and every field's first match with one conditional ``min_by`` each."""
+    axes = {axis for _, (axis, _, _) in simple}
+    if axes == {"self"}:
+        cand = nodes.select(*_PAYLOAD, F.col("pre").alias("ctx")).join(records.select("page_id", "pre"), ["page_id", "pre"])
+    else:
+        wanted = F.lit(False)
+        for _, (axis, pred, _) in simple:
+            wanted = wanted | (F.lit(True) if axis == "self" else pred)
+        found = pairs(records.select("page_id", "pre", "last"), nodes.filter(wanted).select(*_PAYLOAD), or_self="self" in axes)
+        cand = found.select("_in.*", F.col("_out.pre").alias("ctx"))
     if html is not None:
         cand = cand.join(html, "page_id")
     aggs = []
     for f, (axis, pred, value) in simple:
-        cond = pred & (F.col("ctx") == F.col("parent")) if axis == "child" else pred
+        here = F.col("ctx") == F.col("parent") if axis == "child" else (F.col("ctx") == F.col("pre")) == F.lit(axis == "self")
+        cond = pred & here
         v = _value_expr(f, F.col("html") if html is not None else None, value)
         aggs.append(F.min_by(F.when(cond, v), F.when(cond & v.isNotNull(), F.col("pre"))).alias(f.name))
     return cand.groupBy("page_id", "ctx").agg(*aggs).withColumnRenamed("ctx", "pre")
@@ -144,12 +155,8 @@ def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame
 
 def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind: str,
              html: DataFrame | None) -> DataFrame:
-    """Adds one column per field to ``records`` (``page_id, pre`` + node columns)."""
+    """One column per field beside ``page_id, pre`` of ``records`` (``page_id, pre, parent, ordinal, last``)."""
     out = records.select("page_id", "pre")
-    node_cols = nodes.select("page_id", F.col("pre").alias("m"), "text", "own_text", "attrs", "start_off",
-                             "end_off", "parent", "ordinal", "anc", "tag")
-    if html is not None:
-        node_cols = node_cols.join(html, "page_id")
     simple = [(f, info) for f in fields if (info := _single_step(f, kind)) is not None]
     if simple:
         out = out.join(_simple_fields(nodes, records, simple, html), ["page_id", "pre"], "left")
@@ -160,13 +167,13 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
     for f in fields:
         if f.name in done:
             continue
-        ctx = records.select("page_id", "pre", "parent", "ordinal")
-        matches, value = _field_matches(nodes, ctx, f, kind)
+        matches, value = _field_matches(nodes, records, f, kind)
         if f.type in ("nested", "list", "nested_list"):
-            sub_ctx = matches.select("page_id", "ctx", F.col("m").alias("pre")).join(
-                nodes.select("page_id", "pre", "parent", "ordinal"), ["page_id", "pre"])
-            inner = _extract(nodes, sub_ctx.select("page_id", "pre", "parent", "ordinal"), f.fields, kind, html)
-            inner = inner.join(sub_ctx.select("page_id", "pre", "ctx"), ["page_id", "pre"])
+            # an element may be a match of several records: its fields are extracted once
+            items = matches.select("page_id", F.col("m").alias("pre"), F.col("m_parent").alias("parent"),
+                                   F.col("m_ordinal").alias("ordinal"), F.col("m_last").alias("last")).distinct()
+            inner = _extract(nodes, items, f.fields, kind, html)
+            inner = inner.join(matches.select("page_id", F.col("m").alias("pre"), "ctx"), ["page_id", "pre"])
             sub_names = [s.name for s in f.fields]
             item = F.struct(F.col("pre").alias("_o"), F.struct(*sub_names).alias("v"))
             if f.type == "nested":
@@ -175,7 +182,10 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
                 agg = inner.groupBy("page_id", "ctx").agg(
                     F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"]).alias(f.name))
         else:
-            vals = matches.join(node_cols, ["page_id", "m"])
+            node_cols = nodes.select(*[F.col(c).alias("m") if c == "pre" else c for c in _PAYLOAD])
+            if html is not None:
+                node_cols = node_cols.join(html, "page_id")
+            vals = matches.select("page_id", "ctx", "m").join(node_cols, ["page_id", "m"])
             v = _value_expr(f, F.col("html") if html is not None else None, value)
             vals = vals.select("page_id", "ctx", "m", v.alias("v")).filter(F.col("v").isNotNull())
             agg = vals.groupBy("page_id", "ctx").agg(F.min_by("v", "m").alias(f.name))
@@ -202,7 +212,7 @@ def extract_records(nodes: DataFrame, schema: dict, selector_type: str = "css",
     base = evaluate(nodes, base_paths, css=(kind == "css"))
     # the evaluation carries parent/ordinal of each match; a single path yields no duplicates
     records = base.select("page_id", F.col("m").alias("pre"), F.col("m_parent").alias("parent"),
-                          F.col("m_ordinal").alias("ordinal"))
+                          F.col("m_ordinal").alias("ordinal"), F.col("m_last").alias("last"))
     if len(base_paths) > 1:
         records = records.distinct()
     html = None

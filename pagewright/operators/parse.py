@@ -52,14 +52,13 @@ SCOPE_STOP = frozenset("table td th caption html body button object template".sp
 NODE_SCHEMA = (
     "page_id long, pre int, post int, parent int, depth int, ordinal int, tag string, "
     "attrs map<string,string>, own_text string, text string, start_off int, end_off int, "
-    "path array<string>, anc array<int>, leaf_block boolean, block_pre int")
+    "leaf_block boolean, block_pre int")
 
 _ARROW_SCHEMA = pa.schema([
     ("page_id", pa.int64()), ("pre", pa.int32()), ("post", pa.int32()), ("parent", pa.int32()),
     ("depth", pa.int32()), ("ordinal", pa.int32()), ("tag", pa.string()),
     ("attrs", pa.map_(pa.string(), pa.string())), ("own_text", pa.string()), ("text", pa.string()),
-    ("start_off", pa.int32()), ("end_off", pa.int32()), ("path", pa.list_(pa.string())),
-    ("anc", pa.list_(pa.int32())), ("leaf_block", pa.bool_()), ("block_pre", pa.int32()),
+    ("start_off", pa.int32()), ("end_off", pa.int32()), ("leaf_block", pa.bool_()), ("block_pre", pa.int32()),
 ])
 
 _WS = re.compile(r"[ \t\n\r\f\v]+")
@@ -210,26 +209,14 @@ def _emit(page_ids, htmls, container_text: bool = True):
     cols = {f: [] for f in _ARROW_SCHEMA.names}
     for pid, html in zip(page_ids, htmls):
         els = sorted(parse_html(html), key=lambda e: e.pre)
-        # ancestor paths, nearest block ancestor-or-self, and whether that block is a leaf
-        paths: list[list[str]] = []
-        ancs: list[list[int]] = []
+        # nearest block ancestor-or-self, and whether that block is a leaf
         near_block: list[int] = []
         for el in els:
-            if el.parent >= 0:
-                up = els[el.parent]
-                paths.append(paths[el.parent] + [up.tag])
-                ancs.append(ancs[el.parent] + [up.pre])
-                inherited = near_block[el.parent]
-            else:
-                paths.append([])
-                ancs.append([])
-                inherited = -1
+            inherited = near_block[el.parent] if el.parent >= 0 else -1
             near_block.append(el.pre if el.tag in BLOCK_TAGS else inherited)
         for el in els:
             nb = near_block[el.pre]
             leaf = el.tag in BLOCK_TAGS and not el.block_desc
-            cols["path"].append(paths[el.pre])
-            cols["anc"].append(ancs[el.pre])
             cols["leaf_block"].append(leaf)
             cols["block_pre"].append(nb if nb >= 0 and not els[nb].block_desc else -1)
             cols["page_id"].append(pid)
@@ -283,6 +270,7 @@ def html_nodes(pages: DataFrame, page_id: str = "page_id", html: str = "html",
     nothing is pushed through ``mapInArrow``.
     """
     src = pages.select(pages[page_id].cast("long").alias("page_id"), pages[html].alias("html"))
-    # container_text=False keeps the node table linear in the html size on deeply nested pages
-    # (a container's text repeats everything below it); use it when no step reads container text.
+    # A row holds no ancestors (operators/structure.py finds them), so container_text=False keeps the
+    # node table linear in the html size on deeply nested pages; a container's text repeats all
+    # text below it: leave it out when no step reads it.
     return src.mapInArrow(_parse_batches if container_text else _parse_batches_lean, NODE_SCHEMA)

@@ -1,8 +1,7 @@
 """Data tables from the node table (PRJ12) and the data-table score (2.13-c).
 
 Cells are ``td``/``th`` nodes; their row is the nearest ``tr`` ancestor and their table the
-nearest ``table`` ancestor, both read from the ancestor arrays (``anc``/``path``) - equi-joins
-only. Long form ``cells(page_id, table_no, row_no, col_no, is_header, value)``; nested form
+nearest ``table`` ancestor, found in one structural pass per page (``structure.enclosing``). Result
 ``(page_id, table_no, headers, rows, caption, score)`` with ordered ``collect_list``s.
 
 Score: +2 any th/thead, +1 caption, +1 equal row widths, +1 rows >= 2, +1 cols >= 2,
@@ -11,33 +10,21 @@ Score: +2 any th/thead, +1 caption, +1 equal row widths, +1 rows >= 2, +1 cols >
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MIN_SCORE = 4
-
+from pagewright.operators import structure
 
-def _nearest(tag: str) -> Column:
-    """Pre of the nearest ancestor with ``tag`` (NULL when none)."""
-    pairs = F.arrays_zip(F.col("anc").alias("id"), F.col("path").alias("t"))
-    hits = F.filter(pairs, lambda p: p["t"] == tag)
-    return F.try_element_at(hits, F.lit(-1))["id"]
+DEFAULT_MIN_SCORE = 4
 
 
-def table_cells(nodes: DataFrame) -> DataFrame:
-    cells = nodes.filter(F.col("tag").isin("td", "th")).select(
-        "page_id", "pre", "text", "tag", "path",
-        _nearest("table").alias("table_pre"), _nearest("tr").alias("tr_pre"))
-    cells = cells.filter(F.col("table_pre").isNotNull() & F.col("tr_pre").isNotNull())
-    # a cell belongs to its nearest table only (skip cells of nested tables' parents)
-    row_w = Window.partitionBy("page_id", "table_pre").orderBy("tr_pre")
-    col_w = Window.partitionBy("page_id", "tr_pre").orderBy("pre")
-    cells = cells.withColumn("row_no", F.dense_rank().over(row_w)) \
-        .withColumn("col_no", F.row_number().over(col_w))
-    in_thead = F.array_contains(F.col("path"), "thead")
-    return cells.select("page_id", "table_pre", "row_no", "col_no",
-                        ((F.col("tag") == "th") | in_thead).alias("is_header"),
-                        F.coalesce(F.col("text"), F.lit("")).alias("value"))
+def _placed(nodes: DataFrame) -> DataFrame:
+    """Cells, captions and tables with their nearest table and row, and whether a ``thead`` holds them."""
+    tag = F.col("tag")
+    rows = nodes.select("page_id", "pre", structure.last().alias("last"), "tag", "text")
+    return structure.enclosing(
+        rows, tag.isin("td", "th", "caption", "table"), inside={"in_thead": tag == "thead"},
+        nearest={"table_pre": (tag == "table", F.col("pre")), "tr_pre": (tag == "tr", F.col("pre"))})
 
 
 def page_tables(nodes: DataFrame, min_score: int = DEFAULT_MIN_SCORE) -> DataFrame:
@@ -50,17 +37,15 @@ def page_tables(nodes: DataFrame, min_score: int = DEFAULT_MIN_SCORE) -> DataFra
     tables = nodes.filter(F.col("tag") == "table").select(
         "page_id", F.col("pre").alias("table_pre"),
         F.coalesce(F.lower(F.col("attrs")["role"]) == "presentation", F.lit(False)).alias("presentation"))
-    inner = nodes.filter(F.col("tag").isin("table", "caption")).select(
-        "page_id", "pre", "tag", "text", _nearest("table").alias("table_pre")).filter(F.col("table_pre").isNotNull())
+    placed = _placed(nodes).filter(F.col("table_pre").isNotNull())
+    inner = placed.filter(F.col("tag").isin("table", "caption"))
     is_cap = F.col("tag") == "caption"
     meta = inner.groupBy("page_id", "table_pre").agg(
         F.max(F.col("tag") == "table").alias("has_nested"),
         F.min_by(F.when(is_cap, F.col("text")), F.when(is_cap, F.col("pre"))).alias("caption"))
-    cells = nodes.filter(F.col("tag").isin("td", "th")).select(
+    cells = placed.filter(F.col("tag").isin("td", "th") & F.col("tr_pre").isNotNull()).select(
         "page_id", "pre", F.coalesce(F.col("text"), F.lit("")).alias("value"),
-        ((F.col("tag") == "th") | F.array_contains(F.col("path"), "thead")).alias("is_header"),
-        _nearest("table").alias("table_pre"), _nearest("tr").alias("tr_pre")) \
-        .filter(F.col("table_pre").isNotNull() & F.col("tr_pre").isNotNull())
+        ((F.col("tag") == "th") | F.col("in_thead")).alias("is_header"), "table_pre", "tr_pre")
     rows = cells.groupBy("page_id", "table_pre", "tr_pre").agg(
         F.bool_and("is_header").alias("all_header"), F.max("is_header").alias("any_header"),
         F.count(F.lit(1)).alias("width"),

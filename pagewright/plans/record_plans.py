@@ -13,7 +13,7 @@ from pagewright.operators.project import page_links, page_metadata
 from pagewright.operators.tables import page_tables
 from pagewright.plans import sqlparts as S
 from pagewright.plans.catalog import register
-from pagewright.sources.synthetic import (code_pages, customer_table_pages, product_pages,
+from pagewright.sources.synthetic import (code_pages, customer_table_pages, nested_list_pages, product_pages,
                                           supplier_link_pages)
 from pagewright.sources.tables import table
 
@@ -150,6 +150,45 @@ def css_pseudo_records(spark, sf_dir):
     return extract_records(parsed_nodes(product_pages(spark, sf_dir)), LATER_CSS, "css")
 
 
+ITEM_XPATH = {"name": "items", "baseSelector": "//li", "fields": [
+    {"name": "level", "selector": "./@data-level", "type": "text"},
+    {"name": "name", "selector": ".//b[position()<=1][not(normalize-space()='second')]", "type": "text"},
+    {"name": "above", "selector": "ancestor::li[1]/@data-level", "type": "text", "default": "none"},
+    {"name": "outermost", "selector": "ancestor-or-self::li[last()]/@data-key", "type": "text"},
+    {"name": "leaf", "selector": "self::li[count(ul)=0]/@data-key", "type": "text", "default": "no"}]}
+
+
+@register("nested_list_records", """
+WITH d AS (SELECT p_partkey, p_name, 1 + p_size % 5 AS deep, unnest(range(1, 2 + p_size % 5)) AS level FROM part)
+SELECT p_partkey // 10 AS page_id,
+       CAST(row_number() OVER (PARTITION BY p_partkey // 10 ORDER BY p_partkey, level) AS BIGINT) AS item_no,
+       CAST(level AS VARCHAR) AS level, p_name AS name,
+       CASE WHEN level > 1 THEN CAST(level - 1 AS VARCHAR) ELSE 'none' END AS above, CAST(p_partkey AS VARCHAR) AS outermost,
+       CASE WHEN level = deep THEN CAST(p_partkey AS VARCHAR) ELSE 'no' END AS leaf
+FROM d
+""")
+def nested_list_records(spark, sf_dir):
+    """Records inside records: ``ancestor`` axes, ``position()``, ``last()`` and ``count()``."""
+    return extract_records(parsed_nodes(nested_list_pages(spark, sf_dir)), ITEM_XPATH, "xpath")
+
+
+ODD_CSS = {"name": "odd", "baseSelector": "div.card:nth-child(2n+1)", "fields": [
+    {"name": "name", "selector": "h2:first-of-type", "type": "text"},
+    {"name": "size", "selector": "ul > li:nth-of-type(even)", "type": "text"},
+    {"name": "kind", "selector": "li:nth-child(odd)", "type": "text"}]}
+
+
+@register("css_position_records", """
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY rn) AS BIGINT) AS item_no, name, size, kind
+FROM (SELECT p_partkey // 10 AS page_id, p_name AS name, 'size ' || p_size AS size, p_type AS kind,
+             row_number() OVER (PARTITION BY p_partkey // 10 ORDER BY p_partkey) AS rn FROM part)
+WHERE rn % 2 = 1
+""")
+def css_position_records(spark, sf_dir):
+    """``:nth-child(an+b)``, ``odd``, ``even`` and the of-type positions."""
+    return extract_records(parsed_nodes(product_pages(spark, sf_dir)), ODD_CSS, "css")
+
+
 @register("html_tables", """
 SELECT c_custkey // 50 AS page_id, CAST(1 AS BIGINT) AS table_no,
        CAST(row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_custkey) AS BIGINT) AS row_no,

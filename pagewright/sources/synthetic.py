@@ -93,3 +93,19 @@ def code_pages(spark: SparkSession, sf_dir: str, rows_per_page: int = 10) -> Dat
     html = F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>"))
     return pages.select("page_id", F.concat(F.lit("https://code.example.com/"), pid).alias("url"),
                         html.alias("html"))
+
+
+def nested_list_pages(spark: SparkSession, sf_dir: str, rows_per_page: int = 10) -> DataFrame:
+    """Every part as a list inside a list, ``1 + p_size % 5`` deep, its name in the innermost item."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    levels = F.sequence(F.lit(1), (F.col("p_size") % 5 + 1).cast("int"))
+    key = F.col("p_partkey").cast("string")
+    opened = F.array_join(F.transform(levels, lambda i: F.concat(
+        F.lit('<ul><li data-level="'), i.cast("string"), F.lit('" data-key="'), key, F.lit('">'))), "")
+    closed = F.array_join(F.transform(levels, lambda i: F.lit("</li></ul>")), "")
+    frag = F.concat(F.lit("<section>"), opened, F.lit("<b> "), esc(F.col("p_name")), F.lit(" </b><i>x</i><b>second</b>"),
+                    closed, F.lit("</section>"))
+    pages = _paged(part, F.floor(F.col("p_partkey") / rows_per_page).cast("long"), "p_partkey", frag)
+    pid = F.col("page_id").cast("string")
+    return pages.select("page_id", F.concat(F.lit("https://lists.example.com/"), pid).alias("url"),
+                        F.concat(F.lit("<html><body>"), F.col("body"), F.lit("</body></html>")).alias("html"))
