@@ -134,14 +134,11 @@ def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame
     """All single-step fields in one pass over the nodes: one structural join of the records with the
     nodes that any field asks for, and every field's first match with one conditional ``min_by`` each."""
     axes = {axis for _, (axis, _, _) in simple}
-    if axes == {"self"}:
-        cand = nodes.select(*_PAYLOAD, F.col("pre").alias("ctx")).join(records.select("page_id", "pre"), ["page_id", "pre"])
-    else:
-        wanted = F.lit(False)
-        for _, (axis, pred, _) in simple:
-            wanted = wanted | (F.lit(True) if axis == "self" else pred)
-        found = pairs(records.select("page_id", "pre", "last"), nodes.filter(wanted).select(*_PAYLOAD), or_self="self" in axes)
-        cand = found.select("_in.*", F.col("_out.pre").alias("ctx"))
+    wanted = F.lit(False)
+    for _, (axis, pred, _) in simple:
+        wanted = wanted | (F.lit(True) if axis == "self" else pred)
+    found = pairs(records.select("page_id", "pre", "last"), nodes.filter(wanted).select(*_PAYLOAD), or_self="self" in axes)
+    cand = found.select("_in.*", F.col("_out.pre").alias("ctx"))
     if html is not None:
         cand = cand.join(html, "page_id")
     aggs = []
@@ -153,16 +150,29 @@ def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame
     return cand.groupBy("page_id", "ctx").agg(*aggs).withColumnRenamed("ctx", "pre")
 
 
+def _own_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame | None) -> DataFrame:
+    """Fields that are all read from the record element itself: a lookup of its node."""
+    found = records.join(nodes.select(*[c for c in _PAYLOAD if c not in ("parent", "ordinal")]), ["page_id", "pre"])
+    if html is not None:
+        found = found.join(html, "page_id")
+    markup = F.col("html") if html is not None else None
+    values = [F.when(pred, _value_expr(f, markup, value)).alias(f.name) for f, (_, pred, value) in simple]
+    return found.select(*[found[c] for c in records.columns], *values)
+
+
 def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind: str,
-             html: DataFrame | None) -> DataFrame:
-    """One column per field beside ``page_id, pre`` of ``records`` (``page_id, pre, parent, ordinal, last``)."""
-    out = records.select("page_id", "pre")
+             html: DataFrame | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One column per field beside ``page_id, pre`` and the ``keep`` columns of ``records``
+    (``page_id, pre, parent, ordinal, last, ..``)."""
+    out = records.select("page_id", "pre", *keep)
     simple = [(f, info) for f in fields if (info := _single_step(f, kind)) is not None]
-    if simple:
+    if simple and all(axis == "self" for _, (axis, _, _) in simple):
+        out = _own_fields(nodes, out, simple, html)
+    elif simple:
         out = out.join(_simple_fields(nodes, records, simple, html), ["page_id", "pre"], "left")
-        for f, _ in simple:
-            if f.default is not None:
-                out = out.withColumn(f.name, F.coalesce(F.col(f.name), F.lit(str(f.default))))
+    for f, _ in simple:
+        if f.default is not None:
+            out = out.withColumn(f.name, F.coalesce(F.col(f.name), F.lit(str(f.default))))
     done = {f.name for f, _ in simple}
     for f in fields:
         if f.name in done:
@@ -170,10 +180,10 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
         matches, value = _field_matches(nodes, records, f, kind)
         if f.type in ("nested", "list", "nested_list"):
             # an element may be a match of several records: its fields are extracted once
-            items = matches.select("page_id", F.col("m").alias("pre"), F.col("m_parent").alias("parent"),
-                                   F.col("m_ordinal").alias("ordinal"), F.col("m_last").alias("last")).distinct()
-            inner = _extract(nodes, items, f.fields, kind, html)
-            inner = inner.join(matches.select("page_id", F.col("m").alias("pre"), "ctx"), ["page_id", "pre"])
+            items = matches.groupBy("page_id", F.col("m").alias("pre")).agg(
+                F.first("m_parent").alias("parent"), F.first("m_ordinal").alias("ordinal"), F.first("m_last").alias("last"),
+                F.collect_list("ctx").alias("_ctxs"))
+            inner = _extract(nodes, items, f.fields, kind, html, ("_ctxs",)).withColumn("ctx", F.explode("_ctxs"))
             sub_names = [s.name for s in f.fields]
             item = F.struct(F.col("pre").alias("_o"), F.struct(*sub_names).alias("v"))
             if f.type == "nested":

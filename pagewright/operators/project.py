@@ -71,9 +71,10 @@ def links_struct(links: DataFrame) -> DataFrame:
 def drop_tags(nodes: DataFrame, tags: list[str]) -> DataFrame:
     """PRJ9 ``excluded_tags``: remove every subtree rooted at one of ``tags``."""
     from pagewright.operators.select import without_subtree
+    from pagewright.operators.structure import last
 
     roots = nodes.filter(F.col("tag").isin(*[t.lower() for t in tags])).select(
-        "page_id", F.lit(-1).alias("ctx"), F.col("pre").alias("m"))
+        "page_id", F.col("pre").alias("m"), last().alias("m_last"))
     return without_subtree(nodes, roots)
 
 

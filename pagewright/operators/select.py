@@ -421,7 +421,8 @@ def _matches(nodes: DataFrame, step: Step) -> DataFrame:
     return out
 
 
-def _apply_step(nodes: DataFrame, cur: DataFrame, step: Step) -> DataFrame:
+def _apply_step(nodes: DataFrame, cur: DataFrame, step: Step, first: bool = False) -> DataFrame:
+    """One location step; ``first``: each context is its own only match, so no match comes up twice."""
     cand = _matches(nodes, step).select("page_id", "pre", "parent", "ordinal", "last")
     c = cur.select(*_CUR)
     start = F.col("m_parent")  # positions count per parent of the match, or per node the axis started from
@@ -433,7 +434,8 @@ def _apply_step(nodes: DataFrame, cur: DataFrame, step: Step) -> DataFrame:
     elif step.axis in ("descendant", "descendant-or-self"):
         outer = c.select("page_id", F.col("m").alias("pre"), F.col("m_last").alias("last"), "ctx")
         out = structure.pairs(outer, cand, step.axis == "descendant-or-self") \
-            .select("_in.page_id", "_out.ctx", *_node("_in.")).distinct()
+            .select("_in.page_id", "_out.ctx", *_node("_in."))
+        out = out if first else out.distinct()  # nested matches of one context share descendants
     elif step.axis in ("ancestor", "ancestor-or-self"):
         inner = c.select("page_id", F.col("m").alias("pre"), "ctx")
         out = structure.pairs(cand, inner, step.axis == "ancestor-or-self") \
@@ -495,8 +497,8 @@ def evaluate(nodes: DataFrame, paths: list[Path], context: DataFrame | None = No
             steps = steps[1:]
         else:
             cur = _start(nodes, context, path)
-        for st in steps:
-            cur = _apply_step(nodes, cur, st)
+        for i, st in enumerate(steps):
+            cur = _apply_step(nodes, cur, st, first=i == 0 and len(steps) == len(path.steps))
         res = cur.select(*_CUR)
         out = res if out is None else out.unionByName(res)
     return out.distinct() if len(paths) > 1 else out

@@ -19,8 +19,13 @@ def esc(c: Column) -> Column:
 
 
 def _paged(rows: DataFrame, page_col: Column, order_col: str, fragment: Column) -> DataFrame:
-    """Concatenate row fragments per page in ``order_col`` order (groups are bounded)."""
-    return rows.groupBy(page_col.alias("page_id")).agg(
+    """Concatenate row fragments per page in ``order_col`` order (groups are bounded).
+
+    The pages are parsed next, which costs far more than their bytes suggest: a named number of
+    partitions keeps the pages spread over the tasks (the groups reuse it, no further shuffle).
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("page_id", page_col).repartition(tasks, "page_id").groupBy("page_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order_col), fragment.alias("f")))),
                                  lambda x: x["f"]), "").alias("body"))
 
