@@ -1,18 +1,19 @@
 """Driver queries for link-graph traversal (TRV1-TRV11) over the derived site graph.
 
-Oracles: the same graph derived in SQL and walked with ``WITH RECURSIVE`` (the graph is a
-forest - every page has at most one in-edge - so the walk needs no visited set); the budgeted
-crawl keeps the first rows by (depth, position path).
+Oracles: the same graph derived in SQL and walked with ``WITH RECURSIVE``. The first graph is a
+forest - every page has at most one in-edge - so its walk needs no visited set; the budgeted
+crawl keeps the first rows by (depth, position path). The second one has cycles, shared children and
+failed pages; its walks carry the visited set and the queue from one iteration to the next.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagewright.operators.traverse import CrawlSpec, crawl, depth_summary
+from pagewright.operators.traverse import CrawlSpec, crawl, depth_summary, ranking_note
 from pagewright.plans import sqlparts as S
 from pagewright.plans.catalog import register
-from pagewright.sources.graph import first_page_url, site_graph
+from pagewright.sources.graph import first_page_url, site_graph, web_graph, web_outcomes
 from pagewright.sources.tables import snapshots
 
 MAX_DEPTH = 6
@@ -129,9 +130,88 @@ def glob_filters(spark, sf_dir):
     return _out(res)
 
 
-@register("best_first")
+def _web_sql() -> str:
+    """The graph with cycles, its outcomes and its start, as tables ``edges``, ``outcome`` and ``start``."""
+    return f"""
+WITH RECURSIVE
+pg AS (SELECT page_id, url, {S.host('url')} AS host, html IS NOT NULL AND page_id % 11 <> 7 AS success FROM pages),
+rk AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS r, count(*) OVER (PARTITION BY host) AS n FROM pg),
+outcome AS (SELECT url, bool_or(success) AS success FROM pg GROUP BY url),
+firsts AS (SELECT url, row_number() OVER (ORDER BY host) - 1 AS h, count(*) OVER () AS hosts FROM rk WHERE r = 1),
+hop AS (SELECT host, url AS src, 2 * r AS t, 1 AS pos FROM rk UNION ALL SELECT host, url, 2 * r + 1, 2 FROM rk
+  UNION ALL SELECT host, url, r // 2, 3 FROM rk WHERE r > 1
+  UNION ALL SELECT host, url, 7 * r % n + 1, 4 FROM rk WHERE 7 * r % n + 1 <> r),
+plain AS (SELECT src, rk.url AS dst, pos FROM hop JOIN rk ON rk.host = hop.host AND rk.r = hop.t
+  UNION ALL SELECT f.url, g.url, 5 FROM firsts f JOIN firsts g ON g.h = (2 * f.h + 1) % f.hosts WHERE f.url <> g.url
+  UNION ALL SELECT f.url, g.url, 6 FROM firsts f JOIN firsts g ON g.h = (2 * f.h + 2) % f.hosts WHERE f.url <> g.url),
+edges AS (SELECT src, dst, pos, CASE WHEN coalesce({S.regdom(S.host('dst'))}, '') <> coalesce({S.regdom(S.host('src'))}, '') THEN 1 ELSE 0 END AS is_ext FROM plain),
+start AS (SELECT rk.url, success FROM rk JOIN firsts ON firsts.url = rk.url WHERE h = 0 AND r = 1)"""
+
+
+WEB_DEPTH = 12
+
+
+def _visit_sql(take: str, band: str = "0") -> str:
+    """Rounds with a visited set: each iteration carries all pages found, and adds what the ones taken link to."""
+    return _web_sql() + f""",
+found(it, url, depth, parent_url, key, success, band, done) AS (
+  SELECT 0, url, 0, CAST(NULL AS VARCHAR), CAST([] AS BIGINT[]), success, {band.replace('URL', 'url')}, FALSE FROM start
+  UNION ALL
+  SELECT * FROM (
+    WITH taken AS (SELECT * FROM found WHERE NOT done AND {take}),
+    cand AS (SELECT e.dst AS url, t.depth + 1 AS depth, t.url AS parent_url, list_concat(t.key, [e.is_ext, e.pos]) AS key
+      FROM taken t JOIN edges e ON e.src = t.url WHERE t.success AND t.depth < {WEB_DEPTH} AND e.dst NOT IN (SELECT url FROM found)),
+    fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY key) AS k FROM cand) WHERE k = 1)
+    SELECT it + 1, url, depth, parent_url, key, success, band, done OR url IN (SELECT url FROM taken) FROM found
+    WHERE EXISTS (SELECT 1 FROM found WHERE NOT done)
+    UNION ALL
+    SELECT (SELECT max(it) FROM found) + 1, f.url, f.depth, f.parent_url, f.key, coalesce(o.success, FALSE), {band.replace('URL', 'f.url')}, FALSE
+    FROM fresh f LEFT JOIN outcome o ON o.url = f.url)
+)"""
+
+
+KEYWORDS = ["en", "blog", "shop"]
+_BAND = " + ".join(f"CAST(contains(lower(URL), '{k}') AS INTEGER)" for k in KEYWORDS)
+_LAST = "WHERE it = (SELECT max(it) FROM found)"
+
+
+def _web(spark, sf_dir, **kw):
+    spec = CrawlSpec(start_url=_start(spark, sf_dir), max_depth=WEB_DEPTH, scope="any", **kw)
+    return crawl(spark, web_graph(spark, sf_dir), web_outcomes(spark, sf_dir), spec), spec
+
+
+@register("bfs_cyclic", _visit_sql("TRUE") + f"""
+SELECT url, CAST(depth AS BIGINT) AS depth, parent_url, success FROM found {_LAST}
+""")
+def bfs_cyclic(spark, sf_dir):
+    """Breadth-first over a graph with cycles, shared children and failed pages."""
+    res, _ = _web(spark, sf_dir, max_pages=None)
+    return res.select("url", F.col("depth").cast("long").alias("depth"), "parent_url", "success")
+
+
+@register("best_first", _visit_sql("band = (SELECT max(band) FROM found WHERE NOT done)", _BAND) + f"""
+SELECT url, CAST(depth AS BIGINT) AS depth, parent_url, round(band / {len(KEYWORDS)}.0, 6) AS score, success,
+       CAST(NULL AS VARCHAR) AS note FROM found {_LAST}
+""")
 def best_first(spark, sf_dir):
-    """Rows-only check: ordering by keyword score is verified against brute force in tests."""
+    """Best-first over the whole graph: every round takes all waiting pages of the best score."""
+    res, spec = _web(spark, sf_dir, max_pages=None, strategy="best-first", relevance_keywords=KEYWORDS)
+    return res.select("url", F.col("depth").cast("long").alias("depth"), "parent_url", F.round("score", 6).alias("score"),
+                      "success", F.lit(ranking_note(spec)).cast("string").alias("note"))
+
+
+@register("best_first_no_keywords", _visit_sql("band = (SELECT max(band) FROM found WHERE NOT done)") + f"""
+SELECT url, CAST(depth AS BIGINT) AS depth, parent_url, CAST(0 AS DOUBLE) AS score,
+       'best-first has no relevance_keywords to rank pages by: every page scores alike, so the order is that of bfs.' AS note FROM found {_LAST}
+""")
+def best_first_no_keywords(spark, sf_dir):
+    res, spec = _web(spark, sf_dir, max_pages=None, strategy="best-first")
+    return res.select("url", F.col("depth").cast("long").alias("depth"), "parent_url", "score", F.lit(ranking_note(spec)).alias("note"))
+
+
+@register("best_first_budget")
+def best_first_budget(spark, sf_dir):
+    """The page budget of a best-first crawl; its batches are verified against brute force in tests."""
     res, _ = _run(spark, sf_dir, max_pages=15, strategy="best-first", scope="any",
                   relevance_keywords=["en", "blog"])
     return res.select("url", F.col("depth").cast("long").alias("depth"), "parent_url",

@@ -100,6 +100,43 @@ def materialize(df: DataFrame, name: str = "table", compression: str | None = No
     return spark.read.parquet(path)
 
 
+class BucketedTable:
+    """A table hash-bucketed by one column in the shared checkpoint folder, written in pieces.
+
+    A join or grouping on that column reads the buckets as they lie: only the other side moves.
+    The number of buckets is that of the shuffle partitions, so both sides fit. ``partition_by``
+    columns make folders, so a later reader of some of them opens no other file.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, column: str, partition_by: tuple[str, ...] = ()):
+        import uuid
+
+        self.spark, self.column, self.partition_by = spark, column, partition_by
+        self.name = f"{name}_{uuid.uuid4().hex}"
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{self.name}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def append(self, df: DataFrame) -> None:
+        writer = df.write.mode("append").format("parquet").option("path", self.path).bucketBy(self.buckets, self.column)
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).saveAsTable(self.name)
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def closed(self) -> DataFrame:
+        """The rows as plain files; the catalog forgets the table (its files stay)."""
+        rows = self.spark.read.schema(self.rows().schema).parquet(self.path)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return rows
+
+
+def bucketed(df: DataFrame, name: str, column: str) -> BucketedTable:
+    """``df`` written once, one file per bucket."""
+    table = BucketedTable(df.sparkSession, name, column)
+    table.append(df.repartition(table.buckets, column))
+    return table
+
+
 # Runtime SQL settings the plans rely on (all modifiable on a live session).
 QUERY_CONF = {
     "spark.sql.session.timeZone": "UTC",            # event times are stored without a zone
