@@ -34,10 +34,10 @@ _pow = np.ones(1, dtype=U64)
 _inv = np.ones(1, dtype=U64)
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _tables(n: int, block: int) -> tuple[np.ndarray, np.ndarray]:
     global _pow, _inv
     if len(_pow) < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = max(n, block + 1)
         a, b = np.full(size, _P, dtype=U64), np.full(size, _P_INV, dtype=U64)
         a[0] = b[0] = 1
         _pow, _inv = np.cumprod(a, dtype=U64), np.cumprod(b, dtype=U64)
@@ -77,11 +77,11 @@ class Words:
     heads: np.ndarray | None = None  # the first four bytes of each word, as a number
 
 
-def _cuts(word: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
-    """Blocks of about BLOCK_BYTES that end at a separator byte."""
+def _cuts(word: np.ndarray, n: int, block: int) -> Iterator[tuple[int, int]]:
+    """Blocks of about ``block`` bytes that end at a separator byte."""
     a = 0
     while a < n:
-        b = min(n, a + BLOCK_BYTES)
+        b = min(n, a + block)
         if b < n:
             back = np.flatnonzero(~word[max(a, b - 4096):b])
             if len(back):
@@ -108,8 +108,11 @@ def _heads(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def hash_words(col, word_class: np.ndarray = NON_SPACE, heads: bool = False) -> Words:
-    """Hash every word of an Arrow string column (``heads``: the words' first bytes too)."""
+def hash_words(col, word_class: np.ndarray = NON_SPACE, heads: bool = False, block: int = BLOCK_BYTES) -> Words:
+    """Hash every word of an Arrow string column (``heads``: the words' first bytes too).
+
+    The scratch memory is about 50 times ``block``, the power tables 16 times.
+    """
     raw, off = text_buffers(col)
     n = len(raw)
     if not n:
@@ -118,7 +121,7 @@ def hash_words(col, word_class: np.ndarray = NON_SPACE, heads: bool = False) ->
     first = np.zeros(n + 1, dtype=bool)
     first[off] = True
     hs, ss, es = [], [], []
-    for a, b in _cuts(word, n):
+    for a, b in _cuts(word, n, block):
         w = word[a:b]
         edge = first[a:b + 1].copy()
         edge[0] = edge[-1] = True
@@ -129,7 +132,7 @@ def hash_words(col, word_class: np.ndarray = NON_SPACE, heads: bool = False) ->
         s, e = np.flatnonzero(st), np.flatnonzero(en)
         if not len(s):
             continue
-        pw, inv = _tables(b - a + 1)
+        pw, inv = _tables(b - a + 1, block)
         v = _LOWER[raw[a:b]].astype(U64)
         v += U64(1)
         v *= pw[:b - a]

@@ -39,6 +39,10 @@ PERCENT = 75
 #: matching 8-bit minima that a pair must show: 4.9 standard deviations below the mean at 0.75
 MIN_AGREE = 72
 BLOCK_ROWS = 512
+#: bytes of text that a worker holds at once, and of the blocks it hashes: several workers share an
+#: executor's memory with its JVM
+GROUP_BYTES = 1 << 20
+HASH_BYTES = 256 << 10
 
 _U = np.uint64
 _rng = np.random.RandomState(20240607)
@@ -46,6 +50,11 @@ _A = (_rng.randint(0, 1 << 62, HASHES).astype(_U) << _U(1)) | _U(1)
 _B = _rng.randint(0, 1 << 62, HASHES).astype(_U)
 
 
+def shingle_sets(col) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    return sort_unique(*shingles(hash_words(col, NON_SPACE, block=HASH_BYTES), SHINGLE))
+
+
 def minima(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
     """``(texts, HASHES)`` minima of universal hashes over each (non-empty) segment."""
     n = len(off) - 1
@@ -76,8 +85,8 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, h1, h2, bands, sig`` per row (h1, h2: order-free hash of the set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in regrouped(batches):
-            sets, off = sort_unique(*shingles(hash_words(t.column("text"), NON_SPACE), SHINGLE))
+        for t in regrouped(batches, GROUP_BYTES):
+            sets, off = shingle_sets(t.column("text"))
             size = np.diff(off)
             some = np.flatnonzero(size)
             off_some = np.concatenate([off[:-1][some], off[-1:]])
@@ -90,7 +99,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 t.column("doc_id").combine_chunks(), pa.array(size),
                 pa.array(signed(segment_sum(mix(sets ^ _U(0x5BD1E995)), off))), pa.array(signed(segment_sum(mix(sets ^ _U(0xC2B2AE35)), off))),
                 list_column(signed(band_keys(sig)), np.concatenate([[0], np.cumsum(n_bands)])),
-                pa.array([p.tobytes() for p in packed], pa.binary())],
+                pa.Array.from_buffers(pa.binary(HASHES), len(packed), [None, pa.py_buffer(packed)]).cast(pa.binary())],
                 names=["doc_id", "n_shingles", "h1", "h2", "bands", "sig"])
 
     return docs.select("doc_id", "text").mapInArrow(
@@ -109,9 +118,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataF
     b = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in regrouped(batches):
-            x, xo = sort_unique(*shingles(hash_words(t.column("text_u"), NON_SPACE), SHINGLE))
-            y, yo = sort_unique(*shingles(hash_words(t.column("text_v"), NON_SPACE), SHINGLE))
+        for t in regrouped(batches, GROUP_BYTES):
+            x, xo = shingle_sets(t.column("text_u"))
+            y, yo = shingle_sets(t.column("text_v"))
             keep = np.zeros(t.num_rows, dtype=bool)
             for i in range(t.num_rows):
                 keep[i] = _similar(x[xo[i]:xo[i + 1]], y[yo[i]:yo[i + 1]], percent)
@@ -162,7 +171,7 @@ def across(members: DataFrame, percent: int = PERCENT) -> DataFrame:
         label = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1]
         one_block = pdf["x"].iat[0] == pdf["y"].iat[0]
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), HASHES)
-        sets, off = sort_unique(*shingles(hash_words(pa.array(pdf["text"], pa.string()), NON_SPACE), SHINGLE))
+        sets, off = shingle_sets(pa.array(pdf["text"], pa.string()))
         links = []
         for k in range(len(pdf) - 1):
             fit = (label[k + 1:] != label[k]) & (100 * np.minimum(n[k + 1:], n[k]) >= percent * np.maximum(n[k + 1:], n[k]))
