@@ -346,3 +346,52 @@ def profile_fit(spark, sf_dir):
         "page_id", "profile", F.col("word_count_threshold").cast("long").alias("word_count_threshold"),
         F.coalesce("n_kept", F.lit(0)).cast("long").alias("n_kept"),
         F.coalesce("kept_words", F.lit(0)).cast("long").alias("kept_words"))
+
+
+# -- settings per request: every request brings its own query or threshold ----------------------
+
+@register("request_queries", f"""
+WITH {BLOCKS_CTE.strip()},
+r AS (SELECT 2 * page_id + k AS request_id, page_id, (page_id + k) % 4 AS setting, {S.title('html')} AS title
+      FROM pages, (SELECT unnest([0, 1]) AS k)),
+req AS (SELECT request_id, page_id, CASE setting WHEN 1 THEN title WHEN 3 THEN 'the ' || page_id || ' and ing' END AS query,
+               CASE setting WHEN 2 THEN 3 WHEN 3 THEN 5 ELSE 10 END AS wct FROM r),
+tok AS (SELECT page_id, grp, ord, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '') AS toks FROM blocks),
+stats AS (SELECT page_id, count(*) AS n_blocks, avg(len(toks)) AS avgdl FROM tok GROUP BY 1),
+tf AS (SELECT page_id, grp, ord, dl, term, count(*) AS tf FROM (SELECT page_id, grp, ord, len(toks) AS dl, unnest(toks) AS term FROM tok) GROUP BY ALL),
+dfs AS (SELECT page_id, term, count(*) AS df FROM tf GROUP BY 1, 2),
+q AS (SELECT DISTINCT request_id, page_id, unnest(list_filter(string_split_regex(lower(query), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) AS term FROM req),
+sc AS (SELECT request_id, grp, ord, sum(ln(1 + (n_blocks - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) AS s
+       FROM q JOIN tf USING (page_id, term) JOIN dfs USING (page_id, term) JOIN stats USING (page_id) GROUP BY 1, 2, 3),
+k AS (SELECT req.request_id, b.grp, b.ord, b.md,
+             CASE WHEN trim(req.query) <> '' THEN coalesce(sc.s >= 1.0, FALSE) ELSE b.score >= 0.48 AND b.n_words >= req.wct END AS kept
+      FROM req JOIN blocks b USING (page_id) LEFT JOIN sc ON sc.request_id = req.request_id AND sc.grp = b.grp AND sc.ord = b.ord),
+md AS (SELECT request_id, string_agg(md, {NL2} ORDER BY grp, ord) AS raw, coalesce(string_agg(md, {NL2} ORDER BY grp, ord) FILTER (WHERE kept), '') AS fit
+       FROM k GROUP BY 1)
+SELECT request_id, page_id, query, CAST(wct AS BIGINT) AS word_count_threshold,
+       CASE WHEN coalesce(fit, '') <> '' THEN 'fit' WHEN raw IS NOT NULL THEN 'raw' ELSE 'empty' END AS source,
+       coalesce(nullif(fit, ''), raw, '') AS content
+FROM req LEFT JOIN md USING (request_id)
+""")
+def request_queries(spark, sf_dir):
+    """Two requests a page, each with its own query or threshold out of its profile and overrides."""
+    from pagewright.operators.config import overlay, profiles_table
+    from pagewright.operators.search import request_blocks
+    pages = _pages(spark, sf_dir)
+    nodes = parsed_nodes(pages, container_text=False)
+    setting = (F.col("page_id") + F.col("k")) % 4
+    said = F.when(setting == 1, F.col("title")).when(setting == 3, F.concat(F.lit("the "), F.col("page_id").cast("string"), F.lit(" and ing")))
+    overrides = F.when(said.isNotNull(), F.create_map(F.lit("query"), said)).when(
+        setting == 2, F.create_map(F.lit("word_count_threshold"), F.lit("3")))
+    requests = pages.select("page_id").join(page_metadata(nodes), "page_id", "left") \
+        .select("page_id", "title", F.explode(F.array(F.lit(0), F.lit(1))).alias("k")).select(
+            (F.col("page_id") * 2 + F.col("k")).alias("request_id"), "page_id",
+            F.when(setting == 3, "fast").alias("profile"), overrides.alias("overrides"))
+    merged = overlay(requests, profiles_table(spark)).select("request_id", "page_id", "query", "word_count_threshold")
+    blocks = request_blocks(page_blocks(nodes), merged)
+    md = page_markdown_fit_raw(blocks).withColumnRenamed("page_id", "request_id")
+    fit_c = F.coalesce(F.col("fit"), F.lit(""))
+    return merged.join(md, "request_id", "left").select(
+        "request_id", "page_id", "query", F.col("word_count_threshold").cast("long").alias("word_count_threshold"),
+        F.when(fit_c != "", "fit").when(F.col("raw").isNotNull(), "raw").otherwise("empty").alias("source"),
+        fit_or_raw(fit_c, F.col("raw")).alias("content"))
