@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagewright.functions import urls as U
 from pagewright.operators.traverse import CrawlSpec, crawl, depth_summary, ranking_note
 from pagewright.plans import sqlparts as S
 from pagewright.plans.catalog import register
 from pagewright.sources.graph import first_page_url, site_graph, web_graph, web_outcomes
-from pagewright.sources.tables import snapshots
+from pagewright.sources.tables import snapshots, table
 
 MAX_DEPTH = 6
 
@@ -216,3 +217,43 @@ def best_first_budget(spark, sf_dir):
                   relevance_keywords=["en", "blog"])
     return res.select("url", F.col("depth").cast("long").alias("depth"), "parent_url",
                       F.round("score", 6).alias("score"))
+
+
+# Suffix rules of every kind (a caller brings the whole public list as a table).
+SUFFIX_RULES = ["com", "org", "net", "io", "github.io", "sg", "com.sg", "uk", "co.uk", "*.ck", "!www.ck",
+                "jp", "*.kawasaki.jp", "!city.kawasaki.jp", "test", "blogspot.com"]
+_HOSTS = ["foo.com.sg", "com.sg", "a.github.io", "github.io", "x.ck", "b.x.ck", "www.ck", "sub.www.ck", "ck", "shop.kawasaki.jp",
+          "a.shop.kawasaki.jp", "city.kawasaki.jp", "hall.city.kawasaki.jp", "Sub.Example.CO.UK.", "10.1.2.3", "localhost", "a..b", "x.unlisted"]
+_NAMED = ", ".join(f"({i}, '{h}')" for i, h in enumerate(_HOSTS))
+
+
+@register("registrable_domains", f"""
+WITH rules AS (SELECT unnest({SUFFIX_RULES}) AS rule),
+hosts AS (
+  SELECT s_suppkey AS key, CASE WHEN v.host = 'localhost' OR v.host LIKE '10.%' THEN v.host ELSE 's' || s_suppkey || '.' || v.host END AS host
+  FROM supplier JOIN (VALUES {_NAMED}) v(i, host) ON v.i = s_suppkey % {len(_HOSTS)}
+  UNION ALL SELECT -1 - v.i, v.host FROM (VALUES {_NAMED}) v(i, host)
+  UNION ALL SELECT 1000000 + page_id, {S.host('url')} FROM pages),
+lab AS (SELECT key, host, rtrim(lower(host), '.') AS h, string_split(rtrim(lower(host), '.'), '.') AS l FROM hosts),
+ok AS (SELECT *, list_contains(l, '') OR regexp_full_match(h, '[0-9]+([.][0-9]+){{3}}') AS bad FROM lab),
+ends AS (SELECT key, len(l) AS m, unnest(range(1, len(l) + 1)) AS n, l FROM ok WHERE NOT bad),
+hit AS (SELECT key, max(n - 1) FILTER (WHERE rule = '!' || array_to_string(l[m - n + 1:], '.')) AS exc,
+    max(n) FILTER (WHERE rule = array_to_string(l[m - n + 1:], '.') OR n > 1 AND rule = '*.' || array_to_string(l[m - n + 2:], '.')) AS ruled
+  FROM ends LEFT JOIN rules ON rule IN ('!' || array_to_string(l[m - n + 1:], '.'), array_to_string(l[m - n + 1:], '.'), '*.' || array_to_string(l[m - n + 2:], '.'))
+  GROUP BY key),
+s AS (SELECT ok.key, host, h, l, bad, CASE WHEN NOT bad THEN coalesce(exc, ruled, 1) END AS k FROM ok LEFT JOIN hit ON hit.key = ok.key)
+SELECT key, host, CASE WHEN NOT bad THEN array_to_string(l[len(l) - k + 1:], '.') END AS public_suffix,
+  CASE WHEN NOT bad AND len(l) > k THEN array_to_string(l[len(l) - k:], '.')
+       WHEN bad AND NOT list_contains(l, '') THEN h END AS registrable
+FROM s
+""")
+def registrable_domains(spark, sf_dir):
+    """Longest match in a suffix table with wildcards and exceptions."""
+    from pagewright.operators.domains import with_registrable
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    named = F.element_at(F.array(*[F.lit(h) for h in _HOSTS]), (F.col("s_suppkey") % len(_HOSTS) + 1).cast("int"))
+    hosts = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.when(
+        (named == "localhost") | named.startswith("10."), named).otherwise(F.concat(F.lit("s"), "s_suppkey", F.lit("."), named)).alias("host"))
+    hosts = hosts.unionByName(spark.createDataFrame([(-1 - i, h) for i, h in enumerate(_HOSTS)], "key long, host string"))
+    hosts = hosts.unionByName(table(spark, sf_dir, "pages").select((F.col("page_id") + 1000000).alias("key"), U.host("url").alias("host")))
+    return with_registrable(hosts, F.col("host"), rules)
