@@ -46,9 +46,7 @@ SELECT DISTINCT url FROM fl
 """)
 def stream_dedup(spark, sf_dir):
     ev = ST.stream_table(spark, sf_dir, "events")
-    # the oracle counts a URL once over the whole history, so the state must hold a month of it
-    out = ST.dedup_urls(ev.select(fetch_url().alias("url"), "ts"), delay="31 days")
-    return out.select("url")
+    return ST.each_url_once(ev.select(fetch_url().alias("url"), "ts")).select("url")
 
 
 @register("stream_sessions", f"""

@@ -37,7 +37,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
 
 
 def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batch=None,
-                location: str | None = None) -> DataFrame:
+                location: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Run a streaming query to completion (availableNow) and read its sink back as a batch table.
 
     ``location`` is the query's own folder (output and checkpoint): a restarted query that names it
@@ -51,7 +51,7 @@ def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batc
         .trigger(availableNow=True)
     if foreach_batch is not None:
         def fb(df, batch_id):
-            foreach_batch(df, batch_id).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
+            foreach_batch(df, batch_id).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{out}/part={batch_id}")
         q = w.foreachBatch(fb).start()
     else:
         q = w.format("parquet").option("path", out).start()
@@ -96,6 +96,42 @@ def dedup_urls(fetches: DataFrame, delay: str) -> DataFrame:
     return run_to_sink(d.select("url", "ts"), "dedup")
 
 
+SEEN_FOLDERS = 64
+
+
+def first_seen(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
+    """Rows ``url, ts, names`` of the URLs that no earlier batch has written to ``out``.
+
+    ``out`` holds a folder per batch and, in it, per hash of the URL: the semi-join reads the folders
+    that the batch's URLs fall into and leaves the URLs seen before where they lie; only the hits move.
+    Batches from ``batch_id`` on are not read, so a replayed batch has the same result again.
+    """
+    names = F.pmod(F.xxhash64("url"), F.lit(SEEN_FOLDERS)).cast("int").alias("names")
+    new = batch.filter(F.col("url").isNotNull()).groupBy("url").agg(F.min("ts").alias("ts")).select("url", "ts", names)
+    try:
+        seen = batch.sparkSession.read.schema("url string, ts timestamp, part long, names int").parquet(out)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return new  # the first batch
+    seen = seen.filter(F.col("part") < batch_id).select("names", "url")
+    known = seen.join(new.select("names", "url"), ["names", "url"], "left_semi")
+    return new.join(known, ["names", "url"], "left_anti").select("url", "ts", "names")
+
+
+def each_url_once(fetches: DataFrame, location: str | None = None) -> DataFrame:
+    """STR3: each URL once, however late it comes again: what was written is the table of seen URLs.
+
+    No state is held and nothing expires. A query restarted at the same ``location`` goes on from the
+    URLs written so far, and a batch that is replayed replaces its own first attempt. The time kept
+    is the earliest one in the batch that brought the URL.
+    """
+    base = location or sink_dir(fetches.sparkSession, f"stream-seen-{os.urandom(6).hex()}")
+    out = run_to_sink(fetches.select("url", "ts"), "seen", location=base, partition_by=("names",),
+                      foreach_batch=lambda df, batch_id: first_seen(df, batch_id, f"{base}/out"))
+    return out.select("url", "ts")
+
+
 def idle_sessions(events: DataFrame, key: str = "user_id") -> DataFrame:
     """STR4: 30-minute idle-gap sessions per key; emitted when the watermark closes them."""
     agg = events.withWatermark("ts", WATERMARK_DELAY).groupBy(key, F.session_window("ts", SESSION_GAP)).agg(

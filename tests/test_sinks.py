@@ -3,10 +3,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import safe_filename
-from pagewright.operators.sinks import manifest, persist, read_pages, sink_dir, with_file_names
+from pagewright.operators.sinks import (manifest, persist, read_manifest, read_pages, sink_dir, with_file_names,
+                                         write_pages)
 
 
 def _names(spark, urls):
@@ -65,3 +67,38 @@ def test_unwritable_dir_keeps_content_and_note(spark):
     out, note = persist(res, f"file:{blocker}/sub", note="earlier note")
     assert note.startswith("earlier note Writing to")
     assert out.first().content == "A"
+
+
+def test_manifest_lines_are_the_entries(spark):
+    res = spark.createDataFrame([("https://e.com/bad", False, "time\nout", None, None, None, 3), ("https://e.com/root", True, None, 0, None, "Root", 1),
+                                 ("https://e.com/child", True, None, 1, "https://e.com/root", "Child", 2)], RES_SCHEMA)
+    out_dir = sink_dir(spark)
+    out, _ = persist(res, out_dir)
+    lines = [json.loads(r.value) for r in spark.read.text(f"{out_dir}/manifest").collect()]
+    assert [e["success"] for e in lines] == [True, True, False]
+    assert lines[0]["depth"] == 0 and "parent_url" not in lines[0] and lines[1]["parent_url"] == "https://e.com/root"
+    assert lines[2] == {"url": "https://e.com/bad", "success": False, "error": "time\nout"}
+    back = {r.url: r for r in read_manifest(spark, out_dir).collect()}
+    assert back["https://e.com/child"].file == out.filter("url like '%child'").first().file and back["https://e.com/bad"].file is None
+
+
+def test_only_folders_of_colliding_names_are_rewritten(spark):
+    out_dir = sink_dir(spark)
+    crawl = lambda pages: write_pages(spark.createDataFrame(
+        [(u, True, None, None, None, c, k) for k, (u, c) in enumerate(pages)], RES_SCHEMA), out_dir)
+    urls = [f"https://e.com/{k}" for k in range(40)]
+    crawl([(u, "old") for u in urls])
+    files = lambda: {r[0] for r in spark.read.parquet(f"{out_dir}/pages").select("_metadata.file_path").distinct().collect()}
+    before = files()
+    crawl([(urls[3], "new"), ("https://e.com/more", "x"), (urls[3], "newest")])
+    after = files()
+    assert len(before - after) <= 2 and len(before & after) >= len(before) - 2
+    got = {r.url: r.content for r in read_pages(spark, out_dir).collect()}
+    assert got == {u: "old" for u in urls} | {urls[3]: "newest", "https://e.com/more": "x"}
+    assert read_pages(spark, sink_dir(spark)).collect() == []
+
+
+def test_an_error_of_the_crawl_is_raised(spark):
+    res = spark.createDataFrame([("https://e.com/a", True, None, None, None, "A", 1)], RES_SCHEMA)
+    with pytest.raises(Exception, match="broken page"):
+        persist(res.withColumn("content", F.raise_error(F.lit("broken page")).cast("string")), sink_dir(spark))

@@ -37,3 +37,32 @@ def test_stream_page_results(spark):
     out = ST.page_results_stream(ST.stream_table(spark, SF, "pages"))
     assert out.count() == table(spark, SF, "pages").count()
     assert out.filter(F.col("title").isNull()).count() == 0
+
+
+def _write(spark, folder, name, rows):
+    spark.createDataFrame(rows, "url string, ts timestamp").coalesce(1).write.parquet(f"{folder}/{name}")
+
+
+def test_each_url_once_across_restarts_and_replays(spark, tmp_path):
+    """Two runs with a restart between them, many batches, repeats far apart, a replayed batch."""
+    import datetime as dt
+    import random
+    rnd, day = random.Random(7), dt.timedelta(days=1)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"u{rnd.randint(0, 60)}" if rnd.random() > 0.05 else None, start + day * rnd.randint(0, 900)) for _ in range(300)]
+    folder, base = f"{tmp_path}/in", f"{tmp_path}/query"
+    stream = lambda: spark.readStream.schema("url string, ts timestamp").option("maxFilesPerTrigger", "1").option(
+        "recursiveFileLookup", "true").parquet(folder)
+    for k in range(3):
+        _write(spark, folder, f"a{k}", rows[50 * k:50 * k + 50])
+    first = ST.each_url_once(stream(), location=base)
+    assert sorted(r.url for r in first.collect()) == sorted({u for u, _ in rows[:150] if u})
+    for k in range(3, 6):
+        _write(spark, folder, f"b{k}", rows[50 * k:50 * k + 50])
+    again = ST.each_url_once(stream(), location=base)
+    assert sorted(r.url for r in again.collect()) == sorted({u for u, _ in rows if u})
+    parts = {r.part: r.n for r in spark.read.parquet(f"{base}/out").groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    replayed = ST.first_seen(spark.createDataFrame(rows[200:250], "url string, ts timestamp"), 4, f"{base}/out")
+    before = {u for u, _ in rows[:200] if u}
+    assert {r.url for r in replayed.collect()} == {u for u, _ in rows[200:250] if u} - before
+    assert sum(parts.values()) == len({u for u, _ in rows if u}) and len(parts) > 1
