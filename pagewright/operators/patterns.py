@@ -8,9 +8,11 @@ the driver at plan-build time, before any work is scheduled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pagewright.operators import structure
+
 # The built-in pattern catalogue (names and order as exposed to callers). The
 # regexes stay inside the subset shared by Java regex and RE2 so SQL engines agree.
 BUILTIN_PATTERNS: dict[str, str] = {
@@ -88,6 +90,57 @@ def extract_patterns(df: DataFrame, text_col: str, key_cols: list[str],
         .select(*key_cols, "label", (F.col("pos0") + 1).cast("long").alias("pos"), "value")
 
 
+def match_offsets(df: DataFrame, text_col: str, key_cols: list[str], specs: list[tuple[str, str]]) -> DataFrame:
+    """``(key..., label, pos, value, start_off, stop_off)``: matches with their offsets in the text.
+
+    The pieces between the matches of a pattern give the offsets: a match starts behind all pieces and
+    matches before it (one running sum per text and pattern, bounded by the text).
+    """
+    packed = F.array(*[
+        F.struct(F.lit(label).alias("label"), F.arrays_zip(
+            F.regexp_extract_all(F.col(text_col), F.lit(rx), F.lit(0)).alias("value"),
+            F.transform(F.split(F.col(text_col), rx, -1), F.length).alias("gap")).alias("found"))
+        for label, rx in specs])
+    rows = df.select(*key_cols, F.inline(packed)).select(*key_cols, "label", F.posexplode("found").alias("pos0", "f")) \
+        .filter("f.value IS NOT NULL").select(*key_cols, "label", (F.col("pos0") + 1).cast("long").alias("pos"), "f.value", "f.gap")
+    sofar = Window.partitionBy(*key_cols, "label").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("stop_off", F.sum(F.col("gap") + F.length("value")).over(sofar))
+    return rows.select(*key_cols, "label", "pos", "value", (F.col("stop_off") - F.length("value")).alias("start_off"), "stop_off")
+
+
+def located_patterns(pages: DataFrame, nodes: DataFrame, specs: list[tuple[str, str]], css_selector: str | None = None) -> DataFrame:
+    """EXT9: matches over the html with the element that holds them, in the scope of ``css_selector``.
+
+    ``(page_id, label, pos, value, start_off, pre, tag)``. The elements' source intervals are nested like
+    their subtrees, so one structural pass along the offsets finds each match's innermost element
+    (that of its first character; NULL outside of all) and whether an element that the selector matches
+    holds it whole; ``pos`` counts within the scope. A selector without a match leaves no match.
+    """
+    from pagewright.operators.select import select_css
+    found = match_offsets(pages.select("page_id", "html"), "html", ["page_id"], specs)
+    match = F.struct("label", "value", "start_off", "stop_off")
+    spans = nodes.select("page_id", F.col("start_off").alias("pre"), (F.col("end_off") - 1).alias("last"),
+                         F.struct(F.col("pre").alias("pre"), "tag").alias("node"), F.lit(False).alias("root"))
+    if css_selector is not None:
+        roots = select_css(nodes, css_selector).select("page_id", F.col("m").alias("pre"))
+        roots = nodes.join(roots, ["page_id", "pre"], "left_semi").select(
+            "page_id", "pre", structure.last().alias("last"), "start_off", "end_off")
+        # of nested roots the outermost holds all
+        roots = structure.enclosing(roots, F.lit(True), inside={"nested": F.lit(True)}).filter("NOT nested")
+        spans = spans.unionByName(roots.select("page_id", F.col("start_off").alias("pre"), (F.col("end_off") - 1).alias("last"),
+                                               F.lit(None).cast(spans.schema["node"].dataType).alias("node"), F.lit(True).alias("root")))
+    rows = found.select("page_id", F.col("start_off").cast("int").alias("pre"), F.lit(None).cast("int").alias("last"),
+                        F.lit(None).cast(spans.schema["node"].dataType).alias("node"), F.lit(False).alias("root"), match.alias("match"))
+    rows = spans.withColumn("match", F.lit(None).cast(rows.schema["match"].dataType)).unionByName(rows)
+    placed = structure.enclosing(rows, F.col("match").isNotNull(), or_self=True, nearest={
+        "holder": (F.col("node").isNotNull(), F.col("node")), "scope_end": (F.col("root"), F.col("last"))})
+    if css_selector is not None:
+        placed = placed.filter(F.col("scope_end") + 1 >= F.col("match.stop_off"))
+    order = Window.partitionBy("page_id", "match.label").orderBy("match.start_off")
+    return placed.select("page_id", "match.label", F.row_number().over(order).cast("long").alias("pos"), "match.value",
+                         F.col("match.start_off").cast("long").alias("start_off"), F.col("holder.pre").alias("pre"), F.col("holder.tag").alias("tag"))
+
+
 def pattern_summary(matches: DataFrame, pages: DataFrame, key: str) -> DataFrame:
     """Per-page summary ``(key, count, error)``: zero matches carries the no-match error."""
     counts = matches.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("count"))

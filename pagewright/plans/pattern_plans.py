@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pagewright.operators.patterns import (BUILTIN_PATTERNS, NO_MATCHES_MSG, extract_patterns, pattern_summary,
-                                           resolve_patterns)
+from pagewright.operators.parse import parsed_nodes
+from pagewright.operators.patterns import (BUILTIN_PATTERNS, NO_MATCHES_MSG, extract_patterns, located_patterns,
+                                           pattern_summary, resolve_patterns)
 from pagewright.plans.catalog import register
+from pagewright.sources.synthetic import product_pages
 from pagewright.sources.tables import table
 
 ALL = list(BUILTIN_PATTERNS)
@@ -64,3 +66,31 @@ def pattern_summary_q(spark, sf_dir):
     specs = resolve_patterns(spark, None)
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     return pattern_summary(extract_patterns(pages, "html", ["page_id"], specs), pages, "page_id")
+
+
+@register("scoped_patterns", _oracle("art", "page_id", "html", [(n, BUILTIN_PATTERNS[n]) for n in ALL]).replace(
+    "SELECT page_id, label, CAST", "WITH art AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>.*?</article>') AS html FROM pages) "
+    "SELECT page_id, label, CAST", 1))
+def scoped_patterns(spark, sf_dir):
+    """EXT9 with ``css_selector``: every built-in pattern inside ``article`` only."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    found = located_patterns(pages, parsed_nodes(pages, container_text=False), resolve_patterns(spark, ALL), "article")
+    return found.select("page_id", "label", "pos", "value")
+
+
+PLACED = {"price": "[$][0-9]+[.][0-9]{2}", "size": "size [0-9]+", "part": "/part/[0-9]+", "open": "<h2 class"}
+
+
+@register("pattern_holders", """
+WITH m AS (
+  SELECT p_partkey, p_partkey // 10 AS page_id, 'price' AS label, '$' || printf('%.2f', p_retailprice) AS value, 'span' AS tag FROM part WHERE p_partkey % 7 <> 0
+  UNION ALL SELECT p_partkey, p_partkey // 10, 'size', 'size ' || p_size, 'li' FROM part
+  UNION ALL SELECT p_partkey, p_partkey // 10, 'part', '/part/' || p_partkey, 'a' FROM part
+  UNION ALL SELECT p_partkey, p_partkey // 10, 'open', '<h2 class', 'h2' FROM part)
+SELECT page_id, label, CAST(row_number() OVER (PARTITION BY page_id, label ORDER BY p_partkey) AS BIGINT) AS pos, value, tag FROM m
+""")
+def pattern_holders(spark, sf_dir):
+    """Which element holds each match: texts, attribute values and tags, inside the cards."""
+    pages = product_pages(spark, sf_dir)
+    specs = resolve_patterns(spark, [], PLACED)
+    return located_patterns(pages, parsed_nodes(pages, container_text=False), specs, "div.card").select("page_id", "label", "pos", "value", "tag")
