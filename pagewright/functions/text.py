@@ -25,7 +25,8 @@ def clean_str(x) -> Column:
 
 
 def collapse_ws(x) -> Column:
-    return F.trim(F.regexp_replace(_col(x), r"\s+", " "))
+    """Runs of white space of any kind (no-break spaces and separators too) as one space, none at the edges."""
+    return F.trim(F.regexp_replace(_col(x), r"(?U)[\s\x1C-\x1F]+", " "))
 
 
 def one_line(x, limit: int = 200) -> Column:

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagewright.functions.text import strip
+
 SCHEME_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
 AUTHORITY_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 NETLOC_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
@@ -78,8 +80,13 @@ def _normalize(ref: Column) -> Column:
 
 
 def resolve_url(base, href) -> Column:
-    """Resolve ``href`` against ``base`` (absolute, //host, /path, ?q, #f, relative, dots)."""
-    b, h = _col(base), F.trim(_col(href))
+    """Resolve ``href`` against ``base`` (absolute, //host, /path, ?q, #f, relative, dots).
+
+    White space of any kind around a reference does not count; every kind of path loses its dot segments.
+    """
+    b, h = _col(base), strip(_col(href))
+    own = F.regexp_extract(h, r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)", 1)  # scheme and host of the reference itself
+    named = F.concat(own, _normalize(F.substring(h, F.length(own) + 1, F.length(h))))
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
     authority = F.regexp_extract(b, AUTHORITY_RE, 1)
     base_nofrag = F.regexp_replace(b, r"#.*$", "")
@@ -87,8 +94,8 @@ def resolve_url(base, href) -> Column:
     base_path = F.regexp_extract(b, PATH_RE, 1)
     base_dir = F.when(base_path == "", F.lit("/")).otherwise(F.regexp_replace(base_path, r"[^/]*$", ""))
     return (F.when(h.isNull(), F.lit(None))
-            .when(h.rlike(SCHEME_RE), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+            .when(h.rlike(SCHEME_RE), F.when(own != "", named).otherwise(h))
+            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), named))
             .when(h.startswith("/"), F.concat(authority, _normalize(h)))
             .when(h == "", base_nofrag)
             .when(h.startswith("?"), F.concat(base_noquery, h))

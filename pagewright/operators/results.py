@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.functions.text import one_line
+from pagewright.functions.text import one_line, strip
 from pagewright.operators import prefix
 
 # Message formats of the diagnostics.
@@ -26,10 +26,6 @@ STATS_TYPE = ("struct<attempts:int,retries:int,proxies_used:array<struct<proxy:s
               "blocked:boolean,reason:string>>,fallback_fetch_used:boolean,resolved_by:string>")
 
 
-def _strip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def redirect_line(url: Column, redirected: Column, code: Column) -> Column:
     """RES4: only when redirected_url is non-empty and differs from the requested URL."""
     suffix = F.when(code.isNotNull(), F.concat(F.lit(" (HTTP "), code.cast("string"), F.lit(")"))) \
@@ -84,7 +80,7 @@ def failure_text(df: DataFrame) -> Column:
     """RES3: message + diagnostics joined by newline, stripped, NULL when empty."""
     joined = F.array_join(F.concat(F.array(F.coalesce(F.col("error_message"), F.lit(""))),
                                    failure_diagnostics(df)), "\n")
-    t = _strip_ws(joined)
+    t = strip(joined)
     return F.when(t == "", F.lit(None)).otherwise(t)
 
 

@@ -36,6 +36,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.functions.validate import bad_choice
 from pagewright.operators import structure
 
 
@@ -522,7 +523,7 @@ def normalize_selector_type(selector_type: str | None) -> str:
     """EXT2: trimmed and case-folded; unknown values are refused with the valid ones listed."""
     kind = (selector_type if selector_type is not None else "css").strip().lower()
     if kind not in ("css", "xpath"):
-        raise ValueError(f"selector_type {selector_type!r} is not recognised. Valid values: css, xpath")
+        raise ValueError(bad_choice("selector_type", selector_type, ["css", "xpath"]))
     return kind
 
 

@@ -55,8 +55,26 @@ def maybe_gunzip(docs: DataFrame, col: str = "content") -> DataFrame:
     return docs.filter(~is_gz).unionByName(gz)
 
 
+@F.pandas_udf(BinaryType())
+def _utf16_to_utf8(content: pd.Series) -> pd.Series:
+    """UTF-16 with its mark as UTF-8; bytes that are not are returned unchanged."""
+    def one(b):
+        try:
+            return bytes(b).decode("utf-16").encode("utf-8")
+        except UnicodeDecodeError:
+            return b
+    return content.map(one)
+
+
+def as_utf8(docs: DataFrame, col: str = "content") -> DataFrame:
+    """Only rows that begin with a UTF-16 byte order mark go through Python."""
+    marked = F.coalesce(F.hex(F.substring(F.col(col), 1, 2)).isin("FFFE", "FEFF"), F.lit(False))
+    return docs.filter(~marked).unionByName(docs.filter(marked).withColumn(col, _utf16_to_utf8(F.col(col))))
+
+
 def xml_text(content: str):
-    """Text of an XML document given as bytes: UTF-8 (with or without a mark) or declared Latin-1.
+    """Text of an XML document given as bytes: UTF-8 (with or without a mark), or declared Latin-1
+    or windows-1252. UTF-16 has become UTF-8 before (``as_utf8``).
 
     Bytes that are neither become a text that no XML parser accepts, so the document is reported
     as ``not_xml`` and its siblings go on.
@@ -64,8 +82,12 @@ def xml_text(content: str):
     raw = F.col(content)
     head = F.lower(F.decode(F.substring(raw, 1, 200), "ISO-8859-1"))
     latin = head.rlike("""^[^>]*encoding=["'](iso-8859-1|latin-1|latin1|us-ascii)["']""")
+    # windows-1252 is Latin-1 but for the codes 128 to 159
+    codes = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(128, 160)]
+    windows = F.translate(F.decode(raw, "ISO-8859-1"), "".join(a for a, c in codes if c), "".join(c for _, c in codes))
     utf8 = F.regexp_replace(F.try_validate_utf8(raw.cast("string")), "^\ufeff", "")
-    text = F.when(latin, F.decode(raw, "ISO-8859-1")).otherwise(utf8)
+    text = F.when(latin, F.decode(raw, "ISO-8859-1")).when(
+        head.rlike("""^[^>]*encoding=["'](windows-1252|cp1252)["']"""), windows).otherwise(utf8)
     return F.when(raw.isNotNull(), F.coalesce(text, F.lit("<")))
 
 
@@ -75,7 +97,7 @@ def parse_sitemaps(docs: DataFrame, materialize_parsed: bool = False) -> tuple[D
     status:  ``(sitemap_url, status, fetch_error)`` with status ok | fetch_error | not_xml
     entries: ``(sitemap_url, is_index, pos, url)`` - cleaned, resolved, document order.
     """
-    d = maybe_gunzip(docs.select("sitemap_url", "final_url", "content", "fetch_error"))
+    d = as_utf8(maybe_gunzip(docs.select("sitemap_url", "final_url", "content", "fetch_error")))
     x = d.select("sitemap_url", "final_url", "fetch_error",
                  F.from_xml(xml_text("content"), XML_SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
     if materialize_parsed:  # status and entries both read it: inflate and parse once

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.functions.text import strip
+
 DEFAULT_CHUNK_TOKENS = 2048
 GENERIC_PROVIDER_ERROR = "a block is flagged as an error without a message"
 MALFORMED_FMT = "The payload cannot be parsed as JSON"
@@ -16,10 +18,6 @@ NOT_RECORDS_FMT = "The payload is JSON of type {}, not a record or an array of r
 _BLOCKS = "array<struct<error:boolean,content:string>>"
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def extraction_error(payload) -> Column:
     """EXT12: messages of blocks whose ``error`` is JSON ``true``, trimmed, joined ' | '.
 
@@ -34,7 +32,7 @@ def extraction_error(payload) -> Column:
     flagged = F.filter(items, lambda it: F.coalesce(
         (F.schema_of_variant(F.try_variant_get(it, "$.error", "variant")) == "BOOLEAN")
         & F.try_variant_get(it, "$.error", "boolean"), F.lit(False)))
-    msgs = F.transform(flagged, lambda it: _strip(F.coalesce(F.try_variant_get(it, "$.content", "string"), F.lit(""))))
+    msgs = F.transform(flagged, lambda it: strip(F.coalesce(F.try_variant_get(it, "$.content", "string"), F.lit(""))))
     joined = F.array_join(F.filter(msgs, lambda m: m != ""), " | ")
     return (F.when(p.isNull() | (p == ""), F.lit(None))
             .when(F.size(flagged) > 0, F.when(joined != "", joined).otherwise(F.lit(GENERIC_PROVIDER_ERROR))))
@@ -43,7 +41,7 @@ def extraction_error(payload) -> Column:
 def empty_structured(payload) -> Column:
     """EXT13: '[]', '{}' (after trim) or empty is a reported failure."""
     p = F.col(payload) if isinstance(payload, str) else payload
-    t = _strip(F.coalesce(p, F.lit("")))
+    t = strip(F.coalesce(p, F.lit("")))
     return (t == "") | t.isin("[]", "{}")
 
 

@@ -30,13 +30,13 @@ def test_profile_keys_split_and_refusal(spark):
                                "settings map<string,string>")
     r = effective_keys(df).first()
     assert sorted(r.applied) == ["page_timeout", "word_count_threshold"] and list(r.ignored) == ["not_a_real_key"]
-    with pytest.raises(ValueError, match="profile 'fsat' is not recognised. Valid values: default, fast"):
+    with pytest.raises(ValueError, match="unknown profile 'fsat': choose one of default, fast"):
         check_profile("fsat", ["default", "fast", "js_heavy", "stealth"])
 
 
 def test_cache_modes(spark):
     assert resolve_cache_mode(None) == "bypass" and resolve_cache_mode(" Read_Only ") == "read_only"
-    with pytest.raises(ValueError, match="cache_mode 'bypas' is not recognised"):
+    with pytest.raises(ValueError, match="unknown cache_mode 'bypas'"):
         resolve_cache_mode("bypas")
     req = spark.createDataFrame([("a",), ("b",)], "url string")
     cache = spark.createDataFrame([("a", "<cached>")], "url string, html string")

@@ -66,7 +66,7 @@ def test_xpath_values_go_through_type_and_transform(spark):
 
 def test_selector_type_validation(spark):
     assert normalize_selector_type(" XPath ") == "xpath"
-    with pytest.raises(ValueError, match="'regex' is not recognised. Valid values: css, xpath"):
+    with pytest.raises(ValueError, match="'regex': choose one of css, xpath"):
         normalize_selector_type("regex")
 
 

@@ -77,3 +77,14 @@ def test_crawl_sitemap_errors_and_truncation(spark):
     assert s["https://s.test/empty.xml"].error == "sitemap https://s.test/empty.xml lists no page"
     assert s["https://s.test/down.xml"].error == "sitemap https://s.test/down.xml has no readable snapshot: Connection refused"
     assert res.count() == 5
+
+
+def test_other_encodings(spark):
+    body = '<?xml version="1.0" encoding="{}"?><urlset><url><loc>https://s.test/caf\u00e9/{}</loc></url></urlset>'
+    utf16 = body.format("UTF-16", "\u4e2d\u6587")
+    docs = [("le", None, utf16.encode("utf-16"), None), ("be", None, b"\xfe\xff" + utf16.encode("utf-16-be"), None),
+            ("gz", None, gzip.compress(utf16.encode("utf-16")), None), ("win", None, body.format("windows-1252", "\u20ac\u2019").encode("cp1252"), None),
+            ("odd", None, b"\xff\xfe<\x00u", None), ("cut", None, b"\xff\xfe\x00\xd8", None)]
+    got = dict(_expand(spark, [d[0] for d in docs], docs))
+    assert got == {"le": "https://s.test/caf\u00e9/\u4e2d\u6587", "be": "https://s.test/caf\u00e9/\u4e2d\u6587",
+                   "gz": "https://s.test/caf\u00e9/\u4e2d\u6587", "win": "https://s.test/caf\u00e9/\u20ac\u2019"}

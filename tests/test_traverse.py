@@ -90,9 +90,9 @@ def test_start_note(spark):
 
 def test_refusals(spark):
     edges, snaps = _inputs(spark)
-    with pytest.raises(ValueError, match="scope 'same_domain' is not recognised. Valid values: any, same-domain"):
+    with pytest.raises(ValueError, match="unknown scope 'same_domain': choose one of any, same-domain"):
         crawl(spark, edges, snaps, CrawlSpec(S, scope="same_domain"))
-    with pytest.raises(ValueError, match="strategy 'BFS' is not recognised"):
+    with pytest.raises(ValueError, match="unknown strategy 'BFS'"):
         crawl(spark, edges, snaps, CrawlSpec(S, strategy="BFS"))
 
 

@@ -1,6 +1,7 @@
 """URL functions (SC1, SC2, TRV5, TRV6)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
 
@@ -52,3 +53,14 @@ def test_long_domain_lists(spark):
     domains = [f"Site{i}.test" for i in range(2000)]
     got = spark.createDataFrame(hosts, "h string").select(U.domain_matches("h", domains).alias("d")).collect()
     assert [r.d for r in got] == [True, True, False, True, False, False, False]
+
+
+def test_resolve_white_space_and_dots_in_every_branch(spark):
+    from pagewright.functions.text import collapse_ws
+    cases = {"\n../c ": "http://h/c", "\t\u00a0/x/./y\r\n": "http://h/x/y", "//g/../x": "http://g/x", "https://g/a/b/../c?q=../z#../f": "https://g/a/c?q=../z#../f",
+             "mailto:a/../b@c": "mailto:a/../b@c", "https://g": "https://g", "//g?x": "http://g?x"}
+    df = spark.createDataFrame([(h,) for h in cases], "h string")
+    got = {r.h: r.u for r in df.select("h", U.resolve_url(F.lit("http://h/a/b"), "h").alias("u")).collect()}
+    assert got == cases
+    text = "\u00a0 a\u2003\u00a0b\x1c\nc\u3000"
+    assert spark.createDataFrame([(text,)], "t string").select(collapse_ws("t")).first()[0] == " ".join(text.split())
