@@ -35,6 +35,8 @@ from pagewright.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
+# The vocabulary's special token, which a text may spell out, and its id.
+MARKER, MARKER_ID = "<|endoftext|>", 50256
 
 
 class CapacityTree:
@@ -147,7 +149,11 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken",
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "chunk", "rank")}
             for i, doc_id in enumerate(b.column("doc_id").to_pylist()):
                 text = raw[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace")
-                ids = enc.encode_ordinary(text)
+                ids = []
+                for k, part in enumerate(text.split(MARKER)):
+                    if k:
+                        ids.append(MARKER_ID)
+                    ids += enc.encode_ordinary(part)
                 ids.append(END_ID)
                 ids = np.array(ids, dtype="<u4")
                 for p, (s, n) in enumerate(cut(len(ids), capacity)):

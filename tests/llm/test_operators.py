@@ -177,11 +177,21 @@ def test_decontamination_holds_one_item_block_at_a_time(spark, docs, texts, monk
     assert len(most) > 4 and max(most) == 1
 
 
+def test_packing_spells_the_marker_as_its_id(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext| >", "é <|endoftext|>\n"]
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = {i: tok.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 0]
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
 def test_packing(docs, texts):
     import public_tokenizers as P
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     rows = [r for r in packing.pack(docs).collect() if r.doc_id not in (3, None)]
     by, bins = {}, {}
     for r in rows:
