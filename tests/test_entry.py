@@ -19,7 +19,7 @@ def test_registry_consistent():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs) and len(qs) >= 55
     corpus = {n for n in qs if n == "pipeline" or re.match(r"op\d+_", n)}  # tested in tests/llm
-    assert set(qs) - set(sqls) - corpus == {"best_first"}
+    assert set(qs) - set(sqls) - corpus == {"best_first_budget"}
 
 
 def test_oracles_run_and_columns_match(spark):
@@ -29,6 +29,6 @@ def test_oracles_run_and_columns_match(spark):
     qs = E.queries()
     for name, sql in E.oracle_sql().items():
         cols = [d[0] for d in con.execute(sql).description]
-        if name.startswith(("stream_", "bfs", "sitemap", "sink", "scope_filters", "domain", "glob", "crawl")):
+        if name.startswith(("stream_", "bfs", "best_first", "sitemap", "sink", "scope_filters", "domain", "glob", "crawl")):
             continue  # heavy plans: covered by the sf0.01 oracle check
         assert sorted(qs[name](spark, SF).columns) == sorted(cols), name
