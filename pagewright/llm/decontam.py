@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.arrowtext import ALNUM, hash_words, mix, regrouped
+from pagewright.llm.names import free_names
 from pagewright.session import materialize
 
 WINDOW = 10
@@ -126,9 +127,9 @@ def item_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> Iterato
             yield got
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_k`` and ``_k2``: equal for rows of equal doc_id and text only."""
-    return docs.withColumn("_k", F.xxhash64("doc_id", "text")).withColumn("_k2", F.hash("doc_id", "text"))
+def keyed(docs: DataFrame, k: str = "_k", k2: str = "_k2") -> DataFrame:
+    """``docs`` with ``k`` and ``k2``: equal for rows of equal doc_id and text only (but for hash collisions)."""
+    return docs.withColumn(k, F.xxhash64("doc_id", "text")).withColumn(k2, F.hash("doc_id", "text"))
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -203,5 +204,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_ite
 
     Rows are kept or dropped by their own text, so repeated and NULL ids stay right.
     """
-    hits = find_hits(docs, benchmark, window, block_items).select("_k", "_k2")
-    return keyed(docs).join(hits, ["_k", "_k2"], "left_anti").select(*docs.columns)
+    k, k2 = free_names(docs, "_k", "_k2")
+    hits = find_hits(docs, benchmark, window, block_items).select(F.col("_k").alias(k), F.col("_k2").alias(k2))
+    return keyed(docs, k, k2).join(hits, [k, k2], "left_anti").select(*[f"`{c}`" for c in docs.columns])

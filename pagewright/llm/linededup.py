@@ -21,7 +21,8 @@ to ``run`` lines, as its SQL says.
 Defined cases: NULL text stays NULL (0 lines); the empty text is one empty line; a text of fewer
 than ``run`` lines is changed by such shorter windows only; lines are compared byte for byte; repeated rows of one doc_id
 with equal text share their decisions; rows without doc_id stay as they are; an empty table
-gives an empty result; clashing extra columns are left alone.
+gives an empty result; extra columns are kept, whatever their names, but for ``n_lines`` and
+``n_deleted``, which ``dedup_lines`` replaces (``clean`` keeps them).
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm.names import free_names
 from pagewright.session import materialize
 
 RUN = 3
@@ -77,20 +79,28 @@ def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) ->
     return cover.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_set("c"))).alias("gone"))
 
 
+def _counted(docs: DataFrame, run: int, words: int | None) -> tuple[DataFrame, str, str]:
+    """``docs`` rid of later runs, and the names of two columns added: lines before, lines deleted."""
+    id_, gone_, lines_, n_lines, n_deleted = free_names(docs, "_id", "_gone", "_lines", "_n_lines", "_n_deleted")
+    gone = repeated_lines(docs, run, words).select(F.col("doc_id").alias(id_), F.col("gone").alias(gone_))
+    d = docs.join(gone, F.col("doc_id") == F.col(id_), "left").withColumn(lines_, F.split("text", "\n", -1))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines_) - 1), F.col(gone_))
+    text = F.array_join(F.transform(left, lambda i: F.get(lines_, i)), "\n")
+    none = F.col("text").isNull()
+    return d.select(*[f"`{c}`" for c in docs.columns if c != "text"],
+                    F.when(F.col(gone_).isNotNull(), text).otherwise(F.col("text")).alias("text"),
+                    F.when(none, 0).otherwise(F.size(lines_)).cast("long").alias(n_lines),
+                    F.when(none, 0).otherwise(F.coalesce(F.size(gone_), F.lit(0))).cast("long").alias(n_deleted)), n_lines, n_deleted
+
+
 def dedup_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """All rows and columns of ``docs``, with ``text`` rid of later runs, ``n_lines`` and ``n_deleted``."""
-    gone = repeated_lines(docs, run, words).select(F.col("doc_id").alias("_id"), F.col("gone").alias("_gone"))
-    d = docs.join(gone, F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    d = d.withColumn("_lines", F.split("text", "\n", -1))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    text = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
-    return d.select(*[c for c in docs.columns if c not in ("text", "n_lines", "n_deleted")],
-                    F.when(F.col("_gone").isNotNull(), text).otherwise(F.col("text")).alias("text"),
-                    F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-                    F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size("_gone"), F.lit(0))).cast("long").alias("n_deleted"))
+    out, n_lines, n_deleted = _counted(docs, run, words)
+    kept = [f"`{c}`" for c in docs.columns if c.lower() not in ("text", "n_lines", "n_deleted")]
+    return out.select(*kept, "text", F.col(n_lines).alias("n_lines"), F.col(n_deleted).alias("n_deleted"))
 
 
 def clean(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """The documents with later runs deleted; one whose every line was deleted goes."""
-    out = dedup_lines(docs, run, words).where("n_deleted = 0 OR n_deleted < n_lines")
-    return out.select(*docs.columns)
+    out, n_lines, n_deleted = _counted(docs, run, words)
+    return out.where((F.col(n_deleted) == 0) | (F.col(n_deleted) < F.col(n_lines))).select(*[f"`{c}`" for c in docs.columns])
