@@ -105,7 +105,7 @@ def scan(docs: DataFrame) -> DataFrame:
     rare = (post.where("is_key").groupBy("template").agg(F.max_by(F.struct("word", "at"), F.struct("idf", "at")).alias("r"))
             .select("template", "r.word", "r.at"))
     starts = (hits.join(F.broadcast(rare), "word")
-              .select("row_id", "template", (F.col("place") - F.col("at")).alias("start")).where("start >= 0").distinct())
+              .select("row_id", "template", (F.col("place") - F.col("at")).alias("start")).distinct())
     votes = (hits.join(F.broadcast(post), "word")
              .select("row_id", "template", (F.col("place") - F.col("at")).alias("start"), "is_key", "idf"))
     met = votes.join(starts, ["row_id", "template", "start"], "left_semi").groupBy("row_id", "template", "start").agg(
