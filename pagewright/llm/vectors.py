@@ -20,8 +20,8 @@ Defined cases: NULL labels, NULL or zero vectors, NULL, NaN or infinite componen
 (n_links 0, own component); vectors of different lengths are compared only with their equals;
 repeated rows of a vec_id count as vectors of
 their own (with other components they share their links); a NULL vec_id has component NULL and
-stays; empty tables give empty results; other columns are ignored. Vectors have up to 16,384
-components (axes are kept in 16 bits).
+stays; labels may have any type; components of any finite magnitude are compared (each vector is
+scaled by a power of two first); empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.arrowtext import regrouped
@@ -64,7 +64,7 @@ def codes(x: np.ndarray) -> np.ndarray:
     """``(rows, TABLES, 1 + VISITS)`` axes: the cell of each table, then the buckets visited inside it, nearest first."""
     dim = 1 << max(1, int(x.shape[1] - 1).bit_length())
     x = np.pad(x, ((0, 0), (0, dim - x.shape[1])))
-    out = np.full((len(x), TABLES, 1 + VISITS), -1, np.int16)
+    out = np.full((len(x), TABLES, 1 + VISITS), -1, np.int32)
     for t in range(TABLES):
         for part, n in ((0, 1), (1, VISITS)):
             y = turned(x, 2 * t + part)
@@ -80,9 +80,15 @@ def _usable(v: str):
 
 
 def _vectors(column, dtype) -> np.ndarray:
-    """Vectors of one length, kept as bytes, as rows of doubles."""
+    """Vectors of one length, kept as bytes, as rows of doubles of which none is very large or small."""
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), dtype=dtype).reshape(len(rows), -1).astype(np.float64)
+    return _scaled(np.frombuffer(b"".join(rows), dtype=dtype).reshape(len(rows), -1).astype(np.float64))
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that takes its largest component to [0.5, 1): no square of it
+    overflows or vanishes, and ordinary rows lose no digit."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))[1])
 
 
 def hashed(classes: DataFrame) -> DataFrame:
@@ -95,14 +101,14 @@ def hashed(classes: DataFrame) -> DataFrame:
             for dim in np.unique(dims).tolist():
                 part = b.filter(pa.array(dims == dim))
                 v = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(part.num_rows, dim)
-                x = v.astype(np.float64)
+                x = _scaled(v.astype(np.float64))
                 c = codes(x / np.linalg.norm(x, axis=1, keepdims=True)).reshape(len(v), -1)
                 axes = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1) * c.shape[1], pa.int32()), pa.array(c.ravel()))
                 yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("label"), part.column("dim"), part.column("copies"),
                                                   pa.array([r.tobytes() for r in v], pa.binary()), axes],
                                                  names=["vec_id", "label", "dim", "copies", "v", "codes"])
 
-    return classes.mapInArrow(run, "vec_id long, label int, dim int, copies long, v binary, codes array<short>")
+    return classes.mapInArrow(run, "vec_id long, label long, dim int, copies long, v binary, codes array<int>")
 
 
 def _stars(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple]:
@@ -233,11 +239,19 @@ def laid_out(rows: DataFrame) -> DataFrame:
     return m.select(*cell, "sub", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block", "vec_id", "copies", "v", "codes")
 
 
+def _label(vectors: DataFrame) -> Column:
+    """Integers as they are; labels of any other type by a hash of 64 bits."""
+    label = F.col("label")
+    if vectors.schema["label"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return label.cast("long")
+    return F.when(label.isNotNull(), F.xxhash64(label))
+
+
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row (``vec_id, embedding, label``)."""
     kind = vectors.schema["embedding"].dataType
     v = F.col("embedding") if kind.simpleString() == "array<float>" else F.col("embedding").cast("array<double>")
-    d = vectors.select("vec_id", F.col("label").cast("int").alias("label"), v.alias("v"))
+    d = vectors.select("vec_id", _label(vectors).alias("label"), v.alias("v"))
     d = d.withColumn("usable", F.col("label").isNotNull() & F.coalesce(_usable("v"), F.lit(False)) & F.col("vec_id").isNotNull())
     d = d.withColumn("h", F.when(F.col("usable"), F.xxhash64("v"))).withColumn("h2", F.when(F.col("usable"), F.hash("v")))
     key = ["label", "h", "h2"]
