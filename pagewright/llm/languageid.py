@@ -10,8 +10,8 @@ cross-entropy per character wins. ``score`` is the posterior over the languages,
 ``EVIDENCE`` characters, and lowered when the cross-entropy exceeds what 99 % of held-back sample
 texts of that language show; below ``REJECT`` the answer counts as ``rejected`` (an extra column).
 
-The models are fitted on a bounded sample (``SAMPLE`` rows per language in expectation, texts of at
-most ``SAMPLE_CHARS`` characters); whole texts are scored in one map-only pass with the broadcast
+The models are fitted on a bounded sample (``SAMPLE`` rows per language in expectation, of a
+longer text the first words of ``SAMPLE_CHARS`` characters); whole texts are scored in one map-only pass with the broadcast
 tables (bounded by the sample). ``lang``, ``source`` and ``doc_id`` are no inputs of a prediction.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0; NULL languages are
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.arrowtext import regrouped
-from pagewright.llm.toxicity import held_out
+from pagewright.llm.toxicity import excerpt, held_out
 
 SAMPLE, SAMPLE_CHARS = 600, 20_000
 EVIDENCE, REJECT = 60, 0.5
@@ -176,7 +176,7 @@ def fit(texts: list[str], langs: list[str]) -> Model:
 def training_sample(docs: DataFrame, rows: int = SAMPLE) -> list:
     """At most about ``rows`` texts of each language, spread over all of them by a hash."""
     d = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
-    d = d.where(F.length("text") <= SAMPLE_CHARS).select("text", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("draw"))
+    d = d.select(excerpt("text", SAMPLE_CHARS).alias("text"), "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("draw"))
     totals = F.broadcast(d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))  # one row per language
     return d.join(totals, "lang").where(F.col("draw") < 1_000_000.0 * rows / F.col("n")).select("text", "lang").collect()
 

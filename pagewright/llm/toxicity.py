@@ -9,7 +9,7 @@ sample, tells the language from the text, and each language's logits are shifted
 the threshold with the best F1 on held-back sample rows lands on 0.7.
 
 The fit uses a bounded sample of labelled rows (``SAMPLE`` rows per class at most in expectation,
-texts of at most ``SAMPLE_CHARS`` characters); scoring runs over every whole text, map-only, with
+first ``SAMPLE_CHARS`` characters of a text, cut behind a word); scoring runs over every whole text, map-only, with
 the model broadcast (bounded by the sample). Scores see the text alone.
 
 Defined cases: NULL and empty texts get the score of a text without known words; NULL labels and
@@ -222,6 +222,13 @@ def _calibrate(model: Model, words: Words, y: np.ndarray, n_langs: int) -> None:
             model.shift[k], model.scale[k] = _best_cut(z[mine], y[mine])
 
 
+def excerpt(text: str, chars: int = SAMPLE_CHARS) -> Column:
+    """A training text; of one longer than ``chars`` its first words of so many characters."""
+    head = F.substring(text, 1, chars)
+    words = F.regexp_extract(head, r"(?s)^.*\s", 0)
+    return F.when(F.length(text) <= chars, F.col(text)).otherwise(F.when(words != "", words).otherwise(head))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> list:
     """At most about ``rows`` labelled rows of each class, spread over all of them by a hash."""
     lab = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
@@ -231,7 +238,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> l
     wanted = F.lit(False)
     for label, n in total.items():  # two classes
         wanted = wanted | ((F.col("toxic") == label) & (draw < int(min(1.0, rows / n) * 1_000_000)))
-    return (docs.select("doc_id", "text", "lang").where(F.length("text") <= SAMPLE_CHARS)
+    return (docs.select("doc_id", excerpt("text").alias("text"), "lang").where("text IS NOT NULL")
             .join(F.broadcast(lab.where(wanted)), "doc_id").select("text", "toxic", "lang").collect())  # about ``rows`` ids a class
 
 
