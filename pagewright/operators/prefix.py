@@ -164,3 +164,18 @@ def sessions(df: DataFrame, keys: list[str], order: list[str | Column], time: st
     d = d.withColumn("_run", F.sum("_in").over(p.local.rowsBetween(Window.unboundedPreceding, 0)))
     # a key of one piece starts its first session at its first row
     return p.finish(p.receive(d, per), **{out: (F.coalesce("_off", F.lit(1)) + F.col("_run")).cast("long")})
+
+
+def extremes_before(df: DataFrame, keys: list[str], order: list[str | Column], written: bool = True, **out: tuple) -> DataFrame:
+    """Per column of ``out``, given as ``(value, F.max or F.min)``: that of the key's rows before this one.
+
+    ``max(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)``
+    """
+    p = Pieces(df, keys, order, written)
+    made = [(name, kind(F.col("_row")[value]), kind) for name, (value, kind) in out.items()]
+    per = p.summaries(*[agg.alias(f"_t{i}") for i, (_, agg, _) in enumerate(made)])
+    per = per.select("_key", "_piece", *[p.before(f"_t{i}", kind).alias(f"_off{i}") for i, (_, _, kind) in enumerate(made)])
+    before = p.local.rowsBetween(Window.unboundedPreceding, -1)
+    d = p.receive(p.rows.select("*", *[agg.over(before).alias(f"_m{i}") for i, (_, agg, _) in enumerate(made)]), per)
+    # greatest and least pass over NULLs
+    return p.finish(d, **{name: (F.greatest if kind is F.max else F.least)(f"_m{i}", f"_off{i}") for i, (name, _, kind) in enumerate(made)})

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagewright.operators.cache import read_cache, refiltered, resolve, served, upsert
 from pagewright.operators.config import CACHE_MODES, apply_cache_mode, overlay, profiles_table
 from pagewright.operators.sitemap import crawl_sitemap, expand_sitemaps, ordered_sitemap_urls
+from pagewright.operators.sinks import sink_dir
 from pagewright.plans import sqlparts as S
 from pagewright.plans.catalog import register
+from pagewright.plans.content_plans import BLOCKS_CTE
+from pagewright.session import materialize
 from pagewright.sources.sitemaps import sitemap_docs, sitemap_roots
 from pagewright.sources.tables import snapshots, table
 
@@ -138,3 +142,95 @@ def cache_modes(spark, sf_dir):
             F.lit(m).alias("mode"), "page_id", "source", "status_code", "writes_cache")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+# -- a cache used by a sequence of requests ------------------------------------------------------
+
+MODE_SQL = "[" + ", ".join(f"'{m}'" for m in CACHE_MODES) + "][CAST(event_id % 5 AS INTEGER) + 1]"
+
+# Every event is a request for one of its user's four URLs; the page it would fetch differs each time, and
+# some fetches fail (no such page). A quarter of the URLs is in the cache beforehand.
+CACHE_RUN_SQL = f"""
+RECURSIVE req AS (
+  SELECT e.event_id, 'https://u' || user_id || '.example.org/item/' || (CAST(json_extract(props, '$.k') AS INTEGER) % 4) AS url,
+         {MODE_SQL} AS mode, p.page_id AS page, 3 + 20 * (event_id % 2) AS words
+  FROM events e LEFT JOIN pages p ON p.page_id = (e.event_id * 7 + user_id) % 256 AND p.html IS NOT NULL
+),
+was AS (
+  SELECT DISTINCT req.url, p.page_id AS page FROM req
+  JOIN pages p ON ends_with(req.url, '/0') AND p.html IS NOT NULL AND p.page_id = CAST(regexp_extract(req.url, 'u([0-9]+)', 1) AS BIGINT) % 64
+),
+seqd AS (SELECT req.*, was.page AS was, row_number() OVER (PARTITION BY req.url ORDER BY event_id) AS i FROM req LEFT JOIN was ON was.url = req.url),
+step(url, i, event_id, words, source, answer, writes, held, stored_at) AS (
+  SELECT url, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), FALSE, any_value(was), CAST(NULL AS BIGINT)
+  FROM seqd GROUP BY url
+  UNION ALL
+  SELECT s.url, s.i, s.event_id, s.words,
+         CASE WHEN s.mode IN ('enabled', 'read_only') AND t.held IS NOT NULL THEN 'cache' ELSE 'fresh' END,
+         CASE WHEN s.mode IN ('enabled', 'read_only') AND t.held IS NOT NULL THEN t.held ELSE s.page END,
+         s.page IS NOT NULL AND (s.mode = 'write_only' OR (s.mode = 'enabled' AND t.held IS NULL)),
+         CASE WHEN s.page IS NOT NULL AND (s.mode = 'write_only' OR (s.mode = 'enabled' AND t.held IS NULL)) THEN s.page ELSE t.held END,
+         CASE WHEN s.page IS NOT NULL AND (s.mode = 'write_only' OR (s.mode = 'enabled' AND t.held IS NULL)) THEN s.event_id ELSE t.stored_at END
+  FROM step t JOIN seqd s ON s.url = t.url AND s.i = t.i + 1
+)"""
+
+
+def _cache_run(spark, sf_dir):
+    """Requests with the page each would fetch, and the cache as it was."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "props")
+    pages = table(spark, sf_dir, "pages").where("html IS NOT NULL").select(F.col("page_id").alias("page"), "html")
+    k = F.get_json_object("props", "$.k").cast("int") % 4
+    url = F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example.org/item/"), k.cast("string"))
+    modes = F.array(*map(F.lit, CACHE_MODES))
+    req = ev.select("event_id", F.col("event_id").alias("seq"), url.alias("url"), F.get(modes, (F.col("event_id") % 5).cast("int")).alias("mode"),
+                    (3 + 20 * (F.col("event_id") % 2)).cast("int").alias("words"), ((F.col("event_id") * 7 + F.col("user_id")) % 256).alias("page"),
+                    k.alias("k"), (F.col("user_id") % 64).alias("was"))
+    was = req.where("k = 0").select("url", F.col("was").alias("page")).distinct().join(pages, "page").select("url", "html")
+    req = req.drop("k", "was").join(pages, "page", "left").withColumn("status_code", F.when(F.col("html").isNotNull(), 200).otherwise(404))
+    return req, was
+
+
+def _numbered(spark, sf_dir, answers):
+    """``answer``: the number of the page that an answer's html is (the oracle names pages by number)."""
+    digest = F.sha2("html", 256).alias("digest")
+    pages = table(spark, sf_dir, "pages").groupBy(digest).agg(F.min("page_id").alias("answer"))
+    return answers.withColumn("digest", digest).join(pages, "digest", "left").drop("digest")
+
+
+@register("cache_sequence", f"""
+WITH {CACHE_RUN_SQL.strip()},
+{BLOCKS_CTE.strip()},
+md AS (
+  SELECT page_id, w.words, string_agg(md, chr(10) || chr(10) ORDER BY grp, ord) AS raw,
+         coalesce(string_agg(md, chr(10) || chr(10) ORDER BY grp, ord) FILTER (WHERE score >= 0.48 AND n_words >= w.words), '') AS fit
+  FROM blocks_k, (SELECT unnest([3, 23]) AS words) w GROUP BY page_id, w.words
+),
+same AS (SELECT html, min(page_id) AS answer FROM pages GROUP BY html)
+SELECT t.event_id, source, CAST(same.answer AS BIGINT) AS answer, CAST(CASE WHEN source = 'cache' THEN NULL WHEN t.answer IS NULL THEN 404 ELSE 200 END AS INTEGER) AS status_code,
+       writes AS writes_cache, CASE WHEN t.answer IS NOT NULL THEN coalesce(nullif(md.fit, ''), md.raw, '') END AS content
+FROM step t LEFT JOIN pages p ON p.page_id = t.answer LEFT JOIN same ON same.html = p.html
+LEFT JOIN md ON md.page_id = t.answer AND md.words = t.words WHERE i > 0
+""")
+def cache_sequence(spark, sf_dir):
+    req, was = _cache_run(spark, sf_dir)
+    out = _numbered(spark, sf_dir, resolve(req, was).drop("page"))
+    return refiltered(out, "answer", "words").select("event_id", "source", "answer", "status_code", "writes_cache", "content")
+
+
+@register("cache_upsert", f"""
+WITH {CACHE_RUN_SQL.strip()},
+same AS (SELECT html, min(page_id) AS answer FROM pages GROUP BY html)
+SELECT t.url, CAST(same.answer AS BIGINT) AS answer,
+       CAST(CASE WHEN stored_at IS NULL THEN 0 WHEN stored_at < (SELECT max(event_id) // 2 FROM events) THEN 1 ELSE 2 END AS BIGINT) AS version
+FROM step t JOIN pages p ON p.page_id = t.held JOIN same ON same.html = p.html
+WHERE i = (SELECT max(i) FROM step u WHERE u.url = t.url)
+""")
+def cache_upsert(spark, sf_dir):
+    req, was = _cache_run(spark, sf_dir)
+    req = materialize(req, "cache_requests")
+    half = req.agg(F.floor(F.max("event_id") / 2)).first()[0]
+    path = sink_dir(spark)
+    upsert(was, path, 0, folders=16)
+    served(req.where(F.col("event_id") < half), path, 1, folders=16)
+    served(req.where(F.col("event_id") >= half), path, 2, folders=16)
+    return _numbered(spark, sf_dir, read_cache(spark, path)).select("url", "answer", "version")
