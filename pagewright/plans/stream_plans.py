@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from pagewright.operators.patterns import BUILTIN_PATTERNS, resolve_patterns
 from pagewright.plans import sqlparts as S
+from pagewright.plans.activity_plans import SID_SQL, _session_id
 from pagewright.plans.catalog import register
 from pagewright.plans.fetch_results import FETCH_LOG_SQL
 from pagewright.plans.pattern_plans import _oracle
 from pagewright.sources.fetchlog import fetch_url
 from pagewright.streaming import streams as ST
+from pagewright.streaming.registry import registry_stream
 
 WM_US = "((floor(epoch_us((SELECT max(ts) FROM events)) / 1000) - 60000) * 1000)"
 
@@ -78,3 +80,41 @@ def stream_patterns(spark, sf_dir):
     specs = resolve_patterns(spark, list(BUILTIN_PATTERNS))
     out = ST.stream_patterns(ST.stream_table(spark, sf_dir, "documents"), specs)
     return out.select("doc_id", "label", "value")
+
+
+# One step per action of a session, then one at the watermark; `before`: its last use when the action comes.
+TTL_US = 1_800_000_000
+
+
+@register("stream_session_registry", f"""
+WITH RECURSIVE wm AS (SELECT CAST({WM_US} AS BIGINT) AS us),
+act AS (
+  SELECT {SID_SQL} AS session_id, epoch_us(ts) AS t, event_id AS seq,
+         CASE event_type WHEN 'signup' THEN 'create' WHEN 'purchase' THEN 'destroy' ELSE 'use' END AS action
+  FROM events
+),
+due AS (
+  SELECT act.* FROM act, wm WHERE t < us
+  UNION ALL SELECT DISTINCT session_id, us, NULL, NULL FROM act, wm
+),
+seqd AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY t, action IS NULL, seq) AS i FROM due),
+step(session_id, i, t, seq, action, lapsed, lives, last) AS (
+  SELECT DISTINCT session_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), FALSE, CAST(NULL AS BIGINT) FROM seqd
+  UNION ALL
+  SELECT s.session_id, s.i, s.t, s.seq, s.action,
+         CASE WHEN s.t - p.last > {TTL_US} THEN p.last + {TTL_US} END,
+         coalesce(s.t - p.last <= {TTL_US}, FALSE),
+         CASE WHEN s.action = 'destroy' OR s.action IS NULL THEN NULL
+              WHEN s.action = 'create' AND s.t - p.last <= {TTL_US} THEN p.last ELSE s.t END
+  FROM step p JOIN seqd s ON s.session_id = p.session_id AND s.i = p.i + 1
+)
+SELECT session_id, seq, t AS ts_us,
+       CASE action WHEN 'create' THEN CASE WHEN lives THEN 'duplicate' ELSE 'created' END
+                   WHEN 'destroy' THEN CASE WHEN lives THEN 'destroyed' ELSE 'not_found' END ELSE 'used' END AS decision
+FROM step WHERE action IS NOT NULL
+UNION ALL SELECT session_id, NULL, lapsed, 'expired' FROM step WHERE lapsed IS NOT NULL
+""")
+def stream_session_registry(spark, sf_dir):
+    ev = ST.stream_table(spark, sf_dir, "events")
+    action = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "purchase", "destroy").otherwise("use")
+    return registry_stream(ev.select(_session_id().alias("session_id"), "ts", F.col("event_id").alias("seq"), action.alias("action")))
