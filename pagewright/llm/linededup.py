@@ -15,8 +15,7 @@ the same fingerprints, wherever they stand (the winnowing guarantee). So:
 Every occurrence is compared with the first one only, so a group of n copies costs n rows.
 
 With ``words`` given, a run of fewer lines that holds so many words is a window, too, and its own
-fingerprint; so long passages on one or two lines go as well (the pipeline's stage). The query keeps
-to ``run`` lines, as its SQL says.
+fingerprint; so long passages on one or two lines go as well (the query and the pipeline's stage).
 
 Defined cases: NULL text stays NULL (0 lines); the empty text is one empty line; a text of fewer
 than ``run`` lines is changed by such shorter windows only; lines are compared byte for byte; repeated rows of one doc_id

@@ -26,8 +26,8 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pagewright.llm.linededup import dedup_lines
-    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    from pagewright.llm.linededup import LONG_WORDS, dedup_lines
+    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), words=LONG_WORDS)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,10 +117,11 @@ def _crc32(text: str) -> str:
 SQL: dict[str, str] = {
     "op3_line_dedup": """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-win AS (SELECT doc_id, s, array_to_string(l[s:s + 2], chr(10)) AS k
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS s FROM d WHERE len(l) >= 3)),
-later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 3)) AS i FROM later),
+win AS (SELECT doc_id, s, m, array_to_string(l[s:s + m - 1], chr(10)) AS k
+  FROM (SELECT doc_id, l, m, unnest(range(1, len(l) - m + 2)) AS s FROM d, (SELECT unnest([1, 2, 3]) AS m) WHERE len(l) >= m)),
+enough AS (SELECT * FROM win WHERE m = 3 OR len(regexp_extract_all(k, '[^\\x20\\x09-\\x0D]+')) >= 50),
+later AS (SELECT doc_id, s, m FROM (SELECT *, row_number() OVER (PARTITION BY m, k ORDER BY doc_id, s) AS r FROM enough) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + m)) AS i FROM later),
 line AS (SELECT doc_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM d),
 kept AS (SELECT line.doc_id, string_agg(x, chr(10) ORDER BY line.i) AS t FROM line
   LEFT JOIN gone ON gone.doc_id = line.doc_id AND gone.i = line.i WHERE gone.i IS NULL GROUP BY line.doc_id),

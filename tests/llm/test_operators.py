@@ -112,7 +112,7 @@ def test_pipeline_deletes_long_passages_on_few_lines(spark):
     docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.drop_repeated_lines(spark, docs.repartition(3), "")
     assert got.columns == docs.columns and {r.doc_id: r.text for r in got.collect()} == want
-    # the query keeps to its SQL
+    # without ``words``: runs of three lines only
     assert {r.doc_id: r.n_deleted for r in linededup.dedup_lines(docs).collect() if r.n_deleted} == {10: 3}
 
 
