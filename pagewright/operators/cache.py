@@ -12,6 +12,10 @@ request finds is that of
 Both are one prefix scan (``prefix``) that carries a request's number, not its page, and a URL that
 everybody asks for is cut into pieces like any other key. The page is joined by that number.
 
+A page may be its html or a short name of it, such as ``page_digest``: many requests that fetch few
+pages then carry 64 characters each, and html is joined only to what is stored or filtered. No join
+here is by broadcast: files with few distinct pages are small, and say nothing about the rows in memory.
+
 The cache is a table in folders by a hash of the URL. An upsert rewrites the folders of the URLs it
 stores and no other; each row says in which version it was stored, and a version that is written
 again replaces itself. The cache holds raw html only: what is read from it is filtered again with the request's settings.
@@ -39,42 +43,48 @@ def cache_mode(mode: Column) -> Column:
     return F.when(m.isin(*CACHE_MODES), m)
 
 
-def resolve(requests: DataFrame, cache: DataFrame) -> DataFrame:
+def page_digest(html: Column | str = "html") -> Column:
+    """The name of a page by its html; NULL without one."""
+    return F.sha2(F.col(html) if isinstance(html, str) else html, 256)
+
+
+def resolve(requests: DataFrame, cache: DataFrame, page: str = "html") -> DataFrame:
     """One row per request, as it is answered.
 
     ``requests``: ``url, seq, mode, html, status_code`` (unique seq within a URL; ``html`` and ``status_code`` of the
     fetch it would make, html NULL if that fails) and any other columns; ``cache``: ``url, html``.
     Adds ``source`` (cache | fresh | refused for an unknown mode), ``stored_by`` (the seq whose page is
     read from the cache; NULL: from the cache as it was) and ``writes_cache``; ``html`` and ``status_code``
-    are those of the answer, without a status when cached.
+    are those of the answer, without a status when cached. ``page`` names another column, of both, that
+    stands for ``html``.
     """
     r = requests.withColumn("mode", cache_mode(F.col("mode")))
-    fetched = F.col("html").isNotNull()
+    fetched = F.col(page).isNotNull()
     r = r.withColumn("_over", F.when((F.col("mode") == "write_only") & fetched, F.col("seq"))) \
         .withColumn("_fill", F.when((F.col("mode") == "enabled") & fetched, F.col("seq")))
     r = materialize(r, "requests")
     narrow = r.select("url", "seq", "_over", "_fill")
     narrow = prefix.extremes_before(narrow, ["url"], ["seq"], written=False, _last_over=("_over", F.max), _first_fill=("_fill", F.min))
-    was = cache.groupBy("url").agg(F.max("html").alias("_was")).where("_was IS NOT NULL")
-    d = r.join(narrow.select("url", "seq", "_last_over", "_first_fill"), ["url", "seq"]).join(was, "url", "left")
+    was = cache.groupBy("url").agg(F.max(page).alias("_was")).where("_was IS NOT NULL")
+    d = r.join(narrow.select("url", "seq", "_last_over", "_first_fill").hint("merge"), ["url", "seq"]).join(was.hint("merge"), "url", "left")
     by = F.coalesce("_last_over", F.when(F.col("_was").isNull(), F.col("_first_fill")))
     d = d.withColumn("_by", by)
     reads = F.col("mode").isin("enabled", "read_only") & (F.col("_by").isNotNull() | F.col("_was").isNotNull())
     d = d.withColumn("source", F.when(F.col("mode").isNull(), "refused").when(reads, "cache").otherwise("fresh"))
     cached = F.col("source") == "cache"
     d = d.withColumn("stored_by", F.when(cached, F.col("_by")))
-    stored = r.where("_over IS NOT NULL OR _fill IS NOT NULL").select("url", F.col("seq").alias("stored_by"), F.col("html").alias("_stored"))
-    d = d.join(stored, ["url", "stored_by"], "left")
+    stored = r.where("_over IS NOT NULL OR _fill IS NOT NULL").select("url", F.col("seq").alias("stored_by"), F.col(page).alias("_stored"))
+    d = d.join(stored.hint("merge"), ["url", "stored_by"], "left")
     writes = (F.col("source") == "fresh") & fetched & F.col("mode").isin("enabled", "write_only")
-    return d.select(*[c for c in requests.columns if c not in ("html", "status_code")], "source", "stored_by",
+    return d.select(*[c for c in requests.columns if c not in (page, "status_code")], "source", "stored_by",
                     F.coalesce(writes, F.lit(False)).alias("writes_cache"),
-                    F.when(cached, F.coalesce("_stored", "_was")).when(F.col("source") == "fresh", F.col("html")).alias("html"),
+                    F.when(cached, F.coalesce("_stored", "_was")).when(F.col("source") == "fresh", F.col(page)).alias(page),
                     F.when(F.col("source") == "fresh", F.col("status_code")).alias("status_code"))
 
 
-def write_set(resolved: DataFrame) -> DataFrame:
+def write_set(resolved: DataFrame, page: str = "html") -> DataFrame:
     """``url, html, seq``: the last page that each URL's requests stored."""
-    return resolved.where("writes_cache").groupBy("url").agg(F.max_by(F.struct("html", "seq"), "seq").alias("w")).select("url", "w.html", "w.seq")
+    return resolved.where("writes_cache").groupBy("url").agg(F.max_by(F.struct(page, "seq"), "seq").alias("w")).select("url", f"w.{page}", "w.seq")
 
 
 def _lying(spark: SparkSession, path: str) -> DataFrame | None:
@@ -111,29 +121,41 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], _CACHE) if found is None else found.select("url", "html", "version")
 
 
-def served(requests: DataFrame, path: str, version: int, folders: int = URL_FOLDERS) -> DataFrame:
-    """The requests answered from the cache at ``path``, which then holds what they stored."""
-    out = materialize(resolve(requests, read_cache(requests.sparkSession, path)), "served")
-    upsert(write_set(out), path, version, folders)
+def served(requests: DataFrame, path: str, version: int, folders: int = URL_FOLDERS, pages: DataFrame | None = None) -> DataFrame:
+    """The requests answered from the cache at ``path``, which then holds what they stored.
+
+    With ``pages``, ``digest, html``, the requests and the answers have ``digest`` (``page_digest``) instead of ``html``.
+    """
+    held = read_cache(requests.sparkSession, path)
+    if pages is None:
+        out = materialize(resolve(requests, held), "served")
+        upsert(write_set(out), path, version, folders)
+        return out
+    out = materialize(resolve(requests, held.select("url", page_digest().alias("digest")), "digest"), "served")
+    once = pages.join(write_set(out, "digest").select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.max("html").alias("html"))
+    upsert(write_set(out, "digest").join(once.hint("merge"), "digest"), path, version, folders)
     return out
 
 
-def refiltered(resolved: DataFrame, page: str, min_words: str | None = None) -> DataFrame:
+def refiltered(resolved: DataFrame, page: str, min_words: str | None = None, pages: DataFrame | None = None) -> DataFrame:
     """``resolved`` with ``content``: the answer's html through the content filter again.
 
     ``page`` names an integer column that identifies the html, so an answer given often is parsed once.
     With ``min_words``, a column of the requests, the filter runs with each request's own threshold.
+    With ``pages``, that column and ``html``, the answers need no html of their own: ``page`` is NULL without one.
     """
     words = F.coalesce(F.col(min_words), F.lit(DEFAULT_MIN_WORDS)) if min_words else F.lit(DEFAULT_MIN_WORDS)
     r = resolved.withColumn("_words", words)
-    answered = r.where("html IS NOT NULL")
-    pages = materialize(answered.groupBy(F.col(page).cast("long").alias("_page")).agg(F.max("html").alias("html")), "answered_pages")
+    has = F.col("html" if pages is None else page).isNotNull()
+    answered = r.where(has)
+    found = answered if pages is None else pages.join(answered.select(page).distinct(), page, "left_semi")
+    pages = materialize(found.groupBy(F.col(page).cast("long").alias("_page")).agg(F.max("html").alias("html")), "answered_pages")
     blocks = page_blocks(html_nodes(pages, page_id="_page", container_text=False))
     # a page's blocks once per threshold it is asked with
     asked = answered.select(F.col(page).cast("long").alias("page_id"), "_words").distinct()
     asked = asked.withColumn("_asked", F.xxhash64("page_id", "_words"))
     blocks = density_prune(blocks.join(asked, "page_id").drop("page_id").withColumnRenamed("_asked", "page_id"), F.col("_words"))
     text = page_markdown_fit_raw(blocks).withColumnRenamed("page_id", "_asked")
-    r = r.withColumn("_asked", F.when(F.col("html").isNotNull(), F.xxhash64(F.col(page).cast("long"), "_words")))
+    r = r.withColumn("_asked", F.when(has, F.xxhash64(F.col(page).cast("long"), "_words")))
     content = fit_or_raw(F.coalesce("fit", F.lit("")), F.col("raw"))
-    return r.join(text, "_asked", "left").withColumn("content", F.when(F.col("html").isNotNull(), content)).drop("_asked", "_words", "fit", "raw")
+    return r.join(text, "_asked", "left").withColumn("content", F.when(has, content)).drop("_asked", "_words", "fit", "raw")

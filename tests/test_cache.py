@@ -1,12 +1,13 @@
 """A cache used by a sequence of requests, each in its own mode (SRC8), against a plain replay."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagewright.operators import prefix
-from pagewright.operators.cache import read_cache, refiltered, resolve, served, upsert
+from pagewright.operators.cache import page_digest, read_cache, refiltered, resolve, served, upsert
 from pagewright.operators.config import CACHE_MODES
 
 SCHEMA = "url string, seq long, mode string, html string, status_code int, names string"
@@ -99,3 +100,22 @@ def test_extremes_before_equals_a_window(spark, monkeypatch):
     want = df.withColumn("hi", F.max("v").over(w)).withColumn("lo", F.min("v").over(w))
     got = prefix.extremes_before(df, ["k"], ["i"], hi=("v", F.max), lo=("v", F.min))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_pages_are_never_broadcast_and_digests_stand_for_them(spark):
+    rows = _requests(random.Random(6), 300, 20)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    was = spark.createDataFrame([(f"u{k}", f"<p>was {k}</p>") for k in range(0, 20, 3)], "url string, html string")
+    whole = resolve(frame, was)
+    # a file with few distinct pages is small, the rows read from it are not
+    assert not re.search(r"BroadcastHashJoin \[url#", whole._jdf.queryExecution().executedPlan().toString())
+    named = lambda d: d.withColumn("digest", page_digest()).drop("html")
+    short = resolve(named(frame), named(was), "digest")
+    cols = ("url", "seq", "source", "stored_by", "writes_cache", "status_code", "digest")
+    assert sorted(map(str, short.select(*cols).collect())) == sorted(map(str, named(whole).select(*cols).collect()))
+
+
+def test_filtered_pages_come_from_their_own_table(spark):
+    req = spark.createDataFrame([("a", 1, 7), ("b", 2, 9), ("c", 3, None), ("d", 4, 7)], "url string, seq long, page int")
+    pages = spark.createDataFrame([(7, "<p>seven</p>"), (9, "<p>nine</p>"), (11, "<p>not asked</p>")], "page int, html string")
+    assert {r.seq: r.content for r in refiltered(req, "page", pages=pages).collect()} == {1: "seven", 2: "nine", 3: None, 4: "seven"}
