@@ -119,3 +119,16 @@ def test_filtered_pages_come_from_their_own_table(spark):
     req = spark.createDataFrame([("a", 1, 7), ("b", 2, 9), ("c", 3, None), ("d", 4, 7)], "url string, seq long, page int")
     pages = spark.createDataFrame([(7, "<p>seven</p>"), (9, "<p>nine</p>"), (11, "<p>not asked</p>")], "page int, html string")
     assert {r.seq: r.content for r in refiltered(req, "page", pages=pages).collect()} == {1: "seven", 2: "nine", 3: None, 4: "seven"}
+
+
+def test_cache_of_digest_requests_holds_html(spark, tmp_path):
+    rows = _requests(random.Random(9), 200, 12)
+    cache = {f"u{k}": f"<p>was {k}</p>" for k in range(0, 12, 3)}
+    want, held = _replay(rows, cache)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    pages = frame.where("html IS NOT NULL").select(page_digest().alias("digest"), "html")
+    path = f"{tmp_path}/cache"
+    upsert(spark.createDataFrame(list(cache.items()), "url string, html string"), path, 0)
+    got = served(frame.withColumn("digest", page_digest()).drop("html"), path, 1, pages=pages.union(pages)).collect()
+    assert {(r.url, r.seq): r.source for r in got} == {k: v[0] for k, v in want.items()}
+    assert {r.url: r.html for r in read_cache(spark, path).collect()} == held
