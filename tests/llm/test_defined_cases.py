@@ -102,3 +102,19 @@ def test_long_training_texts_are_learned_from(spark):
     assert all(marks[i] == int(i < 45) for i in range(90))
     cut = docs.select(toxicity.excerpt("text", 12).alias("t"), "doc_id").where("doc_id IN (0, 90)").collect()
     assert {r.doc_id: r.t for r in cut} == {0: " ".join(long[0][1].split()[:2]) + " ", 90: "z" * 12}
+
+
+def test_all_labelled_rows_and_whole_texts_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART_ROWS", 100)
+    rnd = random.Random(12)
+    plain = lambda n: " ".join(rnd.choice(["yuyu", "yeye", "yaya", "yoyo"]) for _ in range(n))
+    # the word that tells lies behind what a first cut of 20,000 characters would keep
+    rows = [(i, f"{plain(4200)} {'foulword' if i % 3 == 0 else 'finething'} {plain(20)}", "yy") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(7000, 1), (3, None)], "doc_id long, toxic int")
+    learned = toxicity.training_rows(docs, labels)
+    ids = {r.doc_id for r in docs.where(~toxicity.held_out()).select("doc_id").collect()}
+    assert learned.count() == len(ids) and learned.select("part").distinct().count() > 1
+    assert {r.text for r in learned.collect()} == {t for i, t, _ in rows if i in ids}
+    got = toxicity.scored(docs, toxicity.trained(docs, labels)).collect()
+    assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in got) >= 0.97 * len(got)
