@@ -14,7 +14,7 @@ content holds, as for a query whose words do not occur. NULL and blank queries a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.operators.blocks import BM25_B, BM25_K1, BM25_MIN_SCORE, density_prune, tokens
@@ -23,12 +23,13 @@ from pagewright.session import materialize
 
 def inverted_index(blocks: DataFrame) -> DataFrame:
     """Postings of ``blocks`` (``page_id, pre, text``) with all that BM25 needs beside the query."""
-    toks = blocks.select("page_id", "pre", tokens(F.col("text")).alias("toks"))
-    stats = toks.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_blocks"), F.avg(F.size("toks")).alias("avgdl"))
-    words = toks.select("page_id", "pre", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-    tf = words.groupBy("page_id", "term", "pre", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("page_id", "term").agg(F.count(F.lit(1)).alias("df"))
-    return materialize(tf.join(df, ["page_id", "term"]).join(stats, "page_id"), "postings")
+    page = Window.partitionBy("page_id")
+    toks = blocks.select("page_id", "pre", tokens(F.col("text")).alias("toks")).withColumn("dl", F.size("toks"))
+    # every key begins with the page: one shuffle, of blocks, serves all
+    toks = toks.select("*", F.count(F.lit(1)).over(page).alias("n_blocks"), F.avg("dl").over(page).alias("avgdl"))
+    words = toks.select("page_id", "pre", "dl", "n_blocks", "avgdl", F.explode("toks").alias("term"))
+    tf = words.groupBy("page_id", "term", "pre", "dl", "n_blocks", "avgdl").agg(F.count(F.lit(1)).alias("tf"))
+    return materialize(tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("page_id", "term"))), "postings")
 
 
 def _bm25(k1: float = BM25_K1, b: float = BM25_B) -> Column:
@@ -56,6 +57,7 @@ def request_blocks(blocks: DataFrame, requests: DataFrame) -> DataFrame:
     ``requests``: ``request_id, page_id, query, word_count_threshold`` (settings merged by
     ``config.overlay``). The result is keyed by request: ``page_id`` holds the request.
     """
+    blocks = materialize(blocks, "blocks")  # read by the index and by every request
     hits = request_hits(inverted_index(blocks), requests).select("request_id", "pre", F.lit(True).alias("_hit"))
     asked = requests.select("request_id", "page_id", asks(F.col("query")).alias("_asks"), F.col("word_count_threshold").alias("_words"))
     mine = density_prune(blocks.join(asked, "page_id"), F.col("_words"))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pagewright.operators import search
 from pagewright.operators.blocks import density_prune, fit_filter, page_blocks
 from pagewright.operators.parse import parsed_nodes
 from pagewright.operators.search import request_blocks
@@ -35,3 +36,13 @@ def test_requests_equal_single_filters(spark):
             assert mine == _kept(fit_filter(blocks, query=q))
         else:
             assert mine == _kept(density_prune(blocks, F.lit(w))) and mine
+
+
+def test_the_index_moves_blocks_once(spark, monkeypatch):
+    monkeypatch.setattr(search, "materialize", lambda df, name: df)
+    blocks = spark.createDataFrame([(1, 0, "a b a"), (1, 4, "b c"), (2, 0, "a"), (2, 1, "...")], "page_id long, pre int, text string")
+    index = search.inverted_index(blocks)
+    assert index._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r.page_id, r.term, r.pre): (r.tf, r.dl, r.df, r.n_blocks, r.avgdl) for r in index.collect()}
+    assert got == {(1, "a", 0): (2, 3, 1, 2, 2.5), (1, "b", 0): (1, 3, 2, 2, 2.5), (1, "b", 4): (1, 2, 2, 2, 2.5),
+                   (1, "c", 4): (1, 2, 1, 2, 2.5), (2, "a", 0): (1, 1, 1, 2, 0.5)}
