@@ -59,13 +59,14 @@ def _paths(selector: str, kind: str):
     return parse_xpath(reroot_field_xpath(selector)), False
 
 
-def _value_expr(f: FieldSpec, html_col: Column | None, value: tuple[str, str] | None = None) -> Column:
-    """The field's value on a matched element; ``value`` is the XPath's own ``@attr`` or ``text()``."""
+def _value_expr(f: FieldSpec, html_col: Column | None, value: tuple[str, str] | None = None, at: Column | None = None) -> Column:
+    """The field's value on a matched element; ``value`` is the XPath's own ``@attr`` or ``text()``; ``at``: its place, if not this row's."""
     text, outer = F.col("text"), F.lit(None).cast("string")
     if value is not None:
         text = outer = F.col("attrs")[value[1]] if value[0] == "attr" else F.col("own_text")
     elif html_col is not None:
-        outer = F.substring(html_col, F.col("start_off") + 1, F.col("end_off") - F.col("start_off"))
+        start, end = (F.col("start_off"), F.col("end_off")) if at is None else (at["start_off"], at["end_off"])
+        outer = F.substring(html_col, start + 1, end - start)
     t = f.type
     if t == "text":
         v = text
@@ -137,17 +138,25 @@ def _simple_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame
     wanted = F.lit(False)
     for _, (axis, pred, _) in simple:
         wanted = wanted | (F.lit(True) if axis == "self" else pred)
-    found = pairs(records.select("page_id", "pre", "last"), nodes.filter(wanted).select(*_PAYLOAD), or_self="self" in axes)
-    cand = found.select("_in.*", F.col("_out.pre").alias("ctx"))
-    if html is not None:
-        cand = cand.join(html, "page_id")
-    aggs = []
-    for f, (axis, pred, value) in simple:
+    # a node travels with the values of the fields it matches, and markup as its place in the page
+    values, aggs, markup = [], [], []
+    for i, (f, (axis, pred, value)) in enumerate(simple):
+        raw = value is None and _needs_html([f])
+        markup += [f] if raw else []
+        values.append(F.when(pred, F.struct("start_off", "end_off") if raw else _value_expr(f, None, value)).alias(f"_v{i}"))
         here = F.col("ctx") == F.col("parent") if axis == "child" else (F.col("ctx") == F.col("pre")) == F.lit(axis == "self")
-        cond = pred & here
-        v = _value_expr(f, F.col("html") if html is not None else None, value)
-        aggs.append(F.min_by(F.when(cond, v), F.when(cond & v.isNotNull(), F.col("pre"))).alias(f.name))
-    return cand.groupBy("page_id", "ctx").agg(*aggs).withColumnRenamed("ctx", "pre")
+        v = F.when(here, F.col(f"_v{i}"))
+        aggs.append(F.min_by(v, F.when(v.isNotNull(), F.col("pre"))).alias(f.name))
+    asked = nodes.filter(wanted).select("page_id", "pre", "parent", *values)
+    found = pairs(records.select("page_id", "pre", "last"), asked, or_self="self" in axes)
+    cand = found.select("_in.*", F.col("_out.pre").alias("ctx"))
+    out = cand.groupBy("page_id", "ctx").agg(*aggs).withColumnRenamed("ctx", "pre")
+    if not markup:
+        return out
+    # a record's page is joined once, not to each of its elements
+    cut = {f.name: _value_expr(f, F.col("_html"), at=F.col(f.name)) for f in markup}
+    pages = html.groupBy("page_id").agg(F.max("html").alias("_html"))
+    return out.join(pages.hint("merge"), "page_id").select("page_id", "pre", *[cut.get(f.name, F.col(f.name)).alias(f.name) for f, _ in simple])
 
 
 def _own_fields(nodes: DataFrame, records: DataFrame, simple, html: DataFrame | None) -> DataFrame:
@@ -193,10 +202,11 @@ def _extract(nodes: DataFrame, records: DataFrame, fields: list[FieldSpec], kind
                     F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"]).alias(f.name))
         else:
             node_cols = nodes.select(*[F.col(c).alias("m") if c == "pre" else c for c in _PAYLOAD])
-            if html is not None:
-                node_cols = node_cols.join(html, "page_id")
             vals = matches.select("page_id", "ctx", "m").join(node_cols, ["page_id", "m"])
-            v = _value_expr(f, F.col("html") if html is not None else None, value)
+            markup = value is None and _needs_html([f])
+            if markup:
+                vals = vals.join(html.groupBy("page_id").agg(F.max("html").alias("html")).hint("merge"), "page_id")
+            v = _value_expr(f, F.col("html") if markup else None, value)
             vals = vals.select("page_id", "ctx", "m", v.alias("v")).filter(F.col("v").isNotNull())
             agg = vals.groupBy("page_id", "ctx").agg(F.min_by("v", "m").alias(f.name))
         out = out.join(agg.withColumnRenamed("ctx", "pre"), ["page_id", "pre"], "left")

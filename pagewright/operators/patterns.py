@@ -39,6 +39,11 @@ BUILTIN_PATTERNS: dict[str, str] = {
     "credit_card": r"\b(?:[0-9]{4}[ -]?){3}[0-9]{4}\b",
 }
 
+# What every match of a built-in pattern holds: a text without it needs no scan.
+HELD = {BUILTIN_PATTERNS[name]: held for name, held in {
+    "email": "@", "phone_intl": "+", "url": "://", "ipv4": ".", "ipv6": ":", "uuid": "-", "percentage": "%", "date_iso": "-",
+    "date_us": "/", "time_24h": ":", "html_color_hex": "#", "twitter_handle": "@", "hashtag": "#"}.items()}
+
 # Patterns used when the caller names none.
 DEFAULT_PATTERNS = ("email", "url")
 
@@ -96,12 +101,19 @@ def match_offsets(df: DataFrame, text_col: str, key_cols: list[str], specs: list
     The pieces between the matches of a pattern give the offsets: a match starts behind all pieces and
     matches before it (one running sum per text and pattern, bounded by the text).
     """
+    text = F.col(text_col)
+
+    def found(rx: str) -> Column:
+        every = F.regexp_extract_all(text, F.lit(rx), F.lit(0))
+        return F.when(text.contains(HELD[rx]), every) if rx in HELD else every
+
+    # a text is split by the patterns that it matches only
+    matches = df.select(*key_cols, text.alias("_text"), *[found(rx).alias(f"_m{i}") for i, (_, rx) in enumerate(specs)])
     packed = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.arrays_zip(
-            F.regexp_extract_all(F.col(text_col), F.lit(rx), F.lit(0)).alias("value"),
-            F.transform(F.split(F.col(text_col), rx, -1), F.length).alias("gap")).alias("found"))
-        for label, rx in specs])
-    rows = df.select(*key_cols, F.inline(packed)).select(*key_cols, "label", F.posexplode("found").alias("pos0", "f")) \
+        F.struct(F.lit(label).alias("label"), F.when(F.size(f"_m{i}") > 0, F.arrays_zip(
+            F.col(f"_m{i}").alias("value"), F.transform(F.split("_text", rx, -1), F.length).alias("gap"))).alias("found"))
+        for i, (label, rx) in enumerate(specs)])
+    rows = matches.select(*key_cols, F.inline(packed)).select(*key_cols, "label", F.posexplode("found").alias("pos0", "f")) \
         .filter("f.value IS NOT NULL").select(*key_cols, "label", (F.col("pos0") + 1).cast("long").alias("pos"), "f.value", "f.gap")
     sofar = Window.partitionBy(*key_cols, "label").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("stop_off", F.sum(F.col("gap") + F.length("value")).over(sofar))

@@ -3,7 +3,7 @@
 import pytest
 
 from pagewright.operators.extract import extract_records, extraction_summary
-from pagewright.operators.parse import html_nodes
+from pagewright.operators.parse import html_nodes, parsed_nodes
 from pagewright.operators.patterns import BUILTIN_PATTERNS, extract_patterns, resolve_patterns
 from pagewright.operators.select import normalize_selector_type
 from pagewright.operators.structured import (GENERIC_PROVIDER_ERROR, chunk_text, empty_structured,
@@ -153,3 +153,18 @@ def test_chunking(spark):
     assert got == {(1, 1): 2048, (1, 2): 2048, (1, 3): 904, (2, 1): 2}
     off = chunk_text(df, "t", ["k"], 2048, apply_chunking=False).collect()
     assert len(off) == 2
+
+
+def test_markup_is_cut_from_a_page_once_per_record(spark):
+    import re
+    html = "<article><h1 class='x'>A &amp; B</h1><p>one</p><p>two <b>b</b></p></article><article><p>three</p></article>"
+    pages = spark.createDataFrame([(1, html), (2, "<article><h1>C</h1></article>")], "page_id long, html string")
+    schema = {"baseSelector": "article", "fields": [
+        {"name": "t", "selector": "h1", "type": "text"}, {"name": "h", "selector": "h1", "type": "html"},
+        {"name": "p", "selector": "p", "type": "html", "transform": "uppercase", "default": "none"}]}
+    rec = extract_records(parsed_nodes(pages), schema, "css", pages_html=pages)
+    got = sorted(tuple(r) for r in rec.collect())
+    assert got == [(1, 1, "A & B", "<h1 class='x'>A &amp; B</h1>", "<P>ONE</P>"), (1, 2, None, None, "<P>THREE</P>"),
+                   (2, 1, "C", "<h1>C</h1>", "none")]
+    plan = rec._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"min_by\(.*substring", plan)

@@ -43,3 +43,17 @@ def test_holders_and_scopes(spark):
     for tag in ("div", "section", "p", "table"):
         assert run(tag) == _brute(tag)
     assert _brute("table") == [] and len(_brute("div")) > 5
+
+
+def test_texts_are_split_by_matching_patterns_only(spark):
+    import re
+
+    from pagewright.operators.patterns import BUILTIN_PATTERNS, match_offsets
+    texts = ["", "nothing here", "a@b.org, c@d.org 50 % #tag #aabbcc @me 12:30 2024-01-02 1/2/2024", "http://x.org/1 $5.00 10.0.0.1", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    specs = list(BUILTIN_PATTERNS.items())
+    out = match_offsets(df, "t", ["id"], specs)
+    got = {(r.id, r.label, r.start_off, r.stop_off, r.value) for r in out.collect()}
+    assert got == {(i, n, m.start(), m.end(), m[0]) for i, t in enumerate(texts) if t for n, rx in specs for m in re.finditer(rx, t, re.ASCII)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == len(specs) and plan.count("CASE WHEN (size(") >= len(specs)
