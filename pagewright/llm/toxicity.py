@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.arrowtext import ALNUM, Words, hash_words, mix, regrouped
@@ -41,6 +41,8 @@ from pagewright.session import materialize
 SAMPLE_CHARS = 20_000
 WORD_ROWS, HEAD_ROWS = 1 << 18, 1 << 16
 PART_ROWS, GROUP_BYTES = 4096, 2 << 20
+#: texts that one task holds against their labels
+TASK_ROWS = 8 * PART_ROWS
 BINS = 256
 WIDTHS, FILTERS, DIM = (1, 2, 3), 8, 16
 EPOCHS, BATCH, RATE = 6, 32, 0.02
@@ -311,17 +313,32 @@ def excerpt(text: str, chars: int = SAMPLE_CHARS) -> Column:
     return F.when(F.length(text) <= chars, F.col(text)).otherwise(F.when(words != "", words).otherwise(head))
 
 
+def labelled(docs: DataFrame, lab: DataFrame, parts: int) -> DataFrame:
+    """``text, toxic, lang, part, held``, sorted by part: the rows of ``docs`` that ``lab`` (one row a doc_id) names.
+
+    Labels travel with the texts to the task of their part, so a text moves once, at any size, and no label is broadcast;
+    if few texts are labelled, a part is labelled by several tasks and its rows move once more.
+    """
+    d = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").where(~held_out())  # no other has a label to learn from
+    tasks = parts * (d.count() // (parts * TASK_ROWS) + 1)
+    d = d.select("doc_id", "text", "lang", F.lit(None).cast("int").alias("toxic"))
+    d = d.unionByName(lab.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), "toxic"))
+    d = d.withColumn("draw", F.xxhash64("doc_id", F.lit("part"))).withColumn("task", F.pmod("draw", F.lit(tasks)))
+    d = d.repartition(tasks, "task").withColumn("toxic", F.max("toxic").over(Window.partitionBy("task", "doc_id")))
+    rows = d.where("text IS NOT NULL AND toxic IS NOT NULL").select(
+        "text", "toxic", F.when(F.col("lang") != "", F.col("lang")).alias("lang"), F.pmod("draw", F.lit(parts)).alias("part"),
+        (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0).alias("held"), "draw")
+    if tasks > parts:
+        rows = rows.repartition(parts, "part")
+    return rows.sortWithinPartitions("part", "draw", "text").drop("draw")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``text, toxic, lang, part, held``: every labelled row with its whole text, written in parts; a fifth is held back."""
     lab = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out())
            .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    lab = materialize(lab, "toxicity_labels")  # of a size known before the join: texts move only if there are many
-    parts = lab.count() // PART_ROWS + 1
-    draw = F.xxhash64("doc_id", F.lit("part"))
-    rows = docs.select("doc_id", "text", "lang").where("text IS NOT NULL").join(lab, "doc_id").select(
-        "text", "toxic", F.when(F.col("lang") != "", F.col("lang")).alias("lang"), F.pmod(draw, F.lit(parts)).alias("part"),
-        (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0).alias("held"), draw.alias("draw"))
-    return materialize(rows.repartition(parts, "part").sortWithinPartitions("part", "draw", "text").drop("draw"), "toxicity_rows")
+    lab = materialize(lab, "toxicity_labels")  # counted, then read with the texts
+    return materialize(labelled(docs, lab, lab.count() // PART_ROWS + 1), "toxicity_rows")
 
 
 def trained(docs: DataFrame, labels: DataFrame, seed: int = 11) -> Model:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pagewright.llm import decontam, languageid, licenses, linededup, toxicity, vectors
 
@@ -118,3 +119,21 @@ def test_all_labelled_rows_and_whole_texts_are_learned_from(spark, monkeypatch):
     assert {r.text for r in learned.collect()} == {t for i, t, _ in rows if i in ids}
     got = toxicity.scored(docs, toxicity.trained(docs, labels)).collect()
     assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in got) >= 0.97 * len(got)
+
+
+def test_texts_move_once_to_their_labels(spark, monkeypatch):
+    rows = [(k, f"text {k}", "en" if k % 4 else "", "s", 6) for k in range(60)] + [(3, "again", None, "s", 5), (None, "no id", "en", "s", 5), (7, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    lab = spark.createDataFrame([(k, k % 2) for k in range(0, 60, 3)] + [(7, 1), (99, 1)], "doc_id long, toxic int").where(~toxicity.held_out())
+    d = docs.where("text IS NOT NULL").join(lab, "doc_id")
+    want = sorted((r.text, r.toxic, r.lang or None) for r in d.collect())
+    plans = []
+    for per_task in (toxicity.PART_ROWS, 2):  # few texts to a task: the parts are put together afterwards
+        monkeypatch.setattr(toxicity, "TASK_ROWS", per_task)
+        got = toxicity.labelled(docs, lab, 3)
+        plans.append(got._jdf.queryExecution().executedPlan().toString())
+        assert sorted((r.text, r.toxic, r.lang) for r in got.collect()) == want
+        part = {r.text: r.part for r in d.select("text", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)).alias("part")).collect()}
+        assert {r.text: r.part for r in got.collect()} == part
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 2]
+    assert not any("Join" in p or "Broadcast" in p for p in plans)
