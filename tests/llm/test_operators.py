@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.llm import decontam, languageid, licenses, linededup, minhash, packing, suffixes, suffixtree, toxicity, vectors
 
@@ -304,6 +305,37 @@ def test_suffix_tree_learns_a_repeated_passage_whatever_the_size(spark):
     assert r.base_score < 31 * -5 and r.score > 31 * -0.2 - 7
 
 
+def test_suffix_tree_is_the_same_with_hot_contexts_and_many_buckets(spark, texts):
+    rng = np.random.RandomState(5)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[0])]
+    rows += [(1000 + i, " ".join(["p q r s t q r u"] * i)) for i in range(10)]
+    rows += [(2000 + i, " ".join(f"w{x}" for x in rng.zipf(1.5, 300) % 1000)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (str(r.doc_id), r.n_tokens)
+    want = sorted(suffixtree.scored(docs).collect(), key=key)
+    assert len(want) == len(rows)
+    for hot, bucket in ((10**9, 50), (200, 500), (12, 100), (0, 100)):
+        model = suffixtree.learned(docs, hot, bucket)[1]
+        assert len(model.hot) == {10**9: 0}.get(hot, 3 if hot < 200 else len(model.hot)) and model.buckets > 10
+        got = sorted(suffixtree.scored(docs, hot=hot, bucket=bucket).collect(), key=key)
+        for a, b in zip(want, got, strict=True):
+            assert a[:5] == b[:5]
+            assert abs(a.base_score - b.base_score) < 1e-6 and abs(a.score - b.score) < 1e-6
+
+
+def test_suffix_tree_moves_few_bytes_a_place(spark):
+    # as 8-byte names the three runs of a place take 24 bytes, with counts and contexts over 80
+    rng = np.random.RandomState(6)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.2, 500) % 400_000)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    chunks, model = suffixtree.learned(docs)
+    asked = suffixtree.asked_runs(chunks, model)
+    size = F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))
+    runs, answers = (d.agg(F.sum(size)).first()[0] for d in (asked, asked.groupBy("bucket").applyInArrow(
+        lambda t: suffixtree.smooth(t, model.total), asked.schema)))
+    assert runs < 9 * 400 * 501 and answers < 4 * 400 * 501
+
+
 def test_suffix_tree_equals_brute_force(spark, texts):
     import math
     from collections import Counter, defaultdict
