@@ -48,7 +48,7 @@ from pagewright.session import BucketedTable
 DEPTH = 3
 MIN_COUNT = 2
 Z, MIN_KL, DISCOUNT = 6.0, 0.02, 0.5
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 10_000_000
 #: Places of a bucket, and training places beyond which a context is hot.
 BUCKET, HOT = 1_000_000, 1_000_000
 CODED, ANSWER = -1, 9
@@ -167,6 +167,11 @@ def _distinct(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, i
     return g, one, len(kinds)
 
 
+def _range(names: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each name: ranges, so that the names of a bucket lie close and pack well."""
+    return ((names >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+
 def _dealt(route: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The places of every bucket, in order."""
     order = np.argsort(route.astype(np.uint16) if len(route) and route.max() < 1 << 16 else route, kind="stable")
@@ -229,7 +234,7 @@ class Chunk:
         self.hot()
 
     def by_token(self) -> Iterator[tuple[int, np.ndarray]]:
-        return _dealt((self.kinds % _U(self.model.buckets)).astype(np.int64))
+        return _dealt(_range(self.kinds, self.model.buckets))
 
     def token(self, back: int) -> np.ndarray:
         """Of every place the token so many places before, 0 if there is none."""
@@ -257,7 +262,7 @@ class Chunk:
             seen = np.zeros(len(self.here), np.int64)
             if level.done:
                 n = np.zeros(len(names), np.int64)
-                for b, some in _dealt((names % _U(self.model.buckets)).astype(np.int64)):
+                for b, some in _dealt(_range(names, self.model.buckets)):
                     n[some] = _unpack(self.told[k, b][0])
                 seen[at] = n[inv]
             self.seen.append(seen)
@@ -365,7 +370,7 @@ def _tally(chunks: DataFrame, model: Model, k: int, hot: int) -> DataFrame:
         below, total = c.below(k)
         cols = (c.states[k - 1][first], n, below[first], total[first])
         return _rows(c.id, k, {b: [_pack(_steps(names[some])), *(_pack(x[some]) for x in cols)]
-                               for b, some in _dealt((names % _U(model.buckets)).astype(np.int64))})
+                               for b, some in _dealt(_range(names, model.buckets))})
 
     def add(t: pa.Table) -> pa.Table:
         parts = t.column("parts").to_pylist()
@@ -435,6 +440,7 @@ def smooth(t: pa.Table, total: int) -> pa.Table:
             to.append(a)
     cuts = np.cumsum([len(x) for x in cols[0]])[:-1]
     hi, lo, n, cx, depth, below, of = (np.concatenate(x) for x in cols)
+    del cols
     inv, first, size = _distinct(hi, lo)
     n = np.bincount(inv, weights=n, minlength=size).astype(np.int64)
     own_hi, own_lo = hi[first], lo[first]
