@@ -1,6 +1,6 @@
 """Structured Streaming operators (STR1-STR5).
 
-Sources are file streams over the driver's parquet folders (``pathGlobFilter`` picks one table);
+Sources are file streams over the driver's parquet tables, each one file or a folder of files;
 each query runs with ``trigger(availableNow=True)`` into a sink folder under the shared
 checkpoint directory (never a machine-local folder), with its own streaming checkpoint so a
 restarted query resumes exactly-once. Event-time operators use watermarks; windows and
@@ -23,14 +23,24 @@ SESSION_GAP = "30 minutes"
 WATERMARK_DELAY = "1 minute"
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system: inputs may lie where only Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at).isDirectory()
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
-    """A file stream over one driver table (schema taken from the batch table)."""
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A file stream over one driver table (schema taken from the batch table).
+
+    A table that is a folder is streamed from it; of one that is a single file, ``pathGlobFilter`` picks it
+    from the folder around it, since a stream's path must be a folder.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.parquet(sf_dir)
+    df = reader.parquet(path) if _is_folder(spark, path) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     if "ts" in df.columns:
         df = df.withColumn("ts", F.col("ts").cast("timestamp"))  # event time must be TIMESTAMP
     return df
@@ -58,13 +68,14 @@ def run_to_sink(stream: DataFrame, name: str, mode: str = "append", foreach_batc
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if foreach_batch is None:  # the schema is told: a stream without files leaves a sink without any
+        return spark.read.schema(stream.schema).parquet(out)
     try:
-        found = spark.read.parquet(out)
+        return spark.read.parquet(out).drop("part")
     except AnalysisException as exc:
-        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], stream.schema)  # no batch ever ran
-    return found.drop("part") if foreach_batch is not None else found
+        return foreach_batch(spark.createDataFrame([], stream.schema), 0)  # no batch ever ran
 
 
 def page_results_stream(pages_stream: DataFrame) -> DataFrame:

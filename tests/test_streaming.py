@@ -66,3 +66,25 @@ def test_each_url_once_across_restarts_and_replays(spark, tmp_path):
     before = {u for u, _ in rows[:200] if u}
     assert {r.url for r in replayed.collect()} == {u for u, _ in rows[200:250] if u} - before
     assert sum(parts.values()) == len({u for u, _ in rows if u}) and len(parts) > 1
+
+
+def test_folder_tables_are_streamed_whole(spark, tmp_path):
+    """A table may be a folder of files, beside tables that are one file."""
+    docs = [(k, f"mail a{k}@x.org or b{k}@y.org" if k % 3 else None) for k in range(30)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    html = "<html><head><title>t{0}</title></head><body><a href='/a'>x</a><a href='/b{0}'>y</a></body></html>"
+    pages = [(k, f"https://h{k % 4}.org/p", html.format(k)) for k in range(20)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    found = ST.stream_patterns(ST.stream_table(spark, str(tmp_path), "documents"), resolve_patterns(spark, ["email"])).collect()
+    assert sorted((r.doc_id, r.value) for r in found) == sorted((k, f"{who}{k}@{host}.org") for k, t in docs if t for who, host in ("ax", "by"))
+    got = ST.page_results_stream(ST.stream_table(spark, str(tmp_path), "pages", max_files_per_trigger=1))
+    assert sorted((r.page_id, r.title, r.n_links) for r in got.collect()) == [(k, f"t{k}", 2) for k in range(20)]
+
+
+def test_a_stream_without_files_has_the_sinks_columns(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    pages = spark.readStream.schema("page_id long, url string, html string").parquet(f"{tmp_path}/in")
+    out = ST.page_results_stream(pages).select("page_id", "title", "n_links")
+    assert out.collect() == [] and out.dtypes == [("page_id", "bigint"), ("title", "string"), ("n_links", "bigint")]
+    docs = spark.readStream.schema("doc_id long, text string").parquet(f"{tmp_path}/in")
+    assert ST.stream_patterns(docs, resolve_patterns(spark, ["email"])).select("doc_id", "label", "value").collect() == []
