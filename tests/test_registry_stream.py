@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 from pagewright.operators.sessions import session_ledger
-from pagewright.streaming.registry import decide, ledger, registry_stream
+from pagewright.streaming.registry import Registry, decide, ledger, registry_stream
 
 SCHEMA = "session_id string, ts timestamp, seq long, action string"
 START = dt.datetime(2024, 1, 1)
@@ -71,3 +71,91 @@ def test_without_expiry_it_is_the_batch_ledger(spark, tmp_path):
     got = {tuple(r) for r in ledger(registry_stream(stream, ttl_s=None)).drop("expired").collect()}
     batch = session_ledger(spark.createDataFrame([r for r in rows if r[1] < until], SCHEMA))
     assert got == {tuple(r) for r in batch.select("session_id", "created", "refused_duplicates", "destroyed", "not_found", "alive").collect()}
+
+
+class _Handle:
+    """State in memory that counts the round trips of a real one."""
+
+    def __init__(self):
+        self.calls, self.timers, self.states = 0, set(), {}
+
+    def _state(self, name, schema):
+        return self.states.setdefault(name, _State(self))
+
+    getValueState = getListState = _state  # noqa: N815
+
+    def listTimers(self):  # noqa: N802
+        self.calls += 1
+        return iter(self.timers)
+
+    def deleteTimer(self, t):  # noqa: N802
+        self.calls += 1
+        self.timers.remove(t)
+
+    def registerTimer(self, t):  # noqa: N802
+        self.calls += 1
+        self.timers.add(t)
+
+
+class _State:
+    def __init__(self, handle):
+        self.handle, self.value = handle, None
+
+    def get(self):
+        self.handle.calls += 1
+        return iter(self.value) if isinstance(self.value, list) else self.value
+
+    def exists(self):
+        self.handle.calls += 1
+        return self.value is not None
+
+    def update(self, value):
+        self.handle.calls += 1
+        self.value = value
+
+    def put(self, values):
+        self.update(list(values))
+
+    def clear(self):
+        self.update(None)
+
+    def appendList(self, values):  # noqa: N802
+        self.update([*(self.value or []), *values])
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+
+def test_state_is_not_asked_once_per_session():
+    """The sessions of a bucket take the same few calls together, whatever their number."""
+    import pandas as pd
+    rnd = random.Random(4)
+    rows = [(f"s{rnd.randint(0, 299)}", START + dt.timedelta(seconds=rnd.randint(0, 7200)), k, rnd.choice(["create", "use", "destroy"])) for k in range(2000)]
+    handle, got = _Handle(), set()
+    bucket = Registry(1800 * 1_000_000)
+    bucket.init(handle)
+    clocks = [0, _us(START) // 1000 + 2_000_000, _us(START) // 1000 + 5_000_000, _us(START) // 1000 + 20_000_000]
+    for k, ms in enumerate(clocks):
+        if k < 2:  # rows come with the first two watermarks, then timers only
+            new = [r for r in rows if (_us(r[1]) // 1000 < clocks[1]) == (k == 0)]
+            frame = pd.DataFrame([(i, s, _us(t), a) for i, t, s, a in new], columns=["session_id", "seq", "ts_us", "action"])
+            out = bucket.handleInputRows((0,), iter([frame[:300], frame[300:]]), _Clock(ms))
+        else:
+            assert min(handle.timers) <= ms
+            out = bucket.handleExpiredTimer((0,), _Clock(ms), None)
+        got |= {tuple(None if x is pd.NA else x for x in r) for f in out for r in f.astype(object).itertuples(index=False)}
+    assert got == _replayed(rows, 1800 * 1_000_000, clocks[-1] * 1000)
+    assert not handle.timers and handle.calls < 40
+
+
+def test_an_action_without_seq_comes_after_the_others_of_its_time(spark, tmp_path):
+    t = START + dt.timedelta(hours=1)
+    rows = [("a", t, None, "destroy"), ("a", t, 7, "create"), ("b", t, None, None), ("c", t + dt.timedelta(hours=1), 9, "use")]
+    got = registry_stream(_stream(spark, tmp_path / "in", [rows])).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([("a", 7, _us(t), "created"), ("a", None, _us(t), "destroyed"), ("b", None, _us(t), "used"),
+                                                        ("b", None, _us(t) + 1_800_000_000, "expired")], key=repr)
