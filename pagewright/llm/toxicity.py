@@ -17,7 +17,8 @@ All labelled rows and their whole texts are learned from, as Spark jobs; the dri
 * logits of the held-back rows are counted in steps of ``1 / BINS`` to find the thresholds.
 
 A task holds a few MB of text and the model; the model is bounded by its tables, whatever the corpus.
-Scoring is map-only with the model broadcast. Scores see the text alone.
+Scoring is map-only with the model broadcast; it travels as embeddings and filters, and each process makes the
+tables of responses (three times as large) for itself. Scores see the text alone.
 
 Defined cases: NULL and empty texts get the score of a text without known words; NULL labels and
 labels of unknown documents are not learned from; without both classes among the rows every score
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +58,8 @@ def held_out(doc_id: str = "doc_id", mod: int = 3) -> Column:
 @dataclass
 class Model:
     places: list[np.ndarray]        # of words and of word beginnings: the embedding row of each table row, 0 if unknown
-    tables: list[list[np.ndarray]]  # per width and place in it: (rows, FILTERS) responses
+    embeddings: np.ndarray          # (rows, DIM)
+    filters: list[np.ndarray]       # per width: (width, DIM, FILTERS)
     bias: list[np.ndarray]
     weight: np.ndarray
     offset: float
@@ -66,19 +69,17 @@ class Model:
     scale: np.ndarray
     constant: float | None = None
 
-    def rows(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Embedding rows ``(2, places)`` of all texts, two empty places behind each, and offsets."""
-        n = np.diff(words.offsets)
-        off = words.offsets + 2 * np.arange(len(words.offsets))
-        out = np.zeros((2, off[-1]), np.int64)
-        at = np.arange(len(words.hashes)) + 2 * np.repeat(np.arange(len(n)), n)
-        for k, slots in enumerate(_slots(words)):
-            out[k, at] = self.places[k][slots]
-        return out, off
+    @cached_property
+    def tables(self) -> list[list[np.ndarray]]:
+        """Per width and place in it: (rows, FILTERS) responses."""
+        return [[np.ascontiguousarray(self.embeddings @ w[j]) for j in range(len(w))] for w in self.filters]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "tables"}
 
     def logits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Raw logit and language of each text."""
-        rows, off = self.rows(words)
+        rows, off = _rows(self.places, words)
         n = len(off) - 1
         pooled = []
         for tables, bias in zip(self.tables, self.bias, strict=True):
@@ -109,6 +110,17 @@ def _slots(words: Words) -> list[np.ndarray]:
     return [(mix(keys) & np.uint64(n - 1)).astype(np.int64) for keys, n in ((words.hashes, WORD_ROWS), (words.heads, HEAD_ROWS))]
 
 
+def _rows(places: list[np.ndarray], words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Embedding rows ``(2, places)`` of all texts, two empty places behind each, and offsets."""
+    n = np.diff(words.offsets)
+    off = words.offsets + 2 * np.arange(len(words.offsets))
+    out = np.zeros((2, off[-1]), np.int64)
+    at = np.arange(len(words.hashes)) + 2 * np.repeat(np.arange(len(n)), n)
+    for k, slots in enumerate(_slots(words)):
+        out[k, at] = places[k][slots]
+    return out, off
+
+
 def _new(size: int, seed: int) -> dict[str, np.ndarray]:
     rng = np.random.RandomState(seed)
     params = {"E": rng.randn(size, DIM).astype(np.float32) * np.float32(0.1)}
@@ -155,22 +167,26 @@ def _part_steps(start: dict[str, np.ndarray], seed: int, rate: float, weights: t
 _CHANGES = [f"v{j}" for j in range(DIM)]
 
 
-def _epoch(train: DataFrame, model: Model, params: dict[str, np.ndarray], epoch: int, weights: tuple[float, float]) -> dict[str, np.ndarray]:
-    """The parameters after one pass: each part's changes, averaged."""
-    shared = train.sparkSession.sparkContext.broadcast((model, params))
+def _pieces(at: np.ndarray, size: int = 1 << 14) -> Iterator[np.ndarray]:
+    return (at[a:a + size] for a in range(0, len(at), size))
+
+
+def _epoch(train: DataFrame, places: list[np.ndarray], params: dict[str, np.ndarray], epoch: int, weights: tuple[float, float]) -> dict[str, np.ndarray]:
+    """The parameters after one pass: each part's changes, averaged. The embeddings are changed in place."""
+    shared = train.sparkSession.sparkContext.broadcast((places, params))
     rate = RATE * (1 - 0.8 * epoch / EPOCHS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, start = shared.value
+        places, start = shared.value
         size, dense = len(start["E"]), _dense(start)
         sums, counts = np.zeros((size + len(dense), DIM)), np.zeros(size + len(dense))
         part, seen, state = None, 0, None
 
         def flush() -> None:
             params, touches, _ = state
-            at = np.flatnonzero(touches)
-            sums[at] += touches[at, None] * (params["E"][at] - start["E"][at]).astype(np.float64)
-            counts[at] += touches[at]
+            for at in _pieces(np.flatnonzero(touches)):
+                sums[at] += touches[at, None] * (params["E"][at] - start["E"][at]).astype(np.float64)
+                counts[at] += touches[at]
             sums[size:] += seen * (_dense(params) - dense)
             counts[size:] += seen
 
@@ -183,13 +199,11 @@ def _epoch(train: DataFrame, model: Model, params: dict[str, np.ndarray], epoch:
                         flush()
                     part, seen, state = parts[a], 0, _part_steps(start, int(parts[a]) * EPOCHS + epoch, rate, weights)
                 mine = t.slice(a, b - a)
-                state[2](*model.rows(hash_words(mine.column("text"), ALNUM, heads=True)), mine.column("toxic").to_numpy().astype(np.float32))
+                state[2](*_rows(places, hash_words(mine.column("text"), ALNUM, heads=True)), mine.column("toxic").to_numpy().astype(np.float32))
                 seen += b - a
         if state:
             flush()
-        at = np.flatnonzero(counts)
-        for a in range(0, len(at), 1 << 14):
-            mine = at[a:a + (1 << 14)]
+        for mine in _pieces(np.flatnonzero(counts)):
             yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(counts[mine]), *(pa.array(sums[mine, j].astype(np.float32)) for j in range(DIM))],
                                              names=["row", "weight", *_CHANGES])
 
@@ -197,11 +211,14 @@ def _epoch(train: DataFrame, model: Model, params: dict[str, np.ndarray], epoch:
     changes = train.where("NOT held").select("part", "text", "toxic").mapInArrow(run, f"row long, weight double, {kinds}")
     got = changes.groupBy("row").agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in _CHANGES]).toArrow()
     shared.destroy()
-    row, mean = got.column("row").to_numpy(), np.stack([got.column(c).to_numpy() for c in _CHANGES], 1) / got.column("weight").to_numpy()[:, None]
-    size = len(params["E"])
-    change = np.zeros((size + len(_dense(params)), DIM))
-    change[row] = mean
-    out, flat = {"E": (params["E"] + change[:size]).astype(np.float32)}, (_dense(params) + change[size:]).ravel()
+    row, weight = got.column("row").to_numpy(), got.column("weight").to_numpy()
+    out, size, dense = {"E": params["E"]}, len(params["E"]), _dense(params)
+    for j, c in enumerate(_CHANGES):  # a column at a time: the driver holds little besides the sums
+        change = np.zeros(size + len(dense))
+        change[row] = got.column(c).to_numpy() / weight
+        out["E"][:, j] = out["E"][:, j] + change[:size]
+        dense[:, j] += change[size:]
+    flat = dense.ravel()
     for k, p in params.items():
         if k != "E":
             out[k], flat = flat[:p.size].reshape(p.shape).astype(np.float32), flat[p.size:]
@@ -348,13 +365,13 @@ def trained(docs: DataFrame, labels: DataFrame, seed: int = 11) -> Model:
     n, toxic = sum(r["n"] for r in sizes), sum(r["n"] for r in sizes if r["toxic"] > 0)
     none = np.zeros(0)
     if toxic in (0, n):
-        return Model([], [], [], none, 0.0, none, none, none, none, toxic / n if n else 0.0)
+        return Model([], none, [], [], none, 0.0, none, none, none, none, toxic / n if n else 0.0)
     names = sorted({r["lang"] for r in sizes if r["lang"] is not None}) or ["und"]
     texts, counts = _count_words(train, names)
     known = texts > 1
     places = np.where(known, np.cumsum(known), 0).astype(np.int32)
     counts = np.concatenate([np.ones((1, len(names))), counts[known] + 0.5])
-    model = Model([places[:WORD_ROWS], places[WORD_ROWS:]], [], [], none, 0.0, none, none, none, none)
+    model = Model([places[:WORD_ROWS], places[WORD_ROWS:]], none, [], [], none, 0.0, none, none, none, none)
     model.languages = np.log(counts / counts.sum(0)).astype(np.float32)
     model.languages -= model.languages.mean(1, keepdims=True)
     model.languages[0] = 0
@@ -365,8 +382,8 @@ def trained(docs: DataFrame, labels: DataFrame, seed: int = 11) -> Model:
     share = sum(r["n"] for r in sizes if r["toxic"] > 0 and not r["held"]) / max(learned, 1)
     params = _new(len(counts), seed)
     for epoch in range(EPOCHS):
-        params = _epoch(train, model, params, epoch, (0.5 / max(share, 1e-3), 0.5 / max(1 - share, 1e-3)))
-    model.tables = [[np.ascontiguousarray(params["E"] @ params[f"W{w}"][j]) for j in range(w)] for w in WIDTHS]
+        params = _epoch(train, model.places, params, epoch, (0.5 / max(share, 1e-3), 0.5 / max(1 - share, 1e-3)))
+    model.embeddings, model.filters = params["E"], [params[f"W{w}"] for w in WIDTHS]
     model.bias = [params[f"b{w}"] for w in WIDTHS]
     model.weight, model.offset = params["v"], float(params["c"][0])
     _calibrate(model, train.where("held"), len(names))
